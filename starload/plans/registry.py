@@ -11,3 +11,21 @@ QUERIES = {
 ORACLES = {
     "sales_report": tpch.SALES_REPORT_SQL,
 }
+
+from starload.plans import checks_scalar as cs  # noqa: E402
+
+for _name, _fn, _sql in [
+    ("clean_text", cs.clean_text_check, cs.CLEAN_TEXT_SQL),
+    ("clean_all_text", cs.clean_all_text_check, cs.CLEAN_ALL_TEXT_SQL),
+    ("parse_number", cs.parse_number_check, cs.PARSE_NUMBER_SQL),
+    ("parse_timestamp", cs.parse_timestamp_check, cs.PARSE_TIMESTAMP_SQL),
+    ("parse_date", cs.parse_date_check, cs.PARSE_DATE_SQL),
+    ("parse_date_report", cs.parse_date_report_check, cs.PARSE_DATE_REPORT_SQL),
+    ("cast_int", cs.cast_int_check, cs.CAST_INT_SQL),
+    ("try_int", cs.try_int_check, cs.TRY_INT_SQL),
+    ("date_dimension", cs.date_dimension_check, cs.DATE_DIMENSION_SQL),
+    ("generate_sales", cs.generate_sales_check, cs.GENERATE_SALES_SQL),
+    ("expand_template", cs.expand_template_check, cs.EXPAND_TEMPLATE_SQL),
+]:
+    QUERIES[_name] = _fn
+    ORACLES[_name] = _sql
