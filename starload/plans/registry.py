@@ -29,3 +29,36 @@ for _name, _fn, _sql in [
 ]:
     QUERIES[_name] = _fn
     ORACLES[_name] = _sql
+
+from starload.plans import checks_ops as co  # noqa: E402
+
+for _name, _fn, _sql in [
+    ("left_lookup", co.left_lookup_check, co.LEFT_LOOKUP_SQL),
+    ("composite_lookup", co.composite_lookup_check, co.COMPOSITE_LOOKUP_SQL),
+    ("role_playing", co.role_playing_check, co.ROLE_PLAYING_SQL),
+    ("scalar_lookup", co.scalar_lookup_check, co.SCALAR_LOOKUP_SQL),
+    ("fk_orphans", co.fk_orphans_check, co.FK_ORPHANS_SQL),
+    ("assign_keys", co.assign_keys_check, co.ASSIGN_KEYS_SQL),
+    ("check_not_null", co.check_not_null_check, co.CHECK_NOT_NULL_SQL),
+    ("profile", co.profile_check, co.PROFILE_SQL),
+    ("row_count", co.row_count_check, co.ROW_COUNT_SQL),
+    ("check_length", co.check_length_check, co.CHECK_LENGTH_SQL),
+    ("check_unique", co.check_unique_check, co.CHECK_UNIQUE_SQL),
+    ("check_foreign_key", co.check_foreign_key_check, co.CHECK_FOREIGN_KEY_SQL),
+    ("check_decimal", co.check_decimal_check, co.CHECK_DECIMAL_SQL),
+    ("filter_equals", co.filter_equals_check, co.FILTER_EQUALS_SQL),
+    ("filter_is_true", co.filter_is_true_check, co.FILTER_IS_TRUE_SQL),
+    ("between_days", co.between_days_check, co.BETWEEN_DAYS_SQL),
+    ("contains_any", co.contains_any_check, co.CONTAINS_ANY_SQL),
+    ("upsert_touch", co.upsert_touch_check, co.UPSERT_TOUCH_SQL),
+    ("upsert_type1", co.upsert_type1_check, co.UPSERT_TYPE1_SQL),
+    ("replace_range", co.replace_range_check, co.REPLACE_RANGE_SQL),
+    ("plan_verdict", co.plan_verdict_check, co.PLAN_VERDICT_SQL),
+    ("plan_report", co.plan_report_check, co.PLAN_REPORT_SQL),
+    ("plan_report_sql", co.plan_report_sql_check, co.PLAN_REPORT_SQL),
+    ("sql_scalar_function", co.sql_scalar_function_check, co.SQL_SCALAR_FUNCTION_SQL),
+    ("table_function_filter", co.table_function_filter_check, co.TABLE_FILTER_SQL),
+    ("dynamic_filter", co.dynamic_filter_check, co.TABLE_FILTER_SQL),
+]:
+    QUERIES[_name] = _fn
+    ORACLES[_name] = _sql
