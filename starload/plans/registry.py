@@ -62,3 +62,19 @@ for _name, _fn, _sql in [
 ]:
     QUERIES[_name] = _fn
     ORACLES[_name] = _sql
+
+from starload.plans import checks_io as ci  # noqa: E402
+
+for _name, _fn, _sql in [
+    ("read_delimited", ci.read_delimited_check, ci.READ_DELIMITED_SQL),
+    ("read_glob", ci.read_glob_check, ci.READ_GLOB_SQL),
+    ("export_split", ci.export_split_check, ci.EXPORT_SPLIT_SQL),
+    ("read_first_column", ci.read_first_column_check, ci.READ_FIRST_COLUMN_SQL),
+    ("foreign_table", ci.foreign_table_check, ci.FOREIGN_TABLE_SQL),
+    ("append_table", ci.append_table_check, ci.APPEND_TABLE_SQL),
+    ("replace_table", ci.replace_table_check, ci.REPLACE_TABLE_SQL),
+    ("export_csv", ci.export_csv_check, ci.EXPORT_CSV_SQL),
+    ("bulk_load", ci.bulk_load_check, ci.BULK_LOAD_SQL),
+]:
+    QUERIES[_name] = _fn
+    ORACLES[_name] = _sql
