@@ -78,3 +78,16 @@ for _name, _fn, _sql in [
 ]:
     QUERIES[_name] = _fn
     ORACLES[_name] = _sql
+
+from starload.plans import checks_warehouse as cw  # noqa: E402
+
+for _name, _fn, _sql in [
+    ("resolve_facts", cw.resolve_facts_check, cw.RESOLVE_FACTS_SQL),
+    ("initial_load", cw.initial_load_check, cw.INITIAL_LOAD_SQL),
+    ("stage_report", cw.stage_report_check, cw.STAGE_REPORT_SQL),
+    ("union_all", cw.union_all_check, cw.UNION_ALL_SQL),
+    ("top_n_report", cw.top_n_report_check, cw.TOP_N_REPORT_SQL),
+    ("report_view", cw.report_view_check, cw.REPORT_VIEW_SQL),
+]:
+    QUERIES[_name] = _fn
+    ORACLES[_name] = _sql
