@@ -1,8 +1,14 @@
 """Equi-join lookups (natural key -> surrogate id, id -> name) and FK checks.
 
-A lookup side is broadcast only after a bounded count proves it small; a larger
-side is left to the planner, which shuffles both sides on the key and lets AQE
-split skewed fact partitions (``spark.sql.adaptive.skewJoin.enabled``).
+Broadcast policy.  By default no hint is given: the planner broadcasts a side
+only when its size estimate (an upper bound from file sizes) is below
+``spark.sql.autoBroadcastJoinThreshold``, and AQE converts a shuffle join to a
+broadcast only after the shuffled side has been *measured* below
+``spark.sql.adaptive.autoBroadcastJoinThreshold``.  Beyond those bounds both
+sides are shuffled on the key and AQE splits skewed fact partitions
+(``spark.sql.adaptive.skewJoin.enabled``).  A caller may instead ask for an
+explicit broadcast behind a bounded row count (``broadcast_rows=``); the count
+reads at most ``broadcast_rows + 1`` rows of the side.
 """
 
 from __future__ import annotations
@@ -72,7 +78,8 @@ def left_lookup(
         *[F.col(d).alias(f"{tag}k{i}") for i, (_, d) in enumerate(pairs)],
         *[F.col(src).alias(f"{tag}v_{out}") for src, out in take.items()],
     )
-    side = sized_broadcast(side, broadcast_rows)
+    if broadcast_rows is not None:
+        side = sized_broadcast(side, broadcast_rows)
     cond = _conjunction(
         [fact[f] == side[f"{tag}k{i}"] for i, (f, _) in enumerate(pairs)]
     )
@@ -114,14 +121,13 @@ def orphans(
 
     A child row with any NULL key column passes, as a declared foreign key
     lets it pass.  Parent keys are projected (and broadcast when proven
-    small) before the anti join.
+    small, by the planner's size checks) before the anti join.
     """
     pairs = _pairs(on)
     tag = "__fk_"
     keys = parent.select(
         *[F.col(p).alias(f"{tag}{i}") for i, (_, p) in enumerate(pairs)]
     )
-    keys = sized_broadcast(keys)
     present = _conjunction([child[c].isNotNull() for c, _ in pairs])
     cond = _conjunction([child[c] == keys[f"{tag}{i}"] for i, (c, _) in enumerate(pairs)])
     return child.where(present).join(keys, cond, "left_anti")

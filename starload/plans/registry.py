@@ -91,3 +91,10 @@ for _name, _fn, _sql in [
 ]:
     QUERIES[_name] = _fn
     ORACLES[_name] = _sql
+
+from starload.plans import checks_stream as cst  # noqa: E402
+
+QUERIES["ingest_chunks"] = cst.ingest_chunks_check
+ORACLES["ingest_chunks"] = cst.INGEST_CHUNKS_SQL
+# rows-only: micro-batch timings have no SQL equivalent
+QUERIES["chunk_batches"] = cst.chunk_batches_check

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from starload.operators.joins import sized_broadcast
 
 BOM = "\ufeff"
 
@@ -89,7 +88,7 @@ def read_first_column(
         .groupBy("__file")
         .agg(F.min("__mid").alias("__first"))
     )
-    numbered = lines.join(sized_broadcast(first), "__file", "left")
+    numbered = lines.join(first, "__file", "left")
     lead = (F.col("__block") == 0) & (F.col("__mid") - F.col("__first") <= skip_rows)
     value = F.regexp_replace(F.col("value"), "^" + BOM, "")
     return numbered.where(~lead).select(
