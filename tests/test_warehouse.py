@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from starload.plans.warehouse import read_exports, sales_report, stage_initial_load, stage_update
 
-NB = " "
+NB = "\u00a0"
 DOC = "Реализация (акт, накладная, УПД) 0001"
 SALE = "Реализация товаров"
 MADE = "Реализация продукции"
@@ -18,7 +18,7 @@ MADE = "Реализация продукции"
 
 def _write(path, lines):
     with open(path, "w", encoding="utf-8", newline="") as f:
-        f.write("﻿" + "\r\n".join(lines) + "\r\n")
+        f.write("\ufeff" + "\r\n".join(lines) + "\r\n")
 
 
 def _sales_line(d, company, counterparty, contract, qty, item, amount, doc=DOC, op=SALE):
