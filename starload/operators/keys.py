@@ -7,6 +7,14 @@ partition index in its upper bits and the position in its lower 33 bits).
 Each partition then adds the row count of all earlier partitions, taken from a
 table with one row per partition.  The numbered rows are checkpointed to the
 shared checkpoint folder first, so a lost executor cannot renumber them.
+
+Rows are ordered by the requested columns and then by every other column, so
+only exact duplicates can swap places, and swapping identical rows leaves the
+result unchanged: the numbering is deterministic.
+
+An input proven small by a bounded count (at most ``starload.keys.singleTaskRows``
+rows, default 100,000; the count reads at most one row more) is numbered with
+one ordered window in a single task instead: two jobs instead of seven.
 """
 
 from __future__ import annotations
@@ -16,8 +24,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starload.operators.joins import has_at_most
 from starload.session import checkpoint_dir
 
+DEFAULT_SINGLE_TASK_ROWS = 100_000
 _POSITION_BITS = 33
 _POSITION_MASK = (1 << _POSITION_BITS) - 1
 
@@ -42,8 +52,17 @@ def assign_keys(
     numbered in the order the frozen copy holds them.
     """
     spark = df.sparkSession
+    named = {c for c in order_cols if isinstance(c, str)}
+    total_order = [*order_cols, *[F.col(f"`{c}`") for c in df.columns if c not in named]]
+    small = int(spark.conf.get("starload.keys.singleTaskRows", str(DEFAULT_SINGLE_TASK_ROWS)))
+    if num_partitions is None and has_at_most(df, small):
+        rank = F.row_number().over(Window.orderBy(*total_order))
+        return df.select(
+            (F.lit(start) + rank).cast("bigint").alias(id_col),
+            *[F.col(f"`{c}`") for c in df.columns],
+        )
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(parts, *order_cols).sortWithinPartitions(*order_cols)
+    ordered = df.repartitionByRange(parts, *order_cols).sortWithinPartitions(*total_order)
     numbered = ordered.withColumn("__mid", F.monotonically_increasing_id())
     if freeze:
         checkpoint_dir(spark)

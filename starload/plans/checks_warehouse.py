@@ -19,8 +19,14 @@ from starload.operators.joins import left_lookup
 from starload.operators.setops import top_n, union_all
 from starload.functions.sql_functions import create_report_view
 from starload.plans import tpch
-from starload.plans.warehouse import Exports, resolve_facts, sales_report, stage_initial_load
-from starload.session import read_table
+from starload.plans.warehouse import (
+    Exports,
+    land_exports,
+    resolve_facts,
+    sales_report,
+    stage_initial_load,
+)
+from starload.session import read_table, scratch_path
 
 LOAD_TS = "2024-01-01 00:00:00"
 
@@ -127,7 +133,7 @@ facts AS (
 def _dims(spark, sf_dir):
     from starload.operators.upsert import initial_load
 
-    src = src_exports(spark, sf_dir)
+    src = land_exports(src_exports(spark, sf_dir), scratch_path(spark, "src"))
     cp = initial_load(src.counterparties,
                       ["company", "taxpayer_identification_number", "full_name_company"], LOAD_TS)
     ct = initial_load(src.contracts, ["contract", "counterparty", "company"], LOAD_TS)
@@ -159,8 +165,11 @@ FROM d_cp
 
 def stage_report_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Initial stage load, then the mart report over it."""
-    stage = stage_initial_load(src_exports(spark, sf_dir), LOAD_TS)
-    return sales_report(stage)
+    from starload.plans.warehouse import WarehouseJob
+
+    job = WarehouseJob(spark, scratch_path(spark, "warehouse"))
+    job.initial_load(src_exports(spark, sf_dir), LOAD_TS)
+    return job.report()
 
 
 STAGE_REPORT_SQL = _SRC_SQL + """
@@ -205,3 +214,127 @@ def report_view_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 REPORT_VIEW_SQL = (
     "SELECT * FROM (" + tpch.SALES_REPORT_SQL + ") r WHERE contract = '1-URGENT'"
 )
+
+
+# ---------------------------------------------------------- incremental load
+
+LOAD_TS_2 = "2024-02-01 00:00:00"
+SECOND_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM"]
+
+
+def second_exports(spark: SparkSession, sf_dir: str, first: Exports) -> Exports:
+    """The next export: customers of nation 1 are gone, every other customer
+    (BUILDING included) comes with a new tax number and full name; the 1998
+    sales are delivered again with doubled quantities; medium-priority
+    contracts are added; the part brands are unchanged."""
+    customer = read_table(spark, sf_dir, "customer")
+    supplier = read_table(spark, sf_dir, "supplier")
+    counterparties = union_all(
+        [
+            customer.where(F.col("c_nationkey") != 1).select(
+                F.col("c_name").alias("company"),
+                (F.col("c_custkey") * 7).cast("string").alias("taxpayer_identification_number"),
+                F.concat(F.lit("LLC "), F.col("c_name"), F.lit(" (2)")).alias("full_name_company"),
+            ),
+            supplier.select(
+                F.col("s_name").alias("company"),
+                F.lit(None).cast("string").alias("taxpayer_identification_number"),
+                F.concat(F.lit("JSC "), F.col("s_name")).alias("full_name_company"),
+            ),
+        ]
+    )
+    sales = first.sales.where(F.year("dt") == 1998).withColumn(
+        "quantity", (F.col("quantity") * 2).cast("int")
+    )
+    contracts = (
+        sales.where(F.col("contract").isin(*SECOND_PRIORITIES))
+        .select("contract", "counterparty", "company")
+        .distinct()
+        .select("contract", "counterparty", F.lit("sale").alias("type_contract"),
+                F.lit("RUB").alias("currency"), "company")
+    )
+    return Exports(sales, counterparties, contracts, first.nomenclature)
+
+
+def _updated_stage(spark, sf_dir):
+    from starload.plans.warehouse import WarehouseJob
+
+    job = WarehouseJob(spark, scratch_path(spark, "warehouse"))
+    job.initial_load(src_exports(spark, sf_dir), LOAD_TS)
+    second = second_exports(spark, sf_dir, src_exports(spark, sf_dir))
+    return job.update(second, LOAD_TS_2, mode="replace", start="1998-01-01", end="1998-12-31")
+
+
+def stage_update_dims_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counterparty dimension after the incremental load (type-1 + expiry)."""
+    return _updated_stage(spark, sf_dir).counterparties
+
+
+_SECOND_SQL = _SRC_SQL.rstrip() + f""",
+cp2src AS (
+  SELECT c_name AS company, CAST(c_custkey * 7 AS VARCHAR) AS taxpayer_identification_number,
+         'LLC ' || c_name || ' (2)' AS full_name_company
+  FROM customer WHERE c_nationkey <> 1
+  UNION ALL
+  SELECT s_name, NULL, 'JSC ' || s_name FROM supplier),
+s2 AS (
+  SELECT dt, company, counterparty, contract, nomenclature, quantity * 2 AS quantity, amount
+  FROM sales WHERE year(dt) = 1998),
+cp_names AS (SELECT company FROM d_cp UNION SELECT company FROM cp2src),
+ct_keys AS (
+  SELECT contract, counterparty, company FROM d_ct
+  UNION
+  SELECT contract, counterparty, company FROM s2
+  WHERE contract IN ('1-URGENT', '2-HIGH', '3-MEDIUM')),
+old_named AS (
+  SELECT c1.company, c2.company AS counterparty, c3.contract, n.nomenclature,
+         s.quantity, s.amount
+  FROM sales s
+  LEFT JOIN d_cp c1 ON s.company = c1.company
+  LEFT JOIN d_cp c2 ON s.counterparty = c2.company
+  LEFT JOIN d_ct c3 ON s.contract = c3.contract AND s.company = c3.company
+                   AND s.counterparty = c3.counterparty
+  LEFT JOIN d_nm n ON s.nomenclature = n.nomenclature
+  WHERE year(s.dt) <> 1998),
+new_named AS (
+  SELECT c1.company, c2.company AS counterparty, c3.contract, n.nomenclature,
+         s.quantity, s.amount
+  FROM s2 s
+  LEFT JOIN cp_names c1 ON s.company = c1.company
+  LEFT JOIN cp_names c2 ON s.counterparty = c2.company
+  LEFT JOIN ct_keys c3 ON s.contract = c3.contract AND s.company = c3.company
+                      AND s.counterparty = c3.counterparty
+  LEFT JOIN d_nm n ON s.nomenclature = n.nomenclature)
+"""
+
+STAGE_UPDATE_DIMS_SQL = _SECOND_SQL + f"""
+SELECT t.id, t.company,
+       CASE WHEN s.company IS NOT NULL THEN s.taxpayer_identification_number
+            ELSE t.taxpayer_identification_number END AS taxpayer_identification_number,
+       CASE WHEN s.company IS NOT NULL THEN s.full_name_company
+            ELSE t.full_name_company END AS full_name_company,
+       TIMESTAMP '{LOAD_TS}' AS dt_create,
+       CASE WHEN s.company IS NOT NULL THEN TIMESTAMP '{LOAD_TS_2}'
+            ELSE TIMESTAMP '{LOAD_TS}' END AS dt_update,
+       s.company IS NOT NULL AS is_actual
+FROM d_cp t LEFT JOIN cp2src s ON t.company = s.company
+UNION ALL
+SELECT CAST((SELECT max(id) FROM d_cp) + row_number() OVER (ORDER BY s.company) AS BIGINT),
+       s.company, s.taxpayer_identification_number, s.full_name_company,
+       TIMESTAMP '{LOAD_TS_2}', TIMESTAMP '{LOAD_TS_2}', true
+FROM cp2src s WHERE NOT EXISTS (SELECT 1 FROM d_cp t WHERE t.company = s.company)
+"""
+
+
+def stage_update_report_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mart report after the incremental load with a replaced year."""
+    return sales_report(_updated_stage(spark, sf_dir))
+
+
+STAGE_UPDATE_REPORT_SQL = _SECOND_SQL + """
+SELECT company, counterparty, contract, nomenclature,
+       CAST(sum(quantity) AS BIGINT) AS total_quantity,
+       CAST(sum(amount) AS BIGINT) AS total_amount
+FROM (SELECT * FROM old_named UNION ALL SELECT * FROM new_named)
+GROUP BY 1, 2, 3, 4
+"""

@@ -98,3 +98,10 @@ QUERIES["ingest_chunks"] = cst.ingest_chunks_check
 ORACLES["ingest_chunks"] = cst.INGEST_CHUNKS_SQL
 # rows-only: micro-batch timings have no SQL equivalent
 QUERIES["chunk_batches"] = cst.chunk_batches_check
+
+for _name, _fn, _sql in [
+    ("stage_update_dims", cw.stage_update_dims_check, cw.STAGE_UPDATE_DIMS_SQL),
+    ("stage_update_report", cw.stage_update_report_check, cw.STAGE_UPDATE_REPORT_SQL),
+]:
+    QUERIES[_name] = _fn
+    ORACLES[_name] = _sql

@@ -12,11 +12,13 @@ Layer shapes (the stage tables carry ``id`` and the audit columns):
   total_amount
 
 Every function maps DataFrames to DataFrames; ``WarehouseJob`` adds the reads
-and writes of versioned snapshots.
+and writes: landing tables are overwritten per load, stage tables are
+versioned snapshots (a new version per load, the old one stays readable).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +37,7 @@ from starload.operators.upsert import (
     replace_range,
     upsert,
 )
+from starload.sinks.tables import SnapshotTable
 from starload.sources.files import read_delimited, read_first_column
 
 # Phrases that select sales rows in the accounting export.
@@ -136,6 +139,18 @@ def read_exports(
     )
 
 
+def land_exports(src: Exports, root: str) -> Exports:
+    """Write the cleansed exports as the landing (src) tables and read them
+    back, so later steps scan files instead of recomputing the cleansing."""
+    spark = src.sales.sparkSession
+    out = {}
+    for name in ("sales", "counterparties", "contracts", "nomenclature"):
+        path = f"{root.rstrip('/')}/{name}"
+        getattr(src, name).write.mode("overwrite").parquet(path)
+        out[name] = spark.read.parquet(path)
+    return Exports(**out)
+
+
 # ----------------------------------------------------------------------- stage
 
 
@@ -184,19 +199,40 @@ def resolve_facts(src_sales: DataFrame, counterparties: DataFrame, contracts: Da
     )
 
 
-def stage_initial_load(src: Exports, load_ts) -> Stage:
-    """First fill of the stage layer."""
-    nomenclature = initial_load(src.nomenclature, ["nomenclature"], load_ts)
-    contracts = initial_load(src.contracts, ["contract", "counterparty", "company"], load_ts)
-    counterparties = initial_load(
-        src.counterparties,
-        ["company", "taxpayer_identification_number", "full_name_company"],
-        load_ts,
+FACT_ORDER = ["dt", "company", "counterparty", "contract", "nomenclature", "quantity", "amount"]
+
+
+def _keep(name: str, df: DataFrame) -> DataFrame:
+    return df
+
+
+def stage_initial_load(
+    src: Exports,
+    load_ts,
+    persist: Callable[[str, DataFrame], DataFrame] = _keep,
+) -> Stage:
+    """First fill of the stage layer.
+
+    ``persist(name, df)`` is called on every new stage table as soon as it is
+    computed and must return the frame to use from then on; ``WarehouseJob``
+    writes the table there and returns it read back, which cuts the lineage
+    before the facts are resolved against the dimensions.
+    """
+    nomenclature = persist("nomenclature", initial_load(src.nomenclature, ["nomenclature"], load_ts))
+    contracts = persist(
+        "contracts",
+        initial_load(src.contracts, ["contract", "counterparty", "company"], load_ts),
+    )
+    counterparties = persist(
+        "counterparties",
+        initial_load(
+            src.counterparties,
+            ["company", "taxpayer_identification_number", "full_name_company"],
+            load_ts,
+        ),
     )
     facts = resolve_facts(src.sales, counterparties, contracts, nomenclature)
-    sales = initial_load(facts, facts.columns, load_ts,
-                         order_cols=["dt", "company", "counterparty", "contract",
-                                     "nomenclature", "quantity", "amount"])
+    sales = persist("sales", initial_load(facts, facts.columns, load_ts, order_cols=FACT_ORDER))
     return Stage(counterparties, contracts, nomenclature, sales)
 
 
@@ -207,6 +243,7 @@ def stage_update(
     mode: str = "append",
     start="1900-01-01",
     end="1900-01-01",
+    persist: Callable[[str, DataFrame], DataFrame] = _keep,
 ) -> Stage:
     """Incremental stage load (P2): dimensions first, then facts.
 
@@ -215,17 +252,17 @@ def stage_update(
     the rows this load did not see.  Facts: optional day-range replacement,
     then the resolved new facts are appended.
     """
-    nomenclature = expire_unseen(
+    nomenclature = persist("nomenclature", expire_unseen(
         upsert(stage.nomenclature, src.nomenclature.select("nomenclature"),
                ["nomenclature"], load_ts),
         load_ts,
-    )
-    contracts = expire_unseen(
+    ))
+    contracts = persist("contracts", expire_unseen(
         upsert(stage.contracts, src.contracts.select("contract", "counterparty", "company"),
                ["contract", "counterparty", "company"], load_ts),
         load_ts,
-    )
-    counterparties = expire_unseen(
+    ))
+    counterparties = persist("counterparties", expire_unseen(
         upsert(
             stage.counterparties,
             src.counterparties,
@@ -234,13 +271,11 @@ def stage_update(
             update_cols=["taxpayer_identification_number", "full_name_company"],
         ),
         load_ts,
-    )
+    ))
     facts = resolve_facts(src.sales, counterparties, contracts, nomenclature)
-    sales = replace_range(
-        stage.sales, facts, load_ts, mode=mode, start=start, end=end,
-        order_cols=["dt", "company", "counterparty", "contract", "nomenclature",
-                    "quantity", "amount"],
-    )
+    sales = persist("sales", replace_range(
+        stage.sales, facts, load_ts, mode=mode, start=start, end=end, order_cols=FACT_ORDER,
+    ))
     return Stage(counterparties, contracts, nomenclature, sales)
 
 
@@ -285,3 +320,49 @@ SRC_SALES_SCHEMA = StructType(
         StructField("amount", IntegerType()),
     ]
 )
+
+
+STAGE_TABLES = ("nomenclature", "contracts", "counterparties", "sales")
+
+
+class WarehouseJob:
+    """Runs the loads against tables under ``root`` (a shared folder).
+
+    ``root/src/load-<n>/<table>``: landing tables, a fresh folder per load
+    (the truncate + load of the landing layer, without overwriting files a
+    running plan may still read).  ``root/stage/<table>``: ``SnapshotTable`` versions.  Every stage
+    table is written as soon as it is computed and read back from the files,
+    so the fact resolution and the report scan written tables instead of
+    recomputing upserts, and a lost executor only repeats the current step.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.tables = {t: SnapshotTable(spark, f"{self.root}/stage/{t}") for t in STAGE_TABLES}
+        self._loads = 0
+
+    def land(self, src: Exports) -> Exports:
+        self._loads += 1
+        return land_exports(src, f"{self.root}/src/load-{self._loads:04d}")
+
+    def _persist(self, name: str, df: DataFrame) -> DataFrame:
+        table = self.tables[name]
+        table.replace(df)
+        return table.read()
+
+    def stage(self) -> Stage:
+        t = self.tables
+        return Stage(t["counterparties"].read(), t["contracts"].read(),
+                     t["nomenclature"].read(), t["sales"].read())
+
+    def initial_load(self, src: Exports, load_ts) -> Stage:
+        return stage_initial_load(self.land(src), load_ts, persist=self._persist)
+
+    def update(self, src: Exports, load_ts, mode: str = "append",
+               start="1900-01-01", end="1900-01-01") -> Stage:
+        return stage_update(self.stage(), self.land(src), load_ts, mode=mode, start=start,
+                            end=end, persist=self._persist)
+
+    def report(self) -> DataFrame:
+        return sales_report(self.stage())

@@ -46,6 +46,7 @@ class SnapshotTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._known: int | None = None
 
     def _pointer(self) -> str:
         return f"{self.root}/_current"
@@ -54,8 +55,11 @@ class SnapshotTable:
         return f"{self.root}/v{version:06d}"
 
     def current_version(self) -> int | None:
+        """The version readers see; remembered after this object's own write."""
+        if self._known is not None:
+            return self._known
         try:
-            row = self.spark.read.json(self._pointer()).first()
+            row = self.spark.read.schema("version BIGINT").json(self._pointer()).first()
         except AnalysisException:
             return None
         return int(row["version"]) if row else None
@@ -78,6 +82,7 @@ class SnapshotTable:
         writer.parquet(self._version_path(version))
         pointer = self.spark.range(1).select(F.lit(version).alias("version"))
         pointer.coalesce(1).write.mode("overwrite").json(self._pointer())
+        self._known = version
         return version
 
 
