@@ -338,3 +338,151 @@ SELECT company, counterparty, contract, nomenclature,
 FROM (SELECT * FROM old_named UNION ALL SELECT * FROM new_named)
 GROUP BY 1, 2, 3, 4
 """
+
+
+# -------------------------------------------------------------- export files
+
+
+def cleanse_exports_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items printed as the accounting system prints its sales export
+    (tab-separated, CRLF, ``d.M.yyyy H:m:s``, NBSP thousands, decimal comma,
+    whitespace noise, non-sales rows mixed in), then read and cleansed (P0)."""
+    from starload.functions.text import NBSP
+    from starload.plans.warehouse import SALES_EXPORT_SCHEMA, cleanse_sales
+    from starload.sources.files import read_delimited
+
+    base = src_exports_with_flags(spark, sf_dir)
+
+    def localised(c):
+        text = F.replace(c.cast("string"), F.lit("."), F.lit(","))
+        return F.regexp_replace(text, r"(\d)(?=(\d{3})+(,|$))", "$1" + NBSP)
+
+    export = base.select(
+        F.date_format("dt", "d.M.yyyy H:m:s").alias("dt"),
+        F.when(F.col("l_returnflag") == "R", F.lit("Счет на оплату"))
+        .otherwise(F.lit("Реализация (акт, накладная, УПД)"))
+        .alias("accounting_document"),
+        F.concat(F.lit(NBSP), F.col("company"), F.lit("  ")).alias("company"),
+        F.regexp_replace("counterparty", "#", "  #").alias("counterparty"),
+        "contract",
+        F.lit("").alias("accounting_document_"),
+        localised(F.col("quantity")).alias("quantity"),
+        F.lit("Товары").alias("nomenclature_group"),
+        F.lit("20%").alias("tax_rate"),
+        "nomenclature",
+        localised(F.col("l_extendedprice")).alias("amount"),
+        F.when(F.col("l_returnflag") == "A", F.lit("Возврат товаров"))
+        .when(F.col("l_linestatus") == "O", F.lit("Реализация товаров"))
+        .otherwise(F.lit("Реализация продукции"))
+        .alias("contents_operation"),
+    )
+    path = scratch_path(spark, "sales-export")
+    (
+        export.write.option("header", True).option("sep", "\t").option("quote", '"')
+        .option("escape", '"').option("lineSep", "\r\n").csv(path)
+    )
+    return cleanse_sales(read_delimited(spark, path, SALES_EXPORT_SCHEMA))
+
+
+def src_exports_with_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with their export names plus the flags that decide whether
+    a line is a sale in the export."""
+    customer = read_table(spark, sf_dir, "customer")
+    supplier = read_table(spark, sf_dir, "supplier")
+    orders = read_table(spark, sf_dir, "orders")
+    part = read_table(spark, sf_dir, "part")
+    lines = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_suppkey", "l_partkey", F.col("l_shipdate").alias("dt"),
+        F.col("l_quantity").cast("int").alias("quantity"), "l_extendedprice",
+        "l_returnflag", "l_linestatus",
+    )
+    lines = left_lookup(
+        lines,
+        left_lookup(orders.select("o_orderkey", "o_custkey", "o_orderpriority"), customer,
+                    {"o_custkey": "c_custkey"}, {"c_name": "c_name"}),
+        {"l_orderkey": "o_orderkey"},
+        {"c_name": "counterparty", "o_orderpriority": "contract"},
+    )
+    lines = left_lookup(lines, supplier, {"l_suppkey": "s_suppkey"}, {"s_name": "company"})
+    return left_lookup(lines, part, {"l_partkey": "p_partkey"}, {"p_brand": "nomenclature"})
+
+
+CLEANSE_EXPORTS_SQL = """
+SELECT l.l_shipdate AS dt, s.s_name AS company,
+       replace(c.c_name, '#', ' #') AS counterparty,
+       o.o_orderpriority AS contract, p.p_brand AS nomenclature,
+       CAST(l.l_quantity AS INTEGER) AS quantity,
+       CAST(trunc(l.l_extendedprice) AS INTEGER) AS amount
+FROM lineitem l
+LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
+LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
+LEFT JOIN part p ON l.l_partkey = p.p_partkey
+WHERE l.l_returnflag NOT IN ('R', 'A')
+"""
+
+
+def many_file_ingest_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A template (city ``c_``, one row per customer) copied into ten
+    files with ``c_`` -> ``c_<copy>``, loaded as one glob with serial ids,
+    then the rows of city ``c_1``."""
+    from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+
+    from starload.operators.filters import filter_equals
+    from starload.operators.keys import assign_keys
+    from starload.sinks.files import export_csv
+    from starload.sources.files import read_glob
+    from starload.sources.generate import expand_template
+
+    template = read_table(spark, sf_dir, "customer").select(
+        F.lit("c_").alias("city"),
+        F.col("c_name").alias("manager"),
+        F.col("c_mktsegment").alias("product"),
+        F.col("c_nationkey").alias("val"),
+    )
+    copies = expand_template(template, "city", "c_", 10)
+    path = scratch_path(spark, "many-files")
+    # one folder per copy: data_<step>
+    (
+        copies.write.partitionBy("step").option("header", True).csv(path)
+    )
+    schema = StructType([StructField("city", StringType()), StructField("manager", StringType()),
+                         StructField("product", StringType()), StructField("val", IntegerType())])
+    loaded = read_glob(spark, f"{path}/step=*/*.csv", schema)
+    keyed = assign_keys(loaded, ["city", "manager"], id_col="sale_id")
+    return filter_equals(keyed, "city", "c_1")
+
+
+MANY_FILE_INGEST_SQL = """
+WITH copies AS (
+  SELECT 'c_' || CAST(step AS VARCHAR) AS city, c_name AS manager, c_mktsegment AS product,
+         c_nationkey AS val
+  FROM customer, range(1, 11) r(step)),
+keyed AS (
+  SELECT CAST(row_number() OVER (ORDER BY city, manager, product, val) AS BIGINT) AS sale_id, *
+  FROM copies)
+SELECT * FROM keyed WHERE city = 'c_1'
+"""
+
+
+def project_columns_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starload.operators.filters import project
+
+    return project(read_table(spark, sf_dir, "lineitem"), ["l_partkey", "l_orderkey", "l_tax"])
+
+
+PROJECT_COLUMNS_SQL = "SELECT l_partkey, l_orderkey, l_tax FROM lineitem"
+
+
+def rename_positional_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starload.operators.filters import rename_positional
+
+    orders = read_table(spark, sf_dir, "orders").select(
+        "o_orderdate", "o_custkey", "o_orderkey", "o_totalprice")
+    return rename_positional(orders, ["dt", "client_id", "product_id", "amount"])
+
+
+RENAME_POSITIONAL_SQL = """
+SELECT o_orderdate AS dt, o_custkey AS client_id, o_orderkey AS product_id,
+       o_totalprice AS amount FROM orders
+"""

@@ -105,3 +105,12 @@ for _name, _fn, _sql in [
 ]:
     QUERIES[_name] = _fn
     ORACLES[_name] = _sql
+
+for _name, _fn, _sql in [
+    ("cleanse_exports", cw.cleanse_exports_check, cw.CLEANSE_EXPORTS_SQL),
+    ("many_file_ingest", cw.many_file_ingest_check, cw.MANY_FILE_INGEST_SQL),
+    ("project_columns", cw.project_columns_check, cw.PROJECT_COLUMNS_SQL),
+    ("rename_positional", cw.rename_positional_check, cw.RENAME_POSITIONAL_SQL),
+]:
+    QUERIES[_name] = _fn
+    ORACLES[_name] = _sql
