@@ -1,20 +1,24 @@
 """Dense surrogate keys without a single-partition window.
 
-``row_number() OVER (ORDER BY k)`` moves every row into one task.  Instead the
-rows are range-partitioned on the ordering columns, sorted inside each
-partition and numbered there (``monotonically_increasing_id`` carries the
-partition index in its upper bits and the position in its lower 33 bits).
-Each partition then adds the row count of all earlier partitions, taken from a
-table with one row per partition.  The numbered rows are checkpointed to the
-shared checkpoint folder first, so a lost executor cannot renumber them.
+``row_number() OVER (ORDER BY k)`` moves every row into one task.  Instead:
+
+1. the input is checkpointed once to the shared checkpoint folder, so its
+   upstream (often a join) runs once and a lost executor cannot change it;
+2. an input proven small by a bounded count (at most
+   ``starload.keys.singleTaskRows`` rows, default 100,000; the count reads at
+   most one row more) is numbered with one ordered window in a single task;
+3. a larger input is range-partitioned on the full row order, sorted inside
+   each partition and numbered there (``monotonically_increasing_id`` carries
+   the partition index in its upper bits and the position in its lower 33
+   bits); the numbered rows are checkpointed too, because range bounds are
+   sampled with a seed that changes between executions; then each partition
+   adds the row count of all earlier partitions, taken from a table with one
+   row per partition.
 
 Rows are ordered by the requested columns and then by every other column, so
 only exact duplicates can swap places, and swapping identical rows leaves the
-result unchanged: the numbering is deterministic.
-
-An input proven small by a bounded count (at most ``starload.keys.singleTaskRows``
-rows, default 100,000; the count reads at most one row more) is numbered with
-one ordered window in a single task instead: two jobs instead of seven.
+result unchanged.  Ranging on the full order also splits a key value held by
+many rows over several partitions.
 """
 
 from __future__ import annotations
@@ -48,28 +52,34 @@ def assign_keys(
 ) -> DataFrame:
     """Add ``id_col`` = start+1, start+2, ... following ``order_cols``.
 
-    Give a unique ordering (a natural key) for reproducible ids; ties are
-    numbered in the order the frozen copy holds them.
+    ``freeze=False`` skips the checkpoints; then the range bounds may differ
+    between the two uses of the numbered rows, so use it only with one range
+    (``num_partitions=1``) or in tests.
+    ``num_partitions`` forces the partitioned path with that many ranges.
     """
     spark = df.sparkSession
+    columns = list(df.columns)
     named = {c for c in order_cols if isinstance(c, str)}
-    total_order = [*order_cols, *[F.col(f"`{c}`") for c in df.columns if c not in named]]
+    total_order = [*order_cols, *[F.col(f"`{c}`") for c in columns if c not in named]]
+    if freeze:
+        checkpoint_dir(spark)
+        df = df.checkpoint(eager=True)
     small = int(spark.conf.get("starload.keys.singleTaskRows", str(DEFAULT_SINGLE_TASK_ROWS)))
     if num_partitions is None and has_at_most(df, small):
         rank = F.row_number().over(Window.orderBy(*total_order))
         return df.select(
             (F.lit(start) + rank).cast("bigint").alias(id_col),
-            *[F.col(f"`{c}`") for c in df.columns],
+            *[F.col(f"`{c}`") for c in columns],
         )
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(parts, *order_cols).sortWithinPartitions(*total_order)
-    numbered = ordered.withColumn("__mid", F.monotonically_increasing_id())
+    numbered = (
+        df.repartitionByRange(parts, *total_order)
+        .sortWithinPartitions(*total_order)
+        .withColumn("__mid", F.monotonically_increasing_id())
+    )
     if freeze:
-        checkpoint_dir(spark)
         numbered = numbered.checkpoint(eager=True)
-    numbered = numbered.withColumn(
-        "__pid", F.shiftright(F.col("__mid"), _POSITION_BITS)
-    )
+    numbered = numbered.withColumn("__pid", F.shiftright(F.col("__mid"), _POSITION_BITS))
     # one row per partition: a bounded table, safe to broadcast and to order
     # in a single task
     offsets = (
@@ -89,4 +99,4 @@ def assign_keys(
     keyed = numbered.join(F.broadcast(offsets), "__pid")
     position = F.col("__mid").bitwiseAND(F.lit(_POSITION_MASK))
     new_id = (F.lit(start) + F.col("__before") + position + 1).cast("bigint")
-    return keyed.select(new_id.alias(id_col), *[F.col(f"`{c}`") for c in df.columns])
+    return keyed.select(new_id.alias(id_col), *[F.col(f"`{c}`") for c in columns])

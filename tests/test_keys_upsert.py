@@ -96,3 +96,18 @@ def test_append_mode_is_not_idempotent(spark):
     twice = replace_range(once, new, T2)
     assert twice.where("amount = 99").count() == 2
     assert twice.where("is_actual").count() == 6
+
+
+def test_assign_keys_large_path_with_hot_key(spark):
+    # a third of the rows share one key value; ties are split by the other columns
+    df = spark.range(0, 30_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"),
+        (F.col("id") * 13 % 30_000).alias("v"),
+    )
+    keyed = assign_keys(df.repartition(5), ["k"], start=10, num_partitions=6)
+    rows = keyed.collect()
+    assert sorted(r["id"] for r in rows) == list(range(11, 30_011))
+    ordered = sorted(rows, key=lambda r: r["id"])
+    assert [(r["k"], r["v"]) for r in ordered] == sorted((r["k"], r["v"]) for r in rows)
+    sizes = keyed.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) >= 1
