@@ -31,13 +31,17 @@ from starload.functions.text import clean_all_text
 from starload.operators.aggregates import sum_by
 from starload.operators.filters import contains_all, contains_any, is_true
 from starload.operators.joins import left_lookup
+from starload.operators.keys import max_id
 from starload.operators.upsert import (
     expire_unseen,
+    flag_range,
     initial_load,
+    insert_new,
     replace_range,
     upsert,
 )
-from starload.sinks.tables import SnapshotTable
+from starload.session import checkpoint_dir
+from starload.sinks.tables import PeriodPartitionedTable, SnapshotTable
 from starload.sources.files import read_delimited, read_first_column
 
 # Phrases that select sales rows in the accounting export.
@@ -252,6 +256,22 @@ def stage_update(
     the rows this load did not see.  Facts: optional day-range replacement,
     then the resolved new facts are appended.
     """
+    counterparties, contracts, nomenclature = update_dimensions(stage, src, load_ts, persist)
+    facts = resolve_facts(src.sales, counterparties, contracts, nomenclature)
+    sales = persist("sales", replace_range(
+        stage.sales, facts, load_ts, mode=mode, start=start, end=end, order_cols=FACT_ORDER,
+    ))
+    return Stage(counterparties, contracts, nomenclature, sales)
+
+
+def update_dimensions(
+    stage: Stage,
+    src: Exports,
+    load_ts,
+    persist: Callable[[str, DataFrame], DataFrame] = _keep,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The dimension half of ``stage_update``: (counterparties, contracts,
+    nomenclature) after upsert and expiry."""
     nomenclature = persist("nomenclature", expire_unseen(
         upsert(stage.nomenclature, src.nomenclature.select("nomenclature"),
                ["nomenclature"], load_ts),
@@ -272,11 +292,7 @@ def stage_update(
         ),
         load_ts,
     ))
-    facts = resolve_facts(src.sales, counterparties, contracts, nomenclature)
-    sales = persist("sales", replace_range(
-        stage.sales, facts, load_ts, mode=mode, start=start, end=end, order_cols=FACT_ORDER,
-    ))
-    return Stage(counterparties, contracts, nomenclature, sales)
+    return counterparties, contracts, nomenclature
 
 
 # ------------------------------------------------------------------------ mart
@@ -322,7 +338,7 @@ SRC_SALES_SCHEMA = StructType(
 )
 
 
-STAGE_TABLES = ("nomenclature", "contracts", "counterparties", "sales")
+DIMENSION_TABLES = ("nomenclature", "contracts", "counterparties")
 
 
 class WarehouseJob:
@@ -330,16 +346,21 @@ class WarehouseJob:
 
     ``root/src/load-<n>/<table>``: landing tables, a fresh folder per load
     (the truncate + load of the landing layer, without overwriting files a
-    running plan may still read).  ``root/stage/<table>``: ``SnapshotTable`` versions.  Every stage
-    table is written as soon as it is computed and read back from the files,
-    so the fact resolution and the report scan written tables instead of
-    recomputing upserts, and a lost executor only repeats the current step.
+    running plan may still read).  ``root/stage/<dimension>``:
+    ``SnapshotTable`` versions (dimensions are small next to the facts).
+    ``root/stage/sales``: the fact table, partitioned by month (or day); a
+    load appends new rows and rewrites only the partitions that overlap a
+    replaced day range.
+    Every stage table is written as soon as it is computed and read back from
+    the files, so fact resolution and the report scan written tables instead
+    of recomputing upserts, and a lost executor only repeats the current step.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, fact_period: str = "month"):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.tables = {t: SnapshotTable(spark, f"{self.root}/stage/{t}") for t in STAGE_TABLES}
+        self.tables = {t: SnapshotTable(spark, f"{self.root}/stage/{t}") for t in DIMENSION_TABLES}
+        self.facts = PeriodPartitionedTable(spark, f"{self.root}/stage/sales", period=fact_period)
         self._loads = 0
 
     def land(self, src: Exports) -> Exports:
@@ -347,6 +368,9 @@ class WarehouseJob:
         return land_exports(src, f"{self.root}/src/load-{self._loads:04d}")
 
     def _persist(self, name: str, df: DataFrame) -> DataFrame:
+        if name == "sales":
+            self.facts.create(df)
+            return self.facts.read()
         table = self.tables[name]
         table.replace(df)
         return table.read()
@@ -354,15 +378,31 @@ class WarehouseJob:
     def stage(self) -> Stage:
         t = self.tables
         return Stage(t["counterparties"].read(), t["contracts"].read(),
-                     t["nomenclature"].read(), t["sales"].read())
+                     t["nomenclature"].read(), self.facts.read())
 
     def initial_load(self, src: Exports, load_ts) -> Stage:
         return stage_initial_load(self.land(src), load_ts, persist=self._persist)
 
     def update(self, src: Exports, load_ts, mode: str = "append",
                start="1900-01-01", end="1900-01-01") -> Stage:
-        return stage_update(self.stage(), self.land(src), load_ts, mode=mode, start=start,
-                            end=end, persist=self._persist)
+        """P2 with the same semantics as ``stage_update``; the facts are
+        changed in place, day partition by day partition."""
+        landed = self.land(src)
+        current = self.stage()
+        cp, ct, nm = update_dimensions(current, landed, load_ts, persist=self._persist)
+        facts = resolve_facts(landed.sales, cp, ct, nm)
+        new = insert_new(facts, FACT_ORDER, load_ts, max_id(current.sales))
+        if mode == "replace":
+            touched = self.facts.in_periods(F.col("dt"), start, end)
+            # old rows of the overlapping partitions, flagged inside the day
+            # range, frozen before their files are replaced
+            checkpoint_dir(self.spark)
+            flagged = flag_range(self.facts.read_periods(start, end), start, end).checkpoint()
+            self.facts.replace_periods(flagged.unionByName(new.where(touched)))
+            self.facts.append(new.where(~touched))
+        else:
+            self.facts.append(new)
+        return self.stage()
 
     def report(self) -> DataFrame:
         return sales_report(self.stage())

@@ -86,6 +86,68 @@ class SnapshotTable:
         return version
 
 
+class PeriodPartitionedTable:
+    """A fact table under ``path`` partitioned by the day or month of ``dt_col``.
+
+    Appends add files; ``replace_periods`` rewrites only the partitions that
+    occur in its input (dynamic partition overwrite); reads of a date range
+    prune partitions.  The partition column is hidden from readers.  Months
+    keep the file count low when a day holds little data; days suit tables
+    where one day is many files' worth.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, dt_col: str = "dt", period: str = "month"):
+        if period not in ("day", "month"):
+            raise ValueError("period must be 'day' or 'month'")
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.dt_col = dt_col
+        self.period = period
+        self.part_col = f"{period}_start"
+        self._columns: list[str] | None = None
+
+    def period_of(self, c) -> "F.Column":
+        d = F.to_date(c)
+        return d if self.period == "day" else F.trunc(d, "month")
+
+    def _with_period(self, df: DataFrame) -> DataFrame:
+        return df.withColumn(self.part_col, self.period_of(F.col(self.dt_col)))
+
+    def _visible(self, scan: DataFrame) -> DataFrame:
+        return scan.select(*(self._columns or [c for c in scan.columns if c != self.part_col]))
+
+    def create(self, df: DataFrame) -> None:
+        self._columns = list(df.columns)
+        self._with_period(df).write.mode("overwrite").partitionBy(self.part_col).parquet(self.path)
+
+    def read(self) -> DataFrame:
+        return self._visible(self.spark.read.parquet(self.path))
+
+    def in_periods(self, c, start, end) -> "F.Column":
+        """True when the period of ``c`` overlaps [start, end]."""
+        p = self.period_of(c)
+        return (p >= self.period_of(F.lit(str(start)[:10]))) & (
+            p <= self.period_of(F.lit(str(end)[:10])))
+
+    def read_periods(self, start, end) -> DataFrame:
+        """Rows of every partition overlapping [start, end] (pruned scan)."""
+        scan = self.spark.read.parquet(self.path)
+        lo = self.period_of(F.lit(str(start)[:10]))
+        hi = self.period_of(F.lit(str(end)[:10]))
+        part = F.col(self.part_col)
+        return self._visible(scan.where((part >= lo) & (part <= hi)))
+
+    def append(self, df: DataFrame) -> None:
+        self._with_period(df).write.mode("append").partitionBy(self.part_col).parquet(self.path)
+
+    def replace_periods(self, df: DataFrame) -> None:
+        """Replace every partition present in ``df`` by ``df``'s rows.
+
+        ``df`` must not read this table's files (checkpoint it first).
+        """
+        overwrite_days(self._with_period(df), self.path, self.part_col)
+
+
 def create_table_as(spark: SparkSession, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
     """``DROP TABLE IF EXISTS`` then create the table from ``df`` (K6)."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
