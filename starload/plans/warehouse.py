@@ -41,7 +41,7 @@ from starload.operators.upsert import (
     upsert,
 )
 from starload.session import checkpoint_dir
-from starload.sinks.tables import PeriodPartitionedTable, SnapshotTable
+from starload.sinks.tables import PeriodPartitionedTable, Sequence, SnapshotTable
 from starload.sources.files import read_delimited, read_first_column
 
 # Phrases that select sales rows in the accounting export.
@@ -361,6 +361,7 @@ class WarehouseJob:
         self.root = root.rstrip("/")
         self.tables = {t: SnapshotTable(spark, f"{self.root}/stage/{t}") for t in DIMENSION_TABLES}
         self.facts = PeriodPartitionedTable(spark, f"{self.root}/stage/sales", period=fact_period)
+        self.fact_ids = Sequence(spark, f"{self.root}/stage/sequences/sales")
         self._loads = 0
 
     def land(self, src: Exports) -> Exports:
@@ -370,6 +371,7 @@ class WarehouseJob:
     def _persist(self, name: str, df: DataFrame) -> DataFrame:
         if name == "sales":
             self.facts.create(df)
+            self.fact_ids.advance_to(max_id(df))
             return self.facts.read()
         table = self.tables[name]
         table.replace(df)
@@ -391,7 +393,9 @@ class WarehouseJob:
         current = self.stage()
         cp, ct, nm = update_dimensions(current, landed, load_ts, persist=self._persist)
         facts = resolve_facts(landed.sales, cp, ct, nm)
-        new = insert_new(facts, FACT_ORDER, load_ts, max_id(current.sales))
+        last = self.fact_ids.last()
+        new = insert_new(facts, FACT_ORDER, load_ts, last)
+        added = new.count()
         if mode == "replace":
             touched = self.facts.in_periods(F.col("dt"), start, end)
             # old rows of the overlapping partitions, flagged inside the day
@@ -402,6 +406,7 @@ class WarehouseJob:
             self.facts.append(new.where(~touched))
         else:
             self.facts.append(new)
+        self.fact_ids.advance_to(last + added)
         return self.stage()
 
     def report(self) -> DataFrame:

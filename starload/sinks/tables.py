@@ -86,6 +86,29 @@ class SnapshotTable:
         return version
 
 
+class Sequence:
+    """A serial counter kept next to a table (``root/_sequence``, one JSON row).
+
+    Reading the last issued id from here costs one tiny file instead of a
+    scan of the id column of a large fact table.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.path = f"{root.rstrip('/')}/_sequence"
+
+    def last(self) -> int:
+        try:
+            row = self.spark.read.schema("last BIGINT").json(self.path).first()
+        except AnalysisException:
+            return 0
+        return int(row["last"]) if row and row["last"] is not None else 0
+
+    def advance_to(self, value: int) -> None:
+        row = self.spark.range(1).select(F.lit(int(value)).cast("bigint").alias("last"))
+        row.coalesce(1).write.mode("overwrite").json(self.path)
+
+
 class PeriodPartitionedTable:
     """A fact table under ``path`` partitioned by the day or month of ``dt_col``.
 
