@@ -41,7 +41,7 @@ from starload.operators.upsert import (
     upsert,
 )
 from starload.session import checkpoint_dir
-from starload.sinks.tables import PeriodPartitionedTable, Sequence, SnapshotTable
+from starload.sinks.tables import IdSequence, PeriodPartitionedTable, SnapshotTable
 from starload.sources.files import read_delimited, read_first_column
 
 # Phrases that select sales rows in the accounting export.
@@ -361,7 +361,7 @@ class WarehouseJob:
         self.root = root.rstrip("/")
         self.tables = {t: SnapshotTable(spark, f"{self.root}/stage/{t}") for t in DIMENSION_TABLES}
         self.facts = PeriodPartitionedTable(spark, f"{self.root}/stage/sales", period=fact_period)
-        self.fact_ids = Sequence(spark, f"{self.root}/stage/sequences/sales")
+        self.fact_ids = IdSequence(spark, f"{self.root}/stage/sequences/sales")
         self._loads = 0
 
     def land(self, src: Exports) -> Exports:
@@ -388,7 +388,7 @@ class WarehouseJob:
     def update(self, src: Exports, load_ts, mode: str = "append",
                start="1900-01-01", end="1900-01-01") -> Stage:
         """P2 with the same semantics as ``stage_update``; the facts are
-        changed in place, day partition by day partition."""
+        changed in place, partition by partition."""
         landed = self.land(src)
         current = self.stage()
         cp, ct, nm = update_dimensions(current, landed, load_ts, persist=self._persist)
@@ -396,17 +396,20 @@ class WarehouseJob:
         last = self.fact_ids.last()
         new = insert_new(facts, FACT_ORDER, load_ts, last)
         added = new.count()
+        # reserve the ids first: a failed write leaves a gap, never a reuse
+        self.fact_ids.advance_to(last + added)
+        # One write replaces every partition that changes: those overlapping
+        # the replaced range and those receiving new rows.  Their old rows
+        # (flagged inside the range) are frozen first, because their files
+        # are about to be replaced; the write commits as one job, so a load
+        # that fails before the commit leaves the facts as they were.
+        receiving = self.facts.periods_in(new)
+        checkpoint_dir(self.spark)
         if mode == "replace":
-            touched = self.facts.in_periods(F.col("dt"), start, end)
-            # old rows of the overlapping partitions, flagged inside the day
-            # range, frozen before their files are replaced
-            checkpoint_dir(self.spark)
-            flagged = flag_range(self.facts.read_periods(start, end), start, end).checkpoint()
-            self.facts.replace_periods(flagged.unionByName(new.where(touched)))
-            self.facts.append(new.where(~touched))
+            old = flag_range(self.facts.read_periods(start, end, also=receiving), start, end)
         else:
-            self.facts.append(new)
-        self.fact_ids.advance_to(last + added)
+            old = self.facts.read_periods(also=receiving)
+        self.facts.replace_periods(old.checkpoint().unionByName(new))
         return self.stage()
 
     def report(self) -> DataFrame:

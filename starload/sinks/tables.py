@@ -76,7 +76,9 @@ class SnapshotTable:
     def replace(self, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
         """Write ``df`` as the next version and point readers at it (K2)."""
         version = (self.current_version() or 0) + 1
-        writer = df.write.mode("errorifexists")
+        # nobody reads a version before the pointer names it, so the leftovers
+        # of a failed attempt at this version can simply be overwritten
+        writer = df.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self._version_path(version))
@@ -86,7 +88,7 @@ class SnapshotTable:
         return version
 
 
-class Sequence:
+class IdSequence:
     """A serial counter kept next to a table (``root/_sequence``, one JSON row).
 
     Reading the last issued id from here costs one tiny file instead of a
@@ -152,13 +154,24 @@ class PeriodPartitionedTable:
         return (p >= self.period_of(F.lit(str(start)[:10]))) & (
             p <= self.period_of(F.lit(str(end)[:10])))
 
-    def read_periods(self, start, end) -> DataFrame:
-        """Rows of every partition overlapping [start, end] (pruned scan)."""
+    def read_periods(self, start=None, end=None, also: Sequence = ()) -> DataFrame:
+        """Rows of every partition overlapping [start, end] or listed in
+        ``also`` (partition start dates); a pruned scan."""
         scan = self.spark.read.parquet(self.path)
-        lo = self.period_of(F.lit(str(start)[:10]))
-        hi = self.period_of(F.lit(str(end)[:10]))
         part = F.col(self.part_col)
-        return self._visible(scan.where((part >= lo) & (part <= hi)))
+        cond = F.lit(False)
+        if start is not None:
+            lo = self.period_of(F.lit(str(start)[:10]))
+            hi = self.period_of(F.lit(str(end)[:10]))
+            cond = (part >= lo) & (part <= hi)
+        if also:
+            cond = cond | part.isin(list(also))
+        return self._visible(scan.where(cond))
+
+    def periods_in(self, df: DataFrame) -> list:
+        """The partitions ``df``'s rows fall into: one value per calendar
+        period, so the list is bounded by the calendar, not by the rows."""
+        return [r[0] for r in df.select(self.period_of(F.col(self.dt_col))).distinct().collect()]
 
     def append(self, df: DataFrame) -> None:
         self._with_period(df).write.mode("append").partitionBy(self.part_col).parquet(self.path)
