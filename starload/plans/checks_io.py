@@ -244,3 +244,65 @@ SELECT ['m1', 'm2', 'm3'][{_lcg_sql(_KEY, 0, 3)} + 1] AS manager,
        CAST(count(*) AS BIGINT) AS rows
 FROM lineitem GROUP BY 1, 2
 """
+
+
+def _table_name(prefix: str) -> str:
+    import uuid
+
+    return f"{prefix}_{uuid.uuid4().hex[:10]}"
+
+
+def typed_table_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A typed table with length limits and defaults; inserts omit the
+    defaulted columns, which are filled in."""
+    from starload.sinks.tables import create_tables
+
+    name = _table_name("stage_orders")
+    create_tables(
+        spark,
+        {name: "id BIGINT, status VARCHAR(1), priority VARCHAR(15), total DECIMAL(12,2), "
+               "currency STRING DEFAULT 'RUB', is_actual BOOLEAN DEFAULT true"},
+        locations={name: scratch_path(spark, "typed")},
+    )
+    read_table(spark, sf_dir, "orders").createOrReplaceTempView("orders_src")
+    spark.sql(
+        f"INSERT INTO {name} (id, status, priority, total) "
+        "SELECT o_orderkey, o_orderstatus, o_orderpriority, CAST(o_totalprice AS DECIMAL(12,2)) "
+        "FROM orders_src"
+    )
+    return spark.table(name)
+
+
+TYPED_TABLE_SQL = """
+SELECT o_orderkey AS id, o_orderstatus AS status, o_orderpriority AS priority,
+       CAST(o_totalprice AS DECIMAL(12,2)) AS total, 'RUB' AS currency, true AS is_actual
+FROM orders
+"""
+
+
+def truncate_reload_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load, truncate, load again: the table holds one copy (K7)."""
+    from starload.sinks.tables import create_table_as, truncate_tables
+
+    name = _table_name("src_orders")
+    orders = read_table(spark, sf_dir, "orders")
+    create_table_as(spark, name, orders, path=scratch_path(spark, "truncate"))
+    truncate_tables(spark, [name])
+    orders.write.insertInto(name)
+    return spark.table(name)
+
+
+TRUNCATE_RELOAD_SQL = "SELECT * FROM orders"
+
+
+def create_table_as_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drop-if-exists + create-as-select twice (K6): a table built from
+    ``nation`` is replaced by the calendar spanning the ship dates (another
+    schema)."""
+    from starload.plans.calendar import date_dimension_for
+    from starload.sinks.tables import create_table_as
+
+    name = _table_name("date_dim")
+    calendar = date_dimension_for(read_table(spark, sf_dir, "lineitem"), "l_shipdate")
+    create_table_as(spark, name, read_table(spark, sf_dir, "nation"), path=scratch_path(spark, "ctas"))
+    return create_table_as(spark, name, calendar, path=scratch_path(spark, "ctas"))

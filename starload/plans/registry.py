@@ -114,3 +114,13 @@ for _name, _fn, _sql in [
 ]:
     QUERIES[_name] = _fn
     ORACLES[_name] = _sql
+
+from starload.plans import checks_scalar as _cs  # noqa: E402
+
+for _name, _fn, _sql in [
+    ("typed_table", ci.typed_table_check, ci.TYPED_TABLE_SQL),
+    ("truncate_reload", ci.truncate_reload_check, ci.TRUNCATE_RELOAD_SQL),
+    ("create_table_as", ci.create_table_as_check, _cs.DATE_DIMENSION_SQL),
+]:
+    QUERIES[_name] = _fn
+    ORACLES[_name] = _sql

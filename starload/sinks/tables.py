@@ -184,27 +184,51 @@ class PeriodPartitionedTable:
         overwrite_days(self._with_period(df), self.path, self.part_col)
 
 
-def create_table_as(spark: SparkSession, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
-    """``DROP TABLE IF EXISTS`` then create the table from ``df`` (K6)."""
+def create_table_as(
+    spark: SparkSession,
+    name: str,
+    df: DataFrame,
+    partition_by: Sequence[str] = (),
+    path: str | None = None,
+) -> DataFrame:
+    """``DROP TABLE IF EXISTS`` then create the table from ``df`` (K6).
+
+    With ``path`` the table is external (its files live there); otherwise it
+    is a managed table in ``spark.sql.warehouse.dir``.
+    """
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     writer = df.write.format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if path:
+        writer = writer.option("path", path)
     writer.saveAsTable(name)
+    return spark.table(name)
 
 
 def truncate_tables(spark: SparkSession, names: Sequence[str]) -> None:
-    """Empty landing tables between loads (K7)."""
+    """Empty landing tables between loads (K7).
+
+    ``TRUNCATE TABLE`` where Spark allows it (managed tables); an external
+    table is overwritten with no rows instead, which empties it the same way.
+    """
     for name in names:
-        spark.sql(f"TRUNCATE TABLE {name}")
+        try:
+            spark.sql(f"TRUNCATE TABLE {name}")
+        except AnalysisException:
+            empty = spark.createDataFrame([], spark.table(name).schema)
+            empty.write.insertInto(name, overwrite=True)
 
 
-def create_tables(spark: SparkSession, ddl: dict[str, str]) -> None:
+def create_tables(spark: SparkSession, ddl: dict[str, str], locations: dict[str, str] | None = None) -> None:
     """``CREATE TABLE IF NOT EXISTS name (columns) USING parquet`` per entry (K8).
 
     Column text may use ``VARCHAR(n)`` (length enforced on write), ``DECIMAL``
     and ``DEFAULT`` clauses (filled in when an insert omits the column).
-    Primary, unique and foreign keys are checked by ``operators.quality``.
+    ``locations`` makes the named tables external.  Primary, unique and
+    foreign keys are checked by ``operators.quality``.
     """
+    locations = locations or {}
     for name, columns in ddl.items():
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet")
+        where = f" LOCATION '{locations[name]}'" if name in locations else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{where}")
