@@ -18,6 +18,7 @@ versioned snapshots (a new version per load, the old one stays readable).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -344,7 +345,7 @@ DIMENSION_TABLES = ("nomenclature", "contracts", "counterparties")
 class WarehouseJob:
     """Runs the loads against tables under ``root`` (a shared folder).
 
-    ``root/src/load-<n>/<table>``: landing tables, a fresh folder per load
+    ``root/src/load-<n>-<tag>/<table>``: landing tables, a fresh folder per load
     (the truncate + load of the landing layer, without overwriting files a
     running plan may still read).  ``root/stage/<dimension>``:
     ``SnapshotTable`` versions (dimensions are small next to the facts).
@@ -366,7 +367,8 @@ class WarehouseJob:
 
     def land(self, src: Exports) -> Exports:
         self._loads += 1
-        return land_exports(src, f"{self.root}/src/load-{self._loads:04d}")
+        stamp = uuid.uuid4().hex[:8]
+        return land_exports(src, f"{self.root}/src/load-{self._loads:04d}-{stamp}")
 
     def _persist(self, name: str, df: DataFrame) -> DataFrame:
         if name == "sales":
