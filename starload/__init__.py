@@ -1,0 +1 @@
+"""starload: a PySpark toolkit for a layered sales warehouse (see README)."""

@@ -87,11 +87,3 @@ def table_path(sf_dir: str, name: str) -> str:
 def read_table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(table_path(sf_dir, name))
 
-
-def materialize(df, label: str = "frozen"):
-    """Write ``df`` as Parquet under the shared checkpoint folder and return
-    it read back: the lineage is cut, the rows are fixed, and later scans are
-    columnar (only the columns a step needs are read)."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
