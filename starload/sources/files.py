@@ -14,6 +14,7 @@ from pyspark.sql.types import StringType, StructType
 
 
 BOM = "\ufeff"
+MAX_BROADCAST_FILES = 100_000
 
 
 def _csv_reader(spark: SparkSession, schema: StructType, sep: str, header: bool, mode: str):
@@ -77,21 +78,29 @@ def read_first_column(
     ``monotonically_increasing_id`` minus the smallest one of the file is the
     line number.  Only the first block can hold the lead lines.
     """
-    lines = spark.read.text(path).select(
+    text = spark.read.text(path)
+    lines = text.select(
         F.col("value"),
         F.col("_metadata.file_path").alias("__file"),
         F.col("_metadata.file_block_start").alias("__block"),
         F.monotonically_increasing_id().alias("__mid"),
     )
-    first = (
-        lines.where(F.col("__block") == 0)
-        .groupBy("__file")
-        .agg(F.min("__mid").alias("__first"))
+    head = lines.where(F.col("__block") == 0)
+    first = head.groupBy("__file").agg(F.min("__mid").alias("__first"))
+    # The per-file table has one row per input file, and the driver already
+    # holds the file list, so its size is known: broadcast it while the list
+    # is moderate (the lines then keep their order).  Only first blocks meet
+    # it, so one large file cannot put all of its lines into one join task.
+    if len(text.inputFiles()) <= MAX_BROADCAST_FILES:
+        first = F.broadcast(first)
+    kept_head = (
+        head.join(first, "__file")
+        .where(F.col("__mid") - F.col("__first") > skip_rows)
+        .select("value")
     )
-    numbered = lines.join(first, "__file", "left")
-    lead = (F.col("__block") == 0) & (F.col("__mid") - F.col("__first") <= skip_rows)
+    rest = lines.where(F.col("__block") != 0).select("value")
     value = F.regexp_replace(F.col("value"), "^" + BOM, "")
-    return numbered.where(~lead).select(
+    return kept_head.unionByName(rest).select(
         F.split(value, _split_pattern(sep), 2).getItem(0).alias(name)
     )
 
