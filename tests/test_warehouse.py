@@ -151,3 +151,24 @@ def test_warehouse_job_matches_pure_functions(spark, tmp_dir):
     for name in ("counterparties", "contracts", "nomenclature", "sales"):
         assert _rows(getattr(got, name)) == _rows(getattr(pure2, name)), name
     assert _rows(job.report()) == _rows(sales_report(pure2))
+
+
+def test_resolve_facts_nulls_unknowns_and_fan_out(spark):
+    from starload.plans.warehouse import resolve_facts
+
+    sales = spark.createDataFrame(
+        [(dt.datetime(2016, 1, 1), "A", "B", "K", "n1", 1, 10),
+         (dt.datetime(2016, 1, 2), "A", None, "K", "n1", 2, 20),
+         (dt.datetime(2016, 1, 3), "A", "B", "K", "n2", 3, 30),
+         (dt.datetime(2016, 1, 4), "Z", "B", "K", "n1", 4, 40)],
+        "dt timestamp_ntz, company string, counterparty string, contract string, "
+        "nomenclature string, quantity int, amount int")
+    cp = spark.createDataFrame([(1, "A"), (2, "B")], "id long, company string")
+    ct = spark.createDataFrame([(5, "K", "B", "A")], "id long, contract string, counterparty string, company string")
+    # "n2" appears twice in the dimension: its fact fans out, as a SQL join does
+    nm = spark.createDataFrame([(7, "n1"), (8, "n2"), (9, "n2")], "id long, nomenclature string")
+    got = sorted(
+        (r["quantity"], r["company"], r["counterparty"], r["contract"], r["nomenclature"])
+        for r in resolve_facts(sales, cp, ct, nm).collect())
+    assert got == [(1, 1, 2, 5, 7), (2, 1, None, None, 7), (3, 1, 2, 5, 8), (3, 1, 2, 5, 9),
+                   (4, None, 2, None, 7)]
