@@ -106,23 +106,27 @@ EXPORT_SPLIT_SQL = "SELECT CAST(0 AS BIGINT) AS files_over_limit, count(*) AS to
 
 
 def read_first_column_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One text file per region: two lead lines, a header, then its nations."""
-    region = read_table(spark, sf_dir, "region")
+    """One text file per nation: two lead lines, a header, then the names and
+    balances of the nation's customers; the first column is read back."""
     nation = read_table(spark, sf_dir, "nation")
-    lead = region.select(
-        F.col("r_regionkey").alias("file"),
+    customer = read_table(spark, sf_dir, "customer")
+    lead = nation.select(
+        F.col("n_nationkey").alias("file"),
         F.inline(
             F.array(
-                F.struct(F.lit(0).alias("line_no"), F.concat(F.lit("Export of "), F.col("r_name")).alias("text")),
-                F.struct(F.lit(1).alias("line_no"), F.lit("generated\tby the accounting system").alias("text")),
-                F.struct(F.lit(2).alias("line_no"), F.lit("Name\tRegion").alias("text")),
+                F.struct(F.lit(0).cast("long").alias("line_no"),
+                         F.concat(F.lit("Customers of "), F.col("n_name")).alias("text")),
+                F.struct(F.lit(1).cast("long").alias("line_no"),
+                         F.lit("generated\tby the accounting system").alias("text")),
+                F.struct(F.lit(2).cast("long").alias("line_no"),
+                         F.lit("Name\tBalance").alias("text")),
             )
         ),
     )
-    body = nation.select(
-        F.col("n_regionkey").alias("file"),
-        (F.col("n_nationkey") + 3).alias("line_no"),
-        F.concat_ws("\t", F.col("n_name"), F.col("n_regionkey").cast("string")).alias("text"),
+    body = customer.select(
+        F.col("c_nationkey").alias("file"),
+        (F.col("c_custkey") + 3).alias("line_no"),
+        F.concat_ws("\t", F.col("c_name"), F.col("c_acctbal").cast("string")).alias("text"),
     )
     path = scratch_path(spark, "first-column")
     lines = lead.unionByName(body)
@@ -134,7 +138,7 @@ def read_first_column_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_first_column(spark, path, "name", skip_rows=2)
 
 
-READ_FIRST_COLUMN_SQL = "SELECT n_name AS name FROM nation"
+READ_FIRST_COLUMN_SQL = "SELECT c_name AS name FROM customer"
 
 
 def foreign_table_check(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -229,12 +229,13 @@ FROM lineitem
 
 
 def expand_template_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = read_table(spark, sf_dir, "nation")
-    return expand_template(nation, "n_name", "_", 10)
+    """Ten copies of ``supplier``; in copy k the first ``#`` becomes ``#k``."""
+    supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    return expand_template(supplier, "s_name", "#", 10)
 
 
 EXPAND_TEMPLATE_SQL = """
-SELECT n_nationkey, regexp_replace(n_name, '_', '_' || CAST(step AS VARCHAR)) AS n_name,
-       n_regionkey, CAST(step AS INTEGER) AS step
-FROM nation, range(1, 11) r(step)
+SELECT s_suppkey, regexp_replace(s_name, '#', '#' || CAST(step AS VARCHAR)) AS s_name,
+       CAST(step AS INTEGER) AS step
+FROM supplier, range(1, 11) r(step)
 """
