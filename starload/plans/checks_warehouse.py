@@ -24,7 +24,6 @@ from starload.plans.warehouse import (
     land_exports,
     resolve_facts,
     sales_report,
-    stage_initial_load,
 )
 from starload.session import read_table, scratch_path
 
@@ -430,7 +429,6 @@ def many_file_ingest_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from starload.operators.filters import filter_equals
     from starload.operators.keys import assign_keys
-    from starload.sinks.files import export_csv
     from starload.sources.files import read_glob
     from starload.sources.generate import expand_template
 

@@ -1,5 +1,3 @@
-import os
-
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
