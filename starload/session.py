@@ -57,7 +57,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     on a cluster a missing setting is an error, because a machine-local
     folder would not survive the loss of an executor.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session: the server owns the setting
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
