@@ -156,13 +156,20 @@ def replace_range(
     dt_col: str = "dt",
     order_cols: Sequence[str] | None = None,
     id_col: str = "id",
+    delete: bool = False,
 ) -> DataFrame:
     """Append new facts; with ``mode='replace'`` first flag the day range (M4).
 
     ``append`` is a plain append: running the same load twice doubles the
-    facts, exactly as the procedure it mirrors.
+    facts, exactly as the procedure it mirrors.  ``delete=True`` is the hard
+    variant of ``replace``: rows in the range are removed instead of flagged.
     """
-    current = flag_range(fact, start, end, dt_col) if mode == "replace" else fact
+    if mode != "replace":
+        current = fact
+    elif delete:
+        current = fact.where(~between_days(dt_col, start, end))
+    else:
+        current = flag_range(fact, start, end, dt_col)
     order = list(order_cols) if order_cols else [c for c in new_rows.columns]
     added = insert_new(new_rows, order, load_ts, max_id(fact, id_col), id_col)
     added = added.select(*fact.columns)

@@ -111,3 +111,12 @@ def test_assign_keys_large_path_with_hot_key(spark):
     assert [(r["k"], r["v"]) for r in ordered] == sorted((r["k"], r["v"]) for r in rows)
     sizes = keyed.groupBy(F.spark_partition_id()).count().collect()
     assert len(sizes) >= 1
+
+
+def test_replace_range_hard_delete_variant(spark):
+    fact = _fact(spark)
+    new = spark.createDataFrame([(dt.datetime(2016, 1, 12, 8, 0), 99)], "dt timestamp_ntz, amount int")
+    out = replace_range(fact, new, T2, mode="replace", start="2016-01-12", end="2016-01-13",
+                        delete=True)
+    assert sorted(r["id"] for r in out.collect()) == [1, 4, 5]
+    assert out.where("is_actual").count() == 3
