@@ -167,7 +167,8 @@ def replace_range(
     if mode != "replace":
         current = fact
     elif delete:
-        current = fact.where(~between_days(dt_col, start, end))
+        # a NULL date is outside every range: the row stays
+        current = fact.where(~F.coalesce(between_days(dt_col, start, end), F.lit(False)))
     else:
         current = flag_range(fact, start, end, dt_col)
     order = list(order_cols) if order_cols else [c for c in new_rows.columns]
