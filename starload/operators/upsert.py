@@ -84,8 +84,9 @@ def upsert(
 
     A source key that occurs twice would update one target row twice; as in
     SQL ``MERGE`` that is an error (checked unless disabled).  Matching is a
-    single full outer join on the keys, so both sides shuffle once on keys
-    that are unique on each side (no hot key is possible).
+    left join of the target with the source, and the new rows are the source
+    rows without a target key (an anti join against the target's key columns
+    only); the keys are unique on each side, so no key can be hot.
     """
     insert_cols = list(insert_cols) if insert_cols is not None else [
         c for c in target.columns if c not in (id_col, *AUDIT_COLUMNS)
@@ -100,11 +101,11 @@ def upsert(
     for k in keys:
         c = target[k] == s[f"__s_{k}"]
         cond = c if cond is None else (cond & c)
-    joined = target.join(s, cond, "full_outer")
+    joined = target.join(s, cond, "left")
     hit = F.coalesce(F.col("__hit"), F.lit(False))
     ts = _ts(load_ts)
 
-    kept = joined.where(F.col(id_col).isNotNull()).select(
+    kept = joined.select(
         *[
             F.when(hit, F.col(f"__s_{c}")).otherwise(F.col(c)).alias(c)
             if c in update_cols
@@ -116,7 +117,12 @@ def upsert(
             for c in target.columns
         ]
     )
-    fresh_rows = joined.where(F.col(id_col).isNull()).select(
+    target_keys = target.select(*[F.col(k).alias(f"__t_{k}") for k in keys])
+    anti = None
+    for k in keys:
+        c = s[f"__s_{k}"] == target_keys[f"__t_{k}"]
+        anti = c if anti is None else (anti & c)
+    fresh_rows = s.join(target_keys, anti, "left_anti").select(
         *[F.col(f"__s_{c}").alias(c) for c in insert_cols]
     )
     fresh = insert_new(fresh_rows, list(keys), load_ts, max_id(target, id_col), id_col)
