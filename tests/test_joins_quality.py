@@ -67,3 +67,38 @@ def test_profile_row_count_sum_top_union(spark):
     assert sums == {"x": 80, "y": 20}
     assert [r["id"] for r in top_n(df, 2, [F.col("v").desc()]).collect()] == [4, 3]
     assert union_all([df, df]).count() == 8
+
+
+def test_sales_star_schema_constraints(spark):
+    """The managers / regions / products / sales star: declared constraints
+    become checks (unique names of at most 255 characters, NOT NULL, foreign
+    keys, NUMERIC(10,2))."""
+    from decimal import Decimal
+
+    from starload.sinks.tables import create_tables
+
+    managers = spark.createDataFrame([(1, "m1", None), (2, "m2", "x"), (3, "m2", None)],
+                                     "id int, manager_name string, description string")
+    regions = spark.createDataFrame([(1, "r" * 256, None)], "id int, region_name string, description string")
+    sales = spark.createDataFrame(
+        [(1, 1, 1, Decimal("10.00"), 2, Decimal("20.00")),
+         (2, 9, 1, Decimal("123456789.00"), 1, None)],
+        "id int, manager_id int, region_id int, unit_price decimal(20,2), quantity int, "
+        "amount decimal(20,2)")
+    assert [r["manager_name"] for r in check_unique(managers, ["manager_name"]).collect()] == ["m2"]
+    assert check_length(regions, {"region_name": 255}).count() == 1
+    assert [r["id"] for r in orphans(sales, managers, {"manager_id": "id"}).collect()] == [2]
+    assert [r["id"] for r in check_decimal(sales, ["unit_price", "amount"]).collect()] == [2]
+    nulls = {r["column_name"]: r["null_count"] for r in check_not_null(sales, ["amount"]).collect()}
+    assert nulls == {"amount": 1}
+
+    # the same declarations as DDL: NUMERIC(10,2) rounds, VARCHAR(n) is enforced on write
+    create_tables(spark, {"star_products": "id INT, product_name VARCHAR(5), price DECIMAL(10,2)"})
+    spark.sql("INSERT INTO star_products VALUES (1, 'pr1', 1.005)")
+    assert spark.table("star_products").first()["price"] == Decimal("1.01")
+    try:
+        spark.sql("INSERT INTO star_products VALUES (2, 'too long', 1.0)")
+        raised = False
+    except Exception:
+        raised = True
+    assert raised
