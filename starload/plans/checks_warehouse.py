@@ -25,7 +25,7 @@ from starload.plans.warehouse import (
     resolve_facts,
     sales_report,
 )
-from starload.session import read_table, scratch_path
+from starload.session import checkpoint_dir, read_table, scratch_path
 
 LOAD_TS = "2024-01-01 00:00:00"
 
@@ -70,6 +70,9 @@ def src_exports(spark: SparkSession, sf_dir: str) -> Exports:
         F.col("l_quantity").cast("int").alias("quantity"),
         F.round(F.col("l_extendedprice")).cast("int").alias("amount"),
     )
+    # the export's sales and its contract list come from one join result
+    checkpoint_dir(spark)
+    sales = sales.checkpoint()
     contracts = (
         sales.where(F.col("contract").isin("1-URGENT", "2-HIGH"))
         .select("contract", "counterparty", "company")
