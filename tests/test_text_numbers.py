@@ -45,3 +45,38 @@ def test_parse_number_strict_raises(spark):
 def test_try_int_keeps_text(spark):
     df = spark.createDataFrame([("12",), ("c_1",)], "s string")
     assert [tuple(r) for r in df.select("s", try_int("s")).collect()] == [("12", 12), ("c_1", None)]
+
+
+def test_clean_text_random_strings_match_python(spark):
+    import random
+
+    rng = random.Random(7)
+    spaces = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+    alphabet = spaces + list("abcАБВ,.\"'#_-") + ["\u200b", "\u00ad"]
+    samples = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(samples)], "i int, s string")
+    got = {r["i"]: r["c"] for r in df.select("i", clean_text("s").alias("c")).collect()}
+    assert all(got[i] == _python_clean(s) for i, s in enumerate(samples))
+
+
+def test_parse_number_random_localised_values(spark):
+    import math
+    import random
+
+    rng = random.Random(11)
+    values = [rng.uniform(-1e7, 1e7) for _ in range(2000)] + [float(rng.randint(-10**6, 10**6)) for _ in range(500)]
+
+    def localise(x):
+        whole, _, frac = f"{abs(x):.2f}".partition(".")
+        groups = []
+        while whole:
+            groups.insert(0, whole[-3:])
+            whole = whole[:-3]
+        return ("-" if x < 0 else "") + "\u00a0".join(groups) + "," + frac
+
+    texts = [localise(v) for v in values]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r["i"]: r["n"] for r in df.select("i", parse_number("t").alias("n")).collect()}
+    expected = {i: int(math.trunc(float(t.replace("\u00a0", "").replace(",", "."))))
+                for i, t in enumerate(texts)}
+    assert got == expected
