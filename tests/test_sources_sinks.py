@@ -121,7 +121,7 @@ def test_read_first_column_skips_per_file(spark, tmp_dir):
     import os
 
     os.makedirs(f"{tmp_dir}/sheets")
-    _write(f"{tmp_dir}/sheets/a.txt", "﻿Lead a\r\nName\tCode\r\nx1\t1\r\nx2\t2\r\n")
+    _write(f"{tmp_dir}/sheets/a.txt", "\ufeffLead a\r\nName\tCode\r\nx1\t1\r\nx2\t2\r\n")
     _write(f"{tmp_dir}/sheets/b.txt", "Lead b\r\nName\tCode\r\ny1\t1\r\n")
     got = sorted(r[0] for r in read_first_column(spark, f"{tmp_dir}/sheets", "n").collect())
     assert got == ["x1", "x2", "y1"]
