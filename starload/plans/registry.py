@@ -1,20 +1,20 @@
-"""Registered queries over the driver tables and their DuckDB oracles."""
+"""Registered queries over the driver tables and their DuckDB oracles.
+
+One row per query: name, the Spark query (spark, sf_dir) -> DataFrame, and
+the DuckDB SQL computing the same result (None: rows-only check).
+"""
 
 from __future__ import annotations
 
+from starload.plans import checks_io as ci
+from starload.plans import checks_ops as co
+from starload.plans import checks_scalar as cs
+from starload.plans import checks_stream as cst
+from starload.plans import checks_warehouse as cw
 from starload.plans import tpch
 
-QUERIES = {
-    "sales_report": tpch.sales_report,
-}
-
-ORACLES = {
-    "sales_report": tpch.SALES_REPORT_SQL,
-}
-
-from starload.plans import checks_scalar as cs  # noqa: E402
-
-for _name, _fn, _sql in [
+_TABLE = [
+    ("sales_report", tpch.sales_report, tpch.SALES_REPORT_SQL),
     ("clean_text", cs.clean_text_check, cs.CLEAN_TEXT_SQL),
     ("clean_all_text", cs.clean_all_text_check, cs.CLEAN_ALL_TEXT_SQL),
     ("parse_number", cs.parse_number_check, cs.PARSE_NUMBER_SQL),
@@ -26,13 +26,6 @@ for _name, _fn, _sql in [
     ("date_dimension", cs.date_dimension_check, cs.DATE_DIMENSION_SQL),
     ("generate_sales", cs.generate_sales_check, cs.GENERATE_SALES_SQL),
     ("expand_template", cs.expand_template_check, cs.EXPAND_TEMPLATE_SQL),
-]:
-    QUERIES[_name] = _fn
-    ORACLES[_name] = _sql
-
-from starload.plans import checks_ops as co  # noqa: E402
-
-for _name, _fn, _sql in [
     ("left_lookup", co.left_lookup_check, co.LEFT_LOOKUP_SQL),
     ("composite_lookup", co.composite_lookup_check, co.COMPOSITE_LOOKUP_SQL),
     ("role_playing", co.role_playing_check, co.ROLE_PLAYING_SQL),
@@ -59,13 +52,6 @@ for _name, _fn, _sql in [
     ("sql_scalar_function", co.sql_scalar_function_check, co.SQL_SCALAR_FUNCTION_SQL),
     ("table_function_filter", co.table_function_filter_check, co.TABLE_FILTER_SQL),
     ("dynamic_filter", co.dynamic_filter_check, co.TABLE_FILTER_SQL),
-]:
-    QUERIES[_name] = _fn
-    ORACLES[_name] = _sql
-
-from starload.plans import checks_io as ci  # noqa: E402
-
-for _name, _fn, _sql in [
     ("read_delimited", ci.read_delimited_check, ci.READ_DELIMITED_SQL),
     ("read_glob", ci.read_glob_check, ci.READ_GLOB_SQL),
     ("export_split", ci.export_split_check, ci.EXPORT_SPLIT_SQL),
@@ -75,52 +61,25 @@ for _name, _fn, _sql in [
     ("replace_table", ci.replace_table_check, ci.REPLACE_TABLE_SQL),
     ("export_csv", ci.export_csv_check, ci.EXPORT_CSV_SQL),
     ("bulk_load", ci.bulk_load_check, ci.BULK_LOAD_SQL),
-]:
-    QUERIES[_name] = _fn
-    ORACLES[_name] = _sql
-
-from starload.plans import checks_warehouse as cw  # noqa: E402
-
-for _name, _fn, _sql in [
     ("resolve_facts", cw.resolve_facts_check, cw.RESOLVE_FACTS_SQL),
     ("initial_load", cw.initial_load_check, cw.INITIAL_LOAD_SQL),
     ("stage_report", cw.stage_report_check, cw.STAGE_REPORT_SQL),
     ("union_all", cw.union_all_check, cw.UNION_ALL_SQL),
     ("top_n_report", cw.top_n_report_check, cw.TOP_N_REPORT_SQL),
     ("report_view", cw.report_view_check, cw.REPORT_VIEW_SQL),
-]:
-    QUERIES[_name] = _fn
-    ORACLES[_name] = _sql
-
-from starload.plans import checks_stream as cst  # noqa: E402
-
-QUERIES["ingest_chunks"] = cst.ingest_chunks_check
-ORACLES["ingest_chunks"] = cst.INGEST_CHUNKS_SQL
-# rows-only: micro-batch timings have no SQL equivalent
-QUERIES["chunk_batches"] = cst.chunk_batches_check
-
-for _name, _fn, _sql in [
+    ("ingest_chunks", cst.ingest_chunks_check, cst.INGEST_CHUNKS_SQL),
+    # micro-batch timings have no SQL equivalent: rows-only
+    ("chunk_batches", cst.chunk_batches_check, None),
     ("stage_update_dims", cw.stage_update_dims_check, cw.STAGE_UPDATE_DIMS_SQL),
     ("stage_update_report", cw.stage_update_report_check, cw.STAGE_UPDATE_REPORT_SQL),
-]:
-    QUERIES[_name] = _fn
-    ORACLES[_name] = _sql
-
-for _name, _fn, _sql in [
     ("cleanse_exports", cw.cleanse_exports_check, cw.CLEANSE_EXPORTS_SQL),
     ("many_file_ingest", cw.many_file_ingest_check, cw.MANY_FILE_INGEST_SQL),
     ("project_columns", cw.project_columns_check, cw.PROJECT_COLUMNS_SQL),
     ("rename_positional", cw.rename_positional_check, cw.RENAME_POSITIONAL_SQL),
-]:
-    QUERIES[_name] = _fn
-    ORACLES[_name] = _sql
-
-from starload.plans import checks_scalar as _cs  # noqa: E402
-
-for _name, _fn, _sql in [
     ("typed_table", ci.typed_table_check, ci.TYPED_TABLE_SQL),
-    ("truncate_reload", ci.truncate_reload_check, ci.TRUNCATE_RELOAD_SQL),
-    ("create_table_as", ci.create_table_as_check, _cs.DATE_DIMENSION_SQL),
-]:
-    QUERIES[_name] = _fn
-    ORACLES[_name] = _sql
+    ("truncate_reload", ci.truncate_reload_check, ci.APPEND_TABLE_SQL),
+    ("create_table_as", ci.create_table_as_check, cs.DATE_DIMENSION_SQL),
+]
+
+QUERIES = {name: query for name, query, _ in _TABLE}
+ORACLES = {name: sql for name, _, sql in _TABLE if sql is not None}
