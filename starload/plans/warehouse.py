@@ -22,6 +22,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -385,13 +386,32 @@ class WarehouseJob:
         return Stage(t["counterparties"].read(), t["contracts"].read(),
                      t["nomenclature"].read(), self.facts.read())
 
+    def _record_load(self, load_ts) -> None:
+        """Expiry compares ``dt_update < load_ts``, so every load must use a
+        later timestamp than the one before; the last one is kept in a small
+        JSON table next to the stage tables."""
+        path = f"{self.root}/stage/loads"
+        ts = str(load_ts)
+        try:
+            last = self.spark.read.schema("load_ts STRING").json(path).agg(
+                F.max(F.col("load_ts").cast("timestamp_ntz")).alias("m")).first()["m"]
+        except AnalysisException:
+            last = None
+        new = self.spark.range(1).select(F.lit(ts).cast("timestamp_ntz").alias("t")).first()["t"]
+        if last is not None and new <= last:
+            raise ValueError(f"load_ts {ts} is not later than the previous load ({last})")
+        entry = self.spark.range(1).select(F.lit(ts).alias("load_ts"))
+        entry.coalesce(1).write.mode("append").json(path)
+
     def initial_load(self, src: Exports, load_ts) -> Stage:
+        self._record_load(load_ts)
         return stage_initial_load(self.land(src), load_ts, persist=self._persist)
 
     def update(self, src: Exports, load_ts, mode: str = "append",
                start="1900-01-01", end="1900-01-01") -> Stage:
         """P2 with the same semantics as ``stage_update``; the facts are
         changed in place, partition by partition."""
+        self._record_load(load_ts)
         landed = self.land(src)
         current = self.stage()
         cp, ct, nm = update_dimensions(current, landed, load_ts, persist=self._persist)

@@ -172,3 +172,15 @@ def test_resolve_facts_nulls_unknowns_and_fan_out(spark):
         for r in resolve_facts(sales, cp, ct, nm).collect())
     assert got == [(1, 1, 2, 5, 7), (2, 1, None, None, 7), (3, 1, 2, 5, 8), (3, 1, 2, 5, 9),
                    (4, None, 2, None, 7)]
+
+
+def test_warehouse_job_rejects_a_load_timestamp_that_does_not_increase(spark, tmp_dir):
+    import pytest
+
+    from starload.plans.warehouse import WarehouseJob
+
+    job = WarehouseJob(spark, f"{tmp_dir}/wh2")
+    job._record_load("2016-02-01 00:00:00")
+    with pytest.raises(ValueError):
+        job._record_load("2016-02-01 00:00:00")
+    job._record_load("2016-02-02 00:00:00")
