@@ -178,42 +178,34 @@ def resolve_facts(src_sales: DataFrame, counterparties: DataFrame, contracts: Da
     NULL id and the fact is still loaded.  ``is_actual`` of the dimensions is
     not consulted, and a repeated dimension key fans out, as the SQL does.
 
-    Plan: the four lookups run on the distinct name combinations of the
-    facts (a partial aggregate, so a combination held by a third of the rows
-    costs one row per task), and the facts then meet that id map once, on a
-    NULL-safe match of the four names.  Many sales share few combinations, so
-    the map is usually small enough for AQE to broadcast, and the facts are
-    not shuffled for the lookups at all.
+    Plan: four chained lookups.  Counterparties, contracts and items are
+    reference tables, small next to the sales, so the planner broadcasts
+    them (its size checks decide) and the facts are not shuffled at all; a
+    dimension too large to broadcast is joined by key, with AQE splitting a
+    hot key on the fact side.
     """
-    names = ["company", "counterparty", "contract", "nomenclature"]
-    combos = src_sales.select(*names).distinct()
-    f = combos.select(
-        *[F.col(n).alias(f"__name_{n}") for n in names],
-        *[F.col(n) for n in names],
+    f = src_sales.select(
+        "*",
+        F.col("company").alias("__company_name"),
+        F.col("counterparty").alias("__counterparty_name"),
+        F.col("contract").alias("__contract_name"),
     )
-    f = left_lookup(f, counterparties, {"__name_company": "company"}, {"id": "company"})
-    f = left_lookup(f, counterparties, {"__name_counterparty": "company"}, {"id": "counterparty"})
+    f = left_lookup(f, counterparties, {"__company_name": "company"}, {"id": "company"})
+    f = left_lookup(f, counterparties, {"__counterparty_name": "company"}, {"id": "counterparty"})
     f = left_lookup(
         f,
         contracts,
-        [("__name_contract", "contract"), ("__name_company", "company"),
-         ("__name_counterparty", "counterparty")],
+        [("__contract_name", "contract"), ("__company_name", "company"),
+         ("__counterparty_name", "counterparty")],
         {"id": "contract"},
     )
-    id_map = left_lookup(f, nomenclature, {"__name_nomenclature": "nomenclature"},
-                         {"id": "nomenclature"})
-    id_map = id_map.select(
-        *[F.col(f"__name_{n}") for n in names],
-        *[F.col(n).cast("int").alias(f"__id_{n}") for n in names],
-    )
-    cond = None
-    for n in names:
-        c = src_sales[n].eqNullSafe(id_map[f"__name_{n}"])
-        cond = c if cond is None else (cond & c)
-    resolved = src_sales.join(id_map, cond, "left")
-    return resolved.select(
+    f = left_lookup(f, nomenclature, {"nomenclature": "nomenclature"}, {"id": "nomenclature"})
+    return f.select(
         "dt",
-        *[F.col(f"__id_{n}").alias(n) for n in names],
+        F.col("company").cast("int").alias("company"),
+        F.col("counterparty").cast("int").alias("counterparty"),
+        F.col("contract").cast("int").alias("contract"),
+        F.col("nomenclature").cast("int").alias("nomenclature"),
         "quantity",
         "amount",
     )
