@@ -125,3 +125,12 @@ def test_read_first_column_skips_per_file(spark, tmp_dir):
     _write(f"{tmp_dir}/sheets/b.txt", "Lead b\r\nName\tCode\r\ny1\t1\r\n")
     got = sorted(r[0] for r in read_first_column(spark, f"{tmp_dir}/sheets", "n").collect())
     assert got == ["x1", "x2", "y1"]
+
+
+def test_snapshot_pointer_is_read_by_another_handle(spark, tmp_dir):
+    writer = SnapshotTable(spark, f"{tmp_dir}/snap2")
+    writer.replace(spark.range(5))
+    writer.replace(spark.range(2))
+    reader = SnapshotTable(spark, f"{tmp_dir}/snap2")
+    assert reader.current_version() == 2
+    assert sorted(r[0] for r in reader.read().collect()) == [0, 1]
