@@ -530,3 +530,34 @@ def dynamic_filter_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 TABLE_FILTER_SQL = (
     "SELECT event_id AS id, event_type AS manager, user_id AS val FROM events WHERE user_id = 7"
 )
+
+
+def replace_range_delete_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hard-delete variant: March 1997 orders removed, then re-delivered."""
+    fact = _orders_fact(spark, sf_dir)
+    o = _t(spark, sf_dir, "orders")
+    new_rows = o.where(between_days("o_orderdate", "1997-03-01", "1997-03-31")).select(
+        F.col("o_orderdate").alias("dt"),
+        "o_orderkey",
+        (F.round(F.col("o_totalprice") * 100).cast("bigint") * 2).alias("amount"),
+    )
+    return replace_range(fact, new_rows, LOAD_2, mode="replace", start="1997-03-01",
+                         end="1997-03-31", order_cols=["o_orderkey"], delete=True)
+
+
+REPLACE_RANGE_DELETE_SQL = f"""
+WITH f AS (
+  SELECT o_orderkey + 1 AS id, o_orderdate AS dt, o_orderkey,
+         CAST(ROUND(o_totalprice * 100) AS BIGINT) AS amount,
+         TIMESTAMP '{LOAD_1}' AS dt_create, TIMESTAMP '{LOAD_1}' AS dt_update, true AS is_actual
+  FROM orders
+  WHERE NOT (CAST(o_orderdate AS DATE) BETWEEN DATE '1997-03-01' AND DATE '1997-03-31')),
+n AS (
+  SELECT CAST((SELECT max(o_orderkey) + 1 FROM orders)
+              + row_number() OVER (ORDER BY o_orderkey) AS BIGINT) AS id,
+         o_orderdate AS dt, o_orderkey, CAST(ROUND(o_totalprice * 100) AS BIGINT) * 2 AS amount,
+         TIMESTAMP '{LOAD_2}' AS dt_create, TIMESTAMP '{LOAD_2}' AS dt_update, true AS is_actual
+  FROM orders
+  WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1997-03-01' AND DATE '1997-03-31')
+SELECT * FROM f UNION ALL SELECT * FROM n
+"""

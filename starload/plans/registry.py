@@ -46,6 +46,7 @@ _TABLE = [
     ("upsert_touch", co.upsert_touch_check, co.UPSERT_TOUCH_SQL),
     ("upsert_type1", co.upsert_type1_check, co.UPSERT_TYPE1_SQL),
     ("replace_range", co.replace_range_check, co.REPLACE_RANGE_SQL),
+    ("replace_range_delete", co.replace_range_delete_check, co.REPLACE_RANGE_DELETE_SQL),
     ("plan_verdict", co.plan_verdict_check, co.PLAN_VERDICT_SQL),
     ("plan_report", co.plan_report_check, co.PLAN_REPORT_SQL),
     ("plan_report_sql", co.plan_report_sql_check, co.PLAN_REPORT_SQL),
