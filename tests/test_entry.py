@@ -51,3 +51,12 @@ def test_query_matches_oracle(spark, oracle, name):
     assert sorted(cols) == sorted(df.columns)
     expected = [tuple(r[cols.index(c)] for c in df.columns) for r in res.fetchall()]
     assert _norm(rows) == _norm(expected)
+
+
+@pytest.mark.parametrize("name", ["sales_report", "clean_text", "parse_number", "parse_date",
+                                  "date_dimension", "resolve_facts", "upsert_type1"])
+def test_plans_stay_in_the_jvm(spark, name):
+    """No Python UDF (row-wise or Arrow) in the physical plan."""
+    df = entry_module.queries()[name](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "EvalPython" not in plan and "PythonUDF" not in plan
