@@ -1,0 +1 @@
+"""Column functions: text, numbers, dates, and SQL-bodied functions."""

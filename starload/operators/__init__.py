@@ -1,0 +1 @@
+"""DataFrame operators: filters, lookups, aggregates, keys, upsert, quality, set operations."""

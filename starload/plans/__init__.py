@@ -1,0 +1 @@
+"""Compositions over the operators: warehouse loads, calendar, plan/fact, driver checks."""

@@ -1,0 +1 @@
+"""Writers: table sinks (snapshots, partitioned facts, DDL) and file sinks."""

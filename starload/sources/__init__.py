@@ -1,0 +1 @@
+"""Readers: delimited files, SQL and foreign tables, generated inputs."""
