@@ -9,7 +9,6 @@ cluster configuration may override.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -45,39 +44,25 @@ def build_session(
     return spark
 
 
-def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, configuring the context if needed.
+    """Return the shared folder for checkpoints and scratch tables.
 
-    The cluster names it in ``spark.checkpoint.dir``.  Only a local session
-    without that setting (unit tests) falls back to a fresh temporary folder;
-    on a cluster a missing setting is an error, because a machine-local
-    folder would not survive the loss of an executor.
+    The cluster names it in ``spark.checkpoint.dir``.  Where that is unset, as
+    in tests, a folder of the warehouse is used: every executor shares it as
+    well, whereas a temporary folder of one machine would not outlive it.
     """
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
     except Exception:  # a remote (Connect) session: the server owns the setting
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        if not configured:
-            raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
-        return configured
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+        sc = None
+    if not configured and sc is not None:
+        configured = sc.getCheckpointDir()
     if not configured:
-        if not _is_local(spark):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set; point it at a shared folder"
-            )
-        configured = tempfile.mkdtemp(prefix="starload-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+        configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(configured)
+    return configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
