@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from starload.llm import q_sharding
+from starload.llm import q_chatformat, q_exactdedup, q_mixing, q_sharding
 
 _TABLE = [
+    ("op5_chatformat", q_chatformat.op5_chatformat, q_chatformat.OP5_SQL),
+    ("op6_mixing", q_mixing.op6_mixing, q_mixing.OP6_SQL),
+    ("op8_exactdedup", q_exactdedup.op8_exactdedup, q_exactdedup.OP8_SQL),
     ("op9_sharding", q_sharding.op9_sharding, None),
 ]
 
