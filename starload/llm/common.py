@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import xxhash
@@ -76,3 +79,16 @@ def mix(x: np.ndarray) -> np.ndarray:
 def rows_of(batch) -> Iterator[tuple]:
     """The rows of an Arrow batch as tuples of Python values."""
     return zip(*(column.to_pylist() for column in batch.columns), strict=True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package, wherever the executors run."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        root = Path(__file__).resolve().parents[2]
+        folder = tempfile.mkdtemp(prefix="starload-package-")
+        sc.addPyFile(shutil.make_archive(f"{folder}/starload", "zip", root, "starload"))
+        _SHIPPED.add(sc.applicationId)
