@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from starload.llm import q_chatformat, q_exactdedup, q_mixing, q_sharding
+from starload.llm import q_chatformat, q_exactdedup, q_langid, q_mixing, q_sharding, q_tokencount
 
 _TABLE = [
+    ("op3_langid", q_langid.op3_langid, None),
+    ("op4_tokencount", q_tokencount.op4_tokencount, None),
     ("op5_chatformat", q_chatformat.op5_chatformat, q_chatformat.OP5_SQL),
     ("op6_mixing", q_mixing.op6_mixing, q_mixing.OP6_SQL),
     ("op8_exactdedup", q_exactdedup.op8_exactdedup, q_exactdedup.OP8_SQL),
