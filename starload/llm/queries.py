@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from starload.llm import q_chatformat, q_exactdedup, q_langid, q_mixing, q_sharding, q_tokencount
+from starload.llm import q_chatformat, q_exactdedup, q_langid, q_minhash, q_mixing, q_sharding, q_tokencount
 
 _TABLE = [
+    ("op1_minhash", q_minhash.op1_minhash, None),
     ("op3_langid", q_langid.op3_langid, None),
     ("op4_tokencount", q_tokencount.op4_tokencount, None),
     ("op5_chatformat", q_chatformat.op5_chatformat, q_chatformat.OP5_SQL),
