@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from starload.llm import q_chatformat, q_exactdedup, q_langid, q_minhash, q_mixing, q_sharding, q_tokencount
+from starload.llm import q_chatformat, q_exactdedup, q_langid, q_minhash, q_mixing, q_sharding, q_substrings, q_tokencount
 
 _TABLE = [
     ("op1_minhash", q_minhash.op1_minhash, None),
@@ -10,6 +10,7 @@ _TABLE = [
     ("op4_tokencount", q_tokencount.op4_tokencount, None),
     ("op5_chatformat", q_chatformat.op5_chatformat, q_chatformat.OP5_SQL),
     ("op6_mixing", q_mixing.op6_mixing, q_mixing.OP6_SQL),
+    ("op7_substrings", q_substrings.op7_substrings, q_substrings.OP7_SQL),
     ("op8_exactdedup", q_exactdedup.op8_exactdedup, q_exactdedup.OP8_SQL),
     ("op9_sharding", q_sharding.op9_sharding, None),
 ]
