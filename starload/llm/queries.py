@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from starload.llm import q_chatformat, q_exactdedup, q_langid, q_minhash, q_mixing, q_sharding, q_substrings, q_tokencount
+from starload.llm import q_chatformat, q_decontam, q_exactdedup, q_langid, q_minhash, q_mixing, q_sharding, q_substrings, q_tokencount
 
 _TABLE = [
     ("op1_minhash", q_minhash.op1_minhash, None),
+    ("op2_decontam", q_decontam.op2_decontam, q_decontam.OP2_SQL),
     ("op3_langid", q_langid.op3_langid, None),
     ("op4_tokencount", q_tokencount.op4_tokencount, None),
     ("op5_chatformat", q_chatformat.op5_chatformat, q_chatformat.OP5_SQL),
