@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from starload.llm import q_chatformat, q_decontam, q_exactdedup, q_langid, q_minhash, q_mixing, q_sharding, q_substrings, q_tokencount
+from starload.llm import (
+    q_brown,
+    q_chatformat,
+    q_decontam,
+    q_exactdedup,
+    q_langid,
+    q_minhash,
+    q_mixing,
+    q_sharding,
+    q_substrings,
+    q_tokencount,
+)
 
 _TABLE = [
     ("op1_minhash", q_minhash.op1_minhash, None),
@@ -14,6 +25,7 @@ _TABLE = [
     ("op7_substrings", q_substrings.op7_substrings, q_substrings.OP7_SQL),
     ("op8_exactdedup", q_exactdedup.op8_exactdedup, q_exactdedup.OP8_SQL),
     ("op9_sharding", q_sharding.op9_sharding, None),
+    ("op10_brown", q_brown.op10_brown, None),
 ]
 
 QUERIES = {name: query for name, query, _ in _TABLE}
