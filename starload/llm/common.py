@@ -49,6 +49,16 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def with_row(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` with a number of its own for each row, and that column's name.
+
+    The number is the place in the scan, so it is the same each time a written
+    table is read.  Unlike identifiers it is never null and never repeats.
+    """
+    name = free_name(df, "_row")
+    return df.withColumn(name, F.monotonically_increasing_id()), name
+
+
 def n_words(text):
     """Number of words of a text column, 0 for null; no array is built."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

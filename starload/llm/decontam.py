@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starload.llm.common import free_name, materialize
+from starload.llm.common import materialize, with_row
 
 #: Token positions of the seeds.  They leave out every fourth, every third and
 #: every second token, so passages with so many replaced still have seeds.
@@ -111,10 +111,10 @@ def matches(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame
     )
 
 
-def clean(spark: SparkSession, docs: DataFrame, items: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The rows of ``docs`` that match no item.  All columns and repeated rows
-    stay; rows with a null identifier go if any of them matches."""
-    found = matches(spark, docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), items)
-    gone = free_name(docs, "_gone")
-    found = materialize(spark, found.select(F.col("id").alias(gone)).distinct(), "contaminated")
-    return docs.join(found, F.col(id_col).eqNullSafe(F.col(gone)), "left_anti")
+def clean(spark: SparkSession, docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of the written table ``docs`` that match no item, with all
+    columns; each row is judged by itself, repeated ones too."""
+    rows, at = with_row(docs)
+    found = matches(spark, rows.select(F.col(at).alias("id"), F.col(text).alias("text")), items)
+    found = materialize(spark, found.select(F.col("id").alias(at)).distinct(), "contaminated")
+    return rows.join(found, at, "left_anti").select(*docs.columns)

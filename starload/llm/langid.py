@@ -21,10 +21,10 @@ from functools import lru_cache
 import pandas as pd
 import regex
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starload.llm.common import ship
+from starload.llm.common import free_name, ship
 
 #: Bytes of a text that are compressed at once.
 PIECE = 4096
@@ -128,16 +128,8 @@ def classify(model: Model, text: str | None) -> tuple[str, float, str | None]:
 _RESULT = "lang_pred string, score double, second string"
 
 
-def identify(spark: SparkSession, docs: DataFrame, model: Model, text: str = "text", min_margin: float = MIN_MARGIN) -> DataFrame:
-    """``docs`` plus ``lang_pred``, ``score`` (0 to 1), ``second`` and ``accepted``.
-
-    The score is the lead of the best language over the second one relative to
-    the second one's bytes.  Texts that are null, empty or without a letter are
-    ``und`` with score 0; equal sizes go to the first language by code point,
-    with score 0.  ``accepted`` is false for ``und`` and for leads under
-    ``min_margin``.  Equal texts get equal results; texts are read whole.
-    Columns of ``docs`` with one of the new names are replaced.
-    """
+def teller(spark: SparkSession, model: Model):
+    """A function of a text column: struct of ``lang_pred, score, second``."""
     ship(spark)
 
     @F.pandas_udf(_RESULT)
@@ -147,10 +139,37 @@ def identify(spark: SparkSession, docs: DataFrame, model: Model, text: str = "te
                 [classify(model, t) for t in texts], columns=["lang_pred", "score", "second"]
             )
 
-    told = docs.withColumn("_told", tell(F.col(text)))
+    return tell
+
+
+def is_accepted(told: Column, min_margin: float = MIN_MARGIN) -> Column:
+    return (told["lang_pred"] != UNKNOWN) & (told["score"] >= min_margin)
+
+
+def identify(spark: SparkSession, docs: DataFrame, model: Model, text: str = "text", min_margin: float = MIN_MARGIN) -> DataFrame:
+    """``docs`` plus ``lang_pred``, ``score`` (0 to 1), ``second`` and ``accepted``.
+
+    The score is the lead of the best language over the second one relative to
+    the second one's bytes.  Texts that are null, empty or without a letter are
+    ``und`` with score 0; equal sizes go to the first language by code point,
+    with score 0.  ``accepted`` is false for ``und`` and for leads under
+    ``min_margin``.  Equal texts get equal results, repeated rows stay, an empty
+    table stays empty, and texts are read whole, in pieces.  Columns of ``docs``
+    with one of the new names are replaced.
+    """
+    at = free_name(docs, "_told")
+    told = docs.withColumn(at, teller(spark, model)(F.col(text)))
     return told.withColumns({
-        "lang_pred": F.col("_told.lang_pred"),
-        "score": F.col("_told.score"),
-        "second": F.col("_told.second"),
-        "accepted": (F.col("_told.lang_pred") != UNKNOWN) & (F.col("_told.score") >= min_margin),
-    }).drop("_told")
+        "lang_pred": F.col(at)["lang_pred"],
+        "score": F.col(at)["score"],
+        "second": F.col(at)["second"],
+        "accepted": is_accepted(F.col(at), min_margin),
+    }).drop(at)
+
+
+def accept(spark: SparkSession, docs: DataFrame, model: Model, text: str = "text", min_margin: float = MIN_MARGIN) -> DataFrame:
+    """The rows of ``docs`` whose language is told with enough of a lead,
+    unchanged, whatever their columns are called."""
+    at = free_name(docs, "_told")
+    told = docs.withColumn(at, teller(spark, model)(F.col(text)))
+    return told.where(is_accepted(F.col(at), min_margin)).drop(at)

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starload.llm.common import WordIds, materialize, mix, ship
+from starload.llm.common import WordIds, materialize, mix, ship, with_row
 from starload.llm.components import components
 
 CHUNKS, WIDTH = 13, 5
@@ -243,3 +243,19 @@ def near_duplicates(
     alone = sketch.where("n_shingles = 0").withColumn("component_id", F.col("id"))
     return named.select("id", "n_shingles", "component_id").unionByName(
         alone.select("id", "n_shingles", "component_id"))
+
+
+def first_of_each(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, k: int = 5) -> DataFrame:
+    """One row of each component of the written table ``docs``, with all columns.
+
+    The row with the smallest identifier stays (nulls last), of rows that repeat
+    it the first in the table.
+    """
+    rows, at = with_row(docs)
+    found = near_duplicates(
+        spark, rows.select(F.col(at).alias("id"), F.col(text_col).alias("text")), k)
+    order = F.struct(F.col("doc").isNull(), "doc", "id")
+    named = found.join(rows.select(F.col(at).alias("id"), F.col(id_col).alias("doc")), "id")
+    first = named.groupBy("component_id").agg(F.min(order).alias("first"))
+    first = materialize(spark, first.select(F.col("first.id").alias(at)), "first")
+    return rows.join(first, at, "left_semi").select(*docs.columns)

@@ -17,12 +17,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starload.llm.common import materialize
+from starload.llm.common import materialize, with_row
 
 #: Slices of the key range within a source; a source of 10**10 documents has
 #: some 10**6 in each.
 BUCKETS = 8192
 
+#: Names of the columns that mixing adds, for a time or for good.
+_ADDED = {"source_size", "target", "epochs", "fraction", "taken", "_key", "_bucket", "_null", "_name",
+          "_source", "_offset", "_upto", "_in_bucket"}
+
 
 def uniform(ident: Column, seed: int) -> Column:
     """A number in (0, 1) from the identifier alone, equal in every run."""
@@ -80,8 +84,10 @@ def mix(
     own.  Null sizes count as 0, null or non-positive qualities as 1.  Rows
     that repeat an identifier share its key and are ordered by size; equal
     rows are interchangeable.  Documents of size 0 take 0; an empty table stays
-    empty.  Input columns are kept and must not carry the added names.
+    empty.  Other columns are kept; those with the name of a new column, or one
+    of those used in between (``_ADDED``), are replaced.
     """
+    docs = docs.select(*(c for c in docs.columns if c.lower() not in _ADDED))
     size = F.coalesce(F.col("size"), F.lit(0)).cast("long")
     quality = F.when(F.col("quality") > 0, F.col("quality")).otherwise(F.lit(1.0))
     key = -F.log(uniform(F.col("id"), seed)) / quality
@@ -132,3 +138,17 @@ def quality_of(labels: DataFrame) -> DataFrame:
     best = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
     best = best.groupBy(F.col("doc_id").alias("id")).agg(F.max("quality").alias("best"))
     return best.select("id", F.when(F.col("best") > 0, 2.0).otherwise(0.5).alias("quality"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, labels: DataFrame, size: Column, id_col: str, source_col: str, **how) -> DataFrame:
+    """The rows of the written table ``docs`` as often as the mix takes them,
+    with all columns: once for each complete epoch, and once more, whole, if any
+    of their tokens are in the fractional part."""
+    rows, at = with_row(docs)
+    narrow = rows.select(
+        F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size"), F.col(at).alias("at"))
+    narrow = narrow.join(quality_of(labels), "id", "left")
+    times = (F.col("epochs") + F.when(F.col("fraction") > 0, 1).otherwise(0)).cast("int")
+    taken = mix(spark, narrow, **how).where("taken > 0").select(F.col("at").alias(at), times.alias("times"))
+    taken = materialize(spark, taken.select(at, F.explode(F.sequence(F.lit(1), "times")).alias("n")), "taken")
+    return rows.join(taken.select(at), at).select(*docs.columns)

@@ -130,14 +130,12 @@ def shard(
     The shuffle depends on the order of ``keys``, the row count, ``shards`` and
     ``seed`` alone.  Nulls sort first, texts may be empty or null, rows that
     agree in all keys are told apart by their position, an empty table stays
-    empty, and every column of ``df`` is kept; ``shard_col`` and ``slot_col``
-    must not be among them (ValueError).
+    empty, and every column of ``df`` is kept; if one has the name of a new
+    column, the new one gets underscores.
     """
     if shards < 1:
         raise ValueError("shards must be positive")
-    clash = {c.lower() for c in df.columns} & {shard_col.lower(), slot_col.lower()}
-    if clash:
-        raise ValueError(f"the input already has {sorted(clash)}")
+    shard_col, slot_col = free_name(df, shard_col), free_name(df, slot_col)
     row = free_name(df, "_row")
     numbered, total = number_rows(spark, df, keys, row)
     placed = free_name(df, "_place")

@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starload.llm.common import ship
+from starload.llm.common import free_name, ship
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -221,19 +221,18 @@ def count_tokens(
                 rows.append((int(table[-1]), longest_within(table, budget), pack(table) if store else None))
             yield pd.DataFrame(rows, columns=["n_tokens", "fit_chars", "prefix_tokens"])
 
-    told = docs.withColumn("_told", count(F.col(text)))
+    at = free_name(docs, "_told")
+    told = docs.withColumn(at, count(F.col(text)))
     new = ["n_tokens", "fit_chars", *(["prefix_tokens"] if store else [])]
-    return told.withColumns({c: F.col(f"_told.{c}") for c in new}).drop("_told")
+    return told.withColumns({c: F.col(at)[c] for c in new}).drop(at)
 
 
-_TAKEN = "long"
-
 
 def prefix_within(spark: SparkSession, counted: DataFrame, budget: int, name: str = "fit_chars") -> DataFrame:
     """Lengths of the longest prefixes within another budget, from the stored tables."""
     ship(spark)
 
-    @F.pandas_udf(_TAKEN)
+    @F.pandas_udf("long")
     def longest(packed: pd.Series) -> pd.Series:
         return pd.Series([longest_within(unpack(p), budget) for p in packed], dtype="int64")
 
