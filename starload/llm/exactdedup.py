@@ -23,8 +23,14 @@ from pyspark.sql import functions as F
 from starload.llm.common import materialize
 from starload.session import scratch_path
 
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STORE = "spark.sql.streaming.stateStore."
+#: State on disk.  Small stores do not reserve space in advance, and a batch
+#: uploads its changes instead of whole files.
+_SETTINGS = {
+    f"{_STORE}providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_STORE}rocksdb.allowFAllocate": "false",
+    f"{_STORE}rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 #: White space that does not count: ASCII blank, tab to carriage return.
 DELETED = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -107,8 +113,9 @@ class ExactDedup:
             # a batch that is run again replaces its own folder
             batch.write.mode("overwrite").parquet(f"{updates}/batch={number}")
 
-        before = self.spark.conf.get(_PROVIDER, None)
-        self.spark.conf.set(_PROVIDER, _ROCKSDB)
+        before = {key: self.spark.conf.get(key, None) for key in _SETTINGS}
+        for key, value in _SETTINGS.items():
+            self.spark.conf.set(key, value)
         try:
             query = (
                 self._grouped(self._rows(reader.parquet(source)), "digest")
@@ -120,10 +127,11 @@ class ExactDedup:
             )
             query.awaitTermination()
         finally:
-            if before is None:
-                self.spark.conf.unset(_PROVIDER)
-            else:
-                self.spark.conf.set(_PROVIDER, before)
+            for key, value in before.items():
+                if value is None:
+                    self.spark.conf.unset(key)
+                else:
+                    self.spark.conf.set(key, value)
 
     def groups(self) -> DataFrame:
         """The state's last word on each digest: ``digest, keep, group_size``."""
