@@ -156,7 +156,8 @@ class ExactDedup:
         kept = members.where("kept").select("digest", F.col("content").alias("kept_content"))
         # full bytes of every hit against the content that stays; the join splits hot digests
         differ = members.where("NOT kept").join(kept, "digest").where("content != kept_content")
-        differ = materialize(self.spark, differ.select("digest").distinct(), "collisions")
+        # grouped only once it is written: a grouping here would keep a hot digest in one task
+        differ = materialize(self.spark, differ.select("digest"), "collisions").distinct()
         rows = self._scan().join(groups, "digest")
         if differ.isEmpty():
             return self._decided(rows)
