@@ -17,6 +17,10 @@ def normalise_number_text(c: str | Column) -> Column:
     return F.replace(F.replace(_col(c), F.lit(NBSP), F.lit("")), F.lit(","), F.lit("."))
 
 
+#: Decimal numbers as they may be typed; a Java double also takes ``5d`` or ``NaN``.
+_DECIMAL = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
 def parse_number(c: str | Column, strict: bool = False) -> Column:
     """Localised number text -> BIGINT.
 
@@ -25,9 +29,8 @@ def parse_number(c: str | Column, strict: bool = False) -> Column:
     Unparsable text gives NULL, or raises when ``strict``.
     """
     text = normalise_number_text(c)
-    parsed = F.coalesce(
-        text.try_cast("bigint"), text.try_cast("double").try_cast("bigint")
-    )
+    decimal = F.when(text.rlike(_DECIMAL), text.try_cast("double"))
+    parsed = F.coalesce(text.try_cast("bigint"), decimal.try_cast("bigint"))
     if not strict:
         return parsed
     return F.when(

@@ -7,9 +7,13 @@ in Python.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starload.sources.catalog import run_sql
+
 # The two verdict texts ("plan met" / "plan not met").
 PLAN_MET = "План выполнен"
 PLAN_NOT_MET = "План не выполнен"
@@ -70,28 +74,39 @@ def register_plan_report(
         f"""CREATE OR REPLACE TEMPORARY FUNCTION {name}(param STRING)
             RETURNS TABLE (id BIGINT, manager STRING, val_plan BIGINT, val_fact BIGINT,
                            result STRING)
-            RETURN SELECT p.id, p.manager, p.val_plan, {lookup}(p.id) AS val_fact,
-                          {verdict}({lookup}(p.id), p.val_plan) AS result
-                   FROM {plan_table} p
-                   WHERE {verdict}({lookup}(p.id), p.val_plan) = param"""
+            RETURN SELECT * FROM (
+                     SELECT id, manager, val_plan, val_fact,
+                            {verdict}(val_fact, val_plan) AS result
+                     FROM (SELECT p.id, p.manager, p.val_plan, {lookup}(p.id) AS val_fact
+                           FROM {plan_table} p))
+                   WHERE result = param"""
     )
 
 
 def register_filter_table(
-    spark: SparkSession, name: str, table: str, column: str, columns_ddl: str, param_type: str = "BIGINT"
+    spark: SparkSession,
+    name: str,
+    table: str,
+    column: str,
+    columns: Sequence[tuple[str, str]],
+    param_type: str = "BIGINT",
 ) -> None:
-    """Table function ``name(v)`` = rows of ``table`` with ``column = v`` (U4)."""
-    cols = ", ".join(c.strip().split()[0] for c in columns_ddl.split(","))
+    """Table function ``name(v)`` = rows of ``table`` with ``column = v`` (U4).
+
+    ``columns``: (name, type) of the result, in order.
+    """
+    ddl = ", ".join(f"`{c}` {kind}" for c, kind in columns)
+    cols = ", ".join(f"`{c}`" for c, _ in columns)
     spark.sql(
         f"""CREATE OR REPLACE TEMPORARY FUNCTION {name}(param {param_type})
-            RETURNS TABLE ({columns_ddl})
-            RETURN SELECT {cols} FROM {table} WHERE {column} = param"""
+            RETURNS TABLE ({ddl})
+            RETURN SELECT {cols} FROM {table} WHERE `{column}` = param"""
     )
 
 
 def filter_table_dynamic(spark: SparkSession, sql: str, **args) -> DataFrame:
     """Rows of a dynamically built query (U5), set-based, no row loop."""
-    return spark.sql(sql, args=args or None)
+    return run_sql(spark, sql, **args)
 
 
 def create_report_view(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:

@@ -1,14 +1,12 @@
 """Equi-join lookups (natural key -> surrogate id, id -> name) and FK checks.
 
-Broadcast policy.  By default no hint is given: the planner broadcasts a side
-only when its size estimate (an upper bound from file sizes) is below
+Broadcast policy.  No hint is given: the planner broadcasts a side only when
+its size estimate (an upper bound from file sizes) is below
 ``spark.sql.autoBroadcastJoinThreshold``, and AQE converts a shuffle join to a
 broadcast only after the shuffled side has been *measured* below
 ``spark.sql.adaptive.autoBroadcastJoinThreshold``.  Beyond those bounds both
 sides are shuffled on the key and AQE splits skewed fact partitions
-(``spark.sql.adaptive.skewJoin.enabled``).  A caller may instead ask for an
-explicit broadcast behind a bounded row count (``broadcast_rows=``); the count
-reads at most ``broadcast_rows + 1`` rows of the side.
+(``spark.sql.adaptive.skewJoin.enabled``).
 """
 
 from __future__ import annotations
@@ -19,26 +17,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest lookup side (after projection to key + value columns) that is
-# broadcast; a session may override it with ``starload.broadcast.maxRows``.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    value = df.sparkSession.conf.get("starload.broadcast.maxRows", None)
-    return int(value) if value else DEFAULT_BROADCAST_ROWS
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` holds at most ``max_rows`` rows; reads at most one more."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def sized_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Mark ``df`` for broadcast only if a bounded count proves it small."""
-    limit = broadcast_limit(df) if max_rows is None else max_rows
-    return F.broadcast(df) if has_at_most(df, limit) else df
-
 
 def _pairs(on: Sequence[str] | Mapping[str, str] | str) -> list[tuple[str, str]]:
     if isinstance(on, str):
@@ -58,7 +36,6 @@ def left_lookup(
     on: Sequence[str] | Mapping[str, str] | str,
     take: Mapping[str, str] | Sequence[str] | str,
     how: str = "left",
-    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """``fact LEFT JOIN dim ON fact.k = dim.k ...`` adding ``take`` columns.
 
@@ -73,13 +50,13 @@ def left_lookup(
         take = {take: take}
     elif not isinstance(take, Mapping):
         take = {c: c for c in take}
-    tag = f"__lk{abs(hash((tuple(pairs), tuple(take.items())))) % 10**8}_"
+    tag = "__lookup_"
+    while any(c.startswith(tag) for c in fact.columns):
+        tag += "_"
     side = dim.select(
         *[F.col(d).alias(f"{tag}k{i}") for i, (_, d) in enumerate(pairs)],
         *[F.col(src).alias(f"{tag}v_{out}") for src, out in take.items()],
     )
-    if broadcast_rows is not None:
-        side = sized_broadcast(side, broadcast_rows)
     cond = _conjunction(
         [fact[f] == side[f"{tag}k{i}"] for i, (f, _) in enumerate(pairs)]
     )

@@ -1,24 +1,24 @@
 """Dense surrogate keys without a single-partition window.
 
-``row_number() OVER (ORDER BY k)`` moves every row into one task.  Instead:
-
-1. the input is checkpointed once to the shared checkpoint folder, so its
-   upstream (often a join) runs once and a lost executor cannot change it;
-2. an input proven small by a bounded count (at most
-   ``starload.keys.singleTaskRows`` rows, default 100,000; the count reads at
-   most one row more) is numbered with one ordered window in a single task;
-3. a larger input is range-partitioned on the full row order, sorted inside
-   each partition and numbered there (``monotonically_increasing_id`` carries
-   the partition index in its upper bits and the position in its lower 33
-   bits); the numbered rows are checkpointed too, because range bounds are
-   sampled with a seed that changes between executions; then each partition
-   adds the row count of all earlier partitions, taken from a table with one
-   row per partition.
+``row_number() OVER (ORDER BY k)`` moves every row into one task.  Instead, at
+every size:
+
+1. the rows are range-partitioned on the full row order, sorted inside each
+   partition and numbered there (``monotonically_increasing_id`` carries the
+   partition index in its upper bits and the position in its lower 33 bits);
+2. the numbered rows are checkpointed to the shared checkpoint folder, because
+   range bounds are sampled anew in each execution and a lost executor must
+   not change the numbers;
+3. each partition adds the row count of all earlier partitions, taken from a
+   table with one row per partition.
 
 Rows are ordered by the requested columns and then by every other column, so
 only exact duplicates can swap places, and swapping identical rows leaves the
 result unchanged.  Ranging on the full order also splits a key value held by
 many rows over several partitions.
+
+Rows whose ids need no order (facts) are numbered in the partitions they are
+already in: steps 2 and 3 alone, without an exchange.
 """
 
 from __future__ import annotations
@@ -28,10 +28,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starload.operators.joins import has_at_most
 from starload.session import checkpoint_dir
 
-DEFAULT_SINGLE_TASK_ROWS = 100_000
 _POSITION_BITS = 33
 _POSITION_MASK = (1 << _POSITION_BITS) - 1
 
@@ -42,61 +40,62 @@ def max_id(df: DataFrame, id_col: str = "id") -> int:
     return int(row["m"]) if row and row["m"] is not None else 0
 
 
+def _placed(df: DataFrame) -> DataFrame:
+    """``df``, frozen, with each row's place in its partition (``__mid``)."""
+    checkpoint_dir(df.sparkSession)
+    return df.withColumn("__mid", F.monotonically_increasing_id()).checkpoint(eager=True)
+
+
+def _starts(placed: DataFrame) -> DataFrame:
+    """Rows before each partition, and its own: one row per partition, so the
+    table is bounded and may be ordered in one task and broadcast."""
+    counts = placed.groupBy(F.shiftright("__mid", _POSITION_BITS).alias("__pid")).agg(
+        F.count(F.lit(1)).alias("__n"))
+    earlier = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
+
+
+def _numbered(placed: DataFrame, starts: DataFrame, start: int, id_col: str) -> DataFrame:
+    columns = [c for c in placed.columns if c != "__mid"]
+    keyed = placed.withColumn("__pid", F.shiftright("__mid", _POSITION_BITS)).join(
+        F.broadcast(starts), "__pid")
+    position = F.col("__mid").bitwiseAND(F.lit(_POSITION_MASK))
+    new_id = (F.lit(start) + F.col("__before") + position + 1).cast("bigint")
+    return keyed.select(new_id.alias(id_col), *[F.col(f"`{c}`") for c in columns])
+
+
 def assign_keys(
     df: DataFrame,
     order_cols: Sequence[str | Column],
     start: int = 0,
     id_col: str = "id",
     num_partitions: int | None = None,
-    freeze: bool = True,
 ) -> DataFrame:
     """Add ``id_col`` = start+1, start+2, ... following ``order_cols``.
 
-    ``freeze=False`` skips the checkpoints; then the range bounds may differ
-    between the two uses of the numbered rows, so use it only with one range
-    (``num_partitions=1``) or in tests.
-    ``num_partitions`` forces the partitioned path with that many ranges.
+    ``num_partitions`` sets the number of ranges; without it there are as many
+    as shuffle partitions, and adaptive execution joins small ones.
     """
-    spark = df.sparkSession
-    columns = list(df.columns)
     named = {c for c in order_cols if isinstance(c, str)}
-    total_order = [*order_cols, *[F.col(f"`{c}`") for c in columns if c not in named]]
-    if freeze:
-        checkpoint_dir(spark)
-        df = df.checkpoint(eager=True)
-    small = int(spark.conf.get("starload.keys.singleTaskRows", str(DEFAULT_SINGLE_TASK_ROWS)))
-    if num_partitions is None and has_at_most(df, small):
-        rank = F.row_number().over(Window.orderBy(*total_order))
-        return df.select(
-            (F.lit(start) + rank).cast("bigint").alias(id_col),
-            *[F.col(f"`{c}`") for c in columns],
-        )
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    numbered = (
-        df.repartitionByRange(parts, *total_order)
-        .sortWithinPartitions(*total_order)
-        .withColumn("__mid", F.monotonically_increasing_id())
-    )
-    if freeze:
-        numbered = numbered.checkpoint(eager=True)
-    numbered = numbered.withColumn("__pid", F.shiftright(F.col("__mid"), _POSITION_BITS))
-    # one row per partition: a bounded table, safe to broadcast and to order
-    # in a single task
-    offsets = (
-        numbered.groupBy("__pid")
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn(
-            "__before",
-            F.coalesce(
-                F.sum("__n").over(
-                    Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            ),
-        )
-        .select("__pid", "__before")
+    total_order = [*order_cols, *[F.col(f"`{c}`") for c in df.columns if c not in named]]
+    ranged = (
+        df.repartitionByRange(num_partitions, *total_order)
+        if num_partitions
+        else df.repartitionByRange(*total_order)
     )
-    keyed = numbered.join(F.broadcast(offsets), "__pid")
-    position = F.col("__mid").bitwiseAND(F.lit(_POSITION_MASK))
-    new_id = (F.lit(start) + F.col("__before") + position + 1).cast("bigint")
-    return keyed.select(new_id.alias(id_col), *[F.col(f"`{c}`") for c in columns])
+    placed = _placed(ranged.sortWithinPartitions(*total_order))
+    return _numbered(placed, _starts(placed), start, id_col)
+
+
+def assign_keys_unordered(
+    df: DataFrame, start: int = 0, id_col: str = "id"
+) -> tuple[DataFrame, int]:
+    """Dense ids in no particular order, and the largest one given.
+
+    No exchange and no sort: the rows are numbered where they are.  The last id
+    comes from the partition counts, not from a scan of the ids.
+    """
+    placed = _placed(df)
+    starts = _starts(placed)
+    total = starts.agg(F.sum("__n")).first()[0] or 0
+    return _numbered(placed, starts, start, id_col), start + total

@@ -78,7 +78,8 @@ def check_decimal(df: DataFrame, columns: Sequence[str], precision: int = 10, sc
     return df.where(cond)
 
 
-def _require_empty(violations: DataFrame, what: str) -> None:
+def require_empty(violations: DataFrame, what: str) -> None:
+    """Raise with a few of the violations if there is any."""
     if violations.limit(1).count() > 0:
         sample = violations.limit(5).collect()
         raise ConstraintViolation(f"{what}: {sample}")
@@ -86,7 +87,7 @@ def _require_empty(violations: DataFrame, what: str) -> None:
 
 def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
     """Raise when a key repeats (a MERGE source must not match a row twice)."""
-    _require_empty(check_unique(df, keys), f"duplicate key {list(keys)}")
+    require_empty(check_unique(df, keys), f"duplicate key {list(keys)}")
 
 
 def require_not_null(df: DataFrame, columns: Sequence[str]) -> None:
@@ -94,8 +95,13 @@ def require_not_null(df: DataFrame, columns: Sequence[str]) -> None:
     for col in columns:
         c = F.col(f"`{col}`").isNull()
         cond = c if cond is None else (cond | c)
-    _require_empty(df.where(cond), f"NULL in {list(columns)}")
+    require_empty(df.where(cond), f"NULL in {list(columns)}")
 
 
 def require_foreign_key(child: DataFrame, parent: DataFrame, on) -> None:
-    _require_empty(check_foreign_key(child, parent, on), "foreign key")
+    require_empty(check_foreign_key(child, parent, on), "foreign key")
+
+
+def require_length(df: DataFrame, limits: Mapping[str, int]) -> None:
+    """Raise for a text longer than its ``VARCHAR(n)`` limit."""
+    require_empty(check_length(df, limits), f"longer than {dict(limits)}")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from starload.operators.filters import between_days
 from starload.operators.keys import assign_keys, max_id
-from starload.operators.quality import require_unique
+from starload.operators.quality import check_unique, require_empty
 
 AUDIT_COLUMNS = ["dt_create", "dt_update", "is_actual"]
 
@@ -83,16 +83,19 @@ def upsert(
     * target rows without a source row are unchanged (see ``expire_unseen``).
 
     A source key that occurs twice would update one target row twice; as in
-    SQL ``MERGE`` that is an error (checked unless disabled).  Matching is a
+    SQL ``MERGE`` that is an error (checked unless disabled).  Repeated source
+    rows without a target row are all inserted.  Matching is a
     left join of the target with the source, and the new rows are the source
     rows without a target key (an anti join against the target's key columns
-    only); the keys are unique on each side, so no key can be hot.
+    only); keys that match are unique on each side, so none can be hot.
     """
     insert_cols = list(insert_cols) if insert_cols is not None else [
         c for c in target.columns if c not in (id_col, *AUDIT_COLUMNS)
     ]
     if check_source_unique:
-        require_unique(source, keys)
+        # only the few repeated keys meet the target
+        repeated = check_unique(source, keys).join(target.select(*keys), list(keys), "left_semi")
+        require_empty(repeated, f"several source rows match one row on {list(keys)}")
     s = source.select(
         *[F.col(f"`{c}`").alias(f"__s_{c}") for c in dict.fromkeys([*keys, *insert_cols])],
         F.lit(True).alias("__hit"),

@@ -516,7 +516,7 @@ def _sales_view(spark, sf_dir):
 def table_function_filter_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     _sales_view(spark, sf_dir)
     register_filter_table(spark, "query_filter_table", "event_sales", "val",
-                          "id BIGINT, manager STRING, val BIGINT")
+                          [("id", "BIGINT"), ("manager", "STRING"), ("val", "BIGINT")])
     return spark.sql("SELECT * FROM query_filter_table(7)")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from starload.session import read_table, scratch_path
 from starload.sinks.files import export_split
-from starload.streaming.ingest import batch_report, ingest_chunks
+from starload.streaming.ingest import batch_report, ingest_chunks, read_ingested
 
 CHUNK_ROWS = 50_000
 FILES_PER_BATCH = 2
@@ -25,13 +25,12 @@ def _run(spark: SparkSession, sf_dir: str):
     in_dir = scratch_path(spark, "chunks-in")
     export_split(chunks, in_dir, CHUNK_ROWS)
     out = scratch_path(spark, "chunks-out")
-    query = ingest_chunks(spark, in_dir, out, scratch_path(spark, "chunks-ckpt"), FILES_PER_BATCH)
-    return out, query
+    ingest_chunks(spark, in_dir, out, scratch_path(spark, "chunks-ckpt"), FILES_PER_BATCH)
+    return out
 
 
 def ingest_chunks_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out, _ = _run(spark, sf_dir)
-    return spark.read.parquet(out)
+    return read_ingested(spark, _run(spark, sf_dir))
 
 
 INGEST_CHUNKS_SQL = """
@@ -42,6 +41,17 @@ FROM lineitem
 
 
 def chunk_batches_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batch number, rows and seconds of every micro-batch (rows-only check)."""
-    _, query = _run(spark, sf_dir)
-    return batch_report(spark, query)
+    """The records of all micro-batches: their rows add up to the table, none
+    has more rows than its files may hold, and no date was bad."""
+    return batch_report(spark, _run(spark, sf_dir)).agg(
+        F.sum("rows").alias("total_rows"),
+        F.count_if(F.col("rows") > FILES_PER_BATCH * CHUNK_ROWS).alias("batches_over_limit"),
+        F.sum("bad_dates").alias("bad_dates"),
+    )
+
+
+CHUNK_BATCHES_SQL = """
+SELECT count(*) AS total_rows, CAST(0 AS BIGINT) AS batches_over_limit,
+       CAST(count(*) FILTER (l_shipdate IS NULL) AS BIGINT) AS bad_dates
+FROM lineitem
+"""

@@ -70,7 +70,7 @@ _TABLE = [
     ("report_view", cw.report_view_check, cw.REPORT_VIEW_SQL),
     ("ingest_chunks", cst.ingest_chunks_check, cst.INGEST_CHUNKS_SQL),
     # micro-batch timings have no SQL equivalent: rows-only
-    ("chunk_batches", cst.chunk_batches_check, None),
+    ("chunk_batches", cst.chunk_batches_check, cst.CHUNK_BATCHES_SQL),
     ("stage_update_dims", cw.stage_update_dims_check, cw.STAGE_UPDATE_DIMS_SQL),
     ("stage_update_report", cw.stage_update_report_check, cw.STAGE_UPDATE_REPORT_SQL),
     ("cleanse_exports", cw.cleanse_exports_check, cw.CLEANSE_EXPORTS_SQL),

@@ -12,38 +12,38 @@ Layer shapes (the stage tables carry ``id`` and the audit columns):
   total_amount
 
 Every function maps DataFrames to DataFrames; ``WarehouseJob`` adds the reads
-and writes: landing tables are overwritten per load, stage tables are
-versioned snapshots (a new version per load, the old one stays readable).
+and writes: a load writes fresh folders and is published by one small entry.
 """
 
 from __future__ import annotations
 
-import uuid
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from starload.functions.dates import parse_timestamp
 from starload.functions.numbers import parse_number
+from starload.functions.sql_functions import create_report_view
 from starload.functions.text import clean_all_text
 from starload.operators.aggregates import sum_by
 from starload.operators.filters import contains_all, contains_any, is_true
 from starload.operators.joins import left_lookup
-from starload.operators.keys import max_id
+from starload.operators.keys import assign_keys_unordered
+from starload.operators.quality import require_length, require_not_null
 from starload.operators.upsert import (
     expire_unseen,
     flag_range,
     initial_load,
-    insert_new,
     replace_range,
     upsert,
+    with_audit,
 )
-from starload.session import checkpoint_dir
-from starload.sinks.tables import IdSequence, PeriodPartitionedTable, SnapshotTable
+from starload.sinks.files import export_csv
+from starload.sinks.tables import Entries, PeriodFolders, new_tag
 from starload.sources.files import read_delimited, read_first_column
 
 # Phrases that select sales rows in the accounting export.
@@ -230,6 +230,19 @@ def stage_initial_load(
     writes the table there and returns it read back, which cuts the lineage
     before the facts are resolved against the dimensions.
     """
+    counterparties, contracts, nomenclature = initial_dimensions(src, load_ts, persist)
+    facts = resolve_facts(src.sales, counterparties, contracts, nomenclature)
+    sales = persist("sales", initial_load(facts, facts.columns, load_ts, order_cols=FACT_ORDER))
+    return Stage(counterparties, contracts, nomenclature, sales)
+
+
+def initial_dimensions(
+    src: Exports,
+    load_ts,
+    persist: Callable[[str, DataFrame], DataFrame] = _keep,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The dimension half of ``stage_initial_load``: (counterparties, contracts,
+    nomenclature)."""
     nomenclature = persist("nomenclature", initial_load(src.nomenclature, ["nomenclature"], load_ts))
     contracts = persist(
         "contracts",
@@ -243,9 +256,7 @@ def stage_initial_load(
             load_ts,
         ),
     )
-    facts = resolve_facts(src.sales, counterparties, contracts, nomenclature)
-    sales = persist("sales", initial_load(facts, facts.columns, load_ts, order_cols=FACT_ORDER))
-    return Stage(counterparties, contracts, nomenclature, sales)
+    return counterparties, contracts, nomenclature
 
 
 def stage_update(
@@ -335,97 +346,140 @@ def sales_report(stage: Stage) -> DataFrame:
 
 DIMENSION_TABLES = ("nomenclature", "contracts", "counterparties")
 
+# Columns of the landing tables that must be filled, and the
+# length limits of their texts.
+REQUIRED = {
+    "nomenclature": ["nomenclature"],
+    "contracts": ["contract", "counterparty", "company"],
+    "counterparties": ["company", "full_name_company"],
+    "sales": SRC_SALES_COLUMNS,
+}
+LIMITS = {
+    "nomenclature": {"nomenclature": 250},
+    "contracts": {"contract": 50, "counterparty": 100, "type_contract": 50, "currency": 25, "company": 100},
+    "counterparties": {"company": 100, "taxpayer_identification_number": 12, "full_name_company": 250},
+    "sales": {"company": 100, "counterparty": 100, "contract": 100, "nomenclature": 250},
+}
+
+REPORT_VIEW = "mart_sales_report"
+
+
+def check_landing(src: Exports) -> None:
+    """Raises ConstraintViolation for a missing value or an over-long text (Q1, Q2)."""
+    for name, columns in REQUIRED.items():
+        table = getattr(src, name)
+        require_not_null(table, columns)
+        require_length(table, LIMITS[name])
+
 
 class WarehouseJob:
     """Runs the loads against tables under ``root`` (a shared folder).
 
-    ``root/src/load-<n>-<tag>/<table>``: landing tables, a fresh folder per load
-    (the truncate + load of the landing layer, without overwriting files a
-    running plan may still read).  ``root/stage/<dimension>``:
-    ``SnapshotTable`` versions (dimensions are small next to the facts).
-    ``root/stage/sales``: the fact table, partitioned by month (or day); a
-    load appends new rows and rewrites only the partitions that overlap a
-    replaced day range.
-    Every stage table is written as soon as it is computed and read back from
-    the files, so fact resolution and the report scan written tables instead
-    of recomputing upserts, and a lost executor only repeats the current step.
+    A load writes fresh folders only: ``root/src/<tag>/<table>`` for the landing
+    tables, ``root/csv/<tag>/<table>`` for the cleansed exports,
+    ``root/stage/<dimension>/<tag>`` and ``root/stage/sales/<tag>`` with a
+    folder for each month (or day).  The last thing it writes is an entry under
+    ``root/stage/loads`` that names the dimension folders, the fact folders, the
+    last fact id and the load time.  Readers follow the highest entry, so they
+    see all of a load or nothing, and a load that failed can be repeated with
+    the same load time.  An append adds fact folders and leaves the old ones; a
+    replaced range rewrites only the folders that overlap it.
+
+    Every stage table is written as soon as it is computed and read back, so
+    fact resolution and the report scan written tables, and a lost executor
+    only repeats the current step.  Folders that no entry, or no recent one,
+    names can be removed by the storage's owner (``folders_in_use``).
     """
 
     def __init__(self, spark: SparkSession, root: str, fact_period: str = "month"):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.tables = {t: SnapshotTable(spark, f"{self.root}/stage/{t}") for t in DIMENSION_TABLES}
-        self.facts = PeriodPartitionedTable(spark, f"{self.root}/stage/sales", period=fact_period)
-        self.fact_ids = IdSequence(spark, f"{self.root}/stage/sequences/sales")
-        self._loads = 0
-
-    def land(self, src: Exports) -> Exports:
-        self._loads += 1
-        stamp = uuid.uuid4().hex[:8]
-        return land_exports(src, f"{self.root}/src/load-{self._loads:04d}-{stamp}")
-
-    def _persist(self, name: str, df: DataFrame) -> DataFrame:
-        if name == "sales":
-            self.facts.create(df)
-            self.fact_ids.advance_to(max_id(df))
-            return self.facts.read()
-        table = self.tables[name]
-        table.replace(df)
-        return table.read()
+        self.periods = PeriodFolders(spark, period=fact_period)
+        self.loads = Entries(
+            spark, f"{self.root}/stage/loads",
+            "load_ts STRING, last_id BIGINT, dimensions MAP<STRING, STRING>, facts ARRAY<STRING>, "
+            "fact_schema STRING",
+        )
+
+    def _begin(self, load_ts):
+        """The current entry; expiry compares ``dt_update < load_ts``, so every
+        load needs a later time than the last one that succeeded."""
+        entry = self.loads.latest()
+        if entry is not None:
+            both = self.spark.range(1).select(
+                *[F.lit(str(t)).cast("timestamp_ntz").alias(c) for c, t in
+                  (("new", load_ts), ("last", entry["load_ts"]))]).first()
+            if both["new"] <= both["last"]:
+                raise ValueError(f"load_ts {load_ts} is not later than the previous load ({entry['load_ts']})")
+        return entry
+
+    def land(self, src: Exports, tag: str) -> Exports:
+        """Landing tables and cleansed CSV files (P0), checked before anything
+        is loaded from them."""
+        landed = land_exports(src, f"{self.root}/src/{tag}")
+        check_landing(landed)
+        for name in ("sales", "counterparties", "contracts", "nomenclature"):
+            export_csv(getattr(landed, name), f"{self.root}/csv/{tag}/{name}")
+        return landed
+
+    def _persist_to(self, tag: str, paths: dict[str, str]) -> Callable[[str, DataFrame], DataFrame]:
+        def persist(name: str, df: DataFrame) -> DataFrame:
+            paths[name] = f"{self.root}/stage/{name}/{tag}"
+            df.write.parquet(paths[name])
+            return self.spark.read.schema(df.schema).parquet(paths[name])
+
+        return persist
+
+    def _publish(self, tag: str, entry, load_ts, last_id: int, paths, facts, schema: StructType) -> Stage:
+        self.loads.publish(
+            tag, entry["number"] if entry else 0, load_ts=str(load_ts), last_id=last_id,
+            dimensions=paths, facts=facts, fact_schema=schema.json(),
+        )
+        create_report_view(self.spark, REPORT_VIEW, self.report())
+        return self.stage()
 
     def stage(self) -> Stage:
-        t = self.tables
-        return Stage(t["counterparties"].read(), t["contracts"].read(),
-                     t["nomenclature"].read(), self.facts.read())
-
-    def _record_load(self, load_ts) -> None:
-        """Expiry compares ``dt_update < load_ts``, so every load must use a
-        later timestamp than the one before; the last one is kept in a small
-        JSON table next to the stage tables."""
-        path = f"{self.root}/stage/loads"
-        ts = str(load_ts)
-        try:
-            last = self.spark.read.schema("load_ts STRING").json(path).agg(
-                F.max(F.col("load_ts").cast("timestamp_ntz")).alias("m")).first()["m"]
-        except AnalysisException:
-            last = None
-        new = self.spark.range(1).select(F.lit(ts).cast("timestamp_ntz").alias("t")).first()["t"]
-        if last is not None and new <= last:
-            raise ValueError(f"load_ts {ts} is not later than the previous load ({last})")
-        entry = self.spark.range(1).select(F.lit(ts).alias("load_ts"))
-        entry.coalesce(1).write.mode("append").json(path)
+        entry = self.loads.latest()
+        if entry is None:
+            raise FileNotFoundError(f"no load under {self.root}")
+        dims = {name: self.spark.read.parquet(entry["dimensions"][name]) for name in DIMENSION_TABLES}
+        schema = StructType.fromJson(json.loads(entry["fact_schema"]))
+        return Stage(**dims, sales=self.periods.read(entry["facts"], schema))
+
+    def folders_in_use(self) -> list[str]:
+        """Folders that the current load reads."""
+        entry = self.loads.latest()
+        return [*entry["dimensions"].values(), *entry["facts"]] if entry else []
+
+    def _new_facts(self, landed: Exports, cp, ct, nm, load_ts, last: int) -> tuple[DataFrame, int]:
+        """Resolved facts with ids, in no order, and the last id."""
+        keyed, last = assign_keys_unordered(resolve_facts(landed.sales, cp, ct, nm), start=last)
+        return with_audit(keyed, load_ts), last
 
     def initial_load(self, src: Exports, load_ts) -> Stage:
-        self._record_load(load_ts)
-        return stage_initial_load(self.land(src), load_ts, persist=self._persist)
+        entry, tag, paths = self._begin(load_ts), new_tag(), {}
+        landed = self.land(src, tag)
+        cp, ct, nm = initial_dimensions(landed, load_ts, self._persist_to(tag, paths))
+        new, last = self._new_facts(landed, cp, ct, nm, load_ts, 0)
+        facts = self.periods.write(new, f"{self.root}/stage/sales/{tag}")
+        return self._publish(tag, entry, load_ts, last, paths, facts, new.schema)
 
     def update(self, src: Exports, load_ts, mode: str = "append",
                start="1900-01-01", end="1900-01-01") -> Stage:
-        """P2 with the same semantics as ``stage_update``; the facts are
-        changed in place, partition by partition."""
-        self._record_load(load_ts)
-        landed = self.land(src)
+        """P2 with the same semantics as ``stage_update``."""
+        entry, tag, paths = self._begin(load_ts), new_tag(), {}
         current = self.stage()
-        cp, ct, nm = update_dimensions(current, landed, load_ts, persist=self._persist)
-        facts = resolve_facts(landed.sales, cp, ct, nm)
-        last = self.fact_ids.last()
-        new = insert_new(facts, FACT_ORDER, load_ts, last)
-        added = new.count()
-        # reserve the ids first: a failed write leaves a gap, never a reuse
-        self.fact_ids.advance_to(last + added)
-        # One write replaces every partition that changes: those overlapping
-        # the replaced range and those receiving new rows.  Their old rows
-        # (flagged inside the range) are frozen first, because their files
-        # are about to be replaced; the write commits as one job, so a load
-        # that fails before the commit leaves the facts as they were.
-        receiving = self.facts.periods_in(new)
-        checkpoint_dir(self.spark)
+        landed = self.land(src, tag)
+        cp, ct, nm = update_dimensions(current, landed, load_ts, persist=self._persist_to(tag, paths))
+        new, last = self._new_facts(landed, cp, ct, nm, load_ts, entry["last_id"])
+        facts = list(entry["facts"])
         if mode == "replace":
-            old = flag_range(self.facts.read_periods(start, end, also=receiving), start, end)
-        else:
-            old = self.facts.read_periods(also=receiving)
-        self.facts.replace_periods(old.checkpoint().unionByName(new))
-        return self.stage()
+            inside, facts = self.periods.overlapping(facts, start, end)
+            if inside:
+                flagged = flag_range(self.periods.read(inside, current.sales.schema), start, end)
+                facts += self.periods.write(flagged, f"{self.root}/stage/sales/{tag}-kept")
+        facts += self.periods.write(new, f"{self.root}/stage/sales/{tag}")
+        return self._publish(tag, entry, load_ts, last, paths, facts, new.schema)
 
     def report(self) -> DataFrame:
         return sales_report(self.stage())

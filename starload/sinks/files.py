@@ -5,38 +5,57 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from starload.sources.files import read_delimited
 
 
-def export_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> None:
-    """CSV with a header; quotes are doubled inside quoted fields (K3)."""
-    (
+def _csv_writer(df: DataFrame, mode: str, sep: str):
+    """Values come back as they were: blanks at both ends stay, an empty text
+    is written as ``""`` and NULL as nothing, quotes are doubled."""
+    return (
         df.write.mode(mode)
         .option("header", True)
         .option("sep", sep)
         .option("quote", '"')
         .option("escape", '"')
-        .csv(path)
+        .option("emptyValue", '""')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
     )
 
 
+def _one_line(df: DataFrame) -> DataFrame:
+    """Raises on a line end inside a text value, which would break the row in
+    two for every reader that splits files into tasks."""
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    checked = {
+        c: F.when(F.col(f"`{c}`").rlike("[\r\n]"), F.raise_error(F.lit(f"line end in column {c}")))
+        .otherwise(F.col(f"`{c}`"))
+        for c in texts
+    }
+    return df.select(*[checked[c].alias(c) if c in checked else F.col(f"`{c}`") for c in df.columns])
+
+
+def export_csv(
+    df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite", multi_line: bool = False
+) -> None:
+    """CSV with a header (K3).
+
+    A line end inside a value raises, unless ``multi_line``; such files have to
+    be read with ``multi_line`` as well and are not split into tasks.
+    """
+    _csv_writer(df if multi_line else _one_line(df), mode, sep).csv(path)
+
+
 def export_split(df: DataFrame, path: str, max_rows: int, sep: str = ",") -> None:
     """CSV files of at most ``max_rows`` rows each (K4).
 
     The bound holds per output file; tasks write in parallel, so files hold
     up to ``max_rows`` rows, not exactly that many.
     """
-    (
-        df.write.mode("overwrite")
-        .option("header", True)
-        .option("sep", sep)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("maxRecordsPerFile", max_rows)
-        .csv(path)
-    )
+    _csv_writer(_one_line(df), "overwrite", sep).option("maxRecordsPerFile", max_rows).csv(path)
 
 
 def bulk_load(

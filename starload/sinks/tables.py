@@ -2,17 +2,20 @@
 
 A file table cannot be overwritten by a plan that reads it, and it takes no
 ``MERGE``.  ``SnapshotTable`` therefore writes every new state to a fresh
-version folder and then moves a small pointer; readers of the old version are
-not disturbed and a failed write leaves the pointer where it was.
+folder and names it in a small entry afterwards; entries are only ever added,
+so readers of an old version are not disturbed and a failed write leaves
+nothing that a reader would see.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -36,158 +39,132 @@ def overwrite_days(df: DataFrame, path: str, day_col: str = "day") -> None:
     )
 
 
-class SnapshotTable:
-    """Versioned table under ``root``: ``root/v000001``, ``root/v000002``, ...
+class ConcurrentWriteError(RuntimeError):
+    """Another writer published the same number first."""
+
 
-    The pointer ``root/_current`` is a one-row JSON table written by Spark, so
-    the layout works on any file system the cluster uses.
+class Entries:
+    """Numbered JSON entries under ``root``, one folder each, never overwritten.
+
+    The highest complete one is current; of two with the same number the one
+    with the smaller tag, and the other's writer gets an error.
     """
 
+    def __init__(self, spark: SparkSession, root: str, fields: str):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.schema = f"number BIGINT, tag STRING, {fields}"
+
+    def latest(self):
+        """The current entry as a row, None if there is none."""
+        try:
+            rows = self.spark.read.schema(self.schema).json(f"{self.root}/entry-*")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        return rows.orderBy(F.desc("number"), "tag").first()
+
+    def publish(self, tag: str, after: int, **values) -> None:
+        """Adds entry ``after + 1``; it counts once it is written completely."""
+        number = after + 1
+        row = self.spark.createDataFrame([{"number": number, "tag": tag, **values}], self.schema)
+        row.coalesce(1).write.mode("errorifexists").json(f"{self.root}/entry-{number:06d}-{tag}")
+        now = self.latest()
+        if (now["number"], now["tag"]) != (number, tag):
+            raise ConcurrentWriteError(f"another writer published number {now['number']} under {self.root}")
+
+
+def new_tag() -> str:
+    return uuid.uuid4().hex[:12]
+
+
+class SnapshotTable:
+    """Versioned table under ``root``: a folder for each version, and entries
+    that name them.  Folders of old versions stay readable until
+    the storage's owner removes them."""
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._known: int | None = None
-
-    def _pointer(self) -> str:
-        return f"{self.root}/_current"
-
-    def _version_path(self, version: int) -> str:
-        return f"{self.root}/v{version:06d}"
+        self.entries = Entries(spark, f"{self.root}/_versions", "path STRING")
 
     def current_version(self) -> int | None:
-        """The version readers see; remembered after this object's own write."""
-        if self._known is not None:
-            return self._known
-        try:
-            row = self.spark.read.schema("version BIGINT").json(self._pointer()).first()
-        except AnalysisException:
-            return None
-        return int(row["version"]) if row else None
+        row = self.entries.latest()
+        return row["number"] if row else None
 
     def exists(self) -> bool:
-        return self.current_version() is not None
+        return self.entries.latest() is not None
 
     def read(self) -> DataFrame:
-        version = self.current_version()
-        if version is None:
+        row = self.entries.latest()
+        if row is None:
             raise FileNotFoundError(f"no snapshot under {self.root}")
-        return self.spark.read.parquet(self._version_path(version))
+        return self.spark.read.parquet(row["path"])
 
     def replace(self, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
-        """Write ``df`` as the next version and point readers at it (K2)."""
-        version = (self.current_version() or 0) + 1
-        # nobody reads a version before the pointer names it, so the leftovers
-        # of a failed attempt at this version can simply be overwritten
-        writer = df.write.mode("overwrite")
+        """Write ``df`` as the next version, which readers then see (K2)."""
+        version = self.current_version() or 0
+        tag = new_tag()
+        path = f"{self.root}/v{version + 1:06d}-{tag}"
+        writer = df.write
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(self._version_path(version))
-        pointer = self.spark.range(1).select(F.lit(version).alias("version"))
-        pointer.coalesce(1).write.mode("overwrite").json(self._pointer())
-        self._known = version
-        return version
+        writer.parquet(path)
+        self.entries.publish(tag, version, path=path)
+        return version + 1
 
 
-class IdSequence:
-    """A serial counter kept next to a table (``root/_sequence``, one JSON row).
+class PeriodFolders:
+    """Facts in folders by the day or month of ``dt_col``.
 
-    Reading the last issued id from here costs one tiny file instead of a
-    scan of the id column of a large fact table.
+    A write makes a fresh set of folders and returns their paths; which folders
+    make up the table is for the caller to keep.  Rows without a date have a
+    folder of their own, which overlaps no range.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.path = f"{root.rstrip('/')}/_sequence"
-
-    def last(self) -> int:
-        try:
-            row = self.spark.read.schema("last BIGINT").json(self.path).first()
-        except AnalysisException:
-            return 0
-        return int(row["last"]) if row and row["last"] is not None else 0
-
-    def advance_to(self, value: int) -> None:
-        row = self.spark.range(1).select(F.lit(int(value)).cast("bigint").alias("last"))
-        row.coalesce(1).write.mode("overwrite").json(self.path)
+    NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 
-
-class PeriodPartitionedTable:
-    """A fact table under ``path`` partitioned by the day or month of ``dt_col``.
-
-    Appends add files; ``replace_periods`` rewrites only the partitions that
-    occur in its input (dynamic partition overwrite); reads of a date range
-    prune partitions.  The partition column is hidden from readers.  Months
-    keep the file count low when a day holds little data; days suit tables
-    where one day is many files' worth.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, dt_col: str = "dt", period: str = "month"):
+    def __init__(self, spark: SparkSession, dt_col: str = "dt", period: str = "month"):
         if period not in ("day", "month"):
             raise ValueError("period must be 'day' or 'month'")
         self.spark = spark
-        self.path = path.rstrip("/")
         self.dt_col = dt_col
         self.period = period
         self.part_col = f"{period}_start"
-        self._columns: list[str] | None = None
 
     def period_of(self, c) -> "F.Column":
         d = F.to_date(c)
         return d if self.period == "day" else F.trunc(d, "month")
 
-    def _with_period(self, df: DataFrame) -> DataFrame:
-        """Add the partition column and range-partition the rows on the date:
-        each write task then covers a short, contiguous stretch of days, so
-        it writes few partition folders (few files), a busy month is still
-        split over several tasks, and files come out ordered by date (tight
-        min/max statistics for pruning on ``dt``)."""
-        ranged = df.repartitionByRange(F.col(self.dt_col))
-        return ranged.withColumn(self.part_col, self.period_of(F.col(self.dt_col)))
+    def write(self, df: DataFrame, root: str, id_col: str = "id") -> list[str]:
+        """Write ``df`` under ``root``; the paths of the folders it fills.
 
-    def _visible(self, scan: DataFrame) -> DataFrame:
-        return scan.select(*(self._columns or [c for c in scan.columns if c != self.part_col]))
-
-    def create(self, df: DataFrame) -> None:
-        self._columns = list(df.columns)
-        self._with_period(df).write.mode("overwrite").partitionBy(self.part_col).parquet(self.path)
-
-    def read(self) -> DataFrame:
-        return self._visible(self.spark.read.parquet(self.path))
-
-    def in_periods(self, c, start, end) -> "F.Column":
-        """True when the period of ``c`` overlaps [start, end]."""
-        p = self.period_of(c)
-        return (p >= self.period_of(F.lit(str(start)[:10]))) & (
-            p <= self.period_of(F.lit(str(end)[:10])))
-
-    def read_periods(self, start=None, end=None, also: Sequence = ()) -> DataFrame:
-        """Rows of every partition overlapping [start, end] or listed in
-        ``also`` (partition start dates); a pruned scan."""
-        scan = self.spark.read.parquet(self.path)
-        part = F.col(self.part_col)
-        cond = F.lit(False)
-        if start is not None:
-            lo = self.period_of(F.lit(str(start)[:10]))
-            hi = self.period_of(F.lit(str(end)[:10]))
-            cond = (part >= lo) & (part <= hi)
-        if also:
-            cond = cond | part.isin(list(also))
-        return self._visible(scan.where(cond))
-
-    def periods_in(self, df: DataFrame) -> list:
-        """The partitions ``df``'s rows fall into: one value per calendar
-        period, so the list is bounded by the calendar, not by the rows."""
-        return [r[0] for r in df.select(self.period_of(F.col(self.dt_col))).distinct().collect()]
-
-    def append(self, df: DataFrame) -> None:
-        self._with_period(df).write.mode("append").partitionBy(self.part_col).parquet(self.path)
-
-    def replace_periods(self, df: DataFrame) -> None:
-        """Replace every partition present in ``df`` by ``df``'s rows.
-
-        ``df`` must not read this table's files (checkpoint it first).
+        The rows are range-partitioned on date and id: a task covers a short
+        stretch of days, so it writes few folders, one busy date is still split
+        over several tasks, and files have tight date bounds for pruning.  The
+        list has an entry for each calendar period, whatever the row count.
         """
-        overwrite_days(self._with_period(df), self.path, self.part_col)
+        dated = df.withColumn(self.part_col, self.period_of(F.col(self.dt_col)))
+        ranged = dated.repartitionByRange(self.dt_col, id_col)
+        ranged.write.partitionBy(self.part_col).parquet(root)
+        periods = [r[0] for r in dated.select(self.part_col).distinct().collect()]
+        return sorted(f"{root}/{self.part_col}={p if p is not None else self.NO_DATE}" for p in periods)
+
+    def read(self, folders: Sequence[str], schema: StructType) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*folders)
+
+    def overlapping(self, folders: Sequence[str], start, end) -> tuple[list[str], list[str]]:
+        """The folders whose period overlaps [start, end], and the others."""
+        first, last = str(start)[:10], str(end)[:10]
+        if self.period == "month":
+            first, last = f"{first[:7]}-01", f"{last[:7]}-01"
+        inside, outside = [], []
+        for folder in folders:
+            value = folder.rsplit("=", 1)[1]
+            (inside if value != self.NO_DATE and first <= value <= last else outside).append(folder)
+        return inside, outside
 
 
 def create_table_as(

@@ -8,16 +8,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 BOM = "\ufeff"
-MAX_BROADCAST_FILES = 100_000
 
+#: Stands for a field with nothing in it while a line is parsed; with Spark's own
+#: default, the empty text, ``""`` would read as NULL as well.
+NOTHING = "\u0000"
 
-def _csv_reader(spark: SparkSession, schema: StructType, sep: str, header: bool, mode: str):
+#: Column that takes the text of a malformed line in a lenient read.
+REJECTED = "_rejected"
+
+
+def _csv_reader(spark, schema: StructType, sep: str, header: bool, mode: str, multi_line: bool):
     return (
         spark.read.schema(schema)
         .option("header", header)
@@ -26,6 +32,11 @@ def _csv_reader(spark: SparkSession, schema: StructType, sep: str, header: bool,
         .option("escape", '"')
         .option("encoding", "UTF-8")
         .option("mode", mode)
+        # what the exports write: NULL as nothing, an empty text as ""
+        .option("emptyValue", "")
+        .option("nullValue", NOTHING)
+        .option("multiLine", multi_line)
+        .option("columnNameOfCorruptRecord", REJECTED)
     )
 
 
@@ -43,21 +54,45 @@ def read_delimited(
     schema: StructType,
     sep: str = "\t",
     header: bool = True,
-    mode: str = "PERMISSIVE",
+    mode: str = "FAILFAST",
+    multi_line: bool = False,
 ) -> DataFrame:
     """Delimited text with a declared schema; the header line is discarded and
-    columns are named by position (S1)."""
-    df = _csv_reader(spark, schema, sep, header, mode).csv(path)
+    columns are named by position (S1).
+
+    A line with too few or too many fields, or with a value that is not of its
+    column's type, raises when it is read; ``read_delimited_lenient`` keeps such
+    lines apart.  ``multi_line`` allows line ends inside quoted fields; files
+    are then not split into tasks.
+    """
+    df = _csv_reader(spark, schema, sep, header, mode, multi_line).csv(path)
     return df if header else _strip_bom(df)
 
 
+def read_delimited_lenient(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    schema: StructType,
+    sep: str = "\t",
+    header: bool = True,
+    multi_line: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """Well-formed rows; and the malformed ones: the columns as far as they could
+    be read, and the line as it stands in ``_rejected``."""
+    wide = StructType([*schema.fields, StructField(REJECTED, StringType())])
+    df = _csv_reader(spark, wide, sep, header, "PERMISSIVE", multi_line).csv(path)
+    df = df if header else _strip_bom(df)
+    good = df.where(F.col(REJECTED).isNull()).select(*[F.col(f"`{f.name}`") for f in schema.fields])
+    return good, df.where(F.col(REJECTED).isNotNull())
+
+
 def read_glob(
     spark: SparkSession,
     pattern: str | Sequence[str],
     schema: StructType,
     sep: str = ",",
     header: bool = True,
-    mode: str = "PERMISSIVE",
+    mode: str = "FAILFAST",
 ) -> DataFrame:
     """Every file matching a glob as one table (S2); files are split into tasks."""
     return read_delimited(spark, pattern, schema, sep=sep, header=header, mode=mode)
@@ -76,28 +111,18 @@ def read_first_column(
     Lines are numbered within their file without an RDD or a per-file task:
     the lines of a file's first block are consecutive in one task, so their
     ``monotonically_increasing_id`` minus the smallest one of the file is the
-    line number.  Only the first block can hold the lead lines.
+    line number.  Only the first block can hold the lead lines, and it is at
+    most one block a file, so that is all that a window sees of a file.
     """
-    text = spark.read.text(path)
-    lines = text.select(
+    lines = spark.read.text(path).select(
         F.col("value"),
         F.col("_metadata.file_path").alias("__file"),
         F.col("_metadata.file_block_start").alias("__block"),
         F.monotonically_increasing_id().alias("__mid"),
     )
     head = lines.where(F.col("__block") == 0)
-    first = head.groupBy("__file").agg(F.min("__mid").alias("__first"))
-    # The per-file table has one row per input file, and the driver already
-    # holds the file list, so its size is known: broadcast it while the list
-    # is moderate (the lines then keep their order).  Only first blocks meet
-    # it, so one large file cannot put all of its lines into one join task.
-    if len(text.inputFiles()) <= MAX_BROADCAST_FILES:
-        first = F.broadcast(first)
-    kept_head = (
-        head.join(first, "__file")
-        .where(F.col("__mid") - F.col("__first") > skip_rows)
-        .select("value")
-    )
+    number = F.col("__mid") - F.min("__mid").over(Window.partitionBy("__file"))
+    kept_head = head.withColumn("__line", number).where(F.col("__line") > skip_rows).select("value")
     rest = lines.where(F.col("__block") != 0).select("value")
     value = F.regexp_replace(F.col("value"), "^" + BOM, "")
     return kept_head.unionByName(rest).select(

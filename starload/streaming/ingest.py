@@ -3,20 +3,22 @@
 The export files of a folder are taken a few files per micro-batch, renamed by
 position, typed, and appended to a Parquet table.  The checkpoint records which
 files were committed, so a rerun (or a restart after a lost executor or
-driver) appends only files it has not seen: the sink is exactly-once.
+driver) appends only files it has not seen.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from starload.functions.dates import EXPORT_DATE_FORMAT, parse_date
 from starload.functions.numbers import cast_int
+from starload.sources.files import NOTHING
 
 # Column names of the chunked sales export, by position.
 CHUNK_COLUMNS = ["dt", "client_id", "product_id", "amount"]
@@ -37,6 +39,9 @@ def type_sales_chunk(df: DataFrame, date_format: str = EXPORT_DATE_FORMAT) -> Da
     )
 
 
+_BATCH = "batch_id BIGINT, rows BIGINT, bad_dates BIGINT, elapsed_ms BIGINT"
+
+
 def ingest_chunks(
     spark: SparkSession,
     in_dir: str,
@@ -46,46 +51,68 @@ def ingest_chunks(
     width: int = len(CHUNK_COLUMNS),
     transform: Callable[[DataFrame], DataFrame] = type_sales_chunk,
     sep: str = ",",
+    date_col: str = "dt",
+    mode: str = "FAILFAST",
 ) -> StreamingQuery:
     """Append every file of ``in_dir`` not yet ingested, ``files_per_batch``
-    files per micro-batch, then stop (T1).  Returns the finished query."""
+    files per micro-batch, then stop (T1).  Returns the finished query.
+
+    A batch writes its rows to ``out_path/batch=<id>`` and then one record of
+    itself to ``out_path-batches/batch=<id>``; a batch that is run again after a
+    failure replaces its own folders, so the table is exactly-once.  A malformed
+    line fails the batch; a date that does not parse becomes NULL and is counted
+    in the record.
+    """
     raw = (
         spark.readStream.schema(text_schema([f"_c{i}" for i in range(width)]))
         .option("header", True)
         .option("sep", sep)
         .option("quote", '"')
         .option("escape", '"')
+        .option("emptyValue", "")
+        .option("nullValue", NOTHING)
+        .option("mode", mode)
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(in_dir)
     )
+    out_path = out_path.rstrip("/")
+
+    def store(batch: DataFrame, number: int) -> None:
+        began = time.monotonic()
+        seen = Observation()
+        counted = batch.observe(
+            seen,
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.col(date_col).isNull()).alias("bad_dates"),
+        )
+        counted.write.mode("overwrite").parquet(f"{out_path}/batch={number}")
+        n = seen.get
+        record = (number, n["rows"], n["bad_dates"], int(1000 * (time.monotonic() - began)))
+        spark.createDataFrame([record], _BATCH).coalesce(1).write.mode("overwrite").json(
+            f"{out_path}-batches/batch={number}")
+
     query = (
         transform(raw)
-        .writeStream.format("parquet")
-        .option("path", out_path)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
+        .writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
+        .foreachBatch(store)
         .start()
     )
     query.awaitTermination()
     return query
 
 
-def batch_report(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Per micro-batch: id, input rows and elapsed milliseconds.
+def read_ingested(spark: SparkSession, out_path: str) -> DataFrame:
+    """The rows of all batches."""
+    return spark.read.parquet(out_path.rstrip("/")).drop("batch")
+
+
+def batch_report(spark: SparkSession, out_path: str) -> DataFrame:
+    """Every micro-batch that ``ingest_chunks`` has stored: id, rows, rows without
+    a valid date, elapsed milliseconds (T2).
 
-    Built from the query's progress records, which the driver keeps anyway
-    (one small record per batch).
+    The records lie next to the table, one small file for each batch, so none is
+    forgotten however many there are, and none passes through the driver here.
     """
-    rows = [
-        (
-            int(p["batchId"]),
-            int(p.get("numInputRows", 0)),
-            int(p.get("durationMs", {}).get("triggerExecution", 0)),
-        )
-        for p in query.recentProgress
-        if p.get("numInputRows", 0) > 0
-    ]
-    return spark.createDataFrame(rows, "batch_id BIGINT, rows BIGINT, elapsed_ms BIGINT").orderBy(
-        F.col("batch_id")
-    )
+    return spark.read.schema(_BATCH).json(f"{out_path.rstrip('/')}-batches").select(
+        "batch_id", "rows", "bad_dates", "elapsed_ms").orderBy("batch_id")

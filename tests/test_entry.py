@@ -5,12 +5,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from starload.plans import registry  # noqa: E402
 from conftest import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 # queries whose result has no SQL equivalent (checked for rows only)
-ROWS_ONLY = {"chunk_batches"}
 
 
 def _norm(rows):
@@ -35,17 +35,15 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_an_oracle_or_is_rows_only():
-    assert set(entry_module.queries()) - set(entry_module.oracle_sql()) == ROWS_ONLY
+def test_every_query_has_an_oracle():
+    assert set(registry.QUERIES) == set(registry.ORACLES)
+    assert set(registry.QUERIES) <= set(entry_module.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_matches_oracle(spark, oracle, name):
     df = entry_module.queries()[name](spark, SF_SMALL)
     rows = df.collect()
-    if name in ROWS_ONLY:
-        assert len(rows) >= 1
-        return
     res = oracle.execute(entry_module.oracle_sql()[name])
     cols = [d[0] for d in res.description]
     assert sorted(cols) == sorted(df.columns)
@@ -60,3 +58,16 @@ def test_plans_stay_in_the_jvm(spark, name):
     df = entry_module.queries()[name](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "EvalPython" not in plan and "PythonUDF" not in plan
+
+
+def test_the_flagship_filter_reaches_the_scan(spark):
+    plan = entry_module.queries()["sales_report"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and "l_linestatus" in line)
+    pushed = scan[scan.index("PushedFilters"):]
+    assert "EqualTo(l_linestatus,O)" in pushed and "EqualTo(l_returnflag,R)" in pushed
+
+
+def test_the_plan_report_looks_up_once(spark):
+    joins = [entry_module.queries()[q](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+             for q in ("plan_report", "plan_report_sql")]
+    assert joins[0] == joins[1]

@@ -43,7 +43,7 @@ def test_missing_fact_is_not_met(spark):
 def test_table_function_and_dynamic_filter(spark):
     spark.createDataFrame([(i, f"m{i}", v) for i, v in enumerate([10, 20, 10, 40, 50], 1)],
                           "id bigint, manager string, val bigint").createOrReplaceTempView("sales_tf")
-    register_filter_table(spark, "filter_sales", "sales_tf", "val", "id BIGINT, manager STRING, val BIGINT")
+    register_filter_table(spark, "filter_sales", "sales_tf", "val", [("id", "BIGINT"), ("manager", "STRING"), ("val", "BIGINT")])
     a = sorted(tuple(r) for r in spark.sql("SELECT * FROM filter_sales(10)").collect())
     b = sorted(tuple(r) for r in filter_table_dynamic(
         spark, "SELECT * FROM sales_tf WHERE val = :v", v=10).collect())
@@ -58,10 +58,30 @@ def test_stream_ingest_equals_batch_and_restart_adds_nothing(spark, tmp_dir):
         (F.col("id") * 10).cast("string").alias("amount"),
     )
     export_split(rows.repartition(3), f"{tmp_dir}/in", 10)
-    q = ingest_chunks(spark, f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ckpt", files_per_batch=2)
-    report = batch_report(spark, q).collect()
+    ingest_chunks(spark, f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ckpt", files_per_batch=2)
+    report = batch_report(spark, f"{tmp_dir}/out").collect()
     assert sum(r["rows"] for r in report) == 90 and len(report) >= 2
     out = spark.read.parquet(f"{tmp_dir}/out")
     assert out.count() == 90 and out.agg(F.sum("amount")).first()[0] == sum(range(90)) * 10
     ingest_chunks(spark, f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ckpt", files_per_batch=2)
     assert spark.read.parquet(f"{tmp_dir}/out").count() == 90
+
+
+def test_more_than_a_hundred_batches_are_all_reported(spark, tmp_dir):
+    import os
+
+    os.makedirs(f"{tmp_dir}/in")
+    for i in range(103):
+        with open(f"{tmp_dir}/in/{i:03d}.csv", "w", encoding="utf-8") as f:
+            f.write(f"dt,c,p,s\n1.1.2016,1,2,3\n{'oops' if i == 50 else '2.1.2016'},1,2,3\n")
+    ingest_chunks(spark, f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ckpt")
+    report = batch_report(spark, f"{tmp_dir}/out").collect()
+    assert len(report) == 103 and {r["rows"] for r in report} == {2}
+    assert sum(r["bad_dates"] for r in report) == 1
+
+
+def test_table_function_with_a_decimal_column(spark):
+    spark.createDataFrame([(1, "5.25"), (2, "6.50")], "id bigint, v string").select(
+        "id", F.col("v").cast("decimal(10,2)").alias("v")).createOrReplaceTempView("dec_t")
+    register_filter_table(spark, "dec_f", "dec_t", "id", [("id", "BIGINT"), ("v", "DECIMAL(10,2)")])
+    assert [str(r["v"]) for r in spark.sql("SELECT v FROM dec_f(2)").collect()] == ["6.50"]

@@ -64,6 +64,24 @@ def test_upsert_rejects_duplicate_source_keys(spark):
         upsert(target, source, ["name"], T2).collect()
 
 
+def test_upsert_inserts_repeated_keys_without_a_target_row(spark):
+    target = _target(spark)
+    source = spark.createDataFrame([("a", "1"), ("n", "2"), ("n", "3")], "name string, attr string")
+    out = upsert(target, source, ["name"], T2).collect()
+    assert sorted(r["attr"] for r in out if r["name"] == "n") == ["2", "3"]
+    assert len({r["id"] for r in out}) == len(out)
+
+
+def test_ids_without_an_order(spark):
+    from starload.operators.keys import assign_keys_unordered
+
+    df = spark.range(0, 1000).withColumn("v", F.lit(1)).repartition(7)
+    keyed, last = assign_keys_unordered(df.drop("id").withColumn("w", F.lit(2)), start=50)
+    assert last == 1050 and sorted(r["id"] for r in keyed.collect()) == list(range(51, 1051))
+    empty, last = assign_keys_unordered(df.where("id < 0").drop("id"), start=3)
+    assert last == 3 and empty.collect() == []
+
+
 def test_empty_source_expires_everything(spark):
     target = _target(spark)
     source = spark.createDataFrame([], "name string, attr string")

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
@@ -136,25 +137,78 @@ def test_snapshot_pointer_is_read_by_another_handle(spark, tmp_dir):
     assert sorted(r[0] for r in reader.read().collect()) == [0, 1]
 
 
-def test_period_table_rewrites_only_touched_months_and_sequence(spark, tmp_dir):
+def test_versions_survive_a_lost_entry_and_a_second_writer(spark, tmp_dir):
+    from starload.sinks.tables import ConcurrentWriteError
+
+    one, two = (SnapshotTable(spark, f"{tmp_dir}/snap3") for _ in range(2))
+    one.replace(spark.range(5))
+    two.replace(spark.range(2))
+    assert one.current_version() == two.current_version() == 2 and one.read().count() == 2
+    # a version whose entry was never written is not seen, and not written over
+    spark.range(9).write.parquet(f"{tmp_dir}/snap3/v000003-lost")
+    one.replace(spark.range(4))
+    assert two.read().count() == 4 and spark.read.parquet(f"{tmp_dir}/snap3/v000003-lost").count() == 9
+    one.entries.publish("b", 3, path="x")
+    with pytest.raises(ConcurrentWriteError):
+        two.entries.publish("c", 3, path="y")
+    assert one.entries.latest()["path"] == "x"
+
+
+def test_period_folders(spark, tmp_dir):
     import datetime as dt
 
-    from starload.sinks.tables import IdSequence, PeriodPartitionedTable
+    from starload.sinks.tables import PeriodFolders
 
-    t = PeriodPartitionedTable(spark, f"{tmp_dir}/facts", period="month")
+    t = PeriodFolders(spark, period="month")
     rows = [(1, dt.datetime(2016, 1, 5), 10), (2, dt.datetime(2016, 2, 5), 20),
-            (3, dt.datetime(2016, 3, 5), 30)]
-    t.create(spark.createDataFrame(rows, "id long, dt timestamp_ntz, v int"))
-    feb = t.read_periods("2016-02-10", "2016-02-11").collect()
-    assert [r["id"] for r in feb] == [2]
-    # February replaced by a frozen, changed copy plus a new row
-    changed = t.read_periods("2016-02-01", "2016-02-28").withColumn("v", F.col("v") + 1).checkpoint()
-    new = spark.createDataFrame([(4, dt.datetime(2016, 2, 20), 40)], "id long, dt timestamp_ntz, v int")
-    t.replace_periods(changed.unionByName(new))
-    got = sorted((r["id"], r["v"]) for r in t.read().collect())
-    assert got == [(1, 10), (2, 21), (3, 30), (4, 40)]
-
-    seq = IdSequence(spark, f"{tmp_dir}/seq")
-    assert seq.last() == 0
-    seq.advance_to(4)
-    assert IdSequence(spark, f"{tmp_dir}/seq").last() == 4
+            (3, dt.datetime(2016, 3, 5), 30), (4, None, 40)]
+    df = spark.createDataFrame(rows, "id long, dt timestamp_ntz, v int")
+    folders = t.write(df, f"{tmp_dir}/facts")
+    assert sorted(r["id"] for r in t.read(folders, df.schema).collect()) == [1, 2, 3, 4]
+    inside, outside = t.overlapping(folders, "2016-02-10", "2016-02-11")
+    assert [r["id"] for r in t.read(inside, df.schema).collect()] == [2]
+    assert sorted(r["id"] for r in t.read(outside, df.schema).collect()) == [1, 3, 4]
+    assert t.read([], df.schema).collect() == []
+
+
+def test_facts_of_one_date_are_written_by_several_tasks(spark, tmp_dir):
+    import glob
+
+    from starload.sinks.tables import PeriodFolders
+
+    df = spark.range(200_000).select("id", F.lit("2016-01-05").cast("timestamp_ntz").alias("dt"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        PeriodFolders(spark).write(df, f"{tmp_dir}/one-date")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(glob.glob(f"{tmp_dir}/one-date/month_start=2016-01-01/*.parquet")) > 1
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_csv_gives_back_what_it_got(spark, tmp_dir, multi_line):
+    values = ["", None, " a", "b ", "  ", 'say "hi"', "a,b", "back\\slash", "\ttab", '"', "''", "\\"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v string")
+    export_csv(df, f"{tmp_dir}/csv", multi_line=multi_line)
+    back = read_delimited(spark, f"{tmp_dir}/csv", df.schema, sep=",", multi_line=multi_line)
+    assert [r["v"] for r in back.orderBy("id").collect()] == values
+    lines = spark.createDataFrame([(1, "two\nlines")], "id int, v string")
+    if not multi_line:
+        with pytest.raises(Exception, match="(?i)malformed|line end"):
+            export_csv(lines, f"{tmp_dir}/csv2")
+    else:
+        export_csv(lines, f"{tmp_dir}/csv2", multi_line=True)
+        back = read_delimited(spark, f"{tmp_dir}/csv2", df.schema, sep=",", multi_line=True)
+        assert [tuple(r) for r in back.collect()] == [(1, "two\nlines")]
+
+
+def test_malformed_lines_raise_or_are_kept_apart(spark, tmp_dir):
+    from starload.sources.files import read_delimited_lenient
+
+    _write(f"{tmp_dir}/bad.csv", "a,b\n1,x\n2,y,z\nq,w\n3\n4,v\n")
+    schema = StructType([StructField("a", IntegerType()), StructField("b", StringType())])
+    with pytest.raises(Exception, match="(?i)malformed|line end"):
+        read_delimited(spark, f"{tmp_dir}/bad.csv", schema, sep=",").collect()
+    good, bad = read_delimited_lenient(spark, f"{tmp_dir}/bad.csv", schema, sep=",")
+    assert sorted(tuple(r) for r in good.collect()) == [(1, "x"), (4, "v")]
+    assert sorted(r["_rejected"] for r in bad.collect()) == ["2,y,z", "3", "q,w"]

@@ -29,7 +29,7 @@ def test_clean_all_text_is_null_safe_and_honours_exclusions(spark):
 @pytest.mark.parametrize(
     "text, expected",
     [("1\u00a0234,56", 1234), ("-3,9", -3), ("42", 42), ("0,5", 0), ("abc", None), (None, None),
-     ("1\u00a0000\u00a0000", 1000000)],
+     ("1\u00a0000\u00a0000", 1000000), ("5d", None), ("7f", None), ("NaN", None), ("1e3", 1000), (".5", 0)],
 )
 def test_parse_number_lenient(spark, text, expected):
     df = spark.createDataFrame([(text,)], "s string")
@@ -42,6 +42,12 @@ def test_parse_number_strict_raises(spark):
         df.select(parse_number("s", strict=True)).collect()
 
 
+@pytest.mark.parametrize("text", ["5d", "7f", "0x1p3", "Infinity"])
+def test_parse_number_strict_refuses_what_only_java_reads(spark, text):
+    with pytest.raises(Exception):
+        spark.createDataFrame([(text,)], "s string").select(parse_number("s", strict=True)).collect()
+
+
 def test_try_int_keeps_text(spark):
     df = spark.createDataFrame([("12",), ("c_1",)], "s string")
     assert [tuple(r) for r in df.select("s", try_int("s")).collect()] == [("12", 12), ("c_1", None)]

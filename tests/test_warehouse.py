@@ -6,6 +6,7 @@ whitespace noise, a misspelt counterparty)."""
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from starload.plans.warehouse import read_exports, sales_report, stage_initial_load, stage_update
@@ -174,13 +175,85 @@ def test_resolve_facts_nulls_unknowns_and_fan_out(spark):
                    (4, None, 2, None, 7)]
 
 
-def test_warehouse_job_rejects_a_load_timestamp_that_does_not_increase(spark, tmp_dir):
-    import pytest
-
+def _job(spark, tmp_dir, name="wh"):
     from starload.plans.warehouse import WarehouseJob
 
-    job = WarehouseJob(spark, f"{tmp_dir}/wh2")
-    job._record_load("2016-02-01 00:00:00")
+    return WarehouseJob(spark, f"{tmp_dir}/{name}")
+
+
+def _first(spark, tmp_dir):
+    return read_exports(spark, *_exports(f"{tmp_dir}/l1", FIRST_SALES, FIRST_COUNTERPARTIES,
+                                         ["Ассорти", "Барбарис", "Грильяж"]))
+
+
+def _march(spark, tmp_dir):
+    line = _sales_line("03.03.2016 15:00:00", "ООО Ромашка", "Прокупатель 1", "Договор 1", "1", "Барбарис", "10")
+    return read_exports(spark, *_exports(f"{tmp_dir}/l2", [line], FIRST_COUNTERPARTIES, ["Ассорти", "Барбарис"]))
+
+
+def test_warehouse_job_rejects_a_load_timestamp_that_does_not_increase(spark, tmp_dir):
+    job = _job(spark, tmp_dir)
+    src = _first(spark, tmp_dir)
+    job.initial_load(src, "2016-02-01 00:00:00")
     with pytest.raises(ValueError):
-        job._record_load("2016-02-01 00:00:00")
-    job._record_load("2016-02-02 00:00:00")
+        job.update(src, "2016-02-01 00:00:00")
+    job.update(_march(spark, tmp_dir), "2016-02-02 00:00:00")
+    # the job publishes the report as a named view
+    assert _rows(spark.table("mart_sales_report")) == _rows(job.report())
+
+
+def test_append_adds_folders_and_replace_rewrites_overlapping_ones(spark, tmp_dir):
+    job = _job(spark, tmp_dir)
+    job.initial_load(_first(spark, tmp_dir), "2016-02-01 00:00:00")
+    first = set(job.loads.latest()["facts"])
+    job.update(_march(spark, tmp_dir), "2016-03-01 00:00:00")
+    second = set(job.loads.latest()["facts"])
+    assert first < second and len(second) == len(first) + 1
+    job.update(_march(spark, tmp_dir), "2016-04-01 00:00:00", mode="replace", start="2016-03-01", end="2016-03-05")
+    third = set(job.loads.latest()["facts"])
+    assert first < third and not (second - first) & third
+    facts = job.stage().sales.collect()
+    assert sorted(r["id"] for r in facts) == [1, 2, 3, 4, 5]
+    assert [r["is_actual"] for r in sorted(facts, key=lambda r: r["id"])] == [True, True, True, False, True]
+
+
+@pytest.mark.parametrize("step", ["land_exports", "check_landing", "update_dimensions", "flag_range", "publish"])
+def test_a_failed_load_is_not_seen_and_can_be_repeated(spark, tmp_dir, monkeypatch, step):
+    from starload.plans import warehouse
+    from starload.sinks.tables import Entries
+
+    job = _job(spark, tmp_dir)
+    job.initial_load(_first(spark, tmp_dir), "2016-02-01 00:00:00")
+    before = {n: _rows(getattr(job.stage(), n)) for n in ("sales", "nomenclature", "counterparties")}
+
+    def fail(*_, **__):
+        raise RuntimeError("lost")
+
+    how = {"mode": "replace", "start": "2016-01-12", "end": "2016-01-12"}
+    with monkeypatch.context() as m:
+        m.setattr(Entries if step == "publish" else warehouse, step, fail)
+        with pytest.raises(RuntimeError):
+            job.update(_march(spark, tmp_dir), "2016-03-01 00:00:00", **how)
+    assert {n: _rows(getattr(job.stage(), n)) for n in before} == before
+    after = job.update(_march(spark, tmp_dir), "2016-03-01 00:00:00", **how)
+    assert sorted(r["id"] for r in after.sales.collect()) == [1, 2, 3, 4]
+
+
+@pytest.mark.parametrize("change", [
+    {"sales": {"dt": None}}, {"sales": {"amount": None}}, {"contracts": {"contract": "x" * 51}},
+    {"counterparties": {"full_name_company": None}}, {"nomenclature": {"nomenclature": "y" * 251}},
+])
+def test_gates_refuse_missing_and_over_long_values(spark, tmp_dir, change):
+    from dataclasses import replace
+
+    from starload.operators.quality import ConstraintViolation
+
+    src = _first(spark, tmp_dir)
+    (table, values), = change.items()
+    frame = getattr(src, table)
+    for column, value in values.items():
+        frame = frame.withColumn(column, F.lit(value).cast(frame.schema[column].dataType))
+    job = _job(spark, tmp_dir)
+    with pytest.raises(ConstraintViolation):
+        job.initial_load(replace(src, **{table: frame}), "2016-02-01 00:00:00")
+    assert job.loads.latest() is None
