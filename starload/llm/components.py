@@ -13,7 +13,7 @@ def _towards_least(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m"))
     least = least.select("a", F.least("a", "m").alias("m"))
-    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _down(edges: DataFrame) -> DataFrame:
@@ -23,6 +23,12 @@ def _down(edges: DataFrame) -> DataFrame:
     return rest.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
+def _mark(edges: DataFrame) -> tuple:
+    """Tells two sets of edges apart: their number, and a sum of their hashes."""
+    part = F.xxhash64("a", "b").cast("decimal(38,0)")
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(part)).first())
+
+
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     """``node, root`` for all nodes of ``links`` (``a, b``) but the roots, which
     are the least nodes of their components.
@@ -30,13 +36,10 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     The number of rounds grows with the logarithm of a component's width; each
     round is written to the shared folder.  No node's neighbours are collected.
     """
-    links = links.where("a != b")
-    edges = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    edges = materialize(spark, edges, "edges")
-    while True:
-        # edges lead from larger to smaller nodes before and after both steps
-        after = materialize(spark, _down(_towards_least(edges)), "edges")
-        changed = after.join(edges, ["a", "b"], "left_anti")
-        if changed.isEmpty() and after.count() == edges.count():
-            return after.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        edges = after
+    # edges lead from larger to smaller nodes before and after each round
+    edges = links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    edges, mark = materialize(spark, edges.distinct(), "edges"), None
+    while mark != (now := _mark(edges)):
+        mark = now
+        edges = materialize(spark, _down(_towards_least(edges)), "edges")
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
