@@ -151,17 +151,18 @@ def _texts(spark: SparkSession, docs: DataFrame, reps: DataFrame, buckets: DataF
     """``node, text`` of the members of buckets.  Where rows repeat an
     identifier, the node's text is the one with the node's set."""
 
-    @F.pandas_udf("hi long, lo long")
-    def set_id(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([_set_id(shingles(t, k)) for t in texts], columns=["hi", "lo"])
+    # asked about both sides of the join, so that only texts that met a node are hashed
+    @F.pandas_udf("boolean")
+    def has_set(texts: pd.Series, his: pd.Series, los: pd.Series) -> pd.Series:
+        rows = zip(texts, his, los, strict=True)
+        return pd.Series([_set_id(shingles(t, k)) == (hi, lo) for t, hi, lo in rows], dtype=bool)
 
     wanted = reps.join(buckets.select("node").distinct(), "node", "left_semi").select(
         "node", F.col("id").alias("_id"), "set_hi", "set_lo"
     )
     found = docs.select("id", F.col("text").cast("binary").alias("text"))
     found = found.join(wanted, F.col("id").eqNullSafe(F.col("_id")))
-    found = found.withColumn("s", set_id("text"))
-    found = found.where((F.col("s.hi") == F.col("set_hi")) & (F.col("s.lo") == F.col("set_lo")))
+    found = found.where(has_set("text", "set_hi", "set_lo"))
     return materialize(spark, found.select("node", "text"), "texts")
 
 
@@ -207,8 +208,11 @@ def near_duplicates(
     reps = sketch.where("n_shingles > 0").groupBy("set_hi", "set_lo").agg(
         F.min("id").alias("id"), F.any_value("sig").alias("sig")
     )
+    # nodes are numbered in the order of identifiers: an original mostly comes before
+    # its copies, and as the first of its buckets it is what they are compared with
+    ordered = reps.repartitionByRange("id", "set_hi").sortWithinPartitions("id", "set_hi")
     reps = materialize(
-        spark, reps.select(F.monotonically_increasing_id().alias("node"), "*"), "nodes"
+        spark, ordered.select(F.monotonically_increasing_id().alias("node"), "*"), "nodes"
     )
     buckets = _buckets(spark, reps)
     texts = _texts(spark, docs, reps, buckets, k)
