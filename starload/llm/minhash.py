@@ -1,6 +1,6 @@
 """Near-duplicate documents by MinHash signatures and a multi-index Hamming join.
 
-A signature holds ``CHUNKS * WIDTH`` symbols of 15 bits, each the end of one
+A signature holds ``CHUNKS * WIDTH`` symbols of 12 bits, each the end of one
 minimum hash over a document's word shingles; two documents differ in a symbol
 with the chance ``1 - similarity``.  If two signatures differ in at most
 ``MAX_DISTANCE = 2 * CHUNKS - 1`` symbols, then by the pigeonhole principle some
@@ -10,15 +10,18 @@ of the errors allowed.  All pairs within the distance meet in some bucket.  At
 a similarity of 0.8 a distance above the limit has a chance of 1 in 8,000.
 
 Only connected components are asked for, so no bucket is expanded into pairs
-at once.  First each member is compared with its bucket's first member; then
-members of one bucket are compared only where they are in different components
-still, so a large group of copies costs one comparison a member.  Pairs are
-checked on the signatures' distance and then confirmed on the full sets.
+at once.  First each member is compared with its bucket's first member, then
+with another one drawn by hash, which takes in nearly all of a large group of
+copies at a few comparisons a member.  Last, members of one bucket that are
+in different components still are compared, each pair in one of the buckets
+that it shares.  Pairs are checked on the signatures' distance and then
+confirmed on the full sets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -30,8 +33,10 @@ from starload.llm.components import components
 
 CHUNKS, WIDTH = 13, 5
 SYMBOLS = CHUNKS * WIDTH
-BITS = 15
-LONGS = -(-SYMBOLS // 4)
+BITS = 12
+
+#: Orders by which second comparison partners are drawn.
+DRAWS = 16
 MAX_DISTANCE = 2 * CHUNKS - 1
 
 #: Multipliers (odd) and offsets of the hash functions, from a counter.
@@ -63,7 +68,7 @@ def shingles(text: bytes | None, k: int) -> np.ndarray:
 
 
 def signature(hashes: np.ndarray) -> np.ndarray:
-    """15-bit ends of the minimum hashes."""
+    """12-bit ends of the minimum hashes."""
     least = np.full(SYMBOLS, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(hashes), _BLOCK):
         some = hashes[at : at + _BLOCK] ^ _OFFSET[:, None]
@@ -73,41 +78,42 @@ def signature(hashes: np.ndarray) -> np.ndarray:
 
 
 def pack(symbols: np.ndarray) -> np.ndarray:
-    """Four symbols in each 64-bit integer, sign bit free."""
-    padded = np.zeros(4 * LONGS, np.uint64)
-    padded[:SYMBOLS] = symbols
-    lanes = padded.reshape(LONGS, 4) << (np.uint64(BITS) * np.arange(4, dtype=np.uint64))
+    """The symbols of each chunk in one integer."""
+    lanes = symbols.reshape(CHUNKS, WIDTH) << (np.uint64(BITS) * np.arange(WIDTH, dtype=np.uint64))
     return np.bitwise_or.reduce(lanes, axis=1).view(np.int64)
 
 
-def unpack(packed: np.ndarray) -> np.ndarray:
-    lanes = packed.view(np.uint64)[:, None] >> (np.uint64(BITS) * np.arange(4, dtype=np.uint64))
-    return (lanes & np.uint64((1 << BITS) - 1)).ravel()[:SYMBOLS]
+def index_keys(packed: np.ndarray) -> np.ndarray:
+    """For each chunk and each symbol left out of it, a key of the others."""
+    lane = np.uint64((1 << BITS) - 1) << (np.uint64(BITS) * np.arange(WIDTH, dtype=np.uint64))
+    return mix((packed.view(np.uint64)[:, None] & ~lane) ^ _SALT).ravel().view(np.int64)
+
+
+def errors(a: Column, b: Column) -> list[Column]:
+    """Number of symbols in which each chunk of two packed signatures differs."""
+    rest = sum(((1 << (BITS - 1)) - 1) << (BITS * i) for i in range(WIDTH))
+    tops = sum((1 << (BITS - 1)) << (BITS * i) for i in range(WIDTH))
+    differ = [a[i].bitwiseXOR(b[i]) for i in range(CHUNKS)]
+    # a lane's top bit is set by the sum if any lower bit differs
+    return [F.bit_count((x.bitwiseAND(rest) + rest).bitwiseOR(x).bitwiseAND(tops)) for x in differ]
 
 
 def distance(a: Column, b: Column) -> Column:
     """Number of symbols in which two packed signatures differ."""
-    rest = sum(((1 << (BITS - 1)) - 1) << (BITS * i) for i in range(4))
-    tops = sum((1 << (BITS - 1)) << (BITS * i) for i in range(4))
-    total = F.lit(0)
-    for i in range(LONGS):
-        x = a[i].bitwiseXOR(b[i])
-        # a lane's top bit is set by the sum if any lower bit differs
-        total = total + F.bit_count((x.bitwiseAND(rest) + rest).bitwiseOR(x).bitwiseAND(tops))
-    return total
+    return reduce(Column.__add__, errors(a, b))
 
 
-def index_keys(symbols: np.ndarray) -> np.ndarray:
-    """For each chunk and each symbol left out of it, a key of the others."""
-    chunk = symbols.reshape(CHUNKS, WIDTH)
-    keys = np.empty((CHUNKS, WIDTH), np.uint64)
-    for out in range(WIDTH):
-        packed = np.zeros(CHUNKS, np.uint64)
-        for i in range(WIDTH):
-            if i != out:
-                packed = (packed << np.uint64(BITS)) | chunk[:, i]
-        keys[:, out] = mix(packed ^ _SALT[:, out])
-    return keys.ravel().view(np.int64)
+def first_shared(a: Column, b: Column) -> Column:
+    """Place of the first key that two packed signatures share: in the first
+    chunk with at most one error, the key without that error, or the first."""
+    found = F.lit(None).cast("int")
+    for i, wrong in reversed(list(enumerate(errors(a, b)))):
+        differ = a[i].bitwiseXOR(b[i])
+        at = F.lit(0)
+        for lane in range(1, WIDTH):
+            at = F.when(F.shiftrightunsigned(differ, BITS * lane) != 0, lane).otherwise(at)
+        found = F.when(wrong <= 1, i * WIDTH + at).otherwise(found)
+    return found
 
 
 def _set_id(hashes: np.ndarray) -> tuple[int, int]:
@@ -135,16 +141,26 @@ def sketches(spark: SparkSession, docs: DataFrame, k: int) -> DataFrame:
 
 
 def _buckets(spark: SparkSession, reps: DataFrame) -> DataFrame:
-    """``key, node, pivot`` of all buckets with more than one member."""
+    """``key, slot, node, pivot`` of all buckets with more than one member; the
+    slot is the key's place among a node's keys, the pivot the first member."""
 
     @F.pandas_udf("array<long>")
     def keys_of(sigs: pd.Series) -> pd.Series:
-        return pd.Series([index_keys(unpack(np.asarray(s, np.int64))) for s in sigs])
+        return pd.Series([index_keys(np.asarray(s, np.int64)) for s in sigs])
 
-    keys = reps.select("node", F.explode(keys_of("sig")).alias("key"))
+    keys = reps.select("node", F.posexplode(keys_of("sig")).alias("slot", "key"))
     pivots = keys.groupBy("key").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("n"))
     shared = keys.join(pivots.where("n > 1").drop("n"), "key")
-    return materialize(spark, shared.select("key", "node", "pivot"), "buckets")
+    return materialize(spark, shared.select("key", "slot", "node", "pivot"), "buckets")
+
+
+def _apart(spark: SparkSession, buckets: DataFrame, joined: DataFrame) -> DataFrame:
+    """``key, slot, node, root`` of buckets whose members are in several components."""
+    members = buckets.select("key", "slot", "node").join(joined, "node", "left")
+    members = members.withColumn("root", F.coalesce("root", "node"))
+    split = members.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    members = members.join(split.where("lo != hi").select("key"), "key")
+    return materialize(spark, members, "members")
 
 
 def _texts(spark: SparkSession, docs: DataFrame, reps: DataFrame, buckets: DataFrame, k: int) -> DataFrame:
@@ -218,23 +234,34 @@ def near_duplicates(
     texts = _texts(spark, docs, reps, buckets, k)
     sig = reps.select("node", "sig")
 
+    def near(pairs: DataFrame) -> DataFrame:
+        """Those of the pairs ``a, b`` whose signatures are within the distance."""
+        both = pairs.distinct().join(sig.toDF("b", "sig_b"), "b").join(sig.toDF("a", "sig_a"), "a")
+        both = both.where(distance(F.col("sig_a"), F.col("sig_b")) <= MAX_DISTANCE)
+        return materialize(spark, both.select("a", "b"), "near")
+
     # each member against its bucket's first
-    stars = buckets.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    stars = stars.join(sig.toDF("b", "sig_b"), "b").join(sig.toDF("a", "sig_a"), "a")
-    near = stars.where(distance(F.col("sig_a"), F.col("sig_b")) <= MAX_DISTANCE)
-    near = materialize(spark, near.select("a", "b"), "near")
-    links = _confirmed(spark, near, texts, k, percent)
+    stars = buckets.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+    links = _confirmed(spark, near(stars), texts, k, percent)
+    joined = components(spark, links)
+
+    # against another member, drawn by hash
+    apart = _apart(spark, buckets, joined)
+    drawn = F.xxhash64("node", F.pmod("key", F.lit(DRAWS)))
+    partner = apart.groupBy("key").agg(F.min(F.struct(drawn.alias("h"), "node", "root")).alias("p"))
+    drawn_pairs = apart.join(partner, "key").where("root != p.root").select(
+        F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b"))
+    links = links.unionByName(_confirmed(spark, near(drawn_pairs), texts, k, percent))
     joined = components(spark, links)
 
     # members of a bucket that are in different components still
-    members = buckets.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    split = members.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-    members = members.join(split.where("lo != hi").select("key"), "key").where("node != pivot")
-    members = materialize(spark, members.join(sig, "node"), "members")
-    left = members.select("key", *(F.col(c).alias(f"{c}_a") for c in ("node", "root", "sig")))
-    right = members.select("key", *(F.col(c).alias(f"{c}_b") for c in ("node", "root", "sig")))
-    cross = left.join(right, (left.key == right.key) & (F.col("root_a") < F.col("root_b"))
-                      & (distance(F.col("sig_a"), F.col("sig_b")) <= MAX_DISTANCE))
+    apart = _apart(spark, apart, joined)
+    members = apart.join(sig, "node")
+    left = members.select("key", "slot", *(F.col(c).alias(f"{c}_a") for c in ("node", "root", "sig")))
+    right = members.select(F.col("key").alias("key_b"), *(F.col(c).alias(f"{c}_b") for c in ("node", "root", "sig")))
+    sigs = F.col("sig_a"), F.col("sig_b")
+    cross = left.join(right, (F.col("key") == F.col("key_b")) & (F.col("root_a") < F.col("root_b"))
+                      & (distance(*sigs) <= MAX_DISTANCE) & (first_shared(*sigs) == F.col("slot")))
     cross = cross.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
     more = _confirmed(spark, materialize(spark, cross, "cross"), texts, k, percent)
     if not more.isEmpty():
