@@ -71,14 +71,19 @@ def test_no_documents_have_no_duplicates(spark):
 
 def test_signatures_within_the_distance_share_a_key(spark):
     rng = np.random.default_rng(4)
-    for _ in range(200):
+    rows = []
+    for i in range(200):
         a = rng.integers(0, 1 << minhash.BITS, minhash.SYMBOLS).astype(np.uint64)
         b = a.copy()
-        b[rng.permutation(minhash.SYMBOLS)[: minhash.MAX_DISTANCE]] ^= np.uint64(1)
-        assert set(minhash.index_keys(a)) & set(minhash.index_keys(b))
-        assert (minhash.unpack(minhash.pack(a)) == a).all()
-    pair = spark.createDataFrame([(minhash.pack(a).tolist(), minhash.pack(b).tolist())], "a array<long>, b array<long>")
-    assert pair.select(minhash.distance(F.col("a"), F.col("b"))).first()[0] == int((a != b).sum())
+        b[rng.permutation(minhash.SYMBOLS)[: minhash.MAX_DISTANCE if i % 2 else i // 8]] ^= np.uint64(1 << i % minhash.BITS)
+        one, other = minhash.pack(a), minhash.pack(b)
+        same = np.flatnonzero(minhash.index_keys(one) == minhash.index_keys(other))
+        assert len(same)
+        rows.append((one.tolist(), other.tolist(), int((a != b).sum()), int(same[0])))
+    pairs = spark.createDataFrame(rows, "a array<long>, b array<long>, d int, first int")
+    both = F.col("a"), F.col("b")
+    got = pairs.select("d", minhash.distance(*both).alias("e"), "first", minhash.first_shared(*both).alias("s"))
+    assert all(r.d == r.e and r.first == r.s for r in got.collect())
 
 
 def test_components_of_a_long_chain_and_a_star(spark):
