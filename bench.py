@@ -19,7 +19,6 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from starload.plans import registry  # noqa: E402
-from starload.plans.calendar import date_dimension  # noqa: E402
 from starload.session import build_session  # noqa: E402
 
 HEADLINE = [
@@ -29,16 +28,14 @@ HEADLINE = [
     "upsert_type1",
     "replace_range",
     "bulk_load",
+    "bulk_load_one_file",
     "assign_keys",
     "check_unique",
     "ingest_chunks",
+    "date_dimension",
 ]
 
 
-def _calendar(spark, _sf_dir):
-    return date_dimension(spark)
-
-
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -50,7 +47,6 @@ def main() -> None:
         conf={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")},
     )
     queries = {name: registry.QUERIES[name] for name in HEADLINE if name in registry.QUERIES}
-    queries["date_dimension"] = _calendar
     timings: dict[str, float] = {}
     for name, build in queries.items():
         samples = []

@@ -219,14 +219,15 @@ SALES_CSV_SCHEMA = StructType(
 )
 
 
-def bulk_load_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Synthetic sales (one per line item) exported in files of at most 5,000
-    rows, then bulk-loaded as one folder; totals per manager and product."""
+def _loaded_totals(spark: SparkSession, sf_dir: str, one_file: bool) -> DataFrame:
     lineitem = read_table(spark, sf_dir, "lineitem")
     sales = sales_from_keys(lineitem, F.col("l_orderkey") * 8 + F.col("l_linenumber"), "l_shipdate")
+    sales = sales.select(F.col("dt").cast("string").alias("dt"), "manager", "product", "val")
     files = scratch_path(spark, "sales-files")
-    export_split(sales.select(F.col("dt").cast("string").alias("dt"), "manager", "product", "val"),
-                 files, 5000)
+    if one_file:
+        export_csv(sales.coalesce(1), files)
+    else:
+        export_split(sales, files, 5000)
     loaded = bulk_load(spark, files, SALES_CSV_SCHEMA, scratch_path(spark, "sales-table"))
     return sum_by(
         loaded.withColumn("val", F.col("val").cast("bigint")).withColumn("n", F.lit(1)),
@@ -235,6 +236,17 @@ def bulk_load_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bulk_load_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Synthetic sales (one per line item) exported in files of at most 5,000
+    rows, then bulk-loaded as one folder; totals per manager and product."""
+    return _loaded_totals(spark, sf_dir, one_file=False)
+
+
+def bulk_load_one_file_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same sales from one file, the other side of the comparison."""
+    return _loaded_totals(spark, sf_dir, one_file=True)
+
+
 def _lcg_sql(key: str, salt: int, modulus: int) -> str:
     x = f"(({key}) % 2147483648)"
     return f"(((({x} * 1103515245 + {12345 + salt}) % 2147483648) // 65536) % {modulus})"

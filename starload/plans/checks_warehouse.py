@@ -30,14 +30,10 @@ from starload.session import checkpoint_dir, read_table, scratch_path
 LOAD_TS = "2024-01-01 00:00:00"
 
 
-def src_exports(spark: SparkSession, sf_dir: str) -> Exports:
+def counterparty_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = read_table(spark, sf_dir, "customer")
     supplier = read_table(spark, sf_dir, "supplier")
-    orders = read_table(spark, sf_dir, "orders")
-    lineitem = read_table(spark, sf_dir, "lineitem")
-    part = read_table(spark, sf_dir, "part")
-
-    counterparties = union_all(
+    return union_all(
         [
             customer.where(F.col("c_mktsegment") != "BUILDING").select(
                 F.col("c_name").alias("company"),
@@ -51,6 +47,16 @@ def src_exports(spark: SparkSession, sf_dir: str) -> Exports:
             ),
         ]
     )
+
+
+def src_exports(spark: SparkSession, sf_dir: str) -> Exports:
+    customer = read_table(spark, sf_dir, "customer")
+    supplier = read_table(spark, sf_dir, "supplier")
+    orders = read_table(spark, sf_dir, "orders")
+    lineitem = read_table(spark, sf_dir, "lineitem")
+    part = read_table(spark, sf_dir, "part")
+
+    counterparties = counterparty_export(spark, sf_dir)
     lines = left_lookup(
         lineitem.select("l_orderkey", "l_suppkey", "l_partkey", "l_shipdate", "l_quantity",
                         "l_extendedprice"),
@@ -153,8 +159,10 @@ RESOLVE_FACTS_SQL = _SRC_SQL + "SELECT * FROM facts"
 
 def initial_load_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counterparty dimension after its first load (ids + audit)."""
-    _, cp, _, _ = _dims(spark, sf_dir)
-    return cp
+    from starload.operators.upsert import initial_load
+
+    columns = ["company", "taxpayer_identification_number", "full_name_company"]
+    return initial_load(counterparty_export(spark, sf_dir), columns, LOAD_TS)
 
 
 INITIAL_LOAD_SQL = _SRC_SQL + f"""
@@ -189,7 +197,7 @@ GROUP BY 1, 2, 3, 4
 
 
 def union_all_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return src_exports(spark, sf_dir).counterparties
+    return counterparty_export(spark, sf_dir)
 
 
 UNION_ALL_SQL = _SRC_SQL + "SELECT * FROM counterparties"
@@ -262,8 +270,9 @@ def _updated_stage(spark, sf_dir):
     from starload.plans.warehouse import WarehouseJob
 
     job = WarehouseJob(spark, scratch_path(spark, "warehouse"))
-    job.initial_load(src_exports(spark, sf_dir), LOAD_TS)
-    second = second_exports(spark, sf_dir, src_exports(spark, sf_dir))
+    first = src_exports(spark, sf_dir)
+    job.initial_load(first, LOAD_TS)
+    second = second_exports(spark, sf_dir, first)
     return job.update(second, LOAD_TS_2, mode="replace", start="1998-01-01", end="1998-12-31")
 
 

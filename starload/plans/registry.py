@@ -62,6 +62,7 @@ _TABLE = [
     ("replace_table", ci.replace_table_check, ci.REPLACE_TABLE_SQL),
     ("export_csv", ci.export_csv_check, ci.EXPORT_CSV_SQL),
     ("bulk_load", ci.bulk_load_check, ci.BULK_LOAD_SQL),
+    ("bulk_load_one_file", ci.bulk_load_one_file_check, ci.BULK_LOAD_SQL),
     ("resolve_facts", cw.resolve_facts_check, cw.RESOLVE_FACTS_SQL),
     ("initial_load", cw.initial_load_check, cw.INITIAL_LOAD_SQL),
     ("stage_report", cw.stage_report_check, cw.STAGE_REPORT_SQL),

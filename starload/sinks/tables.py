@@ -26,19 +26,6 @@ def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     writer.parquet(path)
 
 
-def overwrite_days(df: DataFrame, path: str, day_col: str = "day") -> None:
-    """Rewrite only the day partitions present in ``df`` (dynamic overwrite).
-
-    ``df`` must not read ``path`` itself; checkpoint it first if it does.
-    """
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(day_col)
-        .parquet(path)
-    )
-
-
 class ConcurrentWriteError(RuntimeError):
     """Another writer published the same number first."""
 
