@@ -179,15 +179,15 @@ def _counted(spark: SparkSession, corpus: DataFrame, model: Model, chosen: np.nd
         wide = np.zeros((CLASSES, WIDE), np.int64)
         wide[:, :CLASSES] = pairs.reshape(CLASSES, CLASSES)
         units = np.concatenate((chosen[some], -1 - np.arange(CLASSES)))
-        rows = list(np.concatenate((total[some], wide)))
-        yield pa.record_batch([pa.array(units, pa.int64()), pa.array(rows, pa.list_(pa.int64()))], ["unit", "counts"])
+        rows = list(np.concatenate((total[some], wide)).astype(np.int32))
+        yield pa.record_batch([pa.array(units, pa.int64()), pa.array(rows, pa.list_(pa.int32()))], ["unit", "counts"])
 
     @F.pandas_udf("array<long>")
     def summed(parts: pd.Series) -> pd.Series:
-        return pd.Series([np.sum(np.stack(list(p)), axis=0) for p in parts])
+        return pd.Series([np.sum(np.stack(list(p)), axis=0, dtype=np.int64) for p in parts])
 
     found = corpus.select("held", "sizes", "tokens", "words", "endings").coalesce(TASKS)
-    found = found.mapInArrow(count, "unit long, counts array<long>")
+    found = found.mapInArrow(count, "unit long, counts array<int>")
     found = found.groupBy("unit").agg(F.collect_list("counts").alias("parts"))
     return materialize(spark, found.select("unit", summed("parts").alias("counts")), "classcounts")
 
