@@ -36,6 +36,9 @@ LEVEL = 9
 #: Languages a model may have; with ``dict_bytes`` this bounds what is sent to the tasks.
 MAX_LANGS = 256
 
+#: Rows drawn for each one that a dictionary takes.
+SPARE = 4
+
 UNKNOWN = "und"
 
 #: A lead over the second language, relative to its size, below which a text is
@@ -75,24 +78,30 @@ def fit(
     """Dictionaries from labelled rows (``id, text, lang``).
 
     A language's dictionary holds up to ``bytes_per_doc`` bytes from each of
-    ``docs_per_lang`` texts, chosen by the hash of their identifiers, and at
+    ``docs_per_lang`` texts, chosen by a hash of identifier and text, and at
     most ``dict_bytes`` in all; these documented bounds are the only ones, and
     they concern fitting alone.  Rows without a label, a text or a letter teach
     nothing; no rows give a model without languages.
     """
-    known = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    # equal texts (a hot copy) count once: the order is by the text's own hash
-    # and then the identifier; the limit is applied in every task before the exchange
-    turn = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("id").cast("string")), "id")
-    some = known.select(
-        "id", "lang", F.substring("text", 1, 2 * bytes_per_doc).alias("text")
-    ).withColumn("n", F.row_number().over(turn)).where(F.col("n") <= docs_per_lang)
-    sample = some.select("lang", "n", "text").limit(MAX_LANGS * docs_per_lang + 1).collect()
+    known = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGS + 1).collect()
+    if len(counts) > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages")
+    if not counts:
+        return Model(())
+    # a few times the rows wanted of each language leave the scan, however many it has
+    size = F.create_map(*[F.lit(x) for r in counts for x in (r.lang, r.n)])[F.col("lang")]
+    draw = F.pmod(F.xxhash64(F.col("id").cast("string"), "text"), F.lit(1 << 31)) / float(1 << 31)
+    drawn = known.withColumn("draw", draw).where(
+        F.col("draw") * size < SPARE * docs_per_lang
+    ).where(F.col("text").rlike(r"\p{L}"))
+    turn = Window.partitionBy("lang").orderBy("draw", "id")
+    some = drawn.select("lang", F.substring("text", 1, 2 * bytes_per_doc).alias("text"),
+                        F.row_number().over(turn).alias("n")).where(F.col("n") <= docs_per_lang)
+    sample = some.collect()
     parts: dict[str, dict[bytes, int]] = {}
     for row in sorted(sample, key=lambda r: (r.lang, r.n)):
         parts.setdefault(row.lang, {}).setdefault(plain(row.text)[:bytes_per_doc], row.n)
-    if len(parts) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
     return Model(tuple((lang, b" ".join(parts[lang])[:dict_bytes]) for lang in sorted(parts)))
 
 
