@@ -157,7 +157,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
             yield pd.Series(out)
 
     wide = docs.join(shared, "id").withColumn("windows", around("text", "found"))
-    wide = materialize(spark, wide.drop("found").where(F.size("windows") > 0), "windows")
+    wide = materialize(spark, wide.drop("found"), "windows")
     found = _repeated(wide.select("id", F.explode("windows").alias("h")))
     found = materialize(spark, found, "repeated")
 
