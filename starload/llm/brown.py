@@ -6,23 +6,26 @@ the likelihood of the training text's class bigrams most.
 
 The corpus is read once, into blocks: tokens as numbers into the block's own
 word list, so a later pass reads small integers, and lookups of counts take a
-row for each block and word instead of one for each token.  The ``WORDS`` most
-frequent words are units of their own; all others are grouped by the hash of
-their ending, so that every word, unseen ones included, has a unit and thus a
-class.  What units, classes and their transitions take is fixed by ``WORDS``,
-``ENDINGS`` and ``CLASSES``, and only that is sent to all tasks.  The counts of
-single words grow with the corpus and stay distributed.
+row for each block and word instead of one for each token.  Every word of the
+training texts is clustered.  The ``WORDS`` most frequent words are counted in
+each task and their classes sent to all tasks, so that none of them makes a hot
+key; the counts and classes of all others are tables that grow with the corpus
+and stay distributed.  Words that training has not seen take the class most
+common among the others with the same hash of their ending.  What is sent to
+all tasks is fixed by ``WORDS``, ``ENDINGS`` and ``CLASSES``.
 
 A round of clustering is a pass over the blocks that counts the classes before
-and after each unit of one half of the units, an exchange of these counts, and
-the choice of a class for each unit; the halves take turns, so that two units
-that attract each other do not swap places for ever.
+and after each word of one half of the words, an exchange of these counts, and
+the choice of a class for each word; the halves take turns, so that two words
+that attract each other do not swap places for ever.  The classes of the words
+beyond the most frequent ones are then joined to the blocks that have them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -53,6 +56,15 @@ END = int(np.uint64(xxhash.xxh3_64_intdigest(b" ")).astype(np.int64))
 #: Counts of a unit: classes after it, classes before it, itself after itself.
 WIDE = 2 * CLASSES + 1
 
+#: A cell of these counts and its count in one number: ``cell + CELLS * count``.
+CELLS = 256
+
+#: Counts up to this one have their gains in a table.
+SMALL = 8
+
+#: Words in a row batch of counts, and cells for which gains are held at once.
+BATCH_WORDS, BATCH_CELLS = 65_536, 32_768
+
 _words = WordIds()
 
 # --- blocks ------------------------------------------------------------------
@@ -107,8 +119,9 @@ def _tokens(packed: bytes) -> np.ndarray:
 @dataclass(frozen=True)
 class Model:
     """Frequent words (sorted hashes) and the class of each unit: these words,
-    the endings, and the end of a text.  After training also the counts of class
-    pairs, the distinct words of each class, and all training tokens and words."""
+    the endings of unseen words, and the end of a text.  After training also the
+    counts of class pairs, the distinct words of each class, and all training
+    tokens and words."""
 
     words: np.ndarray
     classes: np.ndarray
@@ -148,10 +161,51 @@ def _start(frequent: list[tuple[int, int]]) -> Model:
     return Model(words, classes)
 
 
-def _counted(spark: SparkSession, corpus: DataFrame, model: Model, chosen: np.ndarray) -> DataFrame:
-    """``unit, counts`` of the ``chosen`` units, and each class's row of pair
-    counts under ``unit = -1 - class``, over the training texts."""
+def _dealt(endings: np.ndarray) -> np.ndarray:
+    """Classes that the words beyond the frequent ones start with."""
+    return 1 + endings.astype(np.int64) % (CLASSES - 1)
+
+
+_COUNTS = "unit long, counts array<int>, word long, own int, block long, at int, cells binary"
+_COUNTS_ARROW = pa.schema([
+    ("unit", pa.int64()), ("counts", pa.list_(pa.int32())), ("word", pa.int64()), ("own", pa.int32()),
+    ("block", pa.int64()), ("at", pa.int32()), ("cells", pa.binary()),
+])
+
+
+def _packed(rows: np.ndarray, cells: np.ndarray) -> pa.Array:
+    """``cells`` of each row, sorted by row (numbers without gaps), as bytes."""
+    offsets = np.concatenate(([0], np.cumsum(np.bincount(rows)))).astype(np.int32) * 8
+    return pa.Array.from_buffers(
+        pa.binary(), len(offsets) - 1,
+        [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(cells.astype("<i8").tobytes())])
+
+
+def _tail_rows(block: int, words: np.ndarray, classes: np.ndarray, cells: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Counts of a block's words; ``cells`` are ``place * WIDE + cell``."""
+    cells, n = np.unique(cells, return_counts=True)
+    places, cells = np.divmod(cells, WIDE)
+    some, rows = np.unique(places, return_inverse=True)
+    for start in range(0, len(some), BATCH_WORDS):
+        at = some[start : start + BATCH_WORDS]
+        inside = slice(*np.searchsorted(rows, (start, start + len(at))))
+        packed = _packed(rows[inside] - start, cells[inside] + CELLS * n[inside])
+        columns = [pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.list_(pa.int32())), words[at],
+                   classes[at], np.full(len(at), block), at, packed]
+        yield pa.record_batch([c if isinstance(c, pa.Array) else pa.array(c, f.type)
+                               for c, f in zip(columns, _COUNTS_ARROW, strict=True)], schema=_COUNTS_ARROW)
+
+
+def _counted(spark: SparkSession, corpus: DataFrame, model: Model, given: list[DataFrame], half: int | None) -> tuple[DataFrame, DataFrame]:
+    """Counts over the training texts, of one half of the words or of none.
+
+    First ``unit, counts`` of the frequent words, and each class's row of pair
+    counts under ``unit = -1 - class``; then ``word, own, block, at, cells``, a
+    row for each block, of the other words.  ``given`` has their classes by block.
+    """
     slots = np.full(len(model.classes), -1, np.int64)
+    chosen = np.arange(len(model.words))
+    chosen = chosen[:0] if half is None else chosen[chosen % 2 == half]
     slots[chosen] = np.arange(len(chosen))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,37 +213,55 @@ def _counted(spark: SparkSession, corpus: DataFrame, model: Model, chosen: np.nd
         pairs = np.zeros(CLASSES * CLASSES, np.int64)
         for batch in batches:
             for i in range(batch.num_rows):
-                held, sizes, packed, words, endings = (c[i] for c in batch.columns)
-                words = words.values.to_numpy()
-                units = model.units(words, endings.values.to_numpy())
+                block, held, sizes, packed, words, endings, *known = (c[i] for c in batch.columns)
+                words, endings = words.values.to_numpy(), endings.values.to_numpy()
+                units = model.units(words, endings)
+                tail = (units >= len(model.words)) & (words != END)
+                classes = np.where(tail, _dealt(endings), model.classes[units])
+                for places, found in zip(known[::2], known[1::2], strict=True):
+                    if places.is_valid:
+                        classes[places.values.to_numpy()] = found.values.to_numpy()
                 now = _tokens(packed.as_py())
                 # what stands before a text is the end of the one before it
                 before = np.concatenate(([np.searchsorted(words, END)], now[:-1]))
                 learn = np.repeat(~held.values.to_numpy(zero_copy_only=False), sizes.values.to_numpy())
                 now, before = now[learn], before[learn]
-                u, v = units[before], units[now]
-                c, d = model.classes[u], model.classes[v]
+                c, d = classes[before], classes[now]
                 pairs += np.bincount(c * CLASSES + d, minlength=len(pairs))
-                for slot, cell in ((slots[u], d), (slots[v], CLASSES + c), (slots[u[u == v]], 2 * CLASSES)):
-                    there = slot >= 0
-                    cells = slot[there] * WIDE + (cell[there] if isinstance(cell, np.ndarray) else cell)
-                    total += np.bincount(cells, minlength=len(total))
+                if half is None:
+                    continue
+                slot = slots[units]
+                slot[tail] = -1
+                tail &= (words & 1) == half
+                rare = []
+                for w, cell in ((before, d), (now, CLASSES + c), (now[before == now], 2 * CLASSES)):
+                    cell = np.broadcast_to(cell, len(w))
+                    there = slot[w] >= 0
+                    total += np.bincount(slot[w[there]] * WIDE + cell[there], minlength=len(total))
+                    there = tail[w]
+                    rare.append(w[there].astype(np.int64) * WIDE + cell[there])
+                yield from _tail_rows(block.as_py(), words, classes, np.concatenate(rare))
         total = total.reshape(-1, WIDE)
         some = np.flatnonzero(total.any(axis=1))
         wide = np.zeros((CLASSES, WIDE), np.int64)
         wide[:, :CLASSES] = pairs.reshape(CLASSES, CLASSES)
         units = np.concatenate((chosen[some], -1 - np.arange(CLASSES)))
         rows = list(np.concatenate((total[some], wide)).astype(np.int32))
-        yield pa.record_batch([pa.array(units, pa.int64()), pa.array(rows, pa.list_(pa.int32()))], ["unit", "counts"])
+        columns = [pa.array(units, pa.int64()), pa.array(rows, pa.list_(pa.int32()))]
+        columns += [pa.nulls(len(units), f.type) for f in list(_COUNTS_ARROW)[2:]]
+        yield pa.record_batch(columns, schema=_COUNTS_ARROW)
 
     @F.pandas_udf("array<long>")
     def summed(parts: pd.Series) -> pd.Series:
         return pd.Series([np.sum(np.stack(list(p)), axis=0, dtype=np.int64) for p in parts])
 
-    found = corpus.select("held", "sizes", "tokens", "words", "endings").coalesce(TASKS)
-    found = found.mapInArrow(count, "unit long, counts array<int>")
-    found = found.groupBy("unit").agg(F.collect_list("counts").alias("parts"))
-    return materialize(spark, found.select("unit", summed("parts").alias("counts")), "classcounts")
+    found = corpus.select("block", "held", "sizes", "tokens", "words", "endings")
+    for i, classes in enumerate(given):
+        found = found.join(classes.toDF("block", f"places{i}", f"classes{i}"), "block", "left")
+    found = materialize(spark, found.coalesce(TASKS).mapInArrow(count, _COUNTS), "counts")
+    units = found.where("unit IS NOT NULL").groupBy("unit").agg(F.collect_list("counts").alias("parts"))
+    units = materialize(spark, units.select("unit", summed("parts").alias("counts")), "classcounts")
+    return units, found.where("unit IS NULL").select("word", "own", "block", "at", "cells")
 
 
 def _pairs(counted: DataFrame) -> np.ndarray:
@@ -245,13 +317,126 @@ def _moved(counted: DataFrame, pairs: np.ndarray, classes: np.ndarray) -> np.nda
     return after
 
 
-def cluster(spark: SparkSession, corpus: DataFrame, model: Model) -> Model:
-    """Exchange clustering; the result has the pair counts of its classes."""
-    movable = np.arange(len(model.classes) - 1)
+def _gains(rows: np.ndarray, cells: np.ndarray, n: np.ndarray, own: np.ndarray,
+           other: np.ndarray, twice: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """For each row and class, what the sum of ``f`` over that class's row of
+    ``pairs`` gains by the row's counts ``n`` of classes ``cells``, but for the
+    class with itself.  ``other`` are the counts against the direction."""
+    total = np.zeros((len(own), CLASSES))
+    steps = np.arange(1, SMALL + 1)[:, None, None]
+    table = _f(pairs.T + steps) - _f(pairs.T)
+    for start in range(0, len(rows), BATCH_CELLS):
+        r, d, x = (a[start : start + BATCH_CELLS] for a in (rows, cells, n))
+        o, at = own[r], np.arange(len(r))
+        added = np.where(d == o, x - twice[r], x)
+        gain = table[np.minimum(added, SMALL).astype(np.int64) - 1, d]
+        # the row's own class, which the counts were taken from
+        had = pairs[o, d]
+        gain[at, o] = _f(had - x + added) - _f(had - x)
+        full = np.flatnonzero((added > SMALL) | (d == o))
+        m = pairs.T[d[full]]
+        m[d[full] == o[full]] -= other[r[full[d[full] == o[full]]]]
+        m[np.arange(len(full)), o[full]] -= np.where(d[full] == o[full], 0, x[full])
+        gain[full] = _f(m + added[full, None]) - _f(m)
+        gain[at, d] = 0.0
+        starts = np.flatnonzero(np.diff(r, prepend=-1))
+        total[r[starts]] += np.add.reduceat(gain, starts, axis=0)
+    return total
+
+
+def best_classes(rows: np.ndarray, cells: np.ndarray, n: np.ndarray, own: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """``best_class`` of many words: ``n`` times ``cells`` of the words ``rows``
+    (sorted, each cell once), whose classes are ``own``."""
+    k = len(own)
+    wide = np.zeros((k, WIDE))
+    wide[rows, cells] = n
+    after, before, twice = wide[:, :CLASSES], wide[:, CLASSES:-1], wide[:, -1]
+    at, n_after, n_before = np.arange(k), after.sum(axis=1), before.sum(axis=1)
+    first, second = pairs.sum(axis=1) - before, pairs.sum(axis=0) - after
+    first[at, own] -= n_after - twice
+    second[at, own] -= n_before - twice
+    diagonal = np.tile(np.diag(pairs), (k, 1))
+    diagonal[at, own] += twice - after[at, own] - before[at, own]
+    forth = cells < CLASSES
+    back = (cells >= CLASSES) & (cells < 2 * CLASSES)
+    gain = _gains(rows[forth], cells[forth], n[forth], own, before, twice, pairs)
+    gain += _gains(rows[back], cells[back] - CLASSES, n[back], own, after, twice, pairs.T)
+    both = after + before + twice[:, None]
+    both[at, own] -= 2 * twice
+    gain += _f(diagonal + both) - _f(diagonal)
+    gain -= _f(first + n_after[:, None]) - _f(first) + _f(second + n_before[:, None]) - _f(second)
+    gain[:, 0] = -np.inf
+    best = np.argmax(gain, axis=1)
+    return np.where(gain[at, best] > gain[at, own] + 1e-6, best, own)
+
+
+def _decided(batches: list[pa.RecordBatch], pairs: np.ndarray) -> pa.RecordBatch:
+    """``word, block, at, class, first`` of rows of counts, sorted by word and
+    with all rows of each word."""
+    table = pa.Table.from_batches(batches)
+    word, own = table["word"].to_numpy(), table["own"].to_numpy()
+    packed = table["cells"].to_pylist()
+    first = np.diff(word, prepend=word[0] - 1) != 0
+    group = np.cumsum(first) - 1
+    cells = np.frombuffer(b"".join(packed), "<i8")
+    rows = np.repeat(group, [len(p) // 8 for p in packed])
+    keys, where = np.unique(rows * CELLS + cells % CELLS, return_inverse=True)
+    n = np.bincount(where, weights=cells // CELLS)
+    classes = best_classes(keys // CELLS, keys % CELLS, n, own[first].astype(np.int64), pairs)
+    return pa.record_batch([
+        pa.array(word), pa.array(table["block"].to_numpy()), pa.array(table["at"].to_numpy()),
+        pa.array(classes[group].astype(np.int32)), pa.array(first),
+    ], ["word", "block", "at", "class", "first"])
+
+
+def _chosen(spark: SparkSession, counts: DataFrame, pairs: np.ndarray) -> DataFrame:
+    """The words beyond the frequent ones with the classes they choose, a row
+    for each block: ``word, block, at, class``, and ``first`` in one row of each."""
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            word = batch.column(0).to_numpy()
+            last = int(np.searchsorted(word, word[-1]))  # the last word may go on
+            if last or (held and held[-1].column(0)[0].as_py() != word[0]):
+                held.append(batch.slice(0, last))
+                yield _decided(held, pairs)
+                held = []
+            held.append(batch.slice(last))
+        if held:
+            yield _decided(held, pairs)
+
+    placed = counts.repartition("word").sortWithinPartitions("word")
+    return materialize(
+        spark, placed.mapInArrow(choose, "word long, block long, at int, class int, first boolean"), "choices")
+
+
+def _by_block(spark: SparkSession, choices: DataFrame) -> DataFrame:
+    """``block, places, classes``: a row for each block."""
+    found = choices.groupBy("block").agg(F.collect_list(F.struct("at", "class")).alias("c"))
+    return materialize(spark, found.select(
+        "block", F.col("c.at").alias("places"), F.col("c.class").alias("classes")), "blockclasses")
+
+
+def cluster(spark: SparkSession, corpus: DataFrame, model: Model) -> tuple[Model, DataFrame | None]:
+    """Exchange clustering of all training words.
+
+    The result has the pair counts of its classes; with it come ``word, class``
+    of all words but the frequent ones, each once."""
+    choices: list[DataFrame | None] = [None, None]
+    placed: list[DataFrame | None] = [None, None]
     for turn in range(ROUNDS):
-        counted = _counted(spark, corpus, model, movable[movable % 2 == turn % 2])
-        model = replace(model, classes=_moved(counted, _pairs(counted), model.classes))
-    return replace(model, pairs=_pairs(_counted(spark, corpus, model, movable[:0])))
+        half = turn % 2
+        counted, rare = _counted(spark, corpus, model, [p for p in placed if p is not None], half)
+        pairs = _pairs(counted)
+        choices[half] = _chosen(spark, rare, pairs)
+        placed[half] = _by_block(spark, choices[half])
+        model = replace(model, classes=_moved(counted, pairs, model.classes))
+    counted, _ = _counted(spark, corpus, model, [p for p in placed if p is not None], None)
+    classes = [c.where("first").select("word", "class") for c in choices if c is not None]
+    return replace(model, pairs=_pairs(counted)), reduce(DataFrame.unionByName, classes)
 
 
 # --- model and scores --------------------------------------------------------
@@ -269,19 +454,40 @@ def _vocabulary(spark: SparkSession, corpus: DataFrame) -> DataFrame:
     )
 
 
-def train(spark: SparkSession, corpus: DataFrame, vocabulary: DataFrame) -> Model:
-    ranked = vocabulary.where(F.col("word") != END).orderBy(F.desc("n"), "word").limit(WORDS)
-    model = cluster(spark, corpus, _start([(r.word, r.n) for r in ranked.select("word", "n").collect()]))
+def _unseen(model: Model, classed: DataFrame) -> Model:
+    """Endings take the class that most of their words beyond the frequent ones have."""
+    some = ~F.col("frequent") & (F.col("word") != END)
+    most: dict[int, tuple[int, int]] = {}
+    for r in classed.where(some).groupBy("ending", "class").count().collect():
+        most[r.ending] = max(most.get(r.ending, (0, 0)), (r["count"], -r["class"]))
+    classes = model.classes.copy()
+    for ending, (_, c) in most.items():
+        classes[len(model.words) + ending] = -c
+    return replace(model, classes=classes)
 
-    @F.pandas_udf("long")
-    def class_of(words: pd.Series, endings: pd.Series) -> pd.Series:
-        return pd.Series(model.classes[model.units(words.to_numpy(), endings.to_numpy())])
 
+def train(spark: SparkSession, corpus: DataFrame, vocabulary: DataFrame) -> tuple[Model, DataFrame]:
+    """The model, and ``word, n, class`` of all training words."""
+    ranked = vocabulary.where(F.col("word") != END).orderBy(F.desc("n"), "word").limit(WORDS)
+    model, tail = cluster(spark, corpus, _start([(r.word, r.n) for r in ranked.select("word", "n").collect()]))
+
+    @F.pandas_udf("frequent boolean, class int")
+    def own_class(words: pd.Series, endings: pd.Series) -> pd.DataFrame:
+        units = model.units(words.to_numpy(), endings.to_numpy())
+        return pd.DataFrame({"frequent": units < len(model.words), "class": model.classes[units].astype(np.int32)})
+
+    classed = vocabulary.join(tail.withColumnRenamed("class", "chosen"), "word", "left")
+    classed = classed.select("word", "ending", "n", "chosen", own_class("word", "ending").alias("own"))
+    classed = materialize(spark, classed.select(
+        "word", "ending", "n", F.col("own.frequent").alias("frequent"),
+        F.coalesce("chosen", "own.class").alias("class")), "classes")
+    model = _unseen(model, classed)
     types = np.zeros(CLASSES)
-    for row in vocabulary.groupBy(class_of("word", "ending").alias("c")).count().collect():
-        types[row.c] = row["count"]
+    for row in classed.groupBy("class").count().collect():
+        types[row["class"]] = row["count"]
     totals = vocabulary.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    return replace(model, types=types, n_tokens=totals.n or 0, n_words=totals.v)
+    model = replace(model, types=types, n_tokens=totals.n or 0, n_words=totals.v)
+    return model, classed.select("word", "n", "class")
 
 
 _SCORES = ("id long, held boolean, n_tokens long, n_known long, train_tokens long, "
@@ -308,26 +514,28 @@ def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
     )
     corpus = materialize(spark, blocks(docs), "blocks")
     vocabulary = _vocabulary(spark, corpus)
-    model = train(spark, corpus, vocabulary)
-    # counts of a block's words: the place in its word list, and the count
+    model, classed = train(spark, corpus, vocabulary)
+    # counts and classes of a block's words, with the place in its word list
     wanted = corpus.select("block", F.posexplode("words").alias("at", "word"))
-    known = wanted.join(vocabulary.select("word", "n"), "word").groupBy("block").agg(
-        F.collect_list(F.struct("at", "n")).alias("counts"))
-    known = known.select("block", F.col("counts.at").alias("places"), F.col("counts.n").alias("counts"))
+    known = wanted.join(classed, "word").groupBy("block").agg(
+        F.collect_list(F.struct("at", "n", "class")).alias("found"))
+    known = known.select("block", F.col("found.at").alias("places"), F.col("found.n").alias("counts"),
+                         F.col("found.class").alias("classes"))
     whole = corpus.join(known, "block", "left").select(
-        "ids", "held", "sizes", "tokens", "words", "endings", "places", "counts")
+        "ids", "held", "sizes", "tokens", "words", "endings", "places", "counts", "classes")
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         transitions, totals = model.transitions(), model.word_totals()
         base_total = model.n_tokens + 0.5 * (model.n_words + 1)
         for batch in batches:
             for i in range(batch.num_rows):
-                ids, held, sizes, packed, words, endings, places, counts = (c[i] for c in batch.columns)
+                ids, held, sizes, packed, words, endings, places, counts, found = (c[i] for c in batch.columns)
                 words, sizes = words.values.to_numpy(), sizes.values.to_numpy()
                 count = np.zeros(len(words))
+                classes = model.classes[model.units(words, endings.values.to_numpy())]
                 if places.is_valid:
                     count[places.values.to_numpy()] = counts.values.to_numpy()
-                classes = model.classes[model.units(words, endings.values.to_numpy())]
+                    classes[places.values.to_numpy()] = found.values.to_numpy()
                 base = np.log10((count + 0.5) / base_total)
                 emitted = np.where(words == END, 0.0, np.log10((count + 0.5) / totals[classes]))
                 now = _tokens(packed.as_py())

@@ -205,6 +205,36 @@ def test_scores_of_a_small_corpus(spark, monkeypatch):
     assert sum(r.score for r in held) > sum(r.base_score for r in held) + 0.15 * sum(r.n_tokens for r in held)
 
 
+def test_many_words_choose_as_one_does():
+    rng = np.random.default_rng(3)
+    for tokens in (rng.integers(0, 90, 4000), np.concatenate((rng.integers(0, 90, 800), np.repeat(7, 60)))):
+        classes = np.append(0, rng.integers(1, 9, 89))
+        before = np.concatenate(([0], tokens[:-1]))
+        pairs = np.zeros((brown.CLASSES, brown.CLASSES))
+        np.add.at(pairs, (classes[before], classes[tokens]), 1)
+        wide = np.zeros((90, brown.WIDE), np.int64)
+        np.add.at(wide, (before, classes[tokens]), 1)
+        np.add.at(wide, (tokens, brown.CLASSES + classes[before]), 1)
+        np.add.at(wide, (tokens[before == tokens], brown.WIDE - 1), 1)
+        want = [brown.best_class(wide[w], int(classes[w]), pairs) for w in range(1, 90)]
+        rows, cells = np.nonzero(wide[1:])
+        got = brown.best_classes(rows, cells, wide[1:][rows, cells], classes[1:], pairs)
+        assert got.tolist() == want and (got != classes[1:]).any()
+
+
+def test_words_beyond_the_most_frequent_are_clustered(spark, monkeypatch):
+    monkeypatch.setattr(brown, "BLOCK_TOKENS", 700)
+    monkeypatch.setattr(brown, "WORDS", 4)
+    rng = random.Random(5)
+    # words of both tongues end alike, so their endings tell nothing
+    tongue = [[f"{a}{i}end" for i in range(40)] for a in "pq"]
+    rows = [(i, i % 5 == 1, " ".join(rng.choice(tongue[i % 2]) for _ in range(40))) for i in range(300)]
+    docs = spark.createDataFrame(rows, "id BIGINT, held BOOLEAN, text STRING").repartition(3)
+    held = [r for r in brown.score(spark, docs).collect() if r.held]
+    assert len(held) == 60 and all(r.n_known == r.n_tokens for r in held)
+    assert sum(r.score for r in held) > sum(r.base_score for r in held) + 0.15 * sum(r.n_tokens for r in held)
+
+
 def test_probabilities_add_up():
     rng = np.random.default_rng(1)
     pairs = rng.integers(0, 50, (brown.CLASSES, brown.CLASSES)).astype(float)
