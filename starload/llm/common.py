@@ -50,13 +50,16 @@ def free_name(df: DataFrame, wanted: str) -> str:
 
 
 def with_row(df: DataFrame) -> tuple[DataFrame, str]:
-    """``df`` with a number of its own for each row, and that column's name.
+    """The written Parquet table ``df`` with the identity of each row, a struct,
+    and that column's name.
 
-    The number is the place in the scan, so it is the same each time a written
-    table is read.  Unlike identifiers it is never null and never repeats.
+    It is the row's file and its place there, so it is the same in every scan,
+    however Spark cuts and packs the files into tasks.  Unlike identifiers it is
+    never null and never repeats.
     """
     name = free_name(df, "_row")
-    return df.withColumn(name, F.monotonically_increasing_id()), name
+    at = df.metadataColumn("_metadata")
+    return df.withColumn(name, F.struct(at["file_path"].alias("file"), at["row_index"].alias("row"))), name
 
 
 def n_words(text):

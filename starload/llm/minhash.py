@@ -27,6 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from starload.llm.common import WordIds, materialize, mix, ship, with_row
 from starload.llm.components import components
@@ -217,8 +218,10 @@ def near_duplicates(
     and equal texts share a component.  Rows that repeat an identifier link by
     their own texts; null identifiers count only where a component has no
     other.  Other columns are not read; an empty table stays empty.
+    Identifiers are read as integers, or are structs, as ``with_row`` makes them.
     """
-    docs = docs.select(F.col("id").cast("long").alias("id"), "text")
+    id_type = docs.schema["id"].dataType
+    docs = docs.select(F.col("id").cast(id_type if isinstance(id_type, StructType) else "long").alias("id"), "text")
     sketch = materialize(spark, sketches(spark, docs, k), "sketches")
     # equal sets are one node
     reps = sketch.where("n_shingles > 0").groupBy("set_hi", "set_lo").agg(

@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from starload.llm import brown, decontam, langid, tokencount
+from starload.llm import brown, common, decontam, langid, tokencount
 from starload.llm.q_langid import fit_on, held_out
 from starload.session import read_table
 
@@ -150,6 +150,29 @@ def test_only_contaminated_rows_go(spark, written):
     assert Counter((r.doc_id, r.text) for r in left.collect()) == Counter([(1, "clean"), (None, "clean too"), (2, None), (1, "clean")])
 
 
+def test_rows_keep_their_identity_when_files_are_packed_anew(spark, written, monkeypatch):
+    item = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
+    rows = [(i, item if i % 3 == 0 else f"clean {i}") for i in range(200)]
+    docs = spark.read.parquet(written(rows, "doc_id BIGINT, text STRING", files=8))
+    parts, size = [], "spark.sql.files.maxPartitionBytes"
+
+    def lose_an_executor(session, df, name):
+        out = common.materialize(session, df, name)
+        if name == "contaminated":
+            parts.append(docs.select("text").rdd.getNumPartitions())
+            spark.conf.set(size, "4m")
+            parts.append(docs.select("doc_id").rdd.getNumPartitions())
+        return out
+
+    monkeypatch.setattr(decontam, "materialize", lose_an_executor)
+    try:
+        left = decontam.clean(spark, docs, spark.createDataFrame([(1, item)], "item_id INT, text STRING")).collect()
+    finally:
+        spark.conf.unset(size)
+    assert parts[0] < parts[1]
+    assert sorted(r.doc_id for r in left) == [i for i in range(200) if i % 3]
+
+
 # --- language model ----------------------------------------------------------
 
 
