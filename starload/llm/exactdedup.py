@@ -35,6 +35,10 @@ _SETTINGS = {
 #: White space that does not count: ASCII blank, tab to carriage return.
 DELETED = "\x20\x09\x0a\x0b\x0c\x0d"
 
+#: The file source ignores files that are older than the newest one seen by more
+#: than this; a century is before any file's time.
+MAX_FILE_AGE = "36500d"
+
 _GROUP = "digest STRING, keep STRUCT<short: INT, no_id: BOOLEAN, id: BIGINT, file: STRING, row: BIGINT>, group_size BIGINT"
 
 
@@ -101,7 +105,7 @@ class ExactDedup:
     def update(self) -> None:
         """Take in all files that are not in the state yet."""
         schema = self.spark.read.parquet(self.path).schema
-        reader = self.spark.readStream.schema(schema)
+        reader = self.spark.readStream.schema(schema).option("maxFileAge", MAX_FILE_AGE)
         if self.files_per_batch:
             reader = reader.option("maxFilesPerTrigger", self.files_per_batch)
         # as a pattern the path may name one file as well as a folder
@@ -142,8 +146,14 @@ class ExactDedup:
 
     def result(self) -> DataFrame:
         """One row for each row of the table: ``id, keep_id, group_size, kept,
-        digest`` and the locator ``file, row``."""
+        digest`` and the locator ``file, row``.
+
+        Fails if the state does not hold exactly the rows of the table."""
         groups = materialize(self.spark, self.groups(), "groups")
+        held = groups.agg(F.sum("group_size")).first()[0] or 0
+        there = self.spark.read.parquet(self.path).count()
+        if held != there:
+            raise ValueError(f"the state holds {held} rows, the table {there}; call update() after adding files")
         members = self._scan(normalise(F.col(self.text_col)).alias("content")).join(
             groups.where("group_size > 1"), "digest"
         )
@@ -158,7 +168,9 @@ class ExactDedup:
         differ = members.where("NOT kept").join(kept, "digest").where("content != kept_content")
         # grouped only once it is written: a grouping here would keep a hot digest in one task
         differ = materialize(self.spark, differ.select("digest"), "collisions").distinct()
-        rows = self._scan().join(groups, "digest")
+        unknown = F.raise_error(F.concat(F.lit("no group for the digest "), "digest")).cast("long")
+        rows = self._scan().join(groups, "digest", "left").withColumn(
+            "group_size", F.coalesce("group_size", unknown))
         if differ.isEmpty():
             return self._decided(rows)
         mixed = members.join(differ, "digest", "left_semi")

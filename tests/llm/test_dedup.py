@@ -1,7 +1,10 @@
 import hashlib
+import os
 import random
 import re
+import time
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -180,6 +183,21 @@ def test_state_goes_on_with_new_files(spark, written):
     assert sorted((str(r.id), str(r.keep_id), r.group_size, r.digest) for r in got) == _exact(ROWS)
 
 
+def test_old_files_are_taken_in_too(spark, written):
+    path = written(ROWS[:6], "doc_id BIGINT, text STRING")
+    dedup = ExactDedup(spark, path)
+    dedup.update()
+    known = set(Path(path).glob("*.parquet"))
+    spark.createDataFrame(ROWS[6:], "doc_id BIGINT, text STRING").write.mode("append").parquet(path)
+    for file in set(Path(path).glob("*.parquet")) - known:
+        os.utime(file, (time.time() - 30 * 86_400,) * 2)
+    with pytest.raises(ValueError, match="the state holds"):
+        dedup.result()
+    dedup.update()
+    got = dedup.result().collect()
+    assert sorted((str(r.id), str(r.keep_id), r.group_size, r.digest) for r in got) == _exact(ROWS)
+
+
 def test_exact_dedup_of_an_empty_table(spark, written):
     dedup = ExactDedup(spark, written([], "doc_id BIGINT, text STRING"))
     dedup.update()
