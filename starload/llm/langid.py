@@ -42,8 +42,11 @@ SPARE = 4
 UNKNOWN = "und"
 
 #: A lead over the second language, relative to its size, below which a text is
-#: rejected: some two bytes in a short sentence.
-MIN_MARGIN = 0.002
+#: rejected: three bytes in a hundred.  Of 2,499 held-out labelled texts this
+#: rejects 15 (0.002: 12, 0.05: 17); it accepts 5 of 300 texts of random Latin
+#: letters (131, 0) and 14 of 240 texts in a language left out of the model
+#: (190, 6).
+MIN_MARGIN = 0.03
 
 #: Lower-case ASCII letters, blanks for all else in ASCII; other bytes stay.
 _PLAIN = bytes(b if b >= 128 or chr(b).islower() else 32 for b in range(256))

@@ -36,6 +36,18 @@ def test_labels_and_names_teach_nothing_when_held_out(spark):
     assert fit_on(docs) == fit_on(other)
 
 
+def test_texts_in_no_learned_language_are_rejected(spark):
+    docs = read_table(spark, "/root/testdata/sf0.01", "documents")
+    rng = random.Random(1)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 10)))
+    rows = [(i, " ".join(word() for _ in range(rng.choice([5, 20, 60, 200])))) for i in range(300)]
+    noise = langid.identify(spark, spark.createDataFrame(rows, "id INT, text STRING"), fit_on(docs))
+    assert noise.where("accepted").count() <= 0.05 * len(rows)
+    some = fit_on(docs.where("lang != 'de'"))
+    other = langid.identify(spark, docs.where("lang = 'de'"), some)
+    assert other.where("accepted").count() <= 0.15 * other.count()
+
+
 def test_language_of_odd_texts(spark):
     model = langid.Model((("de", b"der die das und nicht"), ("en", b"the and of with is not that")))
     rows = [(1, None), (2, ""), (3, "12 !?\n"), (4, "the and of"), (4, "the and of"), (5, "the and of with " * 9000),
