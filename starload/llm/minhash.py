@@ -7,7 +7,7 @@ with the chance ``1 - similarity``.  If two signatures differ in at most
 chunk has at most one error.  Every document is therefore indexed, for each
 chunk, under the chunk without its first, second, ... symbol: the enumeration
 of the errors allowed.  All pairs within the distance meet in some bucket.  At
-a similarity of 0.8 a distance above the limit has a chance of 1 in 8,000.
+a similarity of 0.8 a distance above the limit has a chance of 1 in 5,800.
 
 Only connected components are asked for, so no bucket is expanded into pairs
 at once.  First each member is compared with its bucket's first member, then
@@ -40,6 +40,9 @@ BITS = 12
 DRAWS = 16
 MAX_DISTANCE = 2 * CHUNKS - 1
 
+#: The similarity that ``MAX_DISTANCE`` is made for.
+LEAST_PERCENT = 80
+
 #: Multipliers (odd) and offsets of the hash functions, from a counter.
 _STEPS = np.arange(1, 2 * SYMBOLS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 _MULTIPLY = mix(_STEPS[:SYMBOLS]) | np.uint64(1)
@@ -212,7 +215,7 @@ def near_duplicates(
 
     Rows are linked if their sets of ``k``-word shingles have a similarity of
     ``percent`` / 100 or more; the limit of the signature distance is made for
-    0.8, higher values lose less.  ``component_id`` is the smallest identifier
+    0.8, higher values lose less, and lower ones are refused.  ``component_id`` is the smallest identifier
     reachable over links, the row's own included.  Null and empty texts, and
     texts of white space, have no shingle and link with nothing.  Equal rows
     and equal texts share a component.  Rows that repeat an identifier link by
@@ -220,6 +223,8 @@ def near_duplicates(
     other.  Other columns are not read; an empty table stays empty.
     Identifiers are read as integers, or are structs, as ``with_row`` makes them.
     """
+    if percent < LEAST_PERCENT:
+        raise ValueError(f"the signature distance is made for {LEAST_PERCENT} percent and more")
     id_type = docs.schema["id"].dataType
     docs = docs.select(F.col("id").cast(id_type if isinstance(id_type, StructType) else "long").alias("id"), "text")
     sketch = materialize(spark, sketches(spark, docs, k), "sketches")

@@ -183,6 +183,12 @@ def test_state_goes_on_with_new_files(spark, written):
     assert sorted((str(r.id), str(r.keep_id), r.group_size, r.digest) for r in got) == _exact(ROWS)
 
 
+def test_similarities_below_the_signatures_limit_are_refused(spark):
+    docs = spark.createDataFrame([(1, "a b c")], "id BIGINT, text STRING")
+    with pytest.raises(ValueError, match="80 percent"):
+        minhash.near_duplicates(spark, docs, percent=60)
+
+
 def test_old_files_are_taken_in_too(spark, written):
     path = written(ROWS[:6], "doc_id BIGINT, text STRING")
     dedup = ExactDedup(spark, path)
