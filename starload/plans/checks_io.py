@@ -225,7 +225,7 @@ def _loaded_totals(spark: SparkSession, sf_dir: str, one_file: bool) -> DataFram
     sales = sales.select(F.col("dt").cast("string").alias("dt"), "manager", "product", "val")
     files = scratch_path(spark, "sales-files")
     if one_file:
-        export_csv(sales.coalesce(1), files)
+        export_csv(sales.repartition(1), files)  # only the write is in one task
     else:
         export_split(sales, files, 5000)
     loaded = bulk_load(spark, files, SALES_CSV_SCHEMA, scratch_path(spark, "sales-table"))

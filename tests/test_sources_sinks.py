@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from starload.plans import checks_io
 from starload.sinks.files import bulk_load, export_csv, export_split
 from starload.sinks.tables import SnapshotTable, create_table_as, create_tables, truncate_tables
 from starload.sources.catalog import register_foreign_table, run_sql
@@ -212,3 +213,15 @@ def test_malformed_lines_raise_or_are_kept_apart(spark, tmp_dir):
     good, bad = read_delimited_lenient(spark, f"{tmp_dir}/bad.csv", schema, sep=",")
     assert sorted(tuple(r) for r in good.collect()) == [(1, "x"), (4, "v")]
     assert sorted(r["_rejected"] for r in bad.collect()) == ["2,y,z", "3", "q,w"]
+
+
+def test_sales_of_one_file_are_generated_in_parallel(spark, monkeypatch):
+    plans = []
+
+    def written(df, path):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        export_csv(df, path)
+
+    monkeypatch.setattr(checks_io, "export_csv", written)
+    checks_io.bulk_load_one_file_check(spark, "/root/testdata/sf0.001")
+    assert len(plans) == 1 and "Coalesce" not in plans[0] and "Exchange SinglePartition" in plans[0]
