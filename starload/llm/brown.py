@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starload.llm.common import WordIds, materialize, ship
+from starload.llm.common import WordIds, discard, materialize, rows_of, ship
 
 WORDS, ENDINGS, CLASSES, ROUNDS = 16_384, 2_048, 64, 8
 
@@ -56,14 +56,16 @@ END = int(np.uint64(xxhash.xxh3_64_intdigest(b" ")).astype(np.int64))
 #: Counts of a unit: classes after it, classes before it, itself after itself.
 WIDE = 2 * CLASSES + 1
 
-#: A cell of these counts and its count in one number: ``cell + CELLS * count``.
-CELLS = 256
+#: The words beyond the frequent ones are exchanged in buckets of the range of
+#: their hashes: at least ``2 ** BUCKET_BITS``, and as many more as leave some
+#: ``BUCKET_ROWS`` counts of a word in a block in each.
+BUCKET_BITS, BUCKET_ROWS = 10, 200_000
 
 #: Counts up to this one have their gains in a table.
 SMALL = 8
 
-#: Words in a row batch of counts, and cells for which gains are held at once.
-BATCH_WORDS, BATCH_CELLS = 65_536, 32_768
+#: Words, and cells of their counts, for which gains are held at once.
+BATCH_WORDS, BATCH_CELLS = 4096, 32_768
 
 _words = WordIds()
 
@@ -166,42 +168,42 @@ def _dealt(endings: np.ndarray) -> np.ndarray:
     return 1 + endings.astype(np.int64) % (CLASSES - 1)
 
 
-_COUNTS = "unit long, counts array<int>, word long, own int, block long, at int, cells binary"
+_COUNTS = ("unit long, counts array<int>, bucket long, block long, words binary, own binary, "
+           "places binary, sizes binary, cells binary, n binary")
 _COUNTS_ARROW = pa.schema([
-    ("unit", pa.int64()), ("counts", pa.list_(pa.int32())), ("word", pa.int64()), ("own", pa.int32()),
-    ("block", pa.int64()), ("at", pa.int32()), ("cells", pa.binary()),
+    ("unit", pa.int64()), ("counts", pa.list_(pa.int32())), ("bucket", pa.int64()), ("block", pa.int64()),
+    *((name, pa.binary()) for name in ("words", "own", "places", "sizes", "cells", "n")),
 ])
 
 
-def _packed(rows: np.ndarray, cells: np.ndarray) -> pa.Array:
-    """``cells`` of each row, sorted by row (numbers without gaps), as bytes."""
-    offsets = np.concatenate(([0], np.cumsum(np.bincount(rows)))).astype(np.int32) * 8
-    return pa.Array.from_buffers(
-        pa.binary(), len(offsets) - 1,
-        [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(cells.astype("<i8").tobytes())])
-
-
-def _tail_rows(block: int, words: np.ndarray, classes: np.ndarray, cells: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Counts of a block's words; ``cells`` are ``place * WIDE + cell``."""
+def _tail_rows(block: int, words: np.ndarray, classes: np.ndarray, cells: np.ndarray, bits: int) -> pa.RecordBatch:
+    """Counts of a block's words, a row for each bucket; ``cells`` are
+    ``place * WIDE + cell``, the words are sorted."""
     cells, n = np.unique(cells, return_counts=True)
     places, cells = np.divmod(cells, WIDE)
-    some, rows = np.unique(places, return_inverse=True)
-    for start in range(0, len(some), BATCH_WORDS):
-        at = some[start : start + BATCH_WORDS]
-        inside = slice(*np.searchsorted(rows, (start, start + len(at))))
-        packed = _packed(rows[inside] - start, cells[inside] + CELLS * n[inside])
-        columns = [pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.list_(pa.int32())), words[at],
-                   classes[at], np.full(len(at), block), at, packed]
-        yield pa.record_batch([c if isinstance(c, pa.Array) else pa.array(c, f.type)
-                               for c, f in zip(columns, _COUNTS_ARROW, strict=True)], schema=_COUNTS_ARROW)
-
-
-def _counted(spark: SparkSession, corpus: DataFrame, model: Model, given: list[DataFrame], half: int | None) -> tuple[DataFrame, DataFrame]:
+    places, starts = np.unique(places, return_index=True)
+    sizes = np.diff(starts, append=len(cells))
+    buckets, begins = np.unique(words[places] >> np.int64(64 - bits), return_index=True)
+    ends = np.append(begins, len(places))[1:]
+    by_word = [words[places].astype("<i8"), classes[places].astype("u1"), places.astype("<i4"), sizes.astype("u1")]
+    by_cell = [cells.astype("u1"), n.astype("<u4")]
+    starts = np.append(starts, len(cells))
+    columns = [[x[i:j].tobytes() for i, j in zip(begins, ends, strict=True)] for x in by_word]
+    columns += [[x[i:j].tobytes() for i, j in zip(starts[begins], starts[ends], strict=True)] for x in by_cell]
+    k = len(buckets)
+    columns = [[None] * k, [None] * k, buckets, np.full(k, block), *columns]
+    return pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, _COUNTS_ARROW, strict=True)], schema=_COUNTS_ARROW)
+
+
+def _counted(
+    spark: SparkSession, corpus: DataFrame, model: Model, given: list[DataFrame], half: int | None, bits: int
+) -> tuple[DataFrame, DataFrame]:
     """Counts over the training texts, of one half of the words or of none.
 
-    First ``unit, counts`` of the frequent words, and each class's row of pair
-    counts under ``unit = -1 - class``; then ``word, own, block, at, cells``, a
-    row for each block, of the other words.  ``given`` has their classes by block.
+    First what the tasks counted, where rows without a ``unit`` are of words
+    beyond the frequent ones, by block and bucket; then the sums ``unit,
+    counts`` of the frequent words, and each class's row of pair counts under
+    ``unit = -1 - class``.  ``given`` has the choices made so far.
     """
     slots = np.full(len(model.classes), -1, np.int64)
     chosen = np.arange(len(model.words))
@@ -218,9 +220,9 @@ def _counted(spark: SparkSession, corpus: DataFrame, model: Model, given: list[D
                 units = model.units(words, endings)
                 tail = (units >= len(model.words)) & (words != END)
                 classes = np.where(tail, _dealt(endings), model.classes[units])
-                for places, found in zip(known[::2], known[1::2], strict=True):
-                    if places.is_valid:
-                        classes[places.values.to_numpy()] = found.values.to_numpy()
+                for found in known:
+                    for part in found.as_py() or ():
+                        classes[np.frombuffer(part["places"], "<i4")] = np.frombuffer(part["classes"], "u1")
                 now = _tokens(packed.as_py())
                 # what stands before a text is the end of the one before it
                 before = np.concatenate(([np.searchsorted(words, END)], now[:-1]))
@@ -240,7 +242,7 @@ def _counted(spark: SparkSession, corpus: DataFrame, model: Model, given: list[D
                     total += np.bincount(slot[w[there]] * WIDE + cell[there], minlength=len(total))
                     there = tail[w]
                     rare.append(w[there].astype(np.int64) * WIDE + cell[there])
-                yield from _tail_rows(block.as_py(), words, classes, np.concatenate(rare))
+                yield _tail_rows(block.as_py(), words, classes, np.concatenate(rare), bits)
         total = total.reshape(-1, WIDE)
         some = np.flatnonzero(total.any(axis=1))
         wide = np.zeros((CLASSES, WIDE), np.int64)
@@ -256,12 +258,14 @@ def _counted(spark: SparkSession, corpus: DataFrame, model: Model, given: list[D
         return pd.Series([np.sum(np.stack(list(p)), axis=0, dtype=np.int64) for p in parts])
 
     found = corpus.select("block", "held", "sizes", "tokens", "words", "endings")
-    for i, classes in enumerate(given):
-        found = found.join(classes.toDF("block", f"places{i}", f"classes{i}"), "block", "left")
+    for i, choices in enumerate(given):
+        of_block = choices.where("block IS NOT NULL").groupBy("block").agg(
+            F.collect_list(F.struct("places", "classes")).alias(f"found{i}"))
+        found = found.join(of_block, "block", "left")
     found = materialize(spark, found.coalesce(TASKS).mapInArrow(count, _COUNTS), "counts")
     units = found.where("unit IS NOT NULL").groupBy("unit").agg(F.collect_list("counts").alias("parts"))
     units = materialize(spark, units.select("unit", summed("parts").alias("counts")), "classcounts")
-    return units, found.where("unit IS NULL").select("word", "own", "block", "at", "cells")
+    return found, units
 
 
 def _pairs(counted: DataFrame) -> np.ndarray:
@@ -347,6 +351,14 @@ def _gains(rows: np.ndarray, cells: np.ndarray, n: np.ndarray, own: np.ndarray,
 def best_classes(rows: np.ndarray, cells: np.ndarray, n: np.ndarray, own: np.ndarray, pairs: np.ndarray) -> np.ndarray:
     """``best_class`` of many words: ``n`` times ``cells`` of the words ``rows``
     (sorted, each cell once), whose classes are ``own``."""
+    found = []
+    for start in range(0, len(own), BATCH_WORDS):
+        part = slice(*np.searchsorted(rows, (start, start + BATCH_WORDS)))
+        found.append(_best_classes(rows[part] - start, cells[part], n[part], own[start : start + BATCH_WORDS], pairs))
+    return np.concatenate(found)
+
+
+def _best_classes(rows: np.ndarray, cells: np.ndarray, n: np.ndarray, own: np.ndarray, pairs: np.ndarray) -> np.ndarray:
     k = len(own)
     wide = np.zeros((k, WIDE))
     wide[rows, cells] = n
@@ -370,73 +382,79 @@ def best_classes(rows: np.ndarray, cells: np.ndarray, n: np.ndarray, own: np.nda
     return np.where(gain[at, best] > gain[at, own] + 1e-6, best, own)
 
 
-def _decided(batches: list[pa.RecordBatch], pairs: np.ndarray) -> pa.RecordBatch:
-    """``word, block, at, class, first`` of rows of counts, sorted by word and
-    with all rows of each word."""
-    table = pa.Table.from_batches(batches)
-    word, own = table["word"].to_numpy(), table["own"].to_numpy()
-    packed = table["cells"].to_pylist()
-    first = np.diff(word, prepend=word[0] - 1) != 0
-    group = np.cumsum(first) - 1
-    cells = np.frombuffer(b"".join(packed), "<i8")
-    rows = np.repeat(group, [len(p) // 8 for p in packed])
-    keys, where = np.unique(rows * CELLS + cells % CELLS, return_inverse=True)
-    n = np.bincount(where, weights=cells // CELLS)
-    classes = best_classes(keys // CELLS, keys % CELLS, n, own[first].astype(np.int64), pairs)
+_CHOICES = "block long, places binary, words binary, classes binary"
+
+
+def _decided(rows: list[tuple], pairs: np.ndarray) -> pa.RecordBatch:
+    """Choices from all rows of a bucket: ``places`` and ``classes`` for each of
+    its blocks, and ``words`` (each once) and their classes without a block."""
+    blocks, words, own, places, sizes, cells, n = zip(*rows, strict=True)
+    join = lambda parts, kind: np.frombuffer(b"".join(parts), kind)
+    every, first, group = np.unique(join(words, "<i8"), return_index=True, return_inverse=True)
+    keys, where = np.unique(np.repeat(group, join(sizes, "u1")) * 256 + join(cells, "u1"), return_inverse=True)
+    total = np.bincount(where, weights=join(n, "<u4"))
+    classes = best_classes(keys // 256, keys % 256, total, join(own, "u1")[first].astype(np.int64), pairs).astype("u1")
+    ends = np.cumsum([len(o) for o in own])
+    found = [classes[g].tobytes() for g in np.split(group, ends[:-1])]
     return pa.record_batch([
-        pa.array(word), pa.array(table["block"].to_numpy()), pa.array(table["at"].to_numpy()),
-        pa.array(classes[group].astype(np.int32)), pa.array(first),
-    ], ["word", "block", "at", "class", "first"])
+        pa.array([*blocks, None], pa.int64()), pa.array([*places, None], pa.binary()),
+        pa.array([*[None] * len(blocks), every.tobytes()], pa.binary()),
+        pa.array([*found, classes.tobytes()], pa.binary()),
+    ], ["block", "places", "words", "classes"])
 
 
 def _chosen(spark: SparkSession, counts: DataFrame, pairs: np.ndarray) -> DataFrame:
-    """The words beyond the frequent ones with the classes they choose, a row
-    for each block: ``word, block, at, class``, and ``first`` in one row of each."""
+    """The classes that the words beyond the frequent ones choose, see ``_decided``."""
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+        now, held = None, []
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            word = batch.column(0).to_numpy()
-            last = int(np.searchsorted(word, word[-1]))  # the last word may go on
-            if last or (held and held[-1].column(0)[0].as_py() != word[0]):
-                held.append(batch.slice(0, last))
-                yield _decided(held, pairs)
-                held = []
-            held.append(batch.slice(last))
+            for bucket, *row in rows_of(batch):
+                if held and bucket != now:
+                    yield _decided(held, pairs)
+                    held = []
+                now = bucket
+                held.append(row)
         if held:
             yield _decided(held, pairs)
 
-    placed = counts.repartition("word").sortWithinPartitions("word")
-    return materialize(
-        spark, placed.mapInArrow(choose, "word long, block long, at int, class int, first boolean"), "choices")
+    placed = counts.repartition("bucket").sortWithinPartitions("bucket")
+    return materialize(spark, placed.mapInArrow(choose, _CHOICES), "choices")
+
+
+def _by_word(choices: DataFrame) -> DataFrame:
+    """``word, class`` of the words in ``choices``."""
 
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for words, classes in rows_of(batch):
+                yield pa.record_batch([
+                    pa.array(np.frombuffer(words, "<i8")), pa.array(np.frombuffer(classes, "u1").astype(np.int32)),
+                ], ["word", "class"])
 
-def _by_block(spark: SparkSession, choices: DataFrame) -> DataFrame:
-    """``block, places, classes``: a row for each block."""
-    found = choices.groupBy("block").agg(F.collect_list(F.struct("at", "class")).alias("c"))
-    return materialize(spark, found.select(
-        "block", F.col("c.at").alias("places"), F.col("c.class").alias("classes")), "blockclasses")
+    return choices.where("block IS NULL").select("words", "classes").mapInArrow(unpack, "word long, class int")
 
 
-def cluster(spark: SparkSession, corpus: DataFrame, model: Model) -> tuple[Model, DataFrame | None]:
+def cluster(spark: SparkSession, corpus: DataFrame, model: Model) -> tuple[Model, DataFrame]:
     """Exchange clustering of all training words.
 
     The result has the pair counts of its classes; with it come ``word, class``
     of all words but the frequent ones, each once."""
-    choices: list[DataFrame | None] = [None, None]
-    placed: list[DataFrame | None] = [None, None]
+    places = corpus.agg(F.sum(F.size("words"))).first()[0] or 0
+    bits = max(BUCKET_BITS, (places // BUCKET_ROWS).bit_length())
+    choices: list[DataFrame] = []
     for turn in range(ROUNDS):
         half = turn % 2
-        counted, rare = _counted(spark, corpus, model, [p for p in placed if p is not None], half)
+        found, counted = _counted(spark, corpus, model, choices, half, bits)
         pairs = _pairs(counted)
-        choices[half] = _chosen(spark, rare, pairs)
-        placed[half] = _by_block(spark, choices[half])
+        rare = found.where("unit IS NULL").select("bucket", "block", "words", "own", "places", "sizes", "cells", "n")
+        choices.append(_chosen(spark, rare, pairs))
         model = replace(model, classes=_moved(counted, pairs, model.classes))
-    counted, _ = _counted(spark, corpus, model, [p for p in placed if p is not None], None)
-    classes = [c.where("first").select("word", "class") for c in choices if c is not None]
-    return replace(model, pairs=_pairs(counted)), reduce(DataFrame.unionByName, classes)
+        discard(spark, found)
+        if len(choices) > 2:  # those that this half made before
+            discard(spark, choices.pop(0))
+    _, counted = _counted(spark, corpus, model, choices, None, bits)
+    return replace(model, pairs=_pairs(counted)), reduce(DataFrame.unionByName, map(_by_word, choices))
 
 
 # --- model and scores --------------------------------------------------------

@@ -41,6 +41,15 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, table: DataFrame) -> None:
+    """Delete what ``materialize`` wrote, once nothing reads it any more."""
+    files = table.inputFiles()
+    if files:
+        jvm = spark.sparkContext._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(files[0])).getParent()
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """``wanted``, or with underscores added until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}
