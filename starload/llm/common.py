@@ -64,8 +64,10 @@ def with_row(df: DataFrame) -> tuple[DataFrame, str]:
 
     It is the row's file and its place there, so it is the same in every scan,
     however Spark cuts and packs the files into tasks.  Unlike identifiers it is
-    never null and never repeats.
+    never null and never repeats.  What is not a table as read is written first.
     """
+    if df._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
+        df = materialize(df.sparkSession, df, "rows")
     name = free_name(df, "_row")
     at = df.metadataColumn("_metadata")
     return df.withColumn(name, F.struct(at["file_path"].alias("file"), at["row_index"].alias("row"))), name
