@@ -12,6 +12,7 @@ from starload.llm import (
     q_mixing,
     q_sharding,
     q_substrings,
+    q_subword,
     q_tokencount,
 )
 
@@ -26,6 +27,7 @@ _TABLE = [
     ("op8_exactdedup", q_exactdedup.op8_exactdedup, q_exactdedup.OP8_SQL),
     ("op9_sharding", q_sharding.op9_sharding, None),
     ("op10_brown", q_brown.op10_brown, None),
+    ("op12_subword", q_subword.op12_subword, None),
 ]
 
 QUERIES = {name: query for name, query, _ in _TABLE}
