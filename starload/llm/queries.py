@@ -7,6 +7,7 @@ from starload.llm import (
     q_chatformat,
     q_decontam,
     q_exactdedup,
+    q_filter_audit,
     q_langid,
     q_minhash,
     q_mixing,
@@ -28,6 +29,7 @@ _TABLE = [
     ("op9_sharding", q_sharding.op9_sharding, None),
     ("op10_brown", q_brown.op10_brown, None),
     ("op12_subword", q_subword.op12_subword, None),
+    ("op13_filter_audit", q_filter_audit.op13_filter_audit, q_filter_audit.OP13_SQL),
 ]
 
 QUERIES = {name: query for name, query, _ in _TABLE}
