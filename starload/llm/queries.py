@@ -9,6 +9,7 @@ from starload.llm import (
     q_exactdedup,
     q_filter_audit,
     q_langid,
+    q_lexical,
     q_minhash,
     q_mixing,
     q_sharding,
@@ -28,6 +29,7 @@ _TABLE = [
     ("op8_exactdedup", q_exactdedup.op8_exactdedup, q_exactdedup.OP8_SQL),
     ("op9_sharding", q_sharding.op9_sharding, None),
     ("op10_brown", q_brown.op10_brown, None),
+    ("op11_lexical", q_lexical.op11_lexical, q_lexical.OP11_SQL),
     ("op12_subword", q_subword.op12_subword, None),
     ("op13_filter_audit", q_filter_audit.op13_filter_audit, q_filter_audit.OP13_SQL),
 ]
