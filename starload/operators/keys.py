@@ -6,11 +6,12 @@ every size:
 1. the rows are range-partitioned on the full row order, sorted inside each
    partition and numbered there (``monotonically_increasing_id`` carries the
    partition index in its upper bits and the position in its lower 33 bits);
-2. the numbered rows are checkpointed to the shared checkpoint folder, because
-   range bounds are sampled anew in each execution and a lost executor must
-   not change the numbers;
+2. the numbered rows are written to a table in the shared checkpoint folder,
+   because range bounds are sampled anew in each execution and a lost executor
+   must not change the numbers;
 3. each partition adds the row count of all earlier partitions, taken from a
-   table with one row per partition.
+   table with one row per partition, which is made once and reads nothing but
+   the numbers.
 
 Rows are ordered by the requested columns and then by every other column, so
 only exact duplicates can swap places, and swapping identical rows leaves the
@@ -28,7 +29,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starload.session import checkpoint_dir
+from starload.session import checkpoint_dir, scratch_path
 
 _POSITION_BITS = 33
 _POSITION_MASK = (1 << _POSITION_BITS) - 1
@@ -42,17 +43,23 @@ def max_id(df: DataFrame, id_col: str = "id") -> int:
 
 def _placed(df: DataFrame) -> DataFrame:
     """``df``, frozen, with each row's place in its partition (``__mid``)."""
-    checkpoint_dir(df.sparkSession)
-    return df.withColumn("__mid", F.monotonically_increasing_id()).checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "placed")
+    typed = [c for c, kind in df.dtypes if kind != "void"]  # a file has no column without a type
+    df.select(*[F.col(f"`{c}`") for c in typed], F.monotonically_increasing_id().alias("__mid")).write.parquet(path)
+    written = df.sparkSession.read.parquet(path)
+    return written.select(
+        *[F.col(f"`{c}`") if c in typed else F.lit(None).alias(c) for c in df.columns], "__mid")
 
 
 def _starts(placed: DataFrame) -> DataFrame:
     """Rows before each partition, and its own: one row per partition, so the
-    table is bounded and may be ordered in one task and broadcast."""
+    table is bounded and may be ordered in one task and broadcast.  It is
+    stored, as it is used twice."""
     counts = placed.groupBy(F.shiftright("__mid", _POSITION_BITS).alias("__pid")).agg(
         F.count(F.lit(1)).alias("__n"))
     earlier = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    return counts.withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
+    checkpoint_dir(placed.sparkSession)
+    return counts.withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0))).checkpoint()
 
 
 def _numbered(placed: DataFrame, starts: DataFrame, start: int, id_col: str) -> DataFrame:
@@ -64,6 +71,31 @@ def _numbered(placed: DataFrame, starts: DataFrame, start: int, id_col: str) ->
     return keyed.select(new_id.alias(id_col), *[F.col(f"`{c}`") for c in columns])
 
 
+def number_rows(
+    df: DataFrame,
+    order_cols: Sequence[str | Column] = (),
+    start: int = 0,
+    id_col: str = "id",
+    num_partitions: int | None = None,
+) -> tuple[DataFrame, int]:
+    """``df`` with ``id_col`` = start+1, start+2, ... and the number of rows.
+
+    With ``order_cols`` the numbers follow the full row order that begins with
+    them; without, they follow the partitions and the places the rows are in,
+    and nothing is moved or sorted.  ``num_partitions`` sets the number of
+    ranges; else there are as many as shuffle partitions.
+    """
+    if order_cols:
+        named = {c for c in order_cols if isinstance(c, str)}
+        order = [*order_cols, *[F.col(f"`{c}`") for c in df.columns if c not in named]]
+        ranged = df.repartitionByRange(*([num_partitions] if num_partitions else []), *order)
+        df = ranged.sortWithinPartitions(*order)
+    placed = _placed(df)
+    starts = _starts(placed)
+    total = starts.agg(F.sum("__n")).first()[0] or 0
+    return _numbered(placed, starts, start, id_col), total
+
+
 def assign_keys(
     df: DataFrame,
     order_cols: Sequence[str | Column],
@@ -71,20 +103,8 @@ def assign_keys(
     id_col: str = "id",
     num_partitions: int | None = None,
 ) -> DataFrame:
-    """Add ``id_col`` = start+1, start+2, ... following ``order_cols``.
-
-    ``num_partitions`` sets the number of ranges; without it there are as many
-    as shuffle partitions, and adaptive execution joins small ones.
-    """
-    named = {c for c in order_cols if isinstance(c, str)}
-    total_order = [*order_cols, *[F.col(f"`{c}`") for c in df.columns if c not in named]]
-    ranged = (
-        df.repartitionByRange(num_partitions, *total_order)
-        if num_partitions
-        else df.repartitionByRange(*total_order)
-    )
-    placed = _placed(ranged.sortWithinPartitions(*total_order))
-    return _numbered(placed, _starts(placed), start, id_col)
+    """Add ``id_col`` = start+1, start+2, ... following ``order_cols``."""
+    return number_rows(df, order_cols, start, id_col, num_partitions)[0]
 
 
 def assign_keys_unordered(
@@ -95,7 +115,5 @@ def assign_keys_unordered(
     No exchange and no sort: the rows are numbered where they are.  The last id
     comes from the partition counts, not from a scan of the ids.
     """
-    placed = _placed(df)
-    starts = _starts(placed)
-    total = starts.agg(F.sum("__n")).first()[0] or 0
-    return _numbered(placed, starts, start, id_col), start + total
+    keyed, total = number_rows(df, (), start, id_col)
+    return keyed, start + total

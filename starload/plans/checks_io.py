@@ -17,7 +17,7 @@ from pyspark.sql.types import (
 
 from starload.operators.aggregates import sum_by
 from starload.session import read_table, scratch_path, table_path
-from starload.sinks.files import bulk_load, export_csv, export_split
+from starload.sinks.files import bulk_load, export_csv, export_exact, export_split
 from starload.sinks.tables import SnapshotTable, append_table
 from starload.sources.catalog import register_foreign_table
 from starload.sources.files import read_delimited, read_first_column, read_glob
@@ -105,6 +105,32 @@ def export_split_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 EXPORT_SPLIT_SQL = "SELECT CAST(0 AS BIGINT) AS files_over_limit, count(*) AS total_rows FROM orders"
 
 
+EXACT_ROWS = 1000
+
+
+def export_exact_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in the order of their keys, in files of exactly 1,000 rows: what
+    each file holds, numbered as the file names sort."""
+    path = scratch_path(spark, "orders-exact")
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    export_exact(orders, path, EXACT_ROWS, ["o_orderkey"])
+    back = read_glob(spark, f"{path}/*.csv", ORDERS_TEXT_SCHEMA)
+    file_no = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)-", 1).cast("bigint")
+    return back.groupBy(file_no.alias("file_no")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.min("o_orderkey").alias("first_key"),
+        F.max("o_orderkey").alias("last_key"),
+        F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("total_cents"),
+    )
+
+
+EXPORT_EXACT_SQL = f"""
+SELECT n // {EXACT_ROWS} AS file_no, count(*) AS rows, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key,
+       CAST(sum(CAST(ROUND(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS total_cents
+FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS n FROM orders) GROUP BY 1
+"""
+
+
 def read_first_column_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One text file per nation: two lead lines, a header, then the names and
     balances of the nation's customers; the first column is read back."""

@@ -56,6 +56,7 @@ _TABLE = [
     ("read_delimited", ci.read_delimited_check, ci.READ_DELIMITED_SQL),
     ("read_glob", ci.read_glob_check, ci.READ_GLOB_SQL),
     ("export_split", ci.export_split_check, ci.EXPORT_SPLIT_SQL),
+    ("export_exact", ci.export_exact_check, ci.EXPORT_EXACT_SQL),
     ("read_first_column", ci.read_first_column_check, ci.READ_FIRST_COLUMN_SQL),
     ("foreign_table", ci.foreign_table_check, ci.FOREIGN_TABLE_SQL),
     ("append_table", ci.append_table_check, ci.APPEND_TABLE_SQL),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from starload.operators.keys import number_rows
 from starload.sources.files import read_delimited
 
 
@@ -58,6 +59,36 @@ def export_split(df: DataFrame, path: str, max_rows: int, sep: str = ",") -> Non
     _csv_writer(_one_line(df), "overwrite", sep).option("maxRecordsPerFile", max_rows).csv(path)
 
 
+def export_exact(
+    df: DataFrame,
+    path: str,
+    rows: int,
+    order_cols: Sequence[str] = (),
+    sep: str = ",",
+    multi_line: bool = False,
+) -> int:
+    """CSV files of exactly ``rows`` rows each, the last one of what is left (K4);
+    returns the number of files.
+
+    File k holds the rows from k * ``rows`` on, in the order of ``order_cols`` or,
+    without them, in the order that ``df`` has.  The rows are numbered by a count
+    of each partition, then each goes to the task of its file by that number: one
+    exchange, whose tasks are as large as a file, and no task sees more.  File
+    names sort in the order of the files' numbers.  A frame without rows makes one
+    file with the header alone.
+    """
+    if rows < 1:
+        raise ValueError("a file has at least one row")
+    place = "__row"
+    while place in df.columns:
+        place += "_"
+    numbered, total = number_rows(df if multi_line else _one_line(df), order_cols, start=-1, id_col=place)
+    files = max(1, -(-total // rows))
+    dealt = numbered.repartitionById(files, F.expr(f"cast({place} div {rows} as int)"))
+    _csv_writer(dealt.sortWithinPartitions(place).drop(place), "overwrite", sep).csv(path)
+    return files
+
+
 def bulk_load(
     spark: SparkSession,
     paths: str | Sequence[str],

@@ -225,3 +225,34 @@ def test_sales_of_one_file_are_generated_in_parallel(spark, monkeypatch):
     monkeypatch.setattr(checks_io, "export_csv", written)
     checks_io.bulk_load_one_file_check(spark, "/root/testdata/sf0.001")
     assert len(plans) == 1 and "Coalesce" not in plans[0] and "Exchange SinglePartition" in plans[0]
+
+
+def _file_rows(spark, path, schema):
+    """The rows of each file, in the order of the file names."""
+    from pathlib import Path
+
+    return [[tuple(r) for r in read_delimited(spark, str(f), schema, sep=",").coalesce(1).collect()]
+            for f in sorted(Path(path).glob("part-*.csv"))]
+
+
+def test_files_of_exactly_n_rows_keep_the_order(spark, tmp_dir):
+    from starload.sinks.files import export_exact
+
+    rows = spark.range(0, 1003, 1, 7).selectExpr("id AS a", "concat('t ', id % 5) AS b")
+    files = export_exact(rows, f"{tmp_dir}/plain", 100)
+    got = _file_rows(spark, f"{tmp_dir}/plain", rows.schema)
+    assert files == 11 and [len(f) for f in got] == [100] * 10 + [3]
+    assert [r[0] for f in got for r in f] == list(range(1003))
+    # by other columns, with ties
+    export_exact(rows.repartition(5), f"{tmp_dir}/sorted", 250, ["b"])
+    got = _file_rows(spark, f"{tmp_dir}/sorted", rows.schema)
+    assert [len(f) for f in got] == [250] * 4 + [3]
+    assert [r for f in got for r in f] == sorted(((k, f"t {k % 5}") for k in range(1003)), key=lambda r: (r[1], r[0]))
+    # no rows, one row a file, and a clashing column name
+    assert export_exact(rows.limit(0), f"{tmp_dir}/none", 5) == 1
+    assert _file_rows(spark, f"{tmp_dir}/none", rows.schema) == [[]]
+    few = rows.limit(3).withColumnRenamed("a", "__row").repartition(2)
+    assert export_exact(few, f"{tmp_dir}/one", 1) == 3
+    assert sorted(len(f) for f in _file_rows(spark, f"{tmp_dir}/one", few.schema)) == [1, 1, 1]
+    with pytest.raises(ValueError):
+        export_exact(rows, f"{tmp_dir}/zero", 0)
