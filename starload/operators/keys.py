@@ -117,3 +117,26 @@ def assign_keys_unordered(
     """
     keyed, total = number_rows(df, (), start, id_col)
     return keyed, start + total
+
+
+def number_in_files(df: DataFrame, file: str, block: str, row: str) -> tuple[DataFrame, DataFrame]:
+    """``df`` with ``row``, each row's place in its file from 0, and a table of the
+    files: ``file``, its ``rows``, and the rows ``before`` it in the files' order.
+
+    ``file`` and ``block`` are columns of ``df`` with the file a row was read from
+    and the start of the block of it; nothing but filters and projections may lie
+    between the scan and ``df``.  Rows of a block are consecutive in one task, so
+    the place in a block is known there, and a table with one row a block adds
+    what lies before.  The places do not depend on how Spark cuts the files.
+    """
+    placed = _placed(df)
+    counts = placed.groupBy(file, block).agg(F.min("__mid").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    earlier = Window.partitionBy(file).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    checkpoint_dir(df.sparkSession)
+    starts = counts.withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0))).checkpoint()
+    numbered = placed.join(F.broadcast(starts.drop("__n")), [file, block]).withColumn(
+        row, F.col("__before") + F.col("__mid") - F.col("__first")).drop("__before", "__mid", "__first")
+    order = Window.orderBy(file).rowsBetween(Window.unboundedPreceding, -1)
+    files = starts.groupBy(file).agg(F.sum("__n").alias("rows")).withColumn(
+        "before", F.coalesce(F.sum("rows").over(order), F.lit(0)))
+    return numbered, files

@@ -71,7 +71,8 @@ _TABLE = [
     ("top_n_report", cw.top_n_report_check, cw.TOP_N_REPORT_SQL),
     ("report_view", cw.report_view_check, cw.REPORT_VIEW_SQL),
     ("ingest_chunks", cst.ingest_chunks_check, cst.INGEST_CHUNKS_SQL),
-    # micro-batch timings have no SQL equivalent: rows-only
+    ("ingest_rows", cst.ingest_rows_check, cst.INGEST_CHUNKS_SQL),
+    ("batch_ids", cst.batch_ids_check, cst.BATCH_IDS_SQL),
     ("chunk_batches", cst.chunk_batches_check, cst.CHUNK_BATCHES_SQL),
     ("stage_update_dims", cw.stage_update_dims_check, cw.STAGE_UPDATE_DIMS_SQL),
     ("stage_update_report", cw.stage_update_report_check, cw.STAGE_UPDATE_REPORT_SQL),

@@ -395,11 +395,8 @@ class WarehouseJob:
         self.spark = spark
         self.root = root.rstrip("/")
         self.periods = PeriodFolders(spark, period=fact_period)
-        self.loads = Entries(
-            spark, f"{self.root}/stage/loads",
-            "load_ts STRING, last_id BIGINT, dimensions MAP<STRING, STRING>, facts ARRAY<STRING>, "
-            "fact_schema STRING",
-        )
+        # load_ts, last_id, dimensions (name: folder), facts (folders), fact_schema
+        self.loads = Entries(spark, f"{self.root}/stage/loads")
 
     def _begin(self, load_ts):
         """The current entry; expiry compares ``dt_update < load_ts``, so every

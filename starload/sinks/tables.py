@@ -9,6 +9,7 @@ nothing that a reader would see.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 
@@ -17,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from starload.sinks.notes import list_notes, read_note, write_note
+
 
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Append rows to a Parquet table (K1)."""
@@ -31,34 +34,36 @@ class ConcurrentWriteError(RuntimeError):
 
 
 class Entries:
-    """Numbered JSON entries under ``root``, one folder each, never overwritten.
+    """Numbered JSON entries under ``root``, one file each, never overwritten.
 
-    The highest complete one is current; of two with the same number the one
-    with the smaller tag, and the other's writer gets an error.
+    The highest complete one is current.  There is one name for each number and
+    it is created only if nothing has it, so of two writers that start after the
+    same entry one succeeds and the other gets an error, in whatever order they
+    come.  A writer that is lost while it writes leaves an incomplete entry:
+    readers pass over it, and later writers get the error until it is removed.
     """
 
-    def __init__(self, spark: SparkSession, root: str, fields: str):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        self.schema = f"number BIGINT, tag STRING, {fields}"
 
-    def latest(self):
-        """The current entry as a row, None if there is none."""
-        try:
-            rows = self.spark.read.schema(self.schema).json(f"{self.root}/entry-*")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
-        return rows.orderBy(F.desc("number"), "tag").first()
+    def latest(self) -> dict | None:
+        """The current entry, None if there is none."""
+        for name in reversed(list_notes(self.spark, self.root)):
+            if name.startswith("entry-"):
+                try:
+                    return json.loads(read_note(self.spark, f"{self.root}/{name}") or "")
+                except ValueError:
+                    continue
+        return None
 
     def publish(self, tag: str, after: int, **values) -> None:
         """Adds entry ``after + 1``; it counts once it is written completely."""
         number = after + 1
-        row = self.spark.createDataFrame([{"number": number, "tag": tag, **values}], self.schema)
-        row.coalesce(1).write.mode("errorifexists").json(f"{self.root}/entry-{number:06d}-{tag}")
-        now = self.latest()
-        if (now["number"], now["tag"]) != (number, tag):
-            raise ConcurrentWriteError(f"another writer published number {now['number']} under {self.root}")
+        text = json.dumps({"number": number, "tag": tag, **values}, ensure_ascii=False)
+        try:
+            write_note(self.spark, f"{self.root}/entry-{number:09d}.json", text)
+        except FileExistsError:
+            raise ConcurrentWriteError(f"another writer published number {number} under {self.root}") from None
 
 
 def new_tag() -> str:
@@ -73,7 +78,7 @@ class SnapshotTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.entries = Entries(spark, f"{self.root}/_versions", "path STRING")
+        self.entries = Entries(spark, f"{self.root}/_versions")
 
     def current_version(self) -> int | None:
         row = self.entries.latest()

@@ -8,16 +8,19 @@ driver) appends only files it has not seen.
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from starload.functions.dates import EXPORT_DATE_FORMAT, parse_date
 from starload.functions.numbers import cast_int
+from starload.operators.keys import number_in_files
+from starload.sinks.notes import read_note, write_note
 from starload.sources.files import NOTHING
 
 # Column names of the chunked sales export, by position.
@@ -39,61 +42,78 @@ def type_sales_chunk(df: DataFrame, date_format: str = EXPORT_DATE_FORMAT) -> Da
     )
 
 
-_BATCH = "batch_id BIGINT, rows BIGINT, bad_dates BIGINT, elapsed_ms BIGINT"
+_BATCH = ("batch_id BIGINT, rows BIGINT, bad_dates BIGINT, elapsed_ms BIGINT, "
+          "first_id BIGINT, last_id BIGINT")
 
 
-def ingest_chunks(
+def _note(out_path: str, number: int) -> str:
+    return f"{out_path}-batches/batch-{number:09d}.json"
+
+
+def _last_id(spark: SparkSession, out_path: str, number: int) -> int:
+    """The last id that was given before batch ``number``."""
+    if number == 0:
+        return 0
+    text = read_note(spark, _note(out_path, number - 1))
+    if text is None:
+        raise FileNotFoundError(f"no record of batch {number - 1} beside {out_path}")
+    return json.loads(text)["last_id"]
+
+
+def _store(
     spark: SparkSession,
-    in_dir: str,
     out_path: str,
-    checkpoint: str,
-    files_per_batch: int = 1,
-    width: int = len(CHUNK_COLUMNS),
-    transform: Callable[[DataFrame], DataFrame] = type_sales_chunk,
-    sep: str = ",",
-    date_col: str = "dt",
-    mode: str = "FAILFAST",
-) -> StreamingQuery:
-    """Append every file of ``in_dir`` not yet ingested, ``files_per_batch``
-    files per micro-batch, then stop (T1).  Returns the finished query.
+    date_col: str,
+    numbered: Callable[[DataFrame, int], DataFrame] | None,
+) -> Callable[[DataFrame, int], None]:
+    """What a micro-batch does: its rows, then one record of itself.
 
-    A batch writes its rows to ``out_path/batch=<id>`` and then one record of
-    itself to ``out_path-batches/batch=<id>``; a batch that is run again after a
-    failure replaces its own folders, so the table is exactly-once.  A malformed
-    line fails the batch; a date that does not parse becomes NULL and is counted
-    in the record.
+    Both have the batch's name, so a batch that is run again replaces what it
+    wrote.  ``numbered`` gives the rows their ids, from the last id in the record
+    of the batch before; it must give a row the same id whenever it is called
+    with the same rows, so a batch that is run again gives the ids it gave.
     """
-    raw = (
-        spark.readStream.schema(text_schema([f"_c{i}" for i in range(width)]))
-        .option("header", True)
-        .option("sep", sep)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("emptyValue", "")
-        .option("nullValue", NOTHING)
-        .option("mode", mode)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .csv(in_dir)
-    )
-    out_path = out_path.rstrip("/")
 
     def store(batch: DataFrame, number: int) -> None:
         began = time.monotonic()
+        start = _last_id(spark, out_path, number)
+        rows = numbered(batch, start) if numbered else batch
         seen = Observation()
-        counted = batch.observe(
+        counted = rows.observe(
             seen,
             F.count(F.lit(1)).alias("rows"),
             F.count_if(F.col(date_col).isNull()).alias("bad_dates"),
         )
         counted.write.mode("overwrite").parquet(f"{out_path}/batch={number}")
         n = seen.get
-        record = (number, n["rows"], n["bad_dates"], int(1000 * (time.monotonic() - began)))
-        spark.createDataFrame([record], _BATCH).coalesce(1).write.mode("overwrite").json(
-            f"{out_path}-batches/batch={number}")
+        last = start + (n["rows"] if numbered else 0)
+        write_note(spark, _note(out_path, number), json.dumps({
+            "batch_id": number, "rows": n["rows"], "bad_dates": n["bad_dates"],
+            "elapsed_ms": int(1000 * (time.monotonic() - began)),
+            "first_id": start + 1 if last > start else None, "last_id": last,
+        }), overwrite=True)
 
+    return store
+
+
+def _csv_stream(spark: SparkSession, in_dir: str, width: int, sep: str, mode: str):
+    return (
+        spark.readStream.schema(text_schema([f"_c{i}" for i in range(width)]))
+        .format("csv")
+        .option("header", True)
+        .option("sep", sep)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("emptyValue", "")
+        .option("nullValue", NOTHING)
+        .option("mode", mode)
+        .option("maxFileAge", "36500d")  # a file is new until it was ingested, however old it is
+    )
+
+
+def _run(rows: DataFrame, checkpoint: str, store: Callable[[DataFrame, int], None]) -> StreamingQuery:
     query = (
-        transform(raw)
-        .writeStream.option("checkpointLocation", checkpoint)
+        rows.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(store)
         .start()
@@ -102,17 +122,143 @@ def ingest_chunks(
     return query
 
 
+def _ingest(
+    spark: SparkSession, source: DataFrame, transform, out_path: str, checkpoint: str, date_col: str,
+    id_col: str | None,
+) -> StreamingQuery:
+    def by_place(batch: DataFrame, start: int) -> DataFrame:
+        rows, files = number_in_files(batch, "__file", "__block", "__row")
+        keyed = rows.join(F.broadcast(files.select("__file", "before")), "__file")
+        names = [c for c in batch.columns if c not in ("__file", "__block")]
+        return keyed.select((F.lit(start + 1) + F.col("before") + F.col("__row")).alias(id_col), *names)
+
+    rows = transform(source)
+    if id_col:
+        rows = rows.withColumns({"__file": F.input_file_name(), "__block": F.input_file_block_start()})
+    return _run(rows, checkpoint, _store(spark, out_path, date_col, by_place if id_col else None))
+
+
+def ingest_chunks(
+    spark: SparkSession,
+    in_dir: str,
+    out_path: str,
+    checkpoint: str,
+    files_per_batch: int = 1,
+    width: int = len(CHUNK_COLUMNS),
+    transform: Callable[[DataFrame], DataFrame] = type_sales_chunk,
+    sep: str = ",",
+    date_col: str = "dt",
+    mode: str = "FAILFAST",
+    id_col: str | None = None,
+) -> StreamingQuery:
+    """Append every file of ``in_dir`` not yet ingested, ``files_per_batch``
+    files per micro-batch, then stop (T1).  Returns the finished query.
+
+    A batch writes its rows to ``out_path/batch=<id>`` and then one record of
+    itself next to the table; a batch that is run again after a failure replaces
+    both, so the table is exactly-once.  A malformed line fails the batch; a date
+    that does not parse becomes NULL and is counted in the record.
+
+    With ``id_col`` the rows get ids 1, 2, ... that go on from batch to batch
+    (D1): a batch begins after the last id in the record of the one before, and
+    its rows follow their files' names and their places in them, so a batch that
+    is run again gives every row the id it had.  ``transform`` must then keep the
+    rows in their tasks (projections and filters).
+    """
+    source = _csv_stream(spark, in_dir, width, sep, mode).option("maxFilesPerTrigger", files_per_batch).load(in_dir)
+    return _ingest(spark, source, transform, out_path.rstrip("/"), checkpoint, date_col, id_col)
+
+
+def cut_files(
+    spark: SparkSession,
+    in_dir: str,
+    chunk_dir: str,
+    checkpoint: str,
+    rows_per_chunk: int,
+    width: int,
+    sep: str = ",",
+    mode: str = "FAILFAST",
+) -> StreamingQuery:
+    """Cut every file of ``in_dir`` not yet cut into chunks of ``rows_per_chunk``
+    rows, each a Parquet file under ``chunk_dir``; the last chunk of a file has
+    what is left of it.
+
+    A file is read by as many tasks as it has blocks, whatever its size.  Each row
+    is numbered in its file and goes to the task of its chunk, which writes it
+    with the file and the row's place there (``_file``, ``_row``), so a chunk
+    tells where it was cut.  A cut that is run again after a failure replaces
+    its own folder.
+    """
+    if rows_per_chunk < 1:
+        raise ValueError("a chunk has at least one row")
+    names = [f"_c{i}" for i in range(width)]
+
+    def cut(batch: DataFrame, number: int) -> None:
+        rows, files = number_in_files(batch, "_file", "_block", "_row")
+        order = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+        chunks = F.expr(f"(rows + {rows_per_chunk - 1}) div {rows_per_chunk}")
+        # one row a file: where its chunks begin among those of the batch
+        files = files.withColumn("_chunks", chunks).withColumn(
+            "_from", F.coalesce(F.sum("_chunks").over(order), F.lit(0)))
+        total = files.agg(F.sum("_chunks")).first()[0]
+        if not total:
+            return
+        placed = rows.join(F.broadcast(files.select("_file", "_from")), "_file").select(
+            *names, "_file", "_row", F.expr(f"cast(_from + _row div {rows_per_chunk} as int)").alias("_chunk"),
+        )
+        placed.repartitionById(total, F.col("_chunk")).sortWithinPartitions("_row").drop("_chunk").write.mode(
+            "overwrite").parquet(f"{chunk_dir.rstrip('/')}/cut-{number:09d}")
+
+    raw = _csv_stream(spark, in_dir, width, sep, mode).load(in_dir).withColumns(
+        {"_file": F.input_file_name(), "_block": F.input_file_block_start()})
+    return _run(raw, checkpoint, cut)
+
+
+def ingest_rows(
+    spark: SparkSession,
+    in_dir: str,
+    out_path: str,
+    checkpoint: str,
+    rows_per_batch: int,
+    width: int = len(CHUNK_COLUMNS),
+    transform: Callable[[DataFrame], DataFrame] = type_sales_chunk,
+    sep: str = ",",
+    date_col: str = "dt",
+    mode: str = "FAILFAST",
+    id_col: str | None = None,
+) -> StreamingQuery:
+    """``ingest_chunks`` with batches of at most ``rows_per_batch`` rows, however
+    large a file is: new files are cut first (``cut_files``, into
+    ``checkpoint/chunks``), and each micro-batch takes one chunk.
+
+    Both steps remember what they have done under ``checkpoint``, so a restart
+    cuts and appends only what is new.  With ``id_col`` the ids follow the places
+    of a chunk's rows, and the record of a batch says which ids it gave; a chunk
+    that is ingested again gives the same ones.
+    """
+    checkpoint, out_path = checkpoint.rstrip("/"), out_path.rstrip("/")
+    chunks = f"{checkpoint}/chunks"
+    cut_files(spark, in_dir, chunks, f"{checkpoint}/cut", rows_per_batch, width, sep, mode)
+    source = (
+        spark.readStream.schema(text_schema([f"_c{i}" for i in range(width)]))
+        .option("maxFilesPerTrigger", 1)
+        .option("maxFileAge", "36500d")
+        .option("recursiveFileLookup", True)
+        .parquet(chunks)
+    )
+    return _ingest(spark, source, transform, out_path, f"{checkpoint}/ingest", date_col, id_col)
+
+
 def read_ingested(spark: SparkSession, out_path: str) -> DataFrame:
     """The rows of all batches."""
     return spark.read.parquet(out_path.rstrip("/")).drop("batch")
 
 
 def batch_report(spark: SparkSession, out_path: str) -> DataFrame:
-    """Every micro-batch that ``ingest_chunks`` has stored: id, rows, rows without
-    a valid date, elapsed milliseconds (T2).
+    """Every micro-batch that was stored: id, rows, rows without a valid date,
+    elapsed milliseconds, and the first and last id it gave, if any (T2).
 
     The records lie next to the table, one small file for each batch, so none is
     forgotten however many there are, and none passes through the driver here.
     """
-    return spark.read.schema(_BATCH).json(f"{out_path.rstrip('/')}-batches").select(
-        "batch_id", "rows", "bad_dates", "elapsed_ms").orderBy("batch_id")
+    return spark.read.schema(_BATCH).json(f"{out_path.rstrip('/')}-batches").orderBy("batch_id")

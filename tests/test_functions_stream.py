@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from starload.functions.sql_functions import (
@@ -8,7 +9,7 @@ from starload.functions.sql_functions import (
 )
 from starload.plans.plan_fact import plan_report, plan_report_sql, plan_with_fact
 from starload.sinks.files import export_split
-from starload.streaming.ingest import batch_report, ingest_chunks
+from starload.streaming.ingest import batch_report, ingest_chunks, ingest_rows, read_ingested
 
 
 def _plan_fact(spark):
@@ -85,3 +86,92 @@ def test_table_function_with_a_decimal_column(spark):
         "id", F.col("v").cast("decimal(10,2)").alias("v")).createOrReplaceTempView("dec_t")
     register_filter_table(spark, "dec_f", "dec_t", "id", [("id", "BIGINT"), ("v", "DECIMAL(10,2)")])
     assert [str(r["v"]) for r in spark.sql("SELECT v FROM dec_f(2)").collect()] == ["6.50"]
+
+
+def _sales_lines(path, first, n):
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("dt,c,p,s\n" + "".join(f"{i % 28 + 1}.1.2016,{i % 7},{i % 5},{i}\n" for i in range(first, first + n)))
+
+
+def _uncommit(checkpoint):
+    """As if the driver had been lost between the last batch and its commit."""
+    from pathlib import Path
+
+    last = max((p for p in Path(checkpoint, "commits").iterdir() if p.name.isdigit()), key=lambda p: int(p.name))
+    last.unlink()
+    last.with_name(f".{last.name}.crc").unlink(missing_ok=True)
+    return int(last.name)
+
+
+def test_one_file_comes_in_batches_of_n_rows_with_ids_that_go_on(spark, tmp_dir):
+    import os
+
+    os.makedirs(f"{tmp_dir}/in")
+    _sales_lines(f"{tmp_dir}/in/a.csv", 0, 1050)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")  # the file is read by several tasks
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        def run():
+            ingest_rows(spark, f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ckpt", 100, id_col="id")
+            rows = {r["id"]: r["amount"] for r in read_ingested(spark, f"{tmp_dir}/out").collect()}
+            return rows, batch_report(spark, f"{tmp_dir}/out").collect()
+
+        rows, report = run()
+        assert sorted(rows) == list(range(1, 1051)) and sorted(rows.values()) == list(range(1050))
+        assert sorted(r["rows"] for r in report) == [50] + [100] * 10
+        assert [r["first_id"] for r in report] == [1] + [r["last_id"] + 1 for r in report[:-1]]
+        # rows of a chunk keep the file's order
+        for r in report:
+            amounts = [rows[i] for i in range(r["first_id"], r["last_id"] + 1)]
+            assert amounts == list(range(amounts[0], amounts[0] + r["rows"]))
+        assert run() == (rows, report)  # a restart adds nothing
+        assert _uncommit(f"{tmp_dir}/ckpt/ingest") == 10
+        again, told = run()  # the last batch runs again and gives the same ids
+        assert again == rows and [r[:3] for r in told] == [r[:3] for r in report]
+        _sales_lines(f"{tmp_dir}/in/b.csv", 2000, 120)
+        more, told = run()
+        assert {i: more[i] for i in rows} == rows and sorted(more) == list(range(1, 1171)) and len(told) == 13
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_ids_of_file_batches_survive_a_forced_rerun(spark, tmp_dir):
+    import os
+
+    os.makedirs(f"{tmp_dir}/in")
+    for k in range(5):
+        _sales_lines(f"{tmp_dir}/in/{k}.csv", 100 * k, 7 + k)
+
+    def run():
+        ingest_chunks(spark, f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ckpt", files_per_batch=2, id_col="key")
+        return sorted((r["key"], r["amount"]) for r in read_ingested(spark, f"{tmp_dir}/out").collect())
+
+    rows = run()
+    assert [k for k, _ in rows] == list(range(1, 46))
+    _uncommit(f"{tmp_dir}/ckpt")
+    assert run() == rows
+
+
+def test_a_batch_that_fails_before_its_record_gives_the_same_ids(spark, tmp_dir, monkeypatch):
+    import os
+
+    from starload.streaming import ingest
+
+    os.makedirs(f"{tmp_dir}/in")
+    _sales_lines(f"{tmp_dir}/in/a.csv", 0, 25)
+    write = ingest.write_note
+
+    def fail(spark, path, *args, **how):
+        if path.endswith("batch-000000001.json"):
+            raise RuntimeError("lost")
+        write(spark, path, *args, **how)
+
+    with monkeypatch.context() as m:
+        m.setattr(ingest, "write_note", fail)
+        with pytest.raises(Exception, match="lost"):
+            ingest_rows(spark, f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ckpt", 10, id_col="id")
+    before = {r["id"]: r["amount"] for r in read_ingested(spark, f"{tmp_dir}/out").collect()}
+    ingest_rows(spark, f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ckpt", 10, id_col="id")
+    after = {r["id"]: r["amount"] for r in read_ingested(spark, f"{tmp_dir}/out").collect()}
+    assert sorted(after) == list(range(1, 26)) and {i: after[i] for i in before} == before

@@ -153,6 +153,17 @@ def test_versions_survive_a_lost_entry_and_a_second_writer(spark, tmp_dir):
     with pytest.raises(ConcurrentWriteError):
         two.entries.publish("c", 3, path="y")
     assert one.entries.latest()["path"] == "x"
+    # whichever of two writers after the same entry is first, the other one fails
+    for number, (first, second) in ((4, ("bbb", "aaa")), (5, ("aaa", "bbb"))):
+        one.entries.publish(first, number, path=first)
+        with pytest.raises(ConcurrentWriteError):
+            two.entries.publish(second, number, path=second)
+        assert two.entries.latest()["tag"] == first
+    # an entry that is not complete is passed over, and nobody publishes under its number
+    _write(f"{tmp_dir}/snap3/_versions/entry-000000007.json", '{"number": 7, "pa')
+    assert one.entries.latest()["number"] == 6
+    with pytest.raises(ConcurrentWriteError):
+        one.entries.publish("ccc", 6, path="z")
 
 
 def test_period_folders(spark, tmp_dir):
