@@ -42,11 +42,11 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 
 def discard(spark: SparkSession, table: DataFrame) -> None:
-    """Delete what ``materialize`` wrote, once nothing reads it any more."""
-    files = table.inputFiles()
-    if files:
-        jvm = spark.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(files[0])).getParent()
+    """Delete what ``materialize`` wrote, or the tables of a union of such, once
+    nothing reads it any more."""
+    jvm = spark.sparkContext._jvm
+    for name in {name.rpartition("/")[0] for name in table.inputFiles()}:
+        folder = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
         folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 

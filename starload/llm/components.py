@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starload.llm.common import materialize
+from starload.llm.common import discard, materialize
 
 
 def _towards_least(edges: DataFrame) -> DataFrame:
@@ -40,6 +40,7 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     edges = links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     edges, mark = materialize(spark, edges.distinct(), "edges"), None
     while mark != (now := _mark(edges)):
-        mark = now
+        mark, last = now, edges
         edges = materialize(spark, _down(_towards_least(edges)), "edges")
+        discard(spark, last)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))

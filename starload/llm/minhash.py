@@ -14,8 +14,15 @@ at once.  First each member is compared with its bucket's first member, then
 with another one drawn by hash, which takes in nearly all of a large group of
 copies at a few comparisons a member.  Last, members of one bucket that are
 in different components still are compared, each pair in one of the buckets
-that it shares.  Pairs are checked on the signatures' distance and then
-confirmed on the full sets.
+that it shares.  Pairs are checked on the signatures' distance, then on parity
+sketches, and what is left is confirmed on the full sets.
+
+A parity sketch of a set has ``m`` bits, and each member flips one.  Members
+that two sets share flip the same bits in both, so no more bits can differ than
+members do.  Sets of ``a`` and ``b`` members with a similarity of 0.8 differ in
+``(a + b) / 9`` members at most: a pair whose sketches differ in more bits has a
+lower similarity for certain, and no link is lost.  With four to eight bits a
+member, pairs up to 0.75, which signatures cannot tell from 0.8, are rejected.
 """
 
 from __future__ import annotations
@@ -29,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from starload.llm.common import WordIds, materialize, mix, ship, with_row
+from starload.llm.common import WordIds, discard, materialize, mix, ship, with_row
 from starload.llm.components import components
 
 CHUNKS, WIDTH = 13, 5
@@ -120,6 +127,34 @@ def first_shared(a: Column, b: Column) -> Column:
     return found
 
 
+def parity(hashes: np.ndarray) -> np.ndarray:
+    """The parity sketch of a set in 64-bit words: their number is a power of two
+    and gives each member four bits or more.  The place of a member's bit is the
+    end of its hash, so half of the words are the two halves of all, xor-ed."""
+    bits = 64
+    while bits < 4 * len(hashes):
+        bits *= 2
+    at = (mix(hashes) & np.uint64(bits - 1)).astype(np.int64)
+    odd = (np.bincount(at, minlength=bits) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view("<i8")
+
+
+def may_link(n_a: Column, n_b: Column, parity_a: Column, parity_b: Column, percent: int) -> Column:
+    """False only for sets that cannot have a similarity of ``percent`` / 100: by
+    their sizes, or by the bits in which their parity sketches differ."""
+    words = F.least(F.size(parity_a), F.size(parity_b))
+
+    def halved(x: Column) -> Column:
+        both = F.zip_with(F.slice(x, 1, words), F.slice(x, words + 1, words), lambda p, q: p.bitwiseXOR(q))
+        return F.when(F.size(x) > words, both).otherwise(x)
+
+    differ = F.aggregate(
+        F.zip_with(halved(parity_a), halved(parity_b), lambda p, q: F.bit_count(p.bitwiseXOR(q))),
+        F.lit(0).cast("long"), lambda total, n: total + n)
+    sizes = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
+    return sizes & (differ * (100 + percent) <= (n_a + n_b) * (100 - percent))
+
+
 def _set_id(hashes: np.ndarray) -> tuple[int, int]:
     """Two sums over a set's hashes, which tell sets apart (0, 0 if empty)."""
     both = hashes.sum(), mix(hashes ^ np.uint64(0xA0761D6478BD642F)).sum()
@@ -127,18 +162,18 @@ def _set_id(hashes: np.ndarray) -> tuple[int, int]:
 
 
 def sketches(spark: SparkSession, docs: DataFrame, k: int) -> DataFrame:
-    """``id, n_shingles, set_hi, set_lo, sig`` for ``docs`` (``id, text``)."""
+    """``id, n_shingles, set_hi, set_lo, sig, parity`` for ``docs`` (``id, text``)."""
     ship(spark)
 
-    @F.pandas_udf("n_shingles long, set_hi long, set_lo long, sig array<long>")
+    @F.pandas_udf("n_shingles long, set_hi long, set_lo long, sig array<long>, parity array<long>")
     def sketch(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             rows = []
             for text in texts:
                 found = shingles(text, k)
-                sig = pack(signature(found)) if len(found) else None
-                rows.append((len(found), *_set_id(found), sig))
-            yield pd.DataFrame(rows, columns=["n_shingles", "set_hi", "set_lo", "sig"])
+                both = (pack(signature(found)), parity(found)) if len(found) else (None, None)
+                rows.append((len(found), *_set_id(found), *both))
+            yield pd.DataFrame(rows, columns=["n_shingles", "set_hi", "set_lo", "sig", "parity"])
 
     told = docs.select("id", sketch(F.col("text").cast("binary")).alias("s"))
     return told.select("id", "s.*")
@@ -230,7 +265,8 @@ def near_duplicates(
     sketch = materialize(spark, sketches(spark, docs, k), "sketches")
     # equal sets are one node
     reps = sketch.where("n_shingles > 0").groupBy("set_hi", "set_lo").agg(
-        F.min("id").alias("id"), F.any_value("sig").alias("sig")
+        F.min("id").alias("id"), F.any_value("n_shingles").alias("n"), F.any_value("sig").alias("sig"),
+        F.any_value("parity").alias("parity"),
     )
     # nodes are numbered in the order of identifiers: an original mostly comes before
     # its copies, and as the first of its buckets it is what they are compared with
@@ -238,48 +274,68 @@ def near_duplicates(
     reps = materialize(
         spark, ordered.select(F.monotonically_increasing_id().alias("node"), "*"), "nodes"
     )
+    sets = materialize(spark, sketch.select("id", "n_shingles", "set_hi", "set_lo"), "sets")
+    discard(spark, sketch)
     buckets = _buckets(spark, reps)
     texts = _texts(spark, docs, reps, buckets, k)
     sig = reps.select("node", "sig")
+    sizes = reps.select("node", "n", "parity")
 
     def near(pairs: DataFrame) -> DataFrame:
-        """Those of the pairs ``a, b`` whose signatures are within the distance."""
+        """Those of the pairs ``a, b`` whose signatures are within the distance
+        and whose parity sketches allow a link."""
         both = pairs.distinct().join(sig.toDF("b", "sig_b"), "b").join(sig.toDF("a", "sig_a"), "a")
-        both = both.where(distance(F.col("sig_a"), F.col("sig_b")) <= MAX_DISTANCE)
-        return materialize(spark, both.select("a", "b"), "near")
+        close = both.where(distance(F.col("sig_a"), F.col("sig_b")) <= MAX_DISTANCE).select("a", "b")
+        both = close.join(sizes.toDF("b", "n_b", "parity_b"), "b").join(sizes.toDF("a", "n_a", "parity_a"), "a")
+        left = both.where(may_link(*map(F.col, ("n_a", "n_b", "parity_a", "parity_b")), percent))
+        return materialize(spark, left.select("a", "b"), "near")
+
+    def links_of(pairs: DataFrame) -> DataFrame:
+        links = _confirmed(spark, pairs, texts, k, percent)
+        discard(spark, pairs)
+        return links
 
     # each member against its bucket's first
     stars = buckets.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    links = _confirmed(spark, near(stars), texts, k, percent)
+    links = links_of(near(stars))
     joined = components(spark, links)
 
     # against another member, drawn by hash
     apart = _apart(spark, buckets, joined)
+    discard(spark, buckets)
+    discard(spark, joined)
     drawn = F.xxhash64("node", F.pmod("key", F.lit(DRAWS)))
     partner = apart.groupBy("key").agg(F.min(F.struct(drawn.alias("h"), "node", "root")).alias("p"))
     drawn_pairs = apart.join(partner, "key").where("root != p.root").select(
         F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b"))
-    links = links.unionByName(_confirmed(spark, near(drawn_pairs), texts, k, percent))
+    links = links.unionByName(links_of(near(drawn_pairs)))
     joined = components(spark, links)
 
     # members of a bucket that are in different components still
-    apart = _apart(spark, apart, joined)
-    members = apart.join(sig, "node")
-    left = members.select("key", "slot", *(F.col(c).alias(f"{c}_a") for c in ("node", "root", "sig")))
-    right = members.select(F.col("key").alias("key_b"), *(F.col(c).alias(f"{c}_b") for c in ("node", "root", "sig")))
+    still = _apart(spark, apart, joined)
+    discard(spark, apart)
+    members = still.join(reps.select("node", "n", "sig", "parity"), "node")
+    kept = ("node", "root", "n", "sig", "parity")
+    left = members.select("key", "slot", *(F.col(c).alias(f"{c}_a") for c in kept))
+    right = members.select(F.col("key").alias("key_b"), *(F.col(c).alias(f"{c}_b") for c in kept))
     sigs = F.col("sig_a"), F.col("sig_b")
     cross = left.join(right, (F.col("key") == F.col("key_b")) & (F.col("root_a") < F.col("root_b"))
-                      & (distance(*sigs) <= MAX_DISTANCE) & (first_shared(*sigs) == F.col("slot")))
+                      & (distance(*sigs) <= MAX_DISTANCE) & (first_shared(*sigs) == F.col("slot"))
+                      & may_link(*map(F.col, ("n_a", "n_b", "parity_a", "parity_b")), percent))
     cross = cross.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
-    more = _confirmed(spark, materialize(spark, cross, "cross"), texts, k, percent)
+    more = links_of(materialize(spark, cross, "cross"))
     if not more.isEmpty():
+        discard(spark, joined)
         joined = components(spark, links.unionByName(more))
 
     rooted = reps.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
     known = rooted.join(first, "root").select("set_hi", "set_lo", "component_id")
-    named = sketch.where("n_shingles > 0").join(known, ["set_hi", "set_lo"])
-    alone = sketch.where("n_shingles = 0").withColumn("component_id", F.col("id"))
+    known = materialize(spark, known, "components")
+    for table in (texts, still, joined, links, more, reps):
+        discard(spark, table)
+    named = sets.where("n_shingles > 0").join(known, ["set_hi", "set_lo"])
+    alone = sets.where("n_shingles = 0").withColumn("component_id", F.col("id"))
     return named.select("id", "n_shingles", "component_id").unionByName(
         alone.select("id", "n_shingles", "component_id"))
 
@@ -297,4 +353,5 @@ def first_of_each(spark: SparkSession, docs: DataFrame, id_col: str, text_col: s
     named = found.join(rows.select(F.col(at).alias("id"), F.col(id_col).alias("doc")), "id")
     first = named.groupBy("component_id").agg(F.min(order).alias("first"))
     first = materialize(spark, first.select(F.col("first.id").alias(at)), "first")
-    return rows.join(first, at, "left_semi").select(*docs.columns)
+    # the files' names make this table look small enough for a broadcast, which it is not
+    return rows.join(first.hint("shuffle_hash"), at, "left_semi").select(*docs.columns)

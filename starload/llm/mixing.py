@@ -151,4 +151,5 @@ def mixed(spark: SparkSession, docs: DataFrame, labels: DataFrame, size: Column,
     times = (F.col("epochs") + F.when(F.col("fraction") > 0, 1).otherwise(0)).cast("int")
     taken = mix(spark, narrow, **how).where("taken > 0").select(F.col("at").alias(at), times.alias("times"))
     taken = materialize(spark, taken.select(at, F.explode(F.sequence(F.lit(1), "times")).alias("n")), "taken")
-    return rows.join(taken.select(at), at).select(*docs.columns)
+    # the files' names make this table look small enough for a broadcast, which it is not
+    return rows.join(taken.select(at).hint("shuffle_hash"), at).select(*docs.columns)

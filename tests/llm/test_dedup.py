@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starload.llm import minhash, substrings
+from starload.llm.common import mix
 from starload.llm.components import components
 from starload.llm.exactdedup import ExactDedup
 
@@ -208,3 +209,41 @@ def test_exact_dedup_of_an_empty_table(spark, written):
     dedup = ExactDedup(spark, written([], "doc_id BIGINT, text STRING"))
     dedup.update()
     assert dedup.result().collect() == []
+
+
+def test_parity_sketches_reject_no_link_and_most_others(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for size in (1, 2, 7, 60, 200, 900, 5000):
+        for similarity in (0.6, 0.7, 0.75, 0.8, 0.9, 1.0):
+            for more in (1.0, 1.1, 1.25):  # sets of different size, as far as the similarity allows
+                a_n, b_n = size, max(1, int(size * more))
+                # the least overlap that reaches the similarity, or one below it
+                both = int(np.ceil(similarity * (a_n + b_n) / (1 + similarity) - 1e-9))
+                if both > min(a_n, b_n):
+                    continue
+                pool = rng.integers(0, 2**64, a_n + b_n - both, dtype=np.uint64, endpoint=False)
+                a, b = pool[:a_n], np.concatenate((pool[:both], pool[a_n:]))
+                true = 100 * both >= 80 * (a_n + b_n - both)
+                rows.append((len(a), len(b), minhash.parity(a).tolist(), minhash.parity(b).tolist(), similarity, true))
+    df = spark.createDataFrame(rows, "na long, nb long, pa array<long>, pb array<long>, similarity double, link boolean")
+    got = df.withColumn("may", minhash.may_link(*map(F.col, ("na", "nb", "pa", "pb")), 80)).collect()
+    assert all(r.may for r in got if r.link) and sum(r.link for r in got) > 30
+    low = [r for r in got if r.similarity <= 0.75 and r.na >= 200]
+    assert len(low) > 10 and not any(r.may for r in low)
+    # half of the words are the halves of all, xor-ed
+    some = rng.integers(0, 2**64, 900, dtype=np.uint64, endpoint=False)
+    wide = minhash.parity(some)
+    fold = wide[: len(wide) // 2] ^ wide[len(wide) // 2:]
+    bits = np.bincount((mix(some) & np.uint64(64 * len(fold) - 1)).astype(int), minlength=64 * len(fold)) & 1
+    assert (np.packbits(bits.astype(np.uint8), bitorder="little").view("<i8") == fold).all()
+
+
+def test_long_varied_texts_link_at_the_limit(spark):
+    words = [f"wort{i}" for i in range(9000)]
+    near = words[:8900] + [f"neu{i}" for i in range(100)]
+    far = [w if i % 9 else f"x{i}" for i, w in enumerate(words)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(near)), (3, " ".join(far)), (4, " ".join(words[:4000]))],
+                                 "id BIGINT, text STRING")
+    got = {r.id: r.component_id for r in minhash.near_duplicates(spark, docs, 2).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4}
