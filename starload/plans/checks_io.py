@@ -235,6 +235,25 @@ SELECT p_partkey, '"' || p_name || '", ' || p_brand || '\\' AS label, p_retailpr
 """
 
 
+def read_records_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with line ends, quotes and separators, exported as they are and read
+    back by tasks that each take a block of a file: what every document's text is."""
+    docs = read_table(spark, sf_dir, "documents").select(
+        "doc_id", F.concat(F.lit('"'), F.coalesce("text", F.lit("")), F.lit('"\n,\r\n')).alias("text"), "lang")
+    path = scratch_path(spark, "records")
+    export_csv(docs, path, multi_line=True)
+    schema = StructType([StructField("doc_id", LongType()), StructField("text", StringType()),
+                         StructField("lang", StringType())])
+    back = read_delimited(spark, path, schema, sep=",", multi_line=True)
+    return back.select("doc_id", "lang", F.length("text").cast("long").alias("length"), F.md5("text").alias("digest"))
+
+
+READ_RECORDS_SQL = """
+SELECT doc_id, lang, CAST(length(t) AS BIGINT) AS length, md5(t) AS digest
+FROM (SELECT doc_id, lang, '"' || coalesce(text, '') || '"' || chr(10) || ',' || chr(13) || chr(10) AS t FROM documents)
+"""
+
+
 SALES_CSV_SCHEMA = StructType(
     [
         StructField("dt", StringType()),

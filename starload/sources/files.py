@@ -12,8 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-
-BOM = "\ufeff"
+from starload.sources.records import BOM, read_records
 
 #: Stands for a field with nothing in it while a line is parsed; with Spark's own
 #: default, the empty text, ``""`` would read as NULL as well.
@@ -23,21 +22,26 @@ NOTHING = "\u0000"
 REJECTED = "_rejected"
 
 
-def _csv_reader(spark, schema: StructType, sep: str, header: bool, mode: str, multi_line: bool):
-    return (
-        spark.read.schema(schema)
-        .option("header", header)
-        .option("sep", sep)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("encoding", "UTF-8")
-        .option("mode", mode)
+def _csv_options(sep: str, mode: str) -> dict[str, str]:
+    return {
+        "sep": sep,
+        "quote": '"',
+        "escape": '"',
+        "encoding": "UTF-8",
+        "mode": mode,
         # what the exports write: NULL as nothing, an empty text as ""
-        .option("emptyValue", "")
-        .option("nullValue", NOTHING)
-        .option("multiLine", multi_line)
-        .option("columnNameOfCorruptRecord", REJECTED)
-    )
+        "emptyValue": "",
+        "nullValue": NOTHING,
+        "columnNameOfCorruptRecord": REJECTED,
+    }
+
+
+def _read_csv(spark, path, schema: StructType, sep: str, header: bool, mode: str, multi_line: bool) -> DataFrame:
+    options = _csv_options(sep, mode)
+    if multi_line:
+        return read_records(spark, path, schema, options, header)
+    df = spark.read.schema(schema).option("header", header).options(**options).csv(path)
+    return df if header else _strip_bom(df)
 
 
 def _strip_bom(df: DataFrame) -> DataFrame:
@@ -63,10 +67,10 @@ def read_delimited(
     A line with too few or too many fields, or with a value that is not of its
     column's type, raises when it is read; ``read_delimited_lenient`` keeps such
     lines apart.  ``multi_line`` allows line ends inside quoted fields; files
-    are then not split into tasks.
+    are still split into tasks (``sources.records``), and quotes inside fields
+    have to be doubled.
     """
-    df = _csv_reader(spark, schema, sep, header, mode, multi_line).csv(path)
-    return df if header else _strip_bom(df)
+    return _read_csv(spark, path, schema, sep, header, mode, multi_line)
 
 
 def read_delimited_lenient(
@@ -80,8 +84,7 @@ def read_delimited_lenient(
     """Well-formed rows; and the malformed ones: the columns as far as they could
     be read, and the line as it stands in ``_rejected``."""
     wide = StructType([*schema.fields, StructField(REJECTED, StringType())])
-    df = _csv_reader(spark, wide, sep, header, "PERMISSIVE", multi_line).csv(path)
-    df = df if header else _strip_bom(df)
+    df = _read_csv(spark, path, wide, sep, header, "PERMISSIVE", multi_line)
     good = df.where(F.col(REJECTED).isNull()).select(*[F.col(f"`{f.name}`") for f in schema.fields])
     return good, df.where(F.col(REJECTED).isNotNull())
 

@@ -6,7 +6,7 @@ from starload.plans import checks_io
 from starload.sinks.files import bulk_load, export_csv, export_split
 from starload.sinks.tables import SnapshotTable, create_table_as, create_tables, truncate_tables
 from starload.sources.catalog import register_foreign_table, run_sql
-from starload.sources.files import read_delimited, read_first_column, read_glob
+from starload.sources.files import read_delimited, read_delimited_lenient, read_first_column, read_glob
 from starload.sources.generate import date_series, expand_template, generate_sales
 
 THREE = StructType([StructField(n, StringType()) for n in ("a", "b", "c")])
@@ -215,7 +215,6 @@ def test_csv_gives_back_what_it_got(spark, tmp_dir, multi_line):
 
 
 def test_malformed_lines_raise_or_are_kept_apart(spark, tmp_dir):
-    from starload.sources.files import read_delimited_lenient
 
     _write(f"{tmp_dir}/bad.csv", "a,b\n1,x\n2,y,z\nq,w\n3\n4,v\n")
     schema = StructType([StructField("a", IntegerType()), StructField("b", StringType())])
@@ -267,3 +266,61 @@ def test_files_of_exactly_n_rows_keep_the_order(spark, tmp_dir):
     assert sorted(len(f) for f in _file_rows(spark, f"{tmp_dir}/one", few.schema)) == [1, 1, 1]
     with pytest.raises(ValueError):
         export_exact(rows, f"{tmp_dir}/zero", 0)
+
+
+@pytest.fixture()
+def small_blocks(spark):
+    """Files are cut into blocks of some 1,500 bytes."""
+    for k, v in (("maxPartitionBytes", "1500"), ("openCostInBytes", "0")):
+        spark.conf.set(f"spark.sql.files.{k}", v)
+    yield
+    for k in ("maxPartitionBytes", "openCostInBytes"):
+        spark.conf.unset(f"spark.sql.files.{k}")
+
+
+@pytest.mark.parametrize("line_end", ["\n", "\r\n"])
+def test_line_ends_inside_quotes_are_read_by_many_tasks(spark, tmp_dir, small_blocks, line_end):
+    import csv
+    import io
+    import os
+    import random
+
+    rng = random.Random(8)
+    os.makedirs(f"{tmp_dir}/in")
+    texts = ["plain", "", 'a "b" c', "two\nlines", "w\r\nx", "\n", '"', '"\n"', "x" * 900, "tab,comma", "é\nü"]
+    long, written = "l\n" * 2000, []
+    for k in range(3):
+        out = io.StringIO()
+        w = csv.writer(out, lineterminator=line_end)
+        w.writerow(["n", "first\nheader" if k else "t", "u"])
+        rows = [(i, rng.choice(texts), rng.choice(texts) if i % 40 else long) for i in range(150 * k, 150 * k + 150)]
+        w.writerows(rows)
+        written += [(i, t or None, u or None) for i, t, u in rows]  # nothing is written for an empty text
+        text = "﻿" * (k == 2) + out.getvalue()
+        _write(f"{tmp_dir}/in/{k}.csv", text if k else text.rstrip("\r\n"))
+    schema = "n BIGINT, t STRING, u STRING"
+    struct = spark.createDataFrame([], schema).schema
+    want = spark.read.schema(struct).options(header=True, quote='"', escape='"', multiLine=True, emptyValue="",
+                                             nullValue="\u0000").csv(f"{tmp_dir}/in")
+    got = read_delimited(spark, f"{tmp_dir}/in", struct, sep=",", multi_line=True)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == sorted(written, key=str)
+    if line_end == "\n":  # with CR and LF, Spark's reader of whole files changes values
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert spark.read.text(f"{tmp_dir}/in", lineSep="\n").rdd.getNumPartitions() > 20
+    # without a header the first record counts, and its mark goes
+    plain = read_delimited(spark, f"{tmp_dir}/in/2.csv", spark.createDataFrame([], "a STRING, b STRING, c STRING").schema,
+                           sep=",", header=False, multi_line=True).collect()
+    assert len(plain) == 151 and ("n", "first\nheader", "u") in [tuple(r) for r in plain]
+    assert read_delimited(spark, [f"{tmp_dir}/in/0.csv", f"{tmp_dir}/in/1.csv"], struct, sep=",", multi_line=True).count() == 300
+
+
+def test_records_over_several_lines_are_rejected_or_raise(spark, tmp_dir, small_blocks):
+    _write(f"{tmp_dir}/x.csv", 'a,b\n1,"x\ny"\n2\nz,"q\n"\n' + '3,"ok\n"\n' * 100)
+    schema = spark.createDataFrame([], "a BIGINT, b STRING").schema
+    with pytest.raises(Exception, match="FAILFAST|MALFORMED"):
+        read_delimited(spark, f"{tmp_dir}/x.csv", schema, sep=",", multi_line=True).collect()
+    good, bad = read_delimited_lenient(spark, f"{tmp_dir}/x.csv", schema, sep=",", multi_line=True)
+    assert sorted((r.a, r.b) for r in good.collect()) == [(1, "x\ny")] + [(3, "ok\n")] * 100
+    assert sorted(r._rejected for r in bad.collect()) == ["2", 'z,"q\n"']
+    _write(f"{tmp_dir}/none.csv", "")
+    assert read_delimited(spark, f"{tmp_dir}/none.csv", schema, sep=",", multi_line=True).count() == 0
