@@ -66,6 +66,8 @@ _TABLE = [
     ("bulk_load", ci.bulk_load_check, ci.BULK_LOAD_SQL),
     ("bulk_load_one_file", ci.bulk_load_one_file_check, ci.BULK_LOAD_SQL),
     ("resolve_facts", cw.resolve_facts_check, cw.RESOLVE_FACTS_SQL),
+    ("resolve_facts_hot", cw.resolve_facts_hot_check, cw.RESOLVE_FACTS_HOT_SQL),
+    ("report_of_sums", cw.report_of_sums_check, cw.STAGE_UPDATE_REPORT_SQL),
     ("initial_load", cw.initial_load_check, cw.INITIAL_LOAD_SQL),
     ("stage_report", cw.stage_report_check, cw.STAGE_REPORT_SQL),
     ("union_all", cw.union_all_check, cw.UNION_ALL_SQL),

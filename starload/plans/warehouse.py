@@ -19,9 +19,11 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -145,16 +147,42 @@ def read_exports(
     )
 
 
-def land_exports(src: Exports, root: str) -> Exports:
+TABLES = ("sales", "counterparties", "contracts", "nomenclature")
+
+
+def together(tasks: dict[str, Callable[[], object]]) -> dict[str, object]:
+    """Runs jobs that do not depend on each other side by side, so that a short
+    one's tasks fill the cores that another one leaves; the first error raises."""
+    with ThreadPoolExecutor(max(1, len(tasks))) as pool:
+        found = {name: pool.submit(task) for name, task in tasks.items()}
+        return {name: f.result() for name, f in found.items()}
+
+
+def land_exports(src: Exports, root: str, seen: dict[str, int] | None = None) -> Exports:
     """Write the cleansed exports as the landing (src) tables and read them
-    back, so later steps scan files instead of recomputing the cleansing."""
+    back, so later steps scan files instead of recomputing the cleansing.
+
+    ``seen`` takes the number of rows of each table that break one of its rules
+    (``REQUIRED``, ``LIMITS``); they are counted while the rows are written.
+    """
     spark = src.sales.sparkSession
-    out = {}
-    for name in ("sales", "counterparties", "contracts", "nomenclature"):
+
+    def land(name: str) -> DataFrame:
+        rows, broken = getattr(src, name), F.lit(False)
+        for c in REQUIRED[name]:
+            broken = broken | F.col(f"`{c}`").isNull()
+        for c, n in LIMITS[name].items():
+            broken = broken | (F.coalesce(F.length(F.col(f"`{c}`")), F.lit(0)) > n)
         path = f"{root.rstrip('/')}/{name}"
-        getattr(src, name).write.mode("overwrite").parquet(path)
-        out[name] = spark.read.parquet(path)
-    return Exports(**out)
+        if seen is None:
+            rows.write.mode("overwrite").parquet(path)
+        else:
+            count = Observation()
+            rows.observe(count, F.count_if(broken).alias("broken")).write.mode("overwrite").parquet(path)
+            seen[name] = count.get["broken"]
+        return spark.read.schema(rows.schema).parquet(path)
+
+    return Exports(**together({name: partial(land, name) for name in TABLES}))
 
 
 # ----------------------------------------------------------------------- stage
@@ -211,6 +239,82 @@ def resolve_facts(src_sales: DataFrame, counterparties: DataFrame, contracts: Da
     )
 
 
+#: Names that are looked at as possibly hot, of each kind, and the share of the
+#: rows from which one is; slices over which the rows of a hot name are spread.
+HOT_NAMES, HOT_SHARE, SLICES = 64, 1 / 64, 64
+
+_NAMES = ("company", "counterparty", "contract", "nomenclature")
+
+
+def hot_values(rows: DataFrame, columns: dict[str, Column]) -> dict[str, list]:
+    """Of each column the values on ``HOT_SHARE`` of the rows or more, found in one
+    pass by frequent-item sketches; at most ``HOT_NAMES`` each, for the driver."""
+    sketches = rows.select(*[c.alias(name) for name, c in columns.items()]).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.expr(f"approx_top_k({name}, {HOT_NAMES}, {16 * HOT_NAMES})").alias(name) for name in columns],
+    ).first()
+    least = max(1, sketches["n"] * HOT_SHARE)
+    return {name: [x["item"] for x in sketches[name] or [] if x["count"] >= least and x["item"] is not None]
+            for name in columns}
+
+
+def _sliced_lookup(rows: DataFrame, dim: DataFrame, on: list[tuple[str, str]], take: dict[str, str],
+                   hot: list, key: Column, dim_key: Column) -> DataFrame:
+    """``left_lookup`` with the rows of hot keys spread over slices, for each of
+    which the few dimension rows of these keys are repeated."""
+    others = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])
+    spread = F.when(key.isin(hot), F.pmod(others, F.lit(SLICES))).otherwise(0).cast("int") if hot else F.lit(0)
+    copies = F.when(dim_key.isin(hot), F.sequence(F.lit(0), F.lit(SLICES - 1))).otherwise(
+        F.array(F.lit(0))) if hot else F.array(F.lit(0))
+    side = dim.select("*", F.explode(copies).alias("__slice"))
+    return left_lookup(rows.withColumn("__spread", spread), side, [*on, ("__spread", "__slice")], take).drop("__spread")
+
+
+def resolve_facts_shared(src_sales: DataFrame, counterparties: DataFrame, contracts: DataFrame,
+                         nomenclature: DataFrame) -> DataFrame:
+    """``resolve_facts`` for dimensions that are too large to broadcast.
+
+    Chained lookups would send the facts through an exchange for each, on names of
+    which one may be on a third of the rows.  Here the distinct combinations of
+    the four names, as many as the report has rows, are resolved by themselves, and
+    the facts meet them in one exchange for all four lookups.  Hot names, and hot
+    combinations, are found by sketches in a pass over the names and spread over
+    slices, so no task gets a third of the rows.  Results are those of
+    ``resolve_facts``: unknown names give NULL, repeated dimension keys fan out.
+    """
+    combination = F.xxhash64(*_NAMES)
+    hot = hot_values(src_sales, {**{c: F.col(c) for c in _NAMES}, "combination": combination})
+    f = src_sales.select(*_NAMES).distinct().select("*", *[F.col(c).alias(f"__{c}") for c in _NAMES])
+    for role in ("company", "counterparty"):
+        f = _sliced_lookup(f, counterparties, [(f"__{role}", "company")], {"id": f"{role}_id"},
+                           hot[role], F.col(f"__{role}"), F.col("company"))
+    f = left_lookup(
+        f, contracts,
+        [("__contract", "contract"), ("__company", "company"), ("__counterparty", "counterparty")],
+        {"id": "contract_id"},
+    )
+    f = _sliced_lookup(f, nomenclature, [("__nomenclature", "nomenclature")], {"id": "nomenclature_id"},
+                       hot["nomenclature"], F.col("__nomenclature"), F.col("nomenclature"))
+    # a missing name is one of a combination's values, so it has to meet itself
+    key = F.struct(*[F.col(f"__{c}").alias(c) for c in _NAMES])
+    known = f.select(key.alias("__names"), *[F.col(f"{c}_id") for c in _NAMES])
+    known = known.select("*", F.xxhash64(*[F.col("__names")[c] for c in _NAMES]).alias("__combination"))
+    facts = src_sales.select(
+        "dt", "quantity", "amount", F.struct(*_NAMES).alias("__names"), combination.alias("__combination"))
+    found = _sliced_lookup(
+        facts, known, [("__combination", "__combination"), ("__names", "__names")],
+        {f"{c}_id": f"{c}_id" for c in _NAMES}, hot["combination"], F.col("__combination"), F.col("__combination"))
+    return found.select("dt", *[F.col(f"{c}_id").cast("int").alias(c) for c in _NAMES], "quantity", "amount")
+
+
+def may_broadcast(*tables: DataFrame) -> bool:
+    """Whether the planner's size estimates let it broadcast all of the tables."""
+    spark = tables[0].sparkSession
+    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    sizes = [int(str(t._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for t in tables]
+    return max(sizes) <= limit
+
+
 FACT_ORDER = ["dt", "company", "counterparty", "contract", "nomenclature", "quantity", "amount"]
 
 
@@ -243,20 +347,16 @@ def initial_dimensions(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The dimension half of ``stage_initial_load``: (counterparties, contracts,
     nomenclature)."""
-    nomenclature = persist("nomenclature", initial_load(src.nomenclature, ["nomenclature"], load_ts))
-    contracts = persist(
-        "contracts",
-        initial_load(src.contracts, ["contract", "counterparty", "company"], load_ts),
-    )
-    counterparties = persist(
-        "counterparties",
-        initial_load(
-            src.counterparties,
-            ["company", "taxpayer_identification_number", "full_name_company"],
-            load_ts,
-        ),
-    )
-    return counterparties, contracts, nomenclature
+    def fill(name: str, columns: list[str]) -> DataFrame:
+        return persist(name, initial_load(getattr(src, name), columns, load_ts))
+
+    made = together({
+        "counterparties": partial(
+            fill, "counterparties", ["company", "taxpayer_identification_number", "full_name_company"]),
+        "contracts": partial(fill, "contracts", ["contract", "counterparty", "company"]),
+        "nomenclature": partial(fill, "nomenclature", ["nomenclature"]),
+    })
+    return made["counterparties"], made["contracts"], made["nomenclature"]
 
 
 def stage_update(
@@ -291,57 +391,63 @@ def update_dimensions(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The dimension half of ``stage_update``: (counterparties, contracts,
     nomenclature) after upsert and expiry."""
-    nomenclature = persist("nomenclature", expire_unseen(
-        upsert(stage.nomenclature, src.nomenclature.select("nomenclature"),
-               ["nomenclature"], load_ts),
-        load_ts,
-    ))
-    contracts = persist("contracts", expire_unseen(
-        upsert(stage.contracts, src.contracts.select("contract", "counterparty", "company"),
-               ["contract", "counterparty", "company"], load_ts),
-        load_ts,
-    ))
-    counterparties = persist("counterparties", expire_unseen(
-        upsert(
-            stage.counterparties,
-            src.counterparties,
-            ["company"],
-            load_ts,
-            update_cols=["taxpayer_identification_number", "full_name_company"],
-        ),
-        load_ts,
-    ))
-    return counterparties, contracts, nomenclature
+    def renew(name: str, source: DataFrame, keys: list[str], update_cols: tuple[str, ...] = ()) -> DataFrame:
+        merged = upsert(getattr(stage, name), source, keys, load_ts, update_cols=list(update_cols))
+        return persist(name, expire_unseen(merged, load_ts))
+
+    contract_keys = ["contract", "counterparty", "company"]
+    made = together({
+        "counterparties": partial(renew, "counterparties", src.counterparties, ["company"],
+                                  ("taxpayer_identification_number", "full_name_company")),
+        "contracts": partial(renew, "contracts", src.contracts.select(*contract_keys), contract_keys),
+        "nomenclature": partial(renew, "nomenclature", src.nomenclature.select("nomenclature"), ["nomenclature"]),
+    })
+    return made["counterparties"], made["contracts"], made["nomenclature"]
 
 
 # ------------------------------------------------------------------------ mart
 
 
+_IDS = ["company", "counterparty", "contract", "nomenclature"]
+
+#: Actual facts of a period and four ids: their number and sums.
+SUMS_SCHEMA = ("company INT, counterparty INT, contract INT, nomenclature INT, facts BIGINT, "
+               "total_quantity BIGINT, total_amount BIGINT")
+
+
+def partial_sums(facts: DataFrame, *periods: Column) -> DataFrame:
+    """Sums of the actual facts by period and ids (``SUMS_SCHEMA``).  A combination
+    without actual facts keeps its row, so a period of facts is one of sums."""
+    actual = is_true("is_actual")
+    return facts.groupBy(*periods, *_IDS).agg(
+        F.count_if(actual).alias("facts"),
+        F.sum(F.when(actual, F.col("quantity"))).alias("total_quantity"),
+        F.sum(F.when(actual, F.col("amount"))).alias("total_amount"),
+    )
+
+
+def report_of_sums(sums: DataFrame, counterparties: DataFrame, contracts: DataFrame,
+                   nomenclature: DataFrame) -> DataFrame:
+    """The mart report from partial sums: combined by ids, then named, then
+    regrouped by name (exact: sums commute with the left joins)."""
+    totals = {"total_quantity": "total_quantity", "total_amount": "total_amount"}
+    named = sum_by(sums.where("facts > 0"), _IDS, totals)
+    named = left_lookup(named, counterparties, {"company": "id"}, {"company": "company"})
+    named = left_lookup(named, counterparties, {"counterparty": "id"}, {"company": "counterparty"})
+    named = left_lookup(named, contracts, {"contract": "id"}, {"contract": "contract"})
+    named = left_lookup(named, nomenclature, {"nomenclature": "id"}, {"nomenclature": "nomenclature"})
+    return sum_by(named, _IDS, totals)
+
+
 def sales_report(stage: Stage) -> DataFrame:
     """The mart report (A1): totals per company, counterparty, contract, item.
 
     Only actual facts count (``is_actual IS TRUE``); the dimensions' own flag
     is not consulted; NULL names group together.  Facts are summed by their
-    four ids first, then names are looked up and the sums regrouped by name
-    (exact: sums commute with the left joins).
+    four ids first, so names are looked up for one row a combination.
     """
-    facts = stage.sales.where(is_true("is_actual"))
-    by_ids = sum_by(
-        facts,
-        ["company", "counterparty", "contract", "nomenclature"],
-        {"quantity": "total_quantity", "amount": "total_amount"},
-    )
-    named = left_lookup(by_ids, stage.counterparties, {"company": "id"}, {"company": "company"})
-    named = left_lookup(named, stage.counterparties, {"counterparty": "id"},
-                        {"company": "counterparty"})
-    named = left_lookup(named, stage.contracts, {"contract": "id"}, {"contract": "contract"})
-    named = left_lookup(named, stage.nomenclature, {"nomenclature": "id"},
-                        {"nomenclature": "nomenclature"})
-    return sum_by(
-        named,
-        ["company", "counterparty", "contract", "nomenclature"],
-        {"total_quantity": "total_quantity", "total_amount": "total_amount"},
-    )
+    sums = partial_sums(stage.sales.where(is_true("is_actual")))
+    return report_of_sums(sums, stage.counterparties, stage.contracts, stage.nomenclature)
 
 
 DIMENSION_TABLES = ("nomenclature", "contracts", "counterparties")
@@ -364,12 +470,17 @@ LIMITS = {
 REPORT_VIEW = "mart_sales_report"
 
 
-def check_landing(src: Exports) -> None:
-    """Raises ConstraintViolation for a missing value or an over-long text (Q1, Q2)."""
+def check_landing(src: Exports, seen: dict[str, int] | None = None) -> None:
+    """Raises ConstraintViolation for a missing value or an over-long text (Q1, Q2).
+
+    Tables in which ``land_exports`` has ``seen`` no broken rule are not read again;
+    the others are, for the message.
+    """
     for name, columns in REQUIRED.items():
-        table = getattr(src, name)
-        require_not_null(table, columns)
-        require_length(table, LIMITS[name])
+        if seen is None or seen.get(name, 1):
+            table = getattr(src, name)
+            require_not_null(table, columns)
+            require_length(table, LIMITS[name])
 
 
 class WarehouseJob:
@@ -383,7 +494,9 @@ class WarehouseJob:
     last fact id and the load time.  Readers follow the highest entry, so they
     see all of a load or nothing, and a load that failed can be repeated with
     the same load time.  An append adds fact folders and leaves the old ones; a
-    replaced range rewrites only the folders that overlap it.
+    replaced range rewrites only the folders that overlap it.  Beside each fact
+    folder, under ``root/stage/sums``, lie the sums of its actual facts, from which
+    the report is made.
 
     Every stage table is written as soon as it is computed and read back, so
     fact resolution and the report scan written tables, and a lost executor
@@ -413,10 +526,11 @@ class WarehouseJob:
     def land(self, src: Exports, tag: str) -> Exports:
         """Landing tables and cleansed CSV files (P0), checked before anything
         is loaded from them."""
-        landed = land_exports(src, f"{self.root}/src/{tag}")
-        check_landing(landed)
-        for name in ("sales", "counterparties", "contracts", "nomenclature"):
-            export_csv(getattr(landed, name), f"{self.root}/csv/{tag}/{name}")
+        seen: dict[str, int] = {}
+        landed = land_exports(src, f"{self.root}/src/{tag}", seen)
+        check_landing(landed, seen)
+        together({name: partial(export_csv, getattr(landed, name), f"{self.root}/csv/{tag}/{name}")
+                  for name in TABLES})
         return landed
 
     def _persist_to(self, tag: str, paths: dict[str, str]) -> Callable[[str, DataFrame], DataFrame]:
@@ -427,10 +541,20 @@ class WarehouseJob:
 
         return persist
 
-    def _publish(self, tag: str, entry, load_ts, last_id: int, paths, facts, schema: StructType) -> Stage:
+    def _write_facts(self, facts: DataFrame, name: str) -> tuple[list[str], list[str]]:
+        """New fact folders, and folders with the sums of each: only the new facts
+        are read for them."""
+        folders = self.periods.write(facts, f"{self.root}/stage/sales/{name}")
+        root, period = f"{self.root}/stage/sums/{name}", self.periods.period_of(F.col(self.periods.dt_col))
+        written = self.periods.read(folders, facts.schema)
+        partial_sums(written, period.alias(self.periods.part_col)).write.partitionBy(
+            self.periods.part_col).parquet(root)
+        return folders, self.periods.folders(root)
+
+    def _publish(self, tag: str, entry, load_ts, last_id: int, paths, facts, sums, schema: StructType) -> Stage:
         self.loads.publish(
             tag, entry["number"] if entry else 0, load_ts=str(load_ts), last_id=last_id,
-            dimensions=paths, facts=facts, fact_schema=schema.json(),
+            dimensions=paths, facts=facts, sums=sums, fact_schema=schema.json(),
         )
         create_report_view(self.spark, REPORT_VIEW, self.report())
         return self.stage()
@@ -446,11 +570,12 @@ class WarehouseJob:
     def folders_in_use(self) -> list[str]:
         """Folders that the current load reads."""
         entry = self.loads.latest()
-        return [*entry["dimensions"].values(), *entry["facts"]] if entry else []
+        return [*entry["dimensions"].values(), *entry["facts"], *entry["sums"]] if entry else []
 
     def _new_facts(self, landed: Exports, cp, ct, nm, load_ts, last: int) -> tuple[DataFrame, int]:
         """Resolved facts with ids, in no order, and the last id."""
-        keyed, last = assign_keys_unordered(resolve_facts(landed.sales, cp, ct, nm), start=last)
+        resolve = resolve_facts if may_broadcast(cp, ct, nm) else resolve_facts_shared
+        keyed, last = assign_keys_unordered(resolve(landed.sales, cp, ct, nm), start=last)
         return with_audit(keyed, load_ts), last
 
     def initial_load(self, src: Exports, load_ts) -> Stage:
@@ -458,8 +583,8 @@ class WarehouseJob:
         landed = self.land(src, tag)
         cp, ct, nm = initial_dimensions(landed, load_ts, self._persist_to(tag, paths))
         new, last = self._new_facts(landed, cp, ct, nm, load_ts, 0)
-        facts = self.periods.write(new, f"{self.root}/stage/sales/{tag}")
-        return self._publish(tag, entry, load_ts, last, paths, facts, new.schema)
+        facts, sums = self._write_facts(new, tag)
+        return self._publish(tag, entry, load_ts, last, paths, facts, sums, new.schema)
 
     def update(self, src: Exports, load_ts, mode: str = "append",
                start="1900-01-01", end="1900-01-01") -> Stage:
@@ -469,14 +594,23 @@ class WarehouseJob:
         landed = self.land(src, tag)
         cp, ct, nm = update_dimensions(current, landed, load_ts, persist=self._persist_to(tag, paths))
         new, last = self._new_facts(landed, cp, ct, nm, load_ts, entry["last_id"])
-        facts = list(entry["facts"])
+        facts, sums = entry["facts"], entry["sums"]
         if mode == "replace":
             inside, facts = self.periods.overlapping(facts, start, end)
+            _, sums = self.periods.overlapping(sums, start, end)
             if inside:
                 flagged = flag_range(self.periods.read(inside, current.sales.schema), start, end)
-                facts += self.periods.write(flagged, f"{self.root}/stage/sales/{tag}-kept")
-        facts += self.periods.write(new, f"{self.root}/stage/sales/{tag}")
-        return self._publish(tag, entry, load_ts, last, paths, facts, new.schema)
+                kept, kept_sums = self._write_facts(flagged, f"{tag}-kept")
+                facts, sums = facts + kept, sums + kept_sums
+        added, added_sums = self._write_facts(new, tag)
+        return self._publish(tag, entry, load_ts, last, paths, facts + added, sums + added_sums, new.schema)
 
     def report(self) -> DataFrame:
-        return sales_report(self.stage())
+        """The mart report, kept up to date: it reads the sums that each load left
+        beside its fact folders, and no fact."""
+        entry = self.loads.latest()
+        if entry is None:
+            raise FileNotFoundError(f"no load under {self.root}")
+        sums = self.periods.read(entry["sums"], self.spark.createDataFrame([], SUMS_SCHEMA).schema)
+        dims = (self.spark.read.parquet(entry["dimensions"][n]) for n in ("counterparties", "contracts", "nomenclature"))
+        return report_of_sums(sums, *dims)

@@ -137,10 +137,12 @@ class PeriodFolders:
         list has an entry for each calendar period, whatever the row count.
         """
         dated = df.withColumn(self.part_col, self.period_of(F.col(self.dt_col)))
-        ranged = dated.repartitionByRange(self.dt_col, id_col)
-        ranged.write.partitionBy(self.part_col).parquet(root)
-        periods = [r[0] for r in dated.select(self.part_col).distinct().collect()]
-        return sorted(f"{root}/{self.part_col}={p if p is not None else self.NO_DATE}" for p in periods)
+        dated.repartitionByRange(self.dt_col, id_col).write.partitionBy(self.part_col).parquet(root)
+        return self.folders(root)
+
+    def folders(self, root: str) -> list[str]:
+        """The period folders that a write left under ``root``."""
+        return [f"{root}/{name}" for name in list_notes(self.spark, root) if name.startswith(f"{self.part_col}=")]
 
     def read(self, folders: Sequence[str], schema: StructType) -> DataFrame:
         if not folders:

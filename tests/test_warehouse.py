@@ -257,3 +257,96 @@ def test_gates_refuse_missing_and_over_long_values(spark, tmp_dir, change):
     with pytest.raises(ConstraintViolation):
         job.initial_load(replace(src, **{table: frame}), "2016-02-01 00:00:00")
     assert job.loads.latest() is None
+
+
+def test_the_report_follows_the_loads_and_reads_no_fact(spark, tmp_dir, monkeypatch):
+    from starload.sinks.tables import PeriodFolders
+
+    job, read, seen = _job(spark, tmp_dir), PeriodFolders.read, []
+    monkeypatch.setattr(PeriodFolders, "read", lambda self, folders, schema: seen.append(list(folders)) or read(
+        self, folders, schema))
+
+    def same():
+        assert _rows(job.report()) == _rows(sales_report(job.stage()))
+        assert job.report().count() and not any("/stage/sales/" in f for f in job.report().inputFiles())
+
+    job.initial_load(_first(spark, tmp_dir), "2016-02-01 00:00:00")
+    same()
+    old = job.loads.latest()["facts"]
+    seen.clear()
+    job.update(_march(spark, tmp_dir), "2016-03-01 00:00:00")
+    now = job.loads.latest()["facts"]
+    # the first frame is the current stage, which an append does not scan
+    scanned = [f for f in seen if f and "/stage/sales/" in f[0]]
+    assert scanned[0] == old and scanned[1] == [f for f in now if f not in old]
+    same()
+    job.update(_march(spark, tmp_dir), "2016-04-01 00:00:00", mode="replace", start="2016-01-13", end="2016-03-02")
+    same()
+    # nothing actual is left of the first month
+    job.update(_march(spark, tmp_dir), "2016-05-01 00:00:00", mode="replace", start="2016-01-01", end="2016-01-31")
+    same()
+    assert {r["company"] for r in job.report().collect()} == {"ООО Ромашка"}
+
+
+_SALES = ("dt timestamp_ntz, company string, counterparty string, contract string, nomenclature string, "
+          "quantity int, amount int")
+
+
+def _many_sales(spark, n=3000):
+    def pick(column, k):
+        return F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit(column), (F.col("id") % k).cast("string")))
+
+    rows = spark.range(0, n, 1, 3).select(
+        F.lit(dt.datetime(2016, 1, 1)).cast("timestamp_ntz").alias("dt"),
+        pick("c", 7).alias("company"),
+        F.when(F.col("id") % 10 == 1, None).otherwise(pick("p", 11)).alias("counterparty"),
+        F.when(F.col("id") % 13 == 1, None).otherwise(F.concat(F.lit("k"), (F.col("id") % 3).cast("string"))).alias("contract"),
+        pick("n", 5).alias("nomenclature"),
+        F.col("id").cast("int").alias("quantity"), F.lit(1).alias("amount"))
+    names = ["hot", *[f"{x}{i}" for x in "cp" for i in range(9)]]
+    cp = spark.createDataFrame([(i, x) for i, x in enumerate(names)] + [(900, "hot"), (901, None)], "id long, company string")
+    ct = spark.createDataFrame([(i, f"k{i % 2}", b, a) for i, (a, b) in enumerate((a, b) for a in names for b in names)],
+                               "id long, contract string, counterparty string, company string")
+    nm = spark.createDataFrame([(1, "hot"), (2, "n1"), (3, "n1"), (4, "n3")], "id long, nomenclature string")
+    return rows, cp, ct, nm
+
+
+def test_shared_lookups_give_the_same_facts(spark):
+    from starload.plans.warehouse import hot_values, resolve_facts, resolve_facts_shared
+
+    tables = _many_sales(spark)
+    assert hot_values(tables[0], {"company": F.col("company")})["company"].count("hot") == 1
+    assert _rows(resolve_facts_shared(*tables)) == _rows(resolve_facts(*tables))
+    empty = tables[0].limit(0)
+    assert resolve_facts_shared(empty, *tables[1:]).count() == 0
+
+
+def test_large_dimensions_cost_the_facts_one_exchange(spark, tmp_dir):
+    from starload.plans.warehouse import may_broadcast, resolve_facts, resolve_facts_shared
+
+    tables = []
+    for k, table in enumerate(_many_sales(spark)):
+        table.write.parquet(f"{tmp_dir}/{k}")
+        tables.append(spark.read.parquet(f"{tmp_dir}/{k}"))
+    assert may_broadcast(*tables[1:])
+
+    def exchanges(df):
+        """Exchanges that carry the facts' measures."""
+        text = df._jdf.queryExecution().executedPlan().toString()
+        lines = text.splitlines()
+        found = 0
+        for i, line in enumerate(lines):
+            if "Exchange hashpartitioning" in line:
+                depth = len(line) - len(line.lstrip(" :+-*|"))
+                below = next(x for x in lines[i + 1:])
+                found += "amount" in below and len(below) - len(below.lstrip(" :+-*|")) > depth
+        return found
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert not may_broadcast(*tables[1:])
+        shared, chained = resolve_facts_shared(*tables), resolve_facts(*tables)
+        assert (exchanges(shared), exchanges(chained)) == (1, 4)
+        assert _rows(shared) == _rows(chained)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
