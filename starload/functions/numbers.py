@@ -49,6 +49,18 @@ def try_int(c: str | Column) -> Column:
     return _col(c).try_cast("int")
 
 
+def mixed_cell(c: str | Column) -> Column:
+    """A cell as it was meant (C8): an integer if the text parses, else the text,
+    in one VARIANT column; NULL stays NULL.
+
+    ``schema_of_variant`` tells which it is, ``try_variant_get`` takes it out, and
+    Parquet keeps it.
+    """
+    text = _col(c)
+    number = text.try_cast("int")
+    return F.when(number.isNotNull(), number.cast("variant")).otherwise(text.cast("variant"))
+
+
 def fits_decimal(c: str | Column, precision: int = 10, scale: int = 2) -> Column:
     """True when a non-NULL value fits ``DECIMAL(precision, scale)`` (Q5)."""
     col = _col(c)

@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starload.sources.catalog import run_sql
 
 # The two verdict texts ("plan met" / "plan not met").
 PLAN_MET = "План выполнен"
@@ -105,8 +104,11 @@ def register_filter_table(
 
 
 def filter_table_dynamic(spark: SparkSession, sql: str, **args) -> DataFrame:
-    """Rows of a dynamically built query (U5), set-based, no row loop."""
-    return run_sql(spark, sql, **args)
+    """Rows of a query whose text is made at run time (U5), with its values bound by
+    ``EXECUTE IMMEDIATE ... USING``; set-based, no row loop."""
+    using = ", ".join(f":{name} AS {name}" for name in args)
+    return spark.sql(
+        f"EXECUTE IMMEDIATE :__text{f' USING {using}' if using else ''}", args={"__text": sql, **args})
 
 
 def create_report_view(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:

@@ -431,6 +431,48 @@ SELECT * FROM f UNION ALL SELECT * FROM n
 """
 
 
+def replace_range_script_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same replacement as a SQL script over tables; the new rows' ids are dense,
+    in an order of the script's own, so that they stand as one range here."""
+    import uuid
+
+    from starload.functions.procedures import replace_range_script
+    from starload.sinks.tables import create_table_as
+    from starload.session import scratch_path
+
+    tag = uuid.uuid4().hex[:10]
+    orders = _t(spark, sf_dir, "orders")
+    create_table_as(spark, f"facts_{tag}", _orders_fact(spark, sf_dir), path=scratch_path(spark, "facts"))
+    orders.where(between_days("o_orderdate", "1997-03-01", "1997-03-31")).select(
+        F.col("o_orderdate").alias("dt"),
+        "o_orderkey",
+        (F.round(F.col("o_totalprice") * 100).cast("bigint") * 2).alias("amount"),
+    ).createOrReplaceTempView(f"march_{tag}")
+    done = replace_range_script(
+        spark, f"facts_{tag}", f"march_{tag}", f"facts_next_{tag}", LOAD_2, "replace", "1997-03-01", "1997-03-31",
+        location=scratch_path(spark, "facts-next"))
+    new = F.col("dt_create") == F.lit(LOAD_2).cast("timestamp_ntz")
+    added = done.where(new).agg(F.min("id").alias("first_id"), F.max("id").alias("last_id"),
+                                F.count_distinct("id").alias("ids"))
+    return done.drop("id").join(F.broadcast(added), new, "left")  # one row
+
+
+REPLACE_RANGE_SCRIPT_SQL = f"""
+WITH f AS (
+  SELECT o_orderdate AS dt, o_orderkey, CAST(ROUND(o_totalprice * 100) AS BIGINT) AS amount,
+         TIMESTAMP '{LOAD_1}' AS dt_create, TIMESTAMP '{LOAD_1}' AS dt_update,
+         NOT (CAST(o_orderdate AS DATE) BETWEEN DATE '1997-03-01' AND DATE '1997-03-31') AS is_actual
+  FROM orders),
+n AS (
+  SELECT o_orderdate AS dt, o_orderkey, CAST(ROUND(o_totalprice * 100) AS BIGINT) * 2 AS amount,
+         TIMESTAMP '{LOAD_2}' AS dt_create, TIMESTAMP '{LOAD_2}' AS dt_update, true AS is_actual
+  FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1997-03-01' AND DATE '1997-03-31')
+SELECT *, NULL AS first_id, NULL AS last_id, NULL AS ids FROM f UNION ALL
+SELECT *, (SELECT max(o_orderkey) + 2 FROM orders), (SELECT max(o_orderkey) + 1 FROM orders) + (SELECT count(*) FROM n),
+       (SELECT count(*) FROM n) FROM n
+"""
+
+
 # --------------------------------------------------------- plan / functions
 
 

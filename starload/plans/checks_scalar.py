@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starload.functions.dates import parse_date, parse_date_report, parse_timestamp
-from starload.functions.numbers import cast_int, parse_number, try_int
+from starload.functions.numbers import cast_int, mixed_cell, parse_number, try_int
 from starload.functions.text import NBSP, clean_all_text, clean_text
 from starload.plans.calendar import date_dimension_for
-from starload.session import read_table
+from starload.session import read_table, scratch_path
 from starload.sources.generate import expand_template, sales_from_keys
 
 # Whitespace mixed into the dirty text of the checks (tab, NBSP,
@@ -169,6 +169,32 @@ FROM customer
 """
 
 
+def mixed_cells_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same cells in one VARIANT column, written and read back: how many are
+    integers and how many text, and what they add up to."""
+    customer = read_table(spark, sf_dir, "customer")
+    text = F.when(F.col("c_custkey") % 3 == 0, F.col("c_name")).when(F.col("c_custkey") % 7 == 0, None).otherwise(
+        F.col("c_custkey").cast("string"))
+    path = scratch_path(spark, "mixed")
+    customer.select(mixed_cell(text).alias("cell")).write.parquet(path)
+    cells = spark.read.parquet(path)
+    return cells.groupBy(F.schema_of_variant("cell").alias("kind")).agg(
+        F.count(F.lit(1)).alias("cells"),
+        F.sum(F.try_variant_get("cell", "$", "int")).alias("total"),
+        F.sum(F.length(F.col("cell").cast("string"))).alias("characters"),
+    )
+
+
+MIXED_CELLS_SQL = """
+SELECT CASE WHEN raw IS NULL THEN NULL WHEN raw = c_name THEN 'STRING' ELSE 'BIGINT' END AS kind,
+       count(*) AS cells, CAST(sum(CASE WHEN raw <> c_name THEN c_custkey END) AS BIGINT) AS total,
+       CAST(sum(length(raw)) AS BIGINT) AS characters
+FROM (SELECT *, CASE WHEN c_custkey % 3 = 0 THEN c_name WHEN c_custkey % 7 = 0 THEN NULL
+                     ELSE CAST(c_custkey AS VARCHAR) END AS raw FROM customer)
+GROUP BY 1
+"""
+
+
 def date_dimension_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calendar spanning every ship date of ``lineitem``."""
     return date_dimension_for(read_table(spark, sf_dir, "lineitem"), "l_shipdate")

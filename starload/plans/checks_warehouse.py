@@ -28,6 +28,7 @@ from starload.plans.warehouse import (
     sales_report,
 )
 from starload.session import checkpoint_dir, read_table, scratch_path
+from starload.sources.catalog import run_sql
 
 LOAD_TS = "2024-01-01 00:00:00"
 
@@ -239,7 +240,7 @@ TOP_N_REPORT_SQL = (
 
 def report_view_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     create_report_view(spark, "mart_report", tpch.sales_report(spark, sf_dir))
-    return spark.sql("SELECT * FROM mart_report WHERE contract = :c", args={"c": "1-URGENT"})
+    return run_sql(spark, "SELECT * FROM mart_report WHERE contract = :c", c="1-URGENT")
 
 
 REPORT_VIEW_SQL = (

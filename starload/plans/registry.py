@@ -23,6 +23,7 @@ _TABLE = [
     ("parse_date_report", cs.parse_date_report_check, cs.PARSE_DATE_REPORT_SQL),
     ("cast_int", cs.cast_int_check, cs.CAST_INT_SQL),
     ("try_int", cs.try_int_check, cs.TRY_INT_SQL),
+    ("mixed_cells", cs.mixed_cells_check, cs.MIXED_CELLS_SQL),
     ("date_dimension", cs.date_dimension_check, cs.DATE_DIMENSION_SQL),
     ("generate_sales", cs.generate_sales_check, cs.GENERATE_SALES_SQL),
     ("expand_template", cs.expand_template_check, cs.EXPAND_TEMPLATE_SQL),
@@ -47,6 +48,7 @@ _TABLE = [
     ("upsert_type1", co.upsert_type1_check, co.UPSERT_TYPE1_SQL),
     ("replace_range", co.replace_range_check, co.REPLACE_RANGE_SQL),
     ("replace_range_delete", co.replace_range_delete_check, co.REPLACE_RANGE_DELETE_SQL),
+    ("replace_range_script", co.replace_range_script_check, co.REPLACE_RANGE_SCRIPT_SQL),
     ("plan_verdict", co.plan_verdict_check, co.PLAN_VERDICT_SQL),
     ("plan_report", co.plan_report_check, co.PLAN_REPORT_SQL),
     ("plan_report_sql", co.plan_report_sql_check, co.PLAN_REPORT_SQL),

@@ -175,3 +175,31 @@ def test_a_batch_that_fails_before_its_record_gives_the_same_ids(spark, tmp_dir,
     ingest_rows(spark, f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ckpt", 10, id_col="id")
     after = {r["id"]: r["amount"] for r in read_ingested(spark, f"{tmp_dir}/out").collect()}
     assert sorted(after) == list(range(1, 26)) and {i: after[i] for i in before} == before
+
+
+def test_the_load_procedure_as_a_script(spark):
+    from starload.functions.procedures import replace_range_script
+
+    spark.sql("CREATE TABLE script_facts (id BIGINT, dt TIMESTAMP_NTZ, v INT, dt_create TIMESTAMP_NTZ, "
+              "dt_update TIMESTAMP_NTZ, is_actual BOOLEAN) USING parquet")
+    old = "timestamp_ntz'2016-02-01'"
+    spark.sql(f"INSERT INTO script_facts VALUES (1, timestamp_ntz'2016-01-12 09:00:00', 1, {old}, {old}, true), "
+              f"(2, timestamp_ntz'2016-01-13', 2, {old}, {old}, true), (5, NULL, 3, {old}, {old}, NULL)")
+    spark.sql("SELECT timestamp_ntz'2016-01-12 23:59:59' AS dt, CAST(id AS INT) AS v FROM range(20) "
+              "UNION ALL SELECT NULL, 7").createOrReplaceTempView("script_new")
+    got = {r["id"]: r for r in replace_range_script(
+        spark, "script_facts", "script_new", "script_next", "2016-03-01", "replace", "2016-01-12", "2016-01-12").collect()}
+    assert sorted(got) == [1, 2, *range(5, 27)]
+    assert [got[i]["is_actual"] for i in (1, 2, 5)] == [False, True, None] and got[1]["dt_update"] == got[2]["dt_update"]
+    new = [got[i] for i in range(6, 27)]
+    assert sorted(r["v"] for r in new) == sorted([*range(20), 7]) and all(r["is_actual"] for r in new)
+    assert {str(r["dt_create"]) for r in new} == {"2016-03-01 00:00:00"}
+    appended = replace_range_script(spark, "script_next", "script_new", "script_last", "2016-04-01")
+    assert appended.count() == 45 and appended.where("id <= 5 AND NOT is_actual").count() == 1
+
+
+def test_dynamic_text_with_and_without_values(spark):
+    spark.range(6).createOrReplaceTempView("dyn")
+    assert filter_table_dynamic(spark, "SELECT * FROM dyn").count() == 6
+    got = filter_table_dynamic(spark, "SELECT * FROM dyn WHERE id BETWEEN :a AND :b", b=3, a=2).collect()
+    assert sorted(r["id"] for r in got) == [2, 3]

@@ -86,3 +86,16 @@ def test_parse_number_random_localised_values(spark):
     expected = {i: int(math.trunc(float(t.replace("\u00a0", "").replace(",", "."))))
                 for i, t in enumerate(texts)}
     assert got == expected
+
+
+def test_mixed_cells_keep_their_kind(spark, tmp_dir):
+    from starload.functions.numbers import mixed_cell
+
+    texts = ["12", " 7 ", "-3", "007", "1.5", "x", "", "99999999999", None]
+    spark.createDataFrame([(t,) for t in texts], "t string").select("t", mixed_cell("t").alias("v")).write.parquet(
+        f"{tmp_dir}/v")
+    got = {r["t"]: (r["k"], r["s"]) for r in spark.read.parquet(f"{tmp_dir}/v").selectExpr(
+        "t", "schema_of_variant(v) AS k", "CAST(v AS STRING) AS s").collect()}
+    assert got == {"12": ("BIGINT", "12"), " 7 ": ("BIGINT", "7"), "-3": ("BIGINT", "-3"), "007": ("BIGINT", "7"),
+                   "1.5": ("STRING", "1.5"), "x": ("STRING", "x"), "": ("STRING", ""),
+                   "99999999999": ("STRING", "99999999999"), None: (None, None)}
