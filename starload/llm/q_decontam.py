@@ -10,9 +10,8 @@ from starload.session import read_table
 
 
 def op2_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
-    items = read_table(spark, sf_dir, "benchmark").select("item_id", "text")
-    found = dc.matches(spark, docs, items)
+    docs, items = (read_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    found = dc.matches(spark, docs, items, id="doc_id")
     return found.select(F.col("id").alias("doc_id"), "item_id", "item_tokens", "matched", "score")
 
 
@@ -27,14 +26,18 @@ def _hits(mask: tuple[int, ...]) -> str:
             f"FROM ({_lookup('dt', mask)}) d JOIN ({_lookup('bt', mask)}) b ON {same}")
 
 
+_TOKENS = r"""regexp_extract_all(
+      regexp_replace(lower(text), '([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])', ' \1 ', 'g'),
+      '[\p{L}\p{N}]+')"""
+
 OP2_SQL = rf"""
-WITH docs AS (
-  SELECT doc_id AS id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS t FROM documents),
-items AS (
-  SELECT item_id AS id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS t FROM benchmark),
+WITH docs AS (SELECT doc_id AS id, {_TOKENS} AS t FROM documents),
+items AS (SELECT item_id AS id, {_TOKENS} AS t FROM benchmark),
 dt AS (SELECT id, unnest(t) AS w, generate_subscripts(t, 1) AS pos FROM docs),
-bt AS (SELECT id, unnest(t) AS w, generate_subscripts(t, 1) AS pos FROM items WHERE len(t) >= {dc.MIN_TOKENS}),
-hits AS ({" UNION ".join(_hits(m) for m in dc.MASKS)}),
+bt AS (SELECT id, unnest(t) AS w, generate_subscripts(t, 1) AS pos FROM items),
+hits AS ({" UNION ".join(_hits(m) for m in dc.MASKS)}
+  UNION SELECT d.id, b.id, d.pos - 1 AS shift FROM dt d JOIN bt b ON b.pos = 1 AND d.w = b.w
+  JOIN items ON items.id = b.id AND len(items.t) < {dc.MIN_TOKENS}),
 points AS (
   SELECT h.doc_id, h.item_id, h.shift, b.pos, CASE WHEN d.w = b.w THEN 1 ELSE -1 END AS p
   FROM hits h JOIN bt b ON b.id = h.item_id
@@ -51,7 +54,8 @@ scored AS (
 SELECT doc_id, item_id, max(item_tokens) AS item_tokens, max(matched) AS matched,
        max(score) FILTER (matched = top) AS score
 FROM (SELECT *, max(matched) OVER (PARTITION BY doc_id, item_id) AS top FROM scored
-      WHERE score >= least({dc.MIN_SCORE}, ceil(item_tokens * {dc.SHORT_SHARE}))
-         OR matched >= item_tokens * {dc.MIN_SHARE})
+      WHERE CASE WHEN item_tokens < {dc.MIN_TOKENS} THEN matched = item_tokens
+            ELSE score >= least({dc.MIN_SCORE}, ceil(item_tokens * {dc.SHORT_SHARE}))
+                 OR matched >= item_tokens * {dc.MIN_SHARE} END)
 GROUP BY doc_id, item_id
 """

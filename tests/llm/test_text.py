@@ -107,13 +107,13 @@ def test_counts_of_documents(spark):
 
 def _matches(docs, items):
     """Every alignment of every item, without seeds."""
-    split = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
+    split = lambda t: re.findall(r"[一-鿿]|[^\W_一-鿿]+", (t or "").lower())
     best = {}
     for i, text in docs:
         d = split(text)
         for item, other in items:
             t = split(other)
-            for shift in range(-len(t) + 1, len(d)) if len(t) >= decontam.MIN_TOKENS else ():
+            for shift in range(-len(t) + 1, len(d)) if t else ():
                 same = [0 <= k + shift < len(d) and d[k + shift] == w for k, w in enumerate(t)]
                 seeds = any(all(k + o < len(t) and same[k + o] for o in mask) for mask in decontam.MASKS for k in range(len(t)))
                 run = score = 0
@@ -121,6 +121,8 @@ def _matches(docs, items):
                     run = max(0, run + (1 if s else -1))
                     score = max(score, run)
                 enough = score >= min(decontam.MIN_SCORE, -(-len(t) * decontam.SHORT_SHARE // 1)) or 2 * sum(same) >= len(t)
+                if len(t) < decontam.MIN_TOKENS:
+                    seeds = enough = all(same)
                 if seeds and enough:
                     best[i, item] = max(best.get((i, item), (0, 0)), (sum(same), score))
     return sorted((-1 if i is None else i, item, *x) for (i, item), x in best.items())
@@ -140,19 +142,52 @@ def test_decontamination_against_all_alignments(spark, monkeypatch):
             t[rng.randrange(len(t) + 1):0] = passage if i % 3 else passage[: len(passage) // 2]
         docs.append((i, " ,".join(t)))
     docs += [docs[9], docs[9], (None, docs[10][1]), (None, None), (70, ""), (71, "same " * 500), (9, "nothing")]
-    items = [(k, " ".join(t)) for k, t in items] + [(50, None), (51, ""), (52, "same " * 9)]
+    items = [(k, " ".join(t)) for k, t in items] + [(50, None), (51, ""), (52, "same " * 9), (53, "eine zwei"), (54, "天地玄黄"), (55, "天地玄黄宇宙洪荒日月盈昃")]
+    docs += [(80, "Eine, ZWEI und"), (81, "zwei eine"), (82, "說天地玄黄。"), (83, "天地玄宇宙洪荒日月昃"), (84, "天 地玄a黄"),
+             (85, "說 天地玄黄宇X洪荒日月盈昃 abc")]
     d = spark.createDataFrame([(*r, 1) for r in docs], "id BIGINT, text STRING, item_id INT").repartition(3)
     b = spark.createDataFrame([(*r, 1) for r in items], "item_id INT, text STRING, id INT")
     want = _matches(docs, items)
     as_rows = lambda df: sorted((-1 if r.id is None else r.id, r.item_id, r.matched, r.score) for r in df.collect())
     assert len(want) > 20 and as_rows(decontam.matches(spark, d, b)) == want
-    monkeypatch.setattr(decontam, "BLOCK_TOKENS", 30)  # several blocks of items
+    monkeypatch.setattr(decontam, "MAX_KEYS", 30)  # several scans
     assert as_rows(decontam.matches(spark, d, b)) == want
     empty = d.where("id > 999")
     assert decontam.matches(spark, empty, b).collect() == []
     assert decontam.matches(spark, d, b.where("id > 1")).collect() == []
 
 
+def test_text_that_repeats_itself_meets_each_alignment_once(spark):
+    docs = spark.createDataFrame([(1, "same " * 20_000), (2, "ab cd " * 4000), (3, "same other " * 30)], "id BIGINT, text STRING")
+    items = spark.createDataFrame([(1, "same " * 50), (2, "ab cd " * 25)], "item_id INT, text STRING")
+    got = {(r.id, r.item_id): (r.matched, r.score) for r in decontam.matches(spark, docs, items).collect()}
+    assert got == {(1, 1): (50, 50), (2, 2): (50, 50), (3, 1): (25, 1)}
+
+
+def test_long_texts_of_many_different_words(spark):
+    words = [f"wort{i}" for i in range(30_000)]
+    item = words[20_000:20_040]
+    item[7] = item[21] = "anders"
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[:20_000]))], "id BIGINT, text STRING")
+    got = decontam.matches(spark, docs, spark.createDataFrame([(5, " ".join(item))], "item_id INT, text STRING")).collect()
+    assert [(r.id, r.item_id, r.matched) for r in got] == [(1, 5, 38)]
+
+
+def test_many_items_take_one_scan_of_the_documents(spark, written, monkeypatch):
+    docs = spark.read.parquet(written([(i, f"a{i} b c d e f g h i{i} j") for i in range(50)], "doc_id BIGINT, text STRING"))
+    items = spark.createDataFrame([(i, " ".join(f"t{i}w{k}" for k in range(40))) for i in range(300)], "item_id INT, text STRING")
+    plans = []
+
+    def planned(session, df, name):
+        if name == "hits":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return common.materialize(session, df, name)
+
+    monkeypatch.setattr(decontam, "materialize", planned)
+    decontam.matches(spark, docs, items, id="doc_id")
+    assert len(plans) == 1 and sum("FileScan" in x and "text" in x for x in plans[0].splitlines()) == 1
+
+
 def test_only_contaminated_rows_go(spark, written):
     item = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
     rows = [(1, f"a b {item} c"), (1, "clean"), (None, item.upper()), (None, "clean too"), (2, None), (1, "clean")]
