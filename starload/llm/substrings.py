@@ -9,6 +9,12 @@ anchor of ``ANCHOR = WINDOW - PERIOD + 1`` words that lies in both at the same
 place.  Anchors that two documents share are extended: every window around one
 is hashed whole, and of equal windows the smallest identifier is looked up.
 
+Anchors only say where to look, so 64 bits do for them.  Windows decide, and are
+equal when two rolling hashes of 64 bits are, with different bases and over
+differently mixed words: among 10**13 windows two that differ agree in both with
+a chance of some 10**-13.  What remains is a pair of different words with the same
+64-bit hash, in otherwise equal windows.
+
 No pairs of documents are formed.  Both lookups are an aggregation, combined
 before its exchange, and a join back to it, which splits hot hashes.
 """
@@ -36,6 +42,10 @@ ANCHOR = WINDOW - PERIOD + 1
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
+#: The same of the second hash.
+_BASE_2 = 0xD1342543DE82EF95
+_INVERSE_2 = pow(_BASE_2, -1, 1 << 64)
+
 _words = WordIds()
 
 
@@ -54,6 +64,7 @@ class _Powers:
 
 
 _powers, _inverses = _Powers(_BASE), _Powers(_INVERSE)
+_powers_2, _inverses_2 = _Powers(_BASE_2), _Powers(_INVERSE_2)
 
 
 class Rolled:
@@ -61,7 +72,7 @@ class Rolled:
 
     def __init__(self, words: list[bytes]):
         n = len(words)
-        ids = _words.of(words)
+        self.ids = ids = _words.of(words)
         self.n = n
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum(ids * _powers(n), out=self.sums[1:])
@@ -79,8 +90,14 @@ class Rolled:
         where = grid[grid <= last]
         return where, self.at(where, ANCHOR)
 
-    def windows(self) -> np.ndarray:
-        return self.at(np.arange(max(0, self.n - WINDOW + 1)), WINDOW)
+    def windows(self, starts: np.ndarray | None = None, bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
+        """Both hashes of the windows at ``starts``, or of all; ``bits`` of the first."""
+        if starts is None:
+            starts = np.arange(max(0, self.n - WINDOW + 1))
+        sums = np.zeros(self.n + 1, np.uint64)
+        np.cumsum(mix(self.ids ^ np.uint64(_BASE)) * _powers_2(self.n), out=sums[1:])
+        second = mix((sums[starts + WINDOW] - sums[starts]) * _inverses_2(self.n + 1)[starts]).view(np.int64)
+        return self.at(starts, WINDOW) & np.int64((1 << (bits - 1)) - 1 if bits < 64 else -1), second
 
 
 def _split(text: bytes | None) -> list[bytes]:
@@ -112,13 +129,15 @@ def _shared(rows: DataFrame) -> DataFrame:
 
 
 def _repeated(rows: DataFrame) -> DataFrame:
-    """``id, found``: hashes of ``rows`` that a smaller identifier has too."""
-    least = rows.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
-    both = rows.join(least.where("lo != hi").select("h", "lo"), "h").where("id > lo")
-    return both.groupBy("id").agg(F.collect_set("h").alias("found"))
+    """``id, found, found_2``: both hashes of the windows of ``rows`` (``id, h, g``)
+    that a smaller identifier has too."""
+    least = rows.groupBy("h", "g").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
+    both = rows.join(least.where("lo != hi").select("h", "g", "lo"), ["h", "g"]).where("id > lo")
+    found = both.groupBy("id").agg(F.collect_set(F.struct("h", "g")).alias("w"))
+    return found.select("id", F.col("w.h").alias("found"), F.col("w.g").alias("found_2"))
 
 
-def remove_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
+def remove_repeats(spark: SparkSession, docs: DataFrame, bits: int = 64) -> DataFrame:
     """Takes repeated passages out of ``docs`` (``id, text``).
 
     A word goes if it lies in a window whose word sequence also starts in a row
@@ -128,8 +147,9 @@ def remove_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     Null and empty texts have no words; texts under ``WINDOW`` words have no
     window.  Rows that repeat an identifier do not count for each other, a null
-    identifier is larger than all others.  Words are compared unchanged, by
-    64-bit hashes.  Other columns are not read; an empty table stays empty.
+    identifier is larger than all others.  Words are compared unchanged, windows
+    by 128 bits of hash (``bits`` of the first half, for tests).  Other columns are
+    not read; an empty table stays empty.
     """
     ship(spark)
     last = (1 << 63) - 1
@@ -142,7 +162,8 @@ def remove_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     @F.pandas_udf("array<long>")
     def around(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        """Hashes of the windows that hold a shared anchor near their start."""
+        """Both hashes, one list after the other, of the windows that hold a shared
+        anchor near their start."""
         for texts, founds in batches:
             out = []
             for text, found in zip(texts, founds, strict=True):
@@ -153,21 +174,32 @@ def remove_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
                 upto = np.cumsum(hits)
                 starts = np.arange(max(0, rolled.n - WINDOW + 1))
                 starts = starts[upto[starts + PERIOD] > upto[starts]]
-                out.append(np.unique(rolled.at(starts, WINDOW)))
+                h, g = rolled.windows(starts, bits)
+                order = np.lexsort((g, h))
+                h, g = h[order], g[order]
+                new = np.ones(len(h), bool)
+                new[1:] = (h[1:] != h[:-1]) | (g[1:] != g[:-1])
+                out.append(np.concatenate((h[new], g[new])))
             yield pd.Series(out)
 
     wide = docs.join(shared, "id").withColumn("windows", around("text", "found"))
     wide = materialize(spark, wide.drop("found"), "windows")
-    found = _repeated(wide.select("id", F.explode("windows").alias("h")))
+    n = (F.size("windows") / 2).cast("int")
+    pairs = F.arrays_zip(F.slice("windows", 1, n).alias("h"), F.slice("windows", n + 1, n).alias("g"))
+    found = _repeated(wide.select("id", F.explode(pairs).alias("w")).select("id", "w.*"))
     found = materialize(spark, found, "repeated")
 
     @F.pandas_udf("n_removed long, kept_sha256 string, kept string")
-    def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, founds in batches:
+    def cut(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        for columns in batches:
             out = []
-            for text, gone in zip(texts, founds, strict=True):
+            for text, gone, gone_2 in zip(*columns, strict=True):
                 words = _split(text)
-                starts = np.flatnonzero(np.isin(Rolled(words).windows(), gone))
+                h, g = Rolled(words).windows(bits=bits)
+                both = set(zip(gone.tolist(), gone_2.tolist(), strict=True))
+                starts = np.flatnonzero(np.isin(h, gone))
+                there = zip(h[starts].tolist(), g[starts].tolist(), strict=True)
+                starts = starts[np.fromiter((w in both for w in there), bool, len(starts))]
                 cover = np.zeros(len(words) + 1, np.int64)
                 np.add.at(cover, starts, 1)
                 np.add.at(cover, starts + WINDOW, -1)
@@ -176,7 +208,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
                 out.append((int((~stays).sum()), hashlib.sha256(left).hexdigest(), left.decode()))
             yield pd.DataFrame(out, columns=["n_removed", "kept_sha256", "kept"])
 
-    done = wide.select("id", "th", "text").join(found, "id").withColumn("c", cut("text", "found"))
+    done = wide.select("id", "th", "text").join(found, "id").withColumn("c", cut("text", "found", "found_2"))
     done = materialize(spark, done.select("id", "th", "c.*").dropDuplicates(["id", "th"]), "cut")
     return rows.join(done, ["id", "th"], "left").select(
         F.when(F.col("id") != last, F.col("id")).alias("id"),

@@ -115,7 +115,9 @@ def _cut(rows):
     return sorted(out)
 
 
-def test_repeated_passages_against_all_windows(spark):
+@pytest.mark.parametrize("bits", [64, 3])
+def test_repeated_passages_against_all_windows(spark, bits):
+    """With 3 bits of the first hash nearly all windows collide in it."""
     rng = random.Random(8)
     make = lambda n: [f"W{rng.randrange(5000)}" for _ in range(n)]
     passages = [make(n) for n in (49, 50, 51, 80, 200)]
@@ -129,11 +131,16 @@ def test_repeated_passages_against_all_windows(spark):
     rows += [rows[4], (7, rows[4][1]), (7, " ".join(passages[4])), (None, rows[2][1]), (None, rows[2][1]),
              (1, None), (2, ""), (3, "\t \n"), (4, "same " * 3000), (9, "same " * 120), (10, "same " * 49)]
     docs = spark.createDataFrame([(*r, 1) for r in rows], "id BIGINT, text STRING, n_words INT").repartition(4)
-    got = substrings.remove_repeats(spark, docs).collect()
+    got = substrings.remove_repeats(spark, docs, bits).collect()
     assert sorted((-1 if r.id is None else r.id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == _cut(rows)
     assert all((r.kept is None) == (r.n_removed == 0) for r in got)
 
 
+def test_no_documents_have_no_passages(spark):
+    out = substrings.remove_repeats(spark, spark.createDataFrame([], "id BIGINT, text STRING"))
+    assert out.columns == ["id", "n_words", "n_removed", "kept_sha256", "kept"] and out.count() == 0
+
+
 def test_cover_has_every_difference():
     cover = substrings.COVER.tolist()
     differences = {(a - b) % substrings.PERIOD for a in cover for b in cover}
