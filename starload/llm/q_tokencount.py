@@ -13,11 +13,12 @@ LIMIT = 512
 
 def op4_tokencount(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    counted = tokencount.count_tokens(spark, docs, budget=LIMIT, store=False)
+    counted = tokencount.count_tokens(spark, docs, budget=LIMIT)
     return counted.select(
         "doc_id",
         F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
         "n_tokens",
         (F.col("n_tokens") > LIMIT).alias("over_limit"),
         "fit_chars",
+        "prefix_tokens",
     )

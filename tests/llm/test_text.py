@@ -60,6 +60,23 @@ def test_language_of_odd_texts(spark):
     assert langid.accept(spark, docs, model).columns == docs.columns
 
 
+def test_languages_and_counts_of_an_empty_table(spark):
+    empty = spark.createDataFrame([], "id BIGINT, text STRING, lang STRING, score INT")
+    told = langid.identify(spark, empty, langid.fit(empty))
+    assert told.count() == 0 and {"lang_pred", "score", "accepted"} <= set(told.columns)
+    counted = tokencount.count_tokens(spark, empty)
+    assert counted.count() == 0 and {"n_tokens", "fit_chars", "prefix_tokens"} <= set(counted.columns)
+
+
+def test_stored_tables_answer_every_budget(spark):
+    rows = tokencount.count_tokens(spark, spark.createDataFrame(
+        [(1, "Das Öl  ist teuer. <|endoftext|> 😀"), (2, ""), (3, None)], "id BIGINT, text STRING")).collect()
+    for r in rows:
+        table = tokencount.unpack(r.prefix_tokens)
+        text = r.text or ""
+        assert [len(BPE.encode(text[:k], add_special_tokens=False).ids) for k in range(len(text) + 1)] == table.tolist()
+
+
 def test_models_without_languages_and_with_one(spark):
     rows = [(1, None, "en"), (2, "text", None), (3, "...", "en")]
     none = langid.fit(spark.createDataFrame(rows, "id INT, text STRING, lang STRING"))
