@@ -289,7 +289,8 @@ def second_exports(spark: SparkSession, sf_dir: str, first: Exports) -> Exports:
 
 
 def _updated_job(spark, sf_dir) -> WarehouseJob:
-    job = WarehouseJob(spark, scratch_path(spark, "warehouse"))
+    """Two loads into dimensions that are stored in buckets of their keys."""
+    job = WarehouseJob(spark, scratch_path(spark, "warehouse"), dimension_buckets=8)
     first = src_exports(spark, sf_dir)
     job.initial_load(first, LOAD_TS)
     second = second_exports(spark, sf_dir, first)

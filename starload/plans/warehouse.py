@@ -45,7 +45,15 @@ from starload.operators.upsert import (
     with_audit,
 )
 from starload.sinks.files import export_csv
-from starload.sinks.tables import Entries, PeriodFolders, new_tag
+from starload.sinks.notes import list_notes
+from starload.sinks.tables import (
+    Entries,
+    PeriodFolders,
+    new_tag,
+    read_bucketed,
+    remove_folders,
+    write_bucketed,
+)
 from starload.sources.files import read_delimited, read_first_column
 
 # Phrases that select sales rows in the accounting export.
@@ -452,6 +460,13 @@ def sales_report(stage: Stage) -> DataFrame:
 
 DIMENSION_TABLES = ("nomenclature", "contracts", "counterparties")
 
+#: Natural keys, by which dimensions are upserted and can be bucketed.
+DIMENSION_KEYS = {
+    "nomenclature": ["nomenclature"],
+    "contracts": ["contract", "counterparty", "company"],
+    "counterparties": ["company"],
+}
+
 # Columns of the landing tables that must be filled, and the
 # length limits of their texts.
 REQUIRED = {
@@ -500,12 +515,16 @@ class WarehouseJob:
 
     Every stage table is written as soon as it is computed and read back, so
     fact resolution and the report scan written tables, and a lost executor
-    only repeats the current step.  Folders that no entry, or no recent one,
-    names can be removed by the storage's owner (``folders_in_use``).
+    only repeats the current step.  ``retire`` deletes the folders that no recent
+    load reads.
     """
 
-    def __init__(self, spark: SparkSession, root: str, fact_period: str = "month"):
+    def __init__(self, spark: SparkSession, root: str, fact_period: str = "month",
+                 dimension_buckets: int | None = None):
+        """``dimension_buckets`` stores new dimension folders bucketed by their natural
+        keys: an upsert then exchanges the source alone, whatever the target's size."""
         self.spark = spark
+        self.buckets = dimension_buckets
         self.root = root.rstrip("/")
         self.periods = PeriodFolders(spark, period=fact_period)
         # load_ts, last_id, dimensions (name: folder), facts (folders), fact_schema
@@ -533,9 +552,12 @@ class WarehouseJob:
                   for name in TABLES})
         return landed
 
-    def _persist_to(self, tag: str, paths: dict[str, str]) -> Callable[[str, DataFrame], DataFrame]:
+    def _persist_to(self, tag: str, paths: dict[str, str], was: int | None) -> Callable[[str, DataFrame], DataFrame]:
         def persist(name: str, df: DataFrame) -> DataFrame:
             paths[name] = f"{self.root}/stage/{name}/{tag}"
+            if self.buckets:
+                # what an upsert into as many buckets gives is in its buckets already
+                return write_bucketed(df, paths[name], DIMENSION_KEYS[name], self.buckets, spread=was != self.buckets)
             df.write.parquet(paths[name])
             return self.spark.read.schema(df.schema).parquet(paths[name])
 
@@ -554,7 +576,7 @@ class WarehouseJob:
     def _publish(self, tag: str, entry, load_ts, last_id: int, paths, facts, sums, schema: StructType) -> Stage:
         self.loads.publish(
             tag, entry["number"] if entry else 0, load_ts=str(load_ts), last_id=last_id,
-            dimensions=paths, facts=facts, sums=sums, fact_schema=schema.json(),
+            dimensions=paths, buckets=self.buckets, facts=facts, sums=sums, fact_schema=schema.json(),
         )
         create_report_view(self.spark, REPORT_VIEW, self.report())
         return self.stage()
@@ -563,10 +585,16 @@ class WarehouseJob:
         entry = self.loads.latest()
         if entry is None:
             raise FileNotFoundError(f"no load under {self.root}")
-        dims = {name: self.spark.read.parquet(entry["dimensions"][name]) for name in DIMENSION_TABLES}
+        dims = {name: self._dimension(entry, name) for name in DIMENSION_TABLES}
         schema = StructType.fromJson(json.loads(entry["fact_schema"]))
         return Stage(**dims, sales=self.periods.read(entry["facts"], schema))
 
+    def _dimension(self, entry: dict, name: str) -> DataFrame:
+        path, buckets = entry["dimensions"][name], entry["buckets"]
+        if buckets:
+            return read_bucketed(self.spark, path, DIMENSION_KEYS[name], buckets)
+        return self.spark.read.parquet(path)
+
     def folders_in_use(self) -> list[str]:
         """Folders that the current load reads."""
         entry = self.loads.latest()
@@ -581,7 +609,7 @@ class WarehouseJob:
     def initial_load(self, src: Exports, load_ts) -> Stage:
         entry, tag, paths = self._begin(load_ts), new_tag(), {}
         landed = self.land(src, tag)
-        cp, ct, nm = initial_dimensions(landed, load_ts, self._persist_to(tag, paths))
+        cp, ct, nm = initial_dimensions(landed, load_ts, self._persist_to(tag, paths, None))
         new, last = self._new_facts(landed, cp, ct, nm, load_ts, 0)
         facts, sums = self._write_facts(new, tag)
         return self._publish(tag, entry, load_ts, last, paths, facts, sums, new.schema)
@@ -592,7 +620,7 @@ class WarehouseJob:
         entry, tag, paths = self._begin(load_ts), new_tag(), {}
         current = self.stage()
         landed = self.land(src, tag)
-        cp, ct, nm = update_dimensions(current, landed, load_ts, persist=self._persist_to(tag, paths))
+        cp, ct, nm = update_dimensions(current, landed, load_ts, persist=self._persist_to(tag, paths, entry["buckets"]))
         new, last = self._new_facts(landed, cp, ct, nm, load_ts, entry["last_id"])
         facts, sums = entry["facts"], entry["sums"]
         if mode == "replace":
@@ -612,5 +640,27 @@ class WarehouseJob:
         if entry is None:
             raise FileNotFoundError(f"no load under {self.root}")
         sums = self.periods.read(entry["sums"], self.spark.createDataFrame([], SUMS_SCHEMA).schema)
-        dims = (self.spark.read.parquet(entry["dimensions"][n]) for n in ("counterparties", "contracts", "nomenclature"))
+        dims = (self._dimension(entry, n) for n in ("counterparties", "contracts", "nomenclature"))
         return report_of_sums(sums, *dims)
+
+    def retire(self, keep: int = 2) -> list[str]:
+        """Delete what no one of the last ``keep`` loads reads, and return its folders:
+        landing tables, exports, dimensions, facts and sums of loads before them,
+        and of loads that failed.  No load may run meanwhile, and readers of older
+        loads lose their files."""
+        entries = self.loads.last(keep)
+        if not entries:
+            return []
+        used = {f for e in entries for f in (*e["dimensions"].values(), *e["facts"], *e["sums"])}
+        tags = {e["tag"] for e in entries}
+        gone = []
+        for top in ("src", "csv", *(f"stage/{n}" for n in (*DIMENSION_TABLES, "sales", "sums"))):
+            for name in list_notes(self.spark, f"{self.root}/{top}"):
+                folder = f"{self.root}/{top}/{name}"
+                if name in tags or folder in used:
+                    continue
+                parts = self.periods.folders(folder) if top in ("stage/sales", "stage/sums") else []
+                # of a set of periods, those that were not written anew may still be read
+                gone += [p for p in parts if p not in used] if any(p in used for p in parts) else [folder]
+        remove_folders(self.spark, gone)
+        return gone

@@ -61,3 +61,9 @@ def list_notes(spark: SparkSession, folder: str) -> list[str]:
             return []
         raise
     return sorted(f.getPath().getName() for f in found)
+
+
+def remove_note(spark: SparkSession, path: str) -> None:
+    """Deletes a file or a folder with all that is in it, if it is there."""
+    place, fs = _at(spark, path)
+    fs.delete(place, True)

@@ -350,3 +350,56 @@ def test_large_dimensions_cost_the_facts_one_exchange(spark, tmp_dir):
         assert _rows(shared) == _rows(chained)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_an_upsert_into_buckets_exchanges_the_source_alone(spark, tmp_dir):
+    from starload.operators.upsert import expire_unseen, initial_load, upsert
+    from starload.sinks.tables import read_bucketed, write_bucketed
+
+    names = spark.range(500).selectExpr("concat('n', id) AS company", "string(id) AS tax", "id % 7 AS k")
+    first = initial_load(names, ["company", "tax", "k"], "2016-02-01")
+    target = write_bucketed(first, f"{tmp_dir}/v1", ["company", "k"], 4)
+    source = spark.range(250, 600).selectExpr("concat('n', id) AS company", "string(2 * id) AS tax", "id % 7 AS k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = expire_unseen(upsert(target, source, ["company", "k"], "2016-03-01", update_cols=["tax"]), "2016-03-01")
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert "SelectedBucketsCount: 4 out of 4" in plan and plan.count("Exchange hashpartitioning") == 1
+        want = _rows(expire_unseen(upsert(first, source, ["company", "k"], "2016-03-01", update_cols=["tax"]), "2016-03-01"))
+        assert _rows(merged) == want
+        # written without another exchange, it is a table of the same buckets
+        write_bucketed(merged, f"{tmp_dir}/v2", ["company", "k"], 4, spread=False)
+        spark.sql(f"DROP TABLE {[t.name for t in spark.catalog.listTables() if t.name.startswith('bucketed_')][0]}")
+        for path in ("v1", "v2"):  # as a session that did not write them reads them
+            again = read_bucketed(spark, f"{tmp_dir}/{path}", ["company", "k"], 4)
+            joined = again.join(source, ["company", "k"])
+            assert joined._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+        assert _rows(read_bucketed(spark, f"{tmp_dir}/v2", ["company", "k"], 4)) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_loads_with_buckets_and_retired_folders(spark, tmp_dir):
+    from pathlib import Path
+
+    from starload.plans.warehouse import WarehouseJob
+
+    plain, bucketed = _job(spark, tmp_dir, "plain"), WarehouseJob(spark, f"{tmp_dir}/buckets", dimension_buckets=3)
+    loads = [(_first(spark, tmp_dir), {}), (_march(spark, tmp_dir), {}),
+             (_march(spark, tmp_dir), {"mode": "replace", "start": "2016-01-12", "end": "2016-01-13"}),
+             (_march(spark, tmp_dir), {})]
+    for job in (plain, bucketed):
+        for k, (src, how) in enumerate(loads):
+            at = f"2016-0{k + 2}-01 00:00:00"
+            job.update(src, at, **how) if k else job.initial_load(src, at)
+        (Path(job.root) / "stage/sales/lost").mkdir()  # of a load that failed
+    for name in ("counterparties", "contracts", "nomenclature", "sales"):
+        assert _rows(getattr(bucketed.stage(), name)) == _rows(getattr(plain.stage(), name)), name
+    for job in (plain, bucketed):
+        before = {n: _rows(getattr(job.stage(), n)) for n in ("sales", "counterparties", "contracts")}
+        report, size = _rows(job.report()), sum(1 for _ in Path(job.root).rglob("*.parquet"))
+        gone = job.retire(keep=1)
+        assert any(f.endswith("/lost") for f in gone) and sum(1 for _ in Path(job.root).rglob("*.parquet")) < size
+        assert {n: _rows(getattr(job.stage(), n)) for n in before} == before and _rows(job.report()) == report
+        assert job.retire(keep=1) == []
+        job.update(_march(spark, tmp_dir), "2016-08-01 00:00:00")
