@@ -27,7 +27,7 @@ _TABLE = [
     ("op6_mixing", q_mixing.op6_mixing, q_mixing.OP6_SQL),
     ("op7_substrings", q_substrings.op7_substrings, q_substrings.OP7_SQL),
     ("op8_exactdedup", q_exactdedup.op8_exactdedup, q_exactdedup.OP8_SQL),
-    ("op9_sharding", q_sharding.op9_sharding, None),
+    ("op9_sharding", q_sharding.op9_sharding, q_sharding.OP9_SQL),
     ("op10_brown", q_brown.op10_brown, None),
     ("op11_lexical", q_lexical.op11_lexical, q_lexical.OP11_SQL),
     ("op12_subword", q_subword.op12_subword, None),
