@@ -20,7 +20,7 @@ from starload.session import read_table, scratch_path, table_path
 from starload.sinks.files import bulk_load, export_csv, export_exact, export_split
 from starload.sinks.tables import SnapshotTable, append_table
 from starload.sources.catalog import register_foreign_table
-from starload.sources.files import read_delimited, read_first_column, read_glob
+from starload.sources.files import read_delimited, read_delimited_lenient, read_first_column, read_glob
 from starload.sources.generate import sales_from_keys
 
 CUSTOMER_SCHEMA = StructType(
@@ -254,6 +254,29 @@ FROM (SELECT doc_id, lang, '"' || coalesce(text, '') || '"' || chr(10) || ',' ||
 """
 
 
+def read_rejects_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as lines of which some have a field too many and some a balance
+    that is no number; what is read, and what is kept apart and why."""
+    text = F.concat_ws("\t", "c_custkey", "c_name", "c_nationkey", F.when(
+        F.col("c_custkey") % 11 == 0, F.lit("n/a")).otherwise(F.col("c_acctbal").cast("string")), "c_mktsegment")
+    lines = read_table(spark, sf_dir, "customer").select(
+        F.when(F.col("c_custkey") % 7 == 0, F.concat(text, F.lit("\tmore"))).otherwise(text).alias("value"))
+    path = scratch_path(spark, "rejects")
+    lines.write.text(path)
+    good, bad = read_delimited_lenient(spark, path, CUSTOMER_SCHEMA, header=False)
+    fields = F.size(F.split("_rejected", "\t"))
+    told = bad.select(
+        F.split("_rejected", "\t")[0].cast("bigint").alias("c_custkey"),
+        F.when(fields > 5, "fields").otherwise("value").alias("reason"))
+    return good.select("c_custkey", F.lit("read").alias("reason")).unionByName(told)
+
+
+READ_REJECTS_SQL = """
+SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN 'fields' WHEN c_custkey % 11 = 0 THEN 'value' ELSE 'read' END AS reason
+FROM customer
+"""
+
+
 SALES_CSV_SCHEMA = StructType(
     [
         StructField("dt", StringType()),

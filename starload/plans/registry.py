@@ -58,6 +58,7 @@ _TABLE = [
     ("read_delimited", ci.read_delimited_check, ci.READ_DELIMITED_SQL),
     ("read_glob", ci.read_glob_check, ci.READ_GLOB_SQL),
     ("export_split", ci.export_split_check, ci.EXPORT_SPLIT_SQL),
+    ("read_rejects", ci.read_rejects_check, ci.READ_REJECTS_SQL),
     ("read_records", ci.read_records_check, ci.READ_RECORDS_SQL),
     ("export_exact", ci.export_exact_check, ci.EXPORT_EXACT_SQL),
     ("read_first_column", ci.read_first_column_check, ci.READ_FIRST_COLUMN_SQL),

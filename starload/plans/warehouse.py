@@ -36,6 +36,7 @@ from starload.operators.filters import contains_all, contains_any, is_true
 from starload.operators.joins import left_lookup
 from starload.operators.keys import assign_keys_unordered
 from starload.operators.quality import require_length, require_not_null
+from starload.operators.setops import union_all
 from starload.operators.upsert import (
     expire_unseen,
     flag_range,
@@ -54,7 +55,7 @@ from starload.sinks.tables import (
     remove_folders,
     write_bucketed,
 )
-from starload.sources.files import read_delimited, read_first_column
+from starload.sources.files import REJECTED, read_delimited, read_delimited_lenient, read_first_column
 
 # Phrases that select sales rows in the accounting export.
 SALES_OPERATION_PHRASES = ["Реализация товаров", "Реализация продукции"]
@@ -93,24 +94,48 @@ CONTRACT_EXPORT_SCHEMA = _all_text(CONTRACT_EXPORT_COLUMNS)
 # --------------------------------------------------------------------- exports
 
 
+def _selected_sales(raw: DataFrame) -> DataFrame:
+    """The rows that the export job takes: its two text filters, on the raw text."""
+    return raw.where(contains_any("contents_operation", SALES_OPERATION_PHRASES)).where(
+        contains_all("accounting_document", [SALES_DOCUMENT_PHRASE])
+    )
+
+
+def _sales_values(strict: bool) -> dict[str, Column]:
+    """The typed columns of a sales row."""
+    numbers = {c: parse_number(c, strict=strict) for c in ("quantity", "amount")}
+    return {
+        "dt": parse_timestamp("dt", strict=strict),
+        **{c: n.cast("int") if strict else n.try_cast("int") for c, n in numbers.items()},
+    }
+
+
 def cleanse_sales(raw: DataFrame) -> DataFrame:
     """Sales export rows -> src.sales.
 
     Order as in the export job: the two text filters on the raw text, then
     numbers, then whitespace cleanup of every text column, then projection.
     """
-    rows = raw.where(contains_any("contents_operation", SALES_OPERATION_PHRASES)).where(
-        contains_all("accounting_document", [SALES_DOCUMENT_PHRASE])
-    )
-    typed = rows.select(
-        parse_timestamp("dt").alias("dt"),
-        *[c for c in raw.columns if c not in ("dt", "quantity", "amount")],
-        parse_number("quantity", strict=True).cast("int").alias("quantity"),
-        parse_number("amount", strict=True).cast("int").alias("amount"),
+    values = _sales_values(strict=True)
+    typed = _selected_sales(raw).select(
+        values["dt"].alias("dt"),
+        *[c for c in raw.columns if c not in values],
+        values["quantity"].alias("quantity"),
+        values["amount"].alias("amount"),
     )
     return clean_all_text(typed).select(*SRC_SALES_COLUMNS)
 
 
+def split_sales(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``raw`` whose date and numbers can be read, and the others, of
+    those that the export job takes."""
+    bad = F.lit(False)
+    for c, value in _sales_values(strict=False).items():
+        bad = bad | (F.col(c).isNotNull() & value.isNull())
+    rows = _selected_sales(raw)
+    return rows.where(~bad), rows.where(bad)
+
+
 def cleanse_counterparties(raw: DataFrame) -> DataFrame:
     """The tax number is kept as text, untouched (leading zeros matter)."""
     return clean_all_text(raw, exclude=["taxpayer_identification_number"])
@@ -130,6 +155,12 @@ class Exports:
     counterparties: DataFrame
     contracts: DataFrame
     nomenclature: DataFrame
+    #: ``table, line`` of what could not be read, if that is kept apart
+    rejects: DataFrame | None = None
+
+
+def _line_of(table: str, rows: DataFrame, column: Column) -> DataFrame:
+    return rows.select(F.lit(table).alias("table"), column.alias("line"))
 
 
 def read_exports(
@@ -139,19 +170,39 @@ def read_exports(
     contracts_path: str,
     nomenclature_path: str,
     nomenclature_skip_rows: int = 1,
+    keep_rejects: bool = False,
 ) -> Exports:
-    """Read the four tab-separated exports and cleanse them."""
-    sales = read_delimited(spark, sales_path, SALES_EXPORT_SCHEMA)
-    counterparties = read_delimited(spark, counterparties_path, COUNTERPARTY_EXPORT_SCHEMA)
-    contracts = read_delimited(spark, contracts_path, CONTRACT_EXPORT_SCHEMA)
+    """Read the four tab-separated exports and cleanse them.
+
+    A line with too few or too many fields, or a sale whose date or numbers cannot
+    be read, stops the load; with ``keep_rejects`` such lines become the table
+    ``rejects`` and the load takes the others.
+    """
+    files = {
+        "sales": (sales_path, SALES_EXPORT_SCHEMA),
+        "counterparties": (counterparties_path, COUNTERPARTY_EXPORT_SCHEMA),
+        "contracts": (contracts_path, CONTRACT_EXPORT_SCHEMA),
+    }
+    rejects = None
+    if keep_rejects:
+        raw, lines = {}, []
+        for name, (path, schema) in files.items():
+            raw[name], bad = read_delimited_lenient(spark, path, schema)
+            lines.append(_line_of(name, bad, F.col(REJECTED)))
+        raw["sales"], bad = split_sales(raw["sales"])
+        whole = F.array_join(F.array(*[F.col(c) for c in SALES_EXPORT_COLUMNS]), "\t", "")
+        rejects = union_all([*lines, _line_of("sales", bad, whole)])
+    else:
+        raw = {name: read_delimited(spark, path, schema) for name, (path, schema) in files.items()}
     nomenclature = read_first_column(
         spark, nomenclature_path, "nomenclature", skip_rows=nomenclature_skip_rows
     )
     return Exports(
-        cleanse_sales(sales),
-        cleanse_counterparties(counterparties),
-        cleanse_contracts(contracts),
+        cleanse_sales(raw["sales"]),
+        cleanse_counterparties(raw["counterparties"]),
+        cleanse_contracts(raw["contracts"]),
         cleanse_nomenclature(nomenclature),
+        rejects,
     )
 
 
@@ -177,11 +228,14 @@ def land_exports(src: Exports, root: str, seen: dict[str, int] | None = None) ->
 
     def land(name: str) -> DataFrame:
         rows, broken = getattr(src, name), F.lit(False)
-        for c in REQUIRED[name]:
+        for c in REQUIRED.get(name, ()):
             broken = broken | F.col(f"`{c}`").isNull()
-        for c, n in LIMITS[name].items():
+        for c, n in LIMITS.get(name, {}).items():
             broken = broken | (F.coalesce(F.length(F.col(f"`{c}`")), F.lit(0)) > n)
         path = f"{root.rstrip('/')}/{name}"
+        if name == "rejects":
+            rows.write.mode("overwrite").parquet(path)
+            return spark.read.schema(rows.schema).parquet(path)
         if seen is None:
             rows.write.mode("overwrite").parquet(path)
         else:
@@ -190,7 +244,8 @@ def land_exports(src: Exports, root: str, seen: dict[str, int] | None = None) ->
             seen[name] = count.get["broken"]
         return spark.read.schema(rows.schema).parquet(path)
 
-    return Exports(**together({name: partial(land, name) for name in TABLES}))
+    names = TABLES if src.rejects is None else (*TABLES, "rejects")
+    return Exports(**together({name: partial(land, name) for name in names}))
 
 
 # ----------------------------------------------------------------------- stage
@@ -643,6 +698,14 @@ class WarehouseJob:
         dims = (self._dimension(entry, n) for n in ("counterparties", "contracts", "nomenclature"))
         return report_of_sums(sums, *dims)
 
+    def rejects(self) -> DataFrame:
+        """``table, line`` of what the current load could not read."""
+        entry = self.loads.latest()
+        path = f"{self.root}/src/{entry['tag']}/rejects" if entry else ""
+        if entry and list_notes(self.spark, path):
+            return self.spark.read.parquet(path)
+        return self.spark.createDataFrame([], "`table` STRING, line STRING")
+
     def retire(self, keep: int = 2) -> list[str]:
         """Delete what no one of the last ``keep`` loads reads, and return its folders:
         landing tables, exports, dimensions, facts and sums of loads before them,

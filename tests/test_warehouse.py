@@ -403,3 +403,20 @@ def test_loads_with_buckets_and_retired_folders(spark, tmp_dir):
         assert {n: _rows(getattr(job.stage(), n)) for n in before} == before and _rows(job.report()) == report
         assert job.retire(keep=1) == []
         job.update(_march(spark, tmp_dir), "2016-08-01 00:00:00")
+
+
+def test_a_load_keeps_bad_lines_apart(spark, tmp_dir):
+    good = _sales_line("12.01.2016 9:00:01", "ООО Ромашка", "Покупатель 1", "Договор 1", "1", "Ассорти", "5")
+    bad = [good + "\tmore", good.replace("9:00:01", "25:00"), good.replace("\t5\t", "\tfive\t"), "kurz",
+           good.replace("\t1\t", "\t99999999999\t")]
+    other = good.replace(SALE, "Возврат").replace("\t5\t", "\tfive\t")  # not taken, so not looked at
+    paths = _exports(f"{tmp_dir}/x", [good, *bad, other, good], FIRST_COUNTERPARTIES + ["nur ein Feld"], ["Ассорти"])
+    with pytest.raises(Exception):  # noqa: B017
+        _job(spark, tmp_dir, "strict").initial_load(read_exports(spark, *paths), "2016-02-01 00:00:00")
+    job = _job(spark, tmp_dir)
+    assert job.rejects().count() == 0
+    job.initial_load(read_exports(spark, *paths, keep_rejects=True), "2016-02-01 00:00:00")
+    assert _rows(job.rejects()) == sorted([*(("sales", line) for line in bad), ("counterparties", "nur ein Feld")])
+    assert job.stage().sales.count() == 2 and job.stage().counterparties.count() == 2
+    job.update(_march(spark, tmp_dir), "2016-03-01 00:00:00")
+    assert job.rejects().columns == ["table", "line"] and job.rejects().count() == 0
