@@ -42,15 +42,17 @@ MIN_SCORE, SHORT_SHARE, MIN_SHARE = 13, 0.6, 0.5
 #: each in a broadcast; more seeds take more scans.
 MAX_KEYS = 8_000_000
 
-#: Scripts written without blanks: each character is a token.
-_ALONE = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+#: Blocks of scripts written without blanks, where each character is a token: Thai
+#: and Lao, Myanmar, Khmer, Japanese syllables, Chinese characters.  Ranges, since
+#: asking for the script of each character costs more than all else here.
+ALONE = r"[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{323AF}]"
 
 
 def token_hashes(text: Column) -> Column:
     """Hashes of a text's tokens: letters and digits, in lower case; in scripts
     without blanks each character by itself."""
     lower = F.lower(F.coalesce(text, F.lit("")))
-    apart = F.when(lower.rlike(_ALONE), F.regexp_replace(lower, f"({_ALONE})", " $1 ")).otherwise(lower)
+    apart = F.when(lower.rlike(ALONE), F.regexp_replace(lower, f"({ALONE})", " $1 ")).otherwise(lower)
     parts = F.split(apart, r"[^\p{L}\p{N}]+")
     return F.transform(F.filter(parts, lambda w: w != ""), lambda w: F.xxhash64(w))
 

@@ -26,9 +26,7 @@ def _hits(mask: tuple[int, ...]) -> str:
             f"FROM ({_lookup('dt', mask)}) d JOIN ({_lookup('bt', mask)}) b ON {same}")
 
 
-_TOKENS = r"""regexp_extract_all(
-      regexp_replace(lower(text), '([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])', ' \1 ', 'g'),
-      '[\p{L}\p{N}]+')"""
+_TOKENS = rf"""regexp_extract_all(regexp_replace(lower(text), '({dc.ALONE})', ' \1 ', 'g'), '[\p{{L}}\p{{N}}]+')"""
 
 OP2_SQL = rf"""
 WITH docs AS (SELECT doc_id AS id, {_TOKENS} AS t FROM documents),
