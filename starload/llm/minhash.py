@@ -59,7 +59,15 @@ _SALT = mix(np.arange(SYMBOLS, dtype=np.uint64) + np.uint64(0x5851F42D4C957F2D))
 #: Shingles hashed at a time, to bound the memory that a long text takes.
 _BLOCK = 512
 
-_words = WordIds()
+
+class _Words(WordIds):
+    """Few words: workers that wait for their next task keep them, and an executor
+    holds several."""
+
+    LIMIT = 100_000
+
+
+_words = _Words()
 
 
 def shingles(text: bytes | None, k: int) -> np.ndarray:
