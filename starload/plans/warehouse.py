@@ -33,9 +33,9 @@ from starload.functions.sql_functions import create_report_view
 from starload.functions.text import clean_all_text
 from starload.operators.aggregates import sum_by
 from starload.operators.filters import contains_all, contains_any, is_true
-from starload.operators.joins import left_lookup
+from starload.operators.joins import left_lookup, orphans
 from starload.operators.keys import assign_keys_unordered
-from starload.operators.quality import require_length, require_not_null
+from starload.operators.quality import require_empty, require_length, require_not_null
 from starload.operators.setops import union_all
 from starload.operators.upsert import (
     expire_unseen,
@@ -553,6 +553,22 @@ def check_landing(src: Exports, seen: dict[str, int] | None = None) -> None:
             require_length(table, LIMITS[name])
 
 
+def check_references(sums: DataFrame, counterparties: DataFrame, contracts: DataFrame,
+                     nomenclature: DataFrame) -> None:
+    """Raises ConstraintViolation for a fact id that no dimension row has (Q4).
+
+    The ids are taken from the partial sums, one row a combination; a missing
+    name's NULL passes, as a declared foreign key lets it.  One job for all four.
+    """
+    parents = {"company": counterparties, "counterparty": counterparties, "contract": contracts,
+               "nomenclature": nomenclature}
+    found = [
+        orphans(sums.select(F.lit(role).alias("role"), F.col(role).cast("long").alias("id")).distinct(), parent, ["id"])
+        for role, parent in parents.items()
+    ]
+    require_empty(union_all(found), "fact without its dimension row")
+
+
 class WarehouseJob:
     """Runs the loads against tables under ``root`` (a shared folder).
 
@@ -618,15 +634,20 @@ class WarehouseJob:
 
         return persist
 
-    def _write_facts(self, facts: DataFrame, name: str) -> tuple[list[str], list[str]]:
+    def _write_facts(self, facts: DataFrame, name: str, dims: tuple[DataFrame, ...]) -> tuple[list[str], list[str]]:
         """New fact folders, and folders with the sums of each: only the new facts
-        are read for them."""
+        are read for them.  Their ids must be those of dimension rows."""
         folders = self.periods.write(facts, f"{self.root}/stage/sales/{name}")
         root, period = f"{self.root}/stage/sums/{name}", self.periods.period_of(F.col(self.periods.dt_col))
         written = self.periods.read(folders, facts.schema)
         partial_sums(written, period.alias(self.periods.part_col)).write.partitionBy(
             self.periods.part_col).parquet(root)
-        return folders, self.periods.folders(root)
+        sums = self.periods.folders(root)
+        check_references(self._sums(sums), *dims)
+        return folders, sums
+
+    def _sums(self, folders: list[str]) -> DataFrame:
+        return self.periods.read(folders, self.spark.createDataFrame([], SUMS_SCHEMA).schema)
 
     def _publish(self, tag: str, entry, load_ts, last_id: int, paths, facts, sums, schema: StructType) -> Stage:
         self.loads.publish(
@@ -666,7 +687,7 @@ class WarehouseJob:
         landed = self.land(src, tag)
         cp, ct, nm = initial_dimensions(landed, load_ts, self._persist_to(tag, paths, None))
         new, last = self._new_facts(landed, cp, ct, nm, load_ts, 0)
-        facts, sums = self._write_facts(new, tag)
+        facts, sums = self._write_facts(new, tag, (cp, ct, nm))
         return self._publish(tag, entry, load_ts, last, paths, facts, sums, new.schema)
 
     def update(self, src: Exports, load_ts, mode: str = "append",
@@ -683,9 +704,9 @@ class WarehouseJob:
             _, sums = self.periods.overlapping(sums, start, end)
             if inside:
                 flagged = flag_range(self.periods.read(inside, current.sales.schema), start, end)
-                kept, kept_sums = self._write_facts(flagged, f"{tag}-kept")
+                kept, kept_sums = self._write_facts(flagged, f"{tag}-kept", (cp, ct, nm))
                 facts, sums = facts + kept, sums + kept_sums
-        added, added_sums = self._write_facts(new, tag)
+        added, added_sums = self._write_facts(new, tag, (cp, ct, nm))
         return self._publish(tag, entry, load_ts, last, paths, facts + added, sums + added_sums, new.schema)
 
     def report(self) -> DataFrame:
@@ -694,7 +715,7 @@ class WarehouseJob:
         entry = self.loads.latest()
         if entry is None:
             raise FileNotFoundError(f"no load under {self.root}")
-        sums = self.periods.read(entry["sums"], self.spark.createDataFrame([], SUMS_SCHEMA).schema)
+        sums = self._sums(entry["sums"])
         dims = (self._dimension(entry, n) for n in ("counterparties", "contracts", "nomenclature"))
         return report_of_sums(sums, *dims)
 

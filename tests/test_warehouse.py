@@ -420,3 +420,20 @@ def test_a_load_keeps_bad_lines_apart(spark, tmp_dir):
     assert job.stage().sales.count() == 2 and job.stage().counterparties.count() == 2
     job.update(_march(spark, tmp_dir), "2016-03-01 00:00:00")
     assert job.rejects().columns == ["table", "line"] and job.rejects().count() == 0
+
+
+def test_facts_must_refer_to_dimension_rows(spark, tmp_dir, monkeypatch):
+    from starload.operators.quality import ConstraintViolation
+    from starload.plans import warehouse
+
+    job = _job(spark, tmp_dir)
+    job.initial_load(_first(spark, tmp_dir), "2016-02-01 00:00:00")
+    before = _rows(job.report())
+    resolve = warehouse.resolve_facts
+    monkeypatch.setattr(warehouse, "resolve_facts", lambda *tables: resolve(*tables).withColumn(
+        "nomenclature", F.lit(77)))
+    with pytest.raises(ConstraintViolation, match="nomenclature"):
+        job.update(_march(spark, tmp_dir), "2016-03-01 00:00:00")
+    assert _rows(job.report()) == before
+    monkeypatch.undo()
+    job.update(_march(spark, tmp_dir), "2016-03-01 00:00:00")
