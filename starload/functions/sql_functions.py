@@ -64,11 +64,17 @@ def register_plan_report(
     spark: SparkSession,
     name: str = "plan_report",
     plan_table: str = "plan",
-    lookup: str = "query_fact",
+    fact_table: str = "fact",
+    key: str = "id",
+    value: str = "val_fact",
     verdict: str = "plan_verdict",
 ) -> None:
     """Table function ``name(param)``: plan rows with looked-up fact and the
-    verdict, only where the verdict equals ``param`` (U3)."""
+    verdict, only where the verdict equals ``param`` (U3).
+
+    The lookup stands as a join: a scalar function called in the row would be
+    planned once for the row and once more for the filter on its verdict.
+    """
     spark.sql(
         f"""CREATE OR REPLACE TEMPORARY FUNCTION {name}(param STRING)
             RETURNS TABLE (id BIGINT, manager STRING, val_plan BIGINT, val_fact BIGINT,
@@ -76,8 +82,10 @@ def register_plan_report(
             RETURN SELECT * FROM (
                      SELECT id, manager, val_plan, val_fact,
                             {verdict}(val_fact, val_plan) AS result
-                     FROM (SELECT p.id, p.manager, p.val_plan, {lookup}(p.id) AS val_fact
-                           FROM {plan_table} p))
+                     FROM (SELECT p.id, p.manager, p.val_plan, f.val_fact
+                           FROM {plan_table} p LEFT JOIN (
+                             SELECT `{key}` AS found, max(`{value}`) AS val_fact FROM {fact_table} GROUP BY `{key}`
+                           ) f ON f.found = p.id))
                    WHERE result = param"""
     )
 

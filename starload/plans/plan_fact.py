@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from starload.functions.sql_functions import (
     plan_verdict,
-    register_lookup,
     register_plan_report,
     register_verdict,
 )
@@ -37,7 +36,6 @@ def plan_report_sql(spark: SparkSession, plan: DataFrame, fact: DataFrame, verdi
     """The same through SQL functions and the table function."""
     plan.createOrReplaceTempView("plan")
     fact.createOrReplaceTempView("fact")
-    register_lookup(spark, "query_fact", "fact", "id", "val_fact")
     register_verdict(spark, "plan_verdict")
-    register_plan_report(spark, "plan_report", "plan", "query_fact", "plan_verdict")
+    register_plan_report(spark, "plan_report")
     return spark.sql("SELECT * FROM plan_report(:v)", args={"v": verdict})

@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry_module
 from starload.plans import registry  # noqa: E402
+
 SF_SMALL = "/root/testdata/sf0.001"
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
@@ -61,8 +62,10 @@ def test_plans_stay_in_the_jvm(spark, name):
 
 
 def test_the_flagship_filter_reaches_the_scan(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # else the list is cut off
     plan = entry_module.queries()["sales_report"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     scan = next(line for line in plan.splitlines() if "FileScan" in line and "l_linestatus" in line)
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
     pushed = scan[scan.index("PushedFilters"):]
     assert "EqualTo(l_linestatus,O)" in pushed and "EqualTo(l_returnflag,R)" in pushed
 
