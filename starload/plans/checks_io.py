@@ -16,6 +16,7 @@ from pyspark.sql.types import (
 )
 
 from starload.operators.aggregates import sum_by
+from starload.plans.checks_scalar import SALES_PICKS
 from starload.session import read_table, scratch_path, table_path
 from starload.sinks.files import bulk_load, export_csv, export_exact, export_split
 from starload.sinks.tables import SnapshotTable, append_table
@@ -315,17 +316,9 @@ def bulk_load_one_file_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loaded_totals(spark, sf_dir, one_file=True)
 
 
-def _lcg_sql(key: str, salt: int, modulus: int) -> str:
-    x = f"(({key}) % 2147483648)"
-    return f"(((({x} * 1103515245 + {12345 + salt}) % 2147483648) // 65536) % {modulus})"
-
-
-_KEY = "l_orderkey * 8 + l_linenumber"
 BULK_LOAD_SQL = f"""
-SELECT ['m1', 'm2', 'm3'][{_lcg_sql(_KEY, 0, 3)} + 1] AS manager,
-       ['pr1', 'pr2', 'pr3', 'pr4', 'pr5'][{_lcg_sql(_KEY, 1, 5)} + 1] AS product,
-       CAST(sum({_lcg_sql(_KEY, 2, 901)} + 100) AS BIGINT) AS total_val,
-       CAST(count(*) AS BIGINT) AS rows
+SELECT {SALES_PICKS["manager"]} AS manager, {SALES_PICKS["product"]} AS product,
+       CAST(sum({SALES_PICKS["val"]}) AS BIGINT) AS total_val, CAST(count(*) AS BIGINT) AS rows
 FROM lineitem GROUP BY 1, 2
 """
 

@@ -16,7 +16,18 @@ from starload.functions.numbers import cast_int, mixed_cell, parse_number, try_i
 from starload.functions.text import NBSP, clean_all_text, clean_text
 from starload.plans.calendar import date_dimension_for
 from starload.session import read_table, scratch_path
-from starload.sources.generate import expand_template, sales_from_keys
+from starload.sources.generate import (
+    LCG_INCREMENT,
+    LCG_MODULUS,
+    LCG_MULTIPLIER,
+    LCG_SHIFT,
+    SALES_MANAGERS,
+    SALES_PRODUCTS,
+    SALES_VALUE_MAX,
+    SALES_VALUE_MIN,
+    expand_template,
+    sales_from_keys,
+)
 
 # Whitespace mixed into the dirty text of the checks (tab, NBSP,
 # em space, ideographic space, an ASCII separator, CR LF).
@@ -239,17 +250,26 @@ def generate_sales_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales_from_keys(lineitem, key, "l_shipdate")
 
 
-def _lcg_sql(key: str, salt: int, modulus: int) -> str:
-    x = f"(({key}) % 2147483648)"
-    return f"(((({x} * 1103515245 + {12345 + salt}) % 2147483648) // 65536) % {modulus})"
+def picked_sales_sql(key: str) -> dict[str, str]:
+    """SQL of what ``sales_columns`` picks from a key."""
 
+    def pick(salt: int, modulus: int) -> str:
+        x = f"(({key}) % {LCG_MODULUS})"
+        return f"(((({x} * {LCG_MULTIPLIER} + {LCG_INCREMENT + salt}) % {LCG_MODULUS}) // {LCG_SHIFT}) % {modulus})"
+
+    span = SALES_VALUE_MAX - SALES_VALUE_MIN + 1
+    return {
+        "manager": f"{list(SALES_MANAGERS)}[{pick(0, len(SALES_MANAGERS))} + 1]",
+        "product": f"{list(SALES_PRODUCTS)}[{pick(1, len(SALES_PRODUCTS))} + 1]",
+        "val": f"{pick(2, span)} + {SALES_VALUE_MIN}",
+    }
+
+
+SALES_PICKS = picked_sales_sql("l_orderkey * 8 + l_linenumber")
 
 GENERATE_SALES_SQL = f"""
-SELECT CAST(l_shipdate AS DATE) AS dt,
-       ['m1', 'm2', 'm3'][{_lcg_sql('l_orderkey * 8 + l_linenumber', 0, 3)} + 1] AS manager,
-       ['pr1', 'pr2', 'pr3', 'pr4', 'pr5'][{_lcg_sql('l_orderkey * 8 + l_linenumber', 1, 5)} + 1]
-           AS product,
-       CAST({_lcg_sql('l_orderkey * 8 + l_linenumber', 2, 901)} + 100 AS FLOAT) AS val
+SELECT CAST(l_shipdate AS DATE) AS dt, {SALES_PICKS["manager"]} AS manager, {SALES_PICKS["product"]} AS product,
+       CAST({SALES_PICKS["val"]} AS FLOAT) AS val
 FROM lineitem
 """
 
