@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -60,6 +61,36 @@ def test_language_of_odd_texts(spark):
     assert langid.accept(spark, docs, model).columns == docs.columns
 
 
+def _plainly_told(dictionaries, text):
+    """Language, lead and second of a text, by compressing it with each dictionary."""
+    if not any(c.isalpha() for c in text or ""):
+        return "und", 0.0, None
+    flat = " ".join("".join(c if ord(c) > 127 or "a" <= c <= "z" else " " for c in text.lower()).split()).encode()
+    sizes = []
+    for lang, content in dictionaries:
+        found = 0
+        for i in range(0, len(flat), langid.PIECE):
+            d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            found += len(zstandard.ZstdCompressor(level=langid.LEVEL, dict_data=d, write_content_size=False).compress(
+                flat[i : i + langid.PIECE]))
+        sizes.append((found, lang))
+    (best, lang), (second, other) = sorted(sizes)[:2]
+    return lang, (second - best) / second, other
+
+
+def test_languages_match_a_plain_version(spark):
+    docs = read_table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text")
+    odd = [(1000, None), (1001, ""), (1002, "12 34"), (1003, "a"), (1004, "the the the"), (1005, "ÄÖÜ ß " * 900)]
+    docs = docs.unionByName(spark.createDataFrame(odd, docs.schema))
+    model = fit_on(read_table(spark, "/root/testdata/sf0.001", "documents"))
+    got = langid.identify(spark, docs, model).collect()
+    assert len(got) == 206 and len(model.dictionaries) > 2
+    for r in got:
+        lang, lead, other = _plainly_told(model.dictionaries, r.text)
+        assert (r.lang_pred, r.score, r.second) == (lang, lead, other)
+        assert r.accepted == (lang != "und" and lead >= langid.MIN_MARGIN)
+
+
 def test_languages_and_counts_of_an_empty_table(spark):
     empty = spark.createDataFrame([], "id BIGINT, text STRING, lang STRING, score INT")
     told = langid.identify(spark, empty, langid.fit(empty))
