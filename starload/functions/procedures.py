@@ -42,7 +42,8 @@ def replace_range_script(
     columns = [c for c in spark.table(target).columns if c not in ("id", *AUDIT_COLUMNS)]
     names = ", ".join(f"`{c}`" for c in columns)
     place = f" LOCATION '{location}'" if location else ""
-    return spark.sql(
+    # no query ends the script: Spark would collect its rows to the driver
+    spark.sql(
         f"""
         BEGIN
           DECLARE load_ts TIMESTAMP_NTZ DEFAULT CAST(:load_ts AS TIMESTAMP_NTZ);
@@ -69,8 +70,8 @@ def replace_range_script(
             SELECT {names}, grp, row_number() OVER (PARTITION BY grp ORDER BY {names}) AS place FROM grouped)
           SELECT last_id + earlier + place AS id, {names}, load_ts, load_ts, true
           FROM placed JOIN before USING (grp);
-          SELECT * FROM {_quoted(result)};
         END
         """,
         args={"load_ts": str(load_ts), "mode": mode, "first_day": str(start)[:10], "last_day": str(end)[:10]},
     )
+    return spark.table(result)

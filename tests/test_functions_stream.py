@@ -203,3 +203,13 @@ def test_dynamic_text_with_and_without_values(spark):
     assert filter_table_dynamic(spark, "SELECT * FROM dyn").count() == 6
     got = filter_table_dynamic(spark, "SELECT * FROM dyn WHERE id BETWEEN :a AND :b", b=3, a=2).collect()
     assert sorted(r["id"] for r in got) == [2, 3]
+
+
+def test_the_script_returns_a_table_and_not_collected_rows(spark):
+    from starload.functions.procedures import replace_range_script
+
+    spark.sql("SELECT id, timestamp_ntz'2016-01-12' AS dt, 1 AS v, timestamp_ntz'2016-02-01' AS dt_create, "
+              "timestamp_ntz'2016-02-01' AS dt_update, true AS is_actual FROM range(1, 4)").write.saveAsTable("lean_facts")
+    spark.sql("SELECT timestamp_ntz'2016-01-13' AS dt, 2 AS v").createOrReplaceTempView("lean_new")
+    got = replace_range_script(spark, "lean_facts", "lean_new", "lean_next", "2016-03-01")
+    assert got.inputFiles() and sorted(r["id"] for r in got.collect()) == [1, 2, 3, 4]
