@@ -484,9 +484,9 @@ def many_file_ingest_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     copies = expand_template(template, "city", "c_", 10)
     path = scratch_path(spark, "many-files")
-    # one folder per copy: data_<step>
+    # one folder per copy: data_<step>; a task has a bounded part of one copy
     (
-        copies.write.partitionBy("step").option("header", True).csv(path)
+        copies.hint("rebalance", "step").write.partitionBy("step").option("header", True).csv(path)
     )
     schema = StructType([StructField("city", StringType()), StructField("manager", StringType()),
                          StructField("product", StringType()), StructField("val", IntegerType())])
