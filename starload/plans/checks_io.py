@@ -18,7 +18,7 @@ from pyspark.sql.types import (
 from starload.operators.aggregates import sum_by
 from starload.plans.checks_scalar import SALES_PICKS
 from starload.session import read_table, scratch_path, table_path
-from starload.sinks.files import bulk_load, export_csv, export_exact, export_split
+from starload.sinks.files import bulk_load, export_csv, export_exact, export_one, export_split
 from starload.sinks.tables import SnapshotTable, append_table
 from starload.sources.catalog import register_foreign_table
 from starload.sources.files import read_delimited, read_delimited_lenient, read_first_column, read_glob
@@ -294,7 +294,7 @@ def _loaded_totals(spark: SparkSession, sf_dir: str, one_file: bool) -> DataFram
     sales = sales.select(F.col("dt").cast("string").alias("dt"), "manager", "product", "val")
     files = scratch_path(spark, "sales-files")
     if one_file:
-        export_csv(sales.repartition(1), files)  # only the write is in one task
+        export_one(sales, files)  # only the write is in one task
     else:
         export_split(sales, files, 5000)
     loaded = bulk_load(spark, files, SALES_CSV_SCHEMA, scratch_path(spark, "sales-table"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from starload.operators.keys import number_rows
+from starload.session import stored
 from starload.sources.files import read_delimited
 
 
@@ -50,6 +51,16 @@ def export_csv(
     _csv_writer(df if multi_line else _one_line(df), mode, sep).csv(path)
 
 
+def export_one(df: DataFrame, path: str, sep: str = ",") -> None:
+    """One CSV file with a header (K3).
+
+    One task writes it.  All tasks make the rows, as a table in columns, so that
+    the one reads a few bytes a row and no exchange of whole rows.
+    """
+    rows = stored(_one_line(df), "one-file")
+    _csv_writer(rows.coalesce(1), "overwrite", sep).csv(path)
+
+
 def export_split(df: DataFrame, path: str, max_rows: int, sep: str = ",") -> None:
     """CSV files of at most ``max_rows`` rows each (K4).
 

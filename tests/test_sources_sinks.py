@@ -324,3 +324,21 @@ def test_records_over_several_lines_are_rejected_or_raise(spark, tmp_dir, small_
     assert sorted(r._rejected for r in bad.collect()) == ["2", 'z,"q\n"']
     _write(f"{tmp_dir}/none.csv", "")
     assert read_delimited(spark, f"{tmp_dir}/none.csv", schema, sep=",", multi_line=True).count() == 0
+
+
+def test_one_file_is_written_from_narrow_columns(spark, tmp_dir):
+    from pathlib import Path
+
+    from pyspark.sql import functions as F
+
+    from starload.sinks.files import export_one
+    from starload.sources.files import read_delimited
+
+    rows = spark.range(0, 1000, 1, 7).select(
+        F.concat(F.lit(' a "'), F.col("id").cast("string")).alias("t"), F.when(F.col("id") % 3 > 0, F.lit("")).alias("e"))
+    export_one(rows, f"{tmp_dir}/one")
+    assert len(list(Path(tmp_dir, "one").glob("part-*"))) == 1
+    back = read_delimited(spark, f"{tmp_dir}/one", rows.schema, sep=",")
+    assert back.exceptAll(rows).count() == 0 and back.count() == 1000
+    with pytest.raises(Exception, match="line end"):
+        export_one(spark.sql("SELECT 'a\n' AS t"), f"{tmp_dir}/bad")
