@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starload.session import read_table, scratch_path
-from starload.sinks.files import export_csv, export_split
+from starload.sinks.files import export_one, export_split
 from starload.streaming.ingest import batch_report, ingest_chunks, ingest_rows, read_ingested
 
 CHUNK_ROWS = 50_000
@@ -68,7 +68,7 @@ def _run_rows(spark: SparkSession, sf_dir: str) -> str:
     """All line items as one file, ingested in batches of at most 20,000 rows with
     ids that go on from batch to batch; then once more, which adds nothing."""
     in_dir, out, checkpoint = (scratch_path(spark, f"rows-{name}") for name in ("in", "out", "ckpt"))
-    export_csv(_texts(spark, sf_dir).repartition(1), in_dir)  # one file is what is asked for
+    export_one(_texts(spark, sf_dir), in_dir)
     for _ in range(2):
         ingest_rows(spark, in_dir, out, checkpoint, BATCH_ROWS, id_col="id")
     return out

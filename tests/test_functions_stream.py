@@ -9,7 +9,7 @@ from starload.functions.sql_functions import (
 )
 from starload.plans.plan_fact import plan_report, plan_report_sql, plan_with_fact
 from starload.sinks.files import export_split
-from starload.streaming.ingest import batch_report, ingest_chunks, ingest_rows, read_ingested
+from starload.streaming.ingest import batch_report, ingest_chunks, ingest_rows, read_ingested, type_sales_chunk
 
 
 def _plan_fact(spark):
@@ -205,6 +205,34 @@ def test_dynamic_text_with_and_without_values(spark):
     assert sorted(r["id"] for r in got) == [2, 3]
 
 
+def test_many_chunks_share_a_micro_batch_and_keep_their_own_records(spark, tmp_dir):
+    import os
+
+    os.makedirs(f"{tmp_dir}/in")
+    _sales_lines(f"{tmp_dir}/in/a.csv", 0, 333)
+
+    def run():
+        ingest_rows(spark, f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ckpt", 5, id_col="id",
+                    transform=lambda df: type_sales_chunk(df).where("amount NOT BETWEEN 100 AND 106"))
+        rows = {r["id"]: r["amount"] for r in read_ingested(spark, f"{tmp_dir}/out").collect()}
+        return rows, batch_report(spark, f"{tmp_dir}/out").collect()
+
+    rows, report = run()
+    assert len(os.listdir(f"{tmp_dir}/ckpt/ingest/commits")) // 2 <= 16  # 67 chunks
+    assert sorted(rows) == list(range(1, 327)) and sorted(rows.values()) == [*range(100), *range(107, 333)]
+    assert [r["batch_id"] for r in report] == list(range(67))
+    assert sorted(r["rows"] for r in report) == [0, 3, 3] + [5] * 64
+    given = [r for r in report if r["rows"]]
+    assert [r["first_id"] for r in given] == [1] + [r["last_id"] + 1 for r in given[:-1]]
+    # a chunk's rows keep the file's order
+    for r in given:
+        amounts = [rows[i] for i in range(r["first_id"], r["last_id"] + 1)]
+        assert amounts == list(range(amounts[0], amounts[0] + r["rows"]))
+    _uncommit(f"{tmp_dir}/ckpt/ingest")
+    again, told = run()
+    assert again == rows and [r[:3] for r in told] == [r[:3] for r in report]
+
+
 def test_the_script_returns_a_table_and_not_collected_rows(spark):
     from starload.functions.procedures import replace_range_script
 
