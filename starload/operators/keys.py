@@ -45,7 +45,8 @@ def _placed(df: DataFrame) -> DataFrame:
     """``df``, frozen, with each row's place in its partition (``__mid``)."""
     path = scratch_path(df.sparkSession, "placed")
     typed = [c for c, kind in df.dtypes if kind != "void"]  # a file has no column without a type
-    df.select(*[F.col(f"`{c}`") for c in typed], F.monotonically_increasing_id().alias("__mid")).write.parquet(path)
+    df.select(*[F.col(f"`{c}`") for c in typed], F.monotonically_increasing_id().alias("__mid")).write.option(
+        "compression", "zstd").parquet(path)
     written = df.sparkSession.read.parquet(path)
     return written.select(
         *[F.col(f"`{c}`") if c in typed else F.lit(None).alias(c) for c in df.columns], "__mid")

@@ -60,24 +60,29 @@ def src_exports(spark: SparkSession, sf_dir: str) -> Exports:
     part = read_table(spark, sf_dir, "part")
 
     counterparties = counterparty_export(spark, sf_dir)
+    lines = lineitem.select(
+        "l_orderkey", "l_suppkey", "l_partkey", "l_shipdate",
+        F.col("l_quantity").cast("int").alias("quantity"),
+        F.round(F.col("l_extendedprice")).cast("int").alias("amount"),
+    )
+    # the short names come first: an exchange for a later lookup carries them
+    lines = left_lookup(lines, part, {"l_partkey": "p_partkey"}, {"p_brand": "nomenclature"})
     lines = left_lookup(
-        lineitem.select("l_orderkey", "l_suppkey", "l_partkey", "l_shipdate", "l_quantity",
-                        "l_extendedprice"),
+        lines,
         left_lookup(orders.select("o_orderkey", "o_custkey", "o_orderpriority"), customer,
                     {"o_custkey": "c_custkey"}, {"c_name": "c_name"}),
         {"l_orderkey": "o_orderkey"},
         {"c_name": "counterparty", "o_orderpriority": "contract"},
     )
     lines = left_lookup(lines, supplier, {"l_suppkey": "s_suppkey"}, {"s_name": "company"})
-    lines = left_lookup(lines, part, {"l_partkey": "p_partkey"}, {"p_brand": "nomenclature"})
     sales = lines.select(
         F.col("l_shipdate").alias("dt"),
         "company",
         "counterparty",
         "contract",
         "nomenclature",
-        F.col("l_quantity").cast("int").alias("quantity"),
-        F.round(F.col("l_extendedprice")).cast("int").alias("amount"),
+        "quantity",
+        "amount",
     )
     # the export's sales and its contract list come from one join result
     checkpoint_dir(spark)
@@ -199,7 +204,7 @@ FROM d_cp
 
 def stage_report_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Initial stage load, then the mart report over it."""
-    job = WarehouseJob(spark, scratch_path(spark, "warehouse"))
+    job = WarehouseJob(spark, scratch_path(spark, "warehouse"), csv_compression="gzip")
     job.initial_load(src_exports(spark, sf_dir), LOAD_TS)
     return job.report()
 
@@ -290,7 +295,7 @@ def second_exports(spark: SparkSession, sf_dir: str, first: Exports) -> Exports:
 
 def _updated_job(spark, sf_dir) -> WarehouseJob:
     """Two loads into dimensions that are stored in buckets of their keys."""
-    job = WarehouseJob(spark, scratch_path(spark, "warehouse"), dimension_buckets=8)
+    job = WarehouseJob(spark, scratch_path(spark, "warehouse"), dimension_buckets=8, csv_compression="gzip")
     first = src_exports(spark, sf_dir)
     job.initial_load(first, LOAD_TS)
     second = second_exports(spark, sf_dir, first)

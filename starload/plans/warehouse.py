@@ -21,7 +21,7 @@ import json
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -237,10 +237,11 @@ def land_exports(src: Exports, root: str, seen: dict[str, int] | None = None) ->
             rows.write.mode("overwrite").parquet(path)
             return spark.read.schema(rows.schema).parquet(path)
         if seen is None:
-            rows.write.mode("overwrite").parquet(path)
+            rows.write.mode("overwrite").option("compression", "zstd").parquet(path)
         else:
             count = Observation()
-            rows.observe(count, F.count_if(broken).alias("broken")).write.mode("overwrite").parquet(path)
+            rows.observe(count, F.count_if(broken).alias("broken")).write.mode("overwrite").option(
+                "compression", "zstd").parquet(path)
             seen[name] = count.get["broken"]
         return spark.read.schema(rows.schema).parquet(path)
 
@@ -306,6 +307,9 @@ def resolve_facts(src_sales: DataFrame, counterparties: DataFrame, contracts: Da
 #: rows from which one is; slices over which the rows of a hot name are spread.
 HOT_NAMES, HOT_SHARE, SLICES = 64, 1 / 64, 64
 
+#: Items that ``resolve_facts_shared`` sends to all tasks at most.
+FEW_ITEMS = 100_000
+
 _NAMES = ("company", "counterparty", "contract", "nomenclature")
 
 
@@ -325,12 +329,20 @@ def _sliced_lookup(rows: DataFrame, dim: DataFrame, on: list[tuple[str, str]], t
                    hot: list, key: Column, dim_key: Column) -> DataFrame:
     """``left_lookup`` with the rows of hot keys spread over slices, for each of
     which the few dimension rows of these keys are repeated."""
+    if not hot:
+        return left_lookup(rows, dim, on, take)
+    side = dim.select("*", _copies(dim_key.isin(hot)).alias("__slice"))
+    spread = rows.withColumn("__spread", _slice(rows, key.isin(hot)))
+    return left_lookup(spread, side, [*on, ("__spread", "__slice")], take).drop("__spread")
+
+
+def _slice(rows: DataFrame, hot: Column) -> Column:
     others = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])
-    spread = F.when(key.isin(hot), F.pmod(others, F.lit(SLICES))).otherwise(0).cast("int") if hot else F.lit(0)
-    copies = F.when(dim_key.isin(hot), F.sequence(F.lit(0), F.lit(SLICES - 1))).otherwise(
-        F.array(F.lit(0))) if hot else F.array(F.lit(0))
-    side = dim.select("*", F.explode(copies).alias("__slice"))
-    return left_lookup(rows.withColumn("__spread", spread), side, [*on, ("__spread", "__slice")], take).drop("__spread")
+    return F.when(hot, F.pmod(others, F.lit(SLICES))).otherwise(0).cast("int")
+
+
+def _copies(hot: Column) -> Column:
+    return F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(SLICES - 1))).otherwise(F.array(F.lit(0))))
 
 
 def resolve_facts_shared(src_sales: DataFrame, counterparties: DataFrame, contracts: DataFrame,
@@ -339,34 +351,43 @@ def resolve_facts_shared(src_sales: DataFrame, counterparties: DataFrame, contra
 
     Chained lookups would send the facts through an exchange for each, on names of
     which one may be on a third of the rows.  Here the distinct combinations of
-    the four names, as many as the report has rows, are resolved by themselves, and
-    the facts meet them in one exchange for all four lookups.  Hot names, and hot
-    combinations, are found by sketches in a pass over the names and spread over
+    company, counterparty and contract are resolved by themselves, and the facts meet
+    them in one exchange for all three lookups.  The combinations stay in the
+    partitions that made them distinct: contracts and facts come to them there.  Items
+    are sent to all tasks if they are counted to be few (``FEW_ITEMS``).  Hot names, and
+    hot combinations, are found by sketches in a pass over the names and spread over
     slices, so no task gets a third of the rows.  Results are those of
     ``resolve_facts``: unknown names give NULL, repeated dimension keys fan out.
     """
-    combination = F.xxhash64(*_NAMES)
-    hot = hot_values(src_sales, {**{c: F.col(c) for c in _NAMES}, "combination": combination})
-    f = src_sales.select(*_NAMES).distinct().select("*", *[F.col(c).alias(f"__{c}") for c in _NAMES])
-    for role in ("company", "counterparty"):
-        f = _sliced_lookup(f, counterparties, [(f"__{role}", "company")], {"id": f"{role}_id"},
-                           hot[role], F.col(f"__{role}"), F.col("company"))
-    f = left_lookup(
-        f, contracts,
-        [("__contract", "contract"), ("__company", "company"), ("__counterparty", "counterparty")],
-        {"id": "contract_id"},
-    )
-    f = _sliced_lookup(f, nomenclature, [("__nomenclature", "nomenclature")], {"id": "nomenclature_id"},
-                       hot["nomenclature"], F.col("__nomenclature"), F.col("nomenclature"))
+    names = _NAMES[:3]
+    few = nomenclature.limit(FEW_ITEMS + 1).count() <= FEW_ITEMS
+    hot = hot_values(src_sales, {
+        **{c: F.col(c) for c in (names if few else _NAMES)}, "combination": F.xxhash64(*names)})
+    items = F.broadcast(nomenclature.select("id", "nomenclature")) if few else nomenclature
+    facts = _sliced_lookup(src_sales, items, [("nomenclature", "nomenclature")], {"id": "nomenclature_id"},
+                           hot.get("nomenclature", []), F.col("nomenclature"), F.col("nomenclature"))
     # a missing name is one of a combination's values, so it has to meet itself
-    key = F.struct(*[F.col(f"__{c}").alias(c) for c in _NAMES])
-    known = f.select(key.alias("__names"), *[F.col(f"{c}_id") for c in _NAMES])
-    known = known.select("*", F.xxhash64(*[F.col("__names")[c] for c in _NAMES]).alias("__combination"))
-    facts = src_sales.select(
-        "dt", "quantity", "amount", F.struct(*_NAMES).alias("__names"), combination.alias("__combination"))
-    found = _sliced_lookup(
-        facts, known, [("__combination", "__combination"), ("__names", "__names")],
-        {f"{c}_id": f"{c}_id" for c in _NAMES}, hot["combination"], F.col("__combination"), F.col("__combination"))
+    missing = reduce(lambda a, b: a + b, [
+        F.when(F.col(c).isNull(), 1 << i).otherwise(0) for i, c in enumerate(names)])
+    hot_key = F.xxhash64(*names).isin(hot["combination"])
+    sliced = ["__part"] if hot["combination"] else []
+    facts = facts.select(
+        "dt", "quantity", "amount", "nomenclature_id", missing.alias("__missing"),
+        *[F.coalesce(c, F.lit("")).alias(f"__{c}") for c in names],
+        *[_slice(src_sales, hot_key).alias(c) for c in sliced])
+    key = [*[f"__{c}" for c in names], "__missing", *sliced]
+    f = facts.select(*key).distinct()
+    # a contract that lacks a name is nobody's: -1 meets no combination
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in names])
+    side = contracts.select(
+        "id", *[F.coalesce(c, F.lit("")).alias(f"__{c}") for c in names],
+        F.when(whole, 0).otherwise(-1).alias("__missing"), *[_copies(hot_key).alias(c) for c in sliced])
+    f = left_lookup(f, side, key, {"id": "contract_id"})
+    for i, role in enumerate(names[:2]):
+        name = F.when(F.col("__missing").bitwiseAND(F.lit(1 << i)) == 0, F.col(f"__{role}"))
+        f = _sliced_lookup(f.withColumn("__name", name), counterparties, [("__name", "company")],
+                           {"id": f"{role}_id"}, hot[role], F.col("__name"), F.col("company")).drop("__name")
+    found = left_lookup(facts, f, key, [f"{c}_id" for c in names])
     return found.select("dt", *[F.col(f"{c}_id").cast("int").alias(c) for c in _NAMES], "quantity", "amount")
 
 
@@ -385,6 +406,10 @@ def _keep(name: str, df: DataFrame) -> DataFrame:
     return df
 
 
+def _same(df: DataFrame) -> DataFrame:
+    return df
+
+
 def stage_initial_load(
     src: Exports,
     load_ts,
@@ -591,10 +616,12 @@ class WarehouseJob:
     """
 
     def __init__(self, spark: SparkSession, root: str, fact_period: str = "month",
-                 dimension_buckets: int | None = None):
+                 dimension_buckets: int | None = None, csv_compression: str | None = None):
         """``dimension_buckets`` stores new dimension folders bucketed by their natural
-        keys: an upsert then exchanges the source alone, whatever the target's size."""
+        keys: an upsert then exchanges the source alone, whatever the target's size.
+        ``csv_compression`` is that of the cleansed CSV files, by default none."""
         self.spark = spark
+        self.csv_compression = csv_compression
         self.buckets = dimension_buckets
         self.root = root.rstrip("/")
         self.periods = PeriodFolders(spark, period=fact_period)
@@ -619,7 +646,8 @@ class WarehouseJob:
         seen: dict[str, int] = {}
         landed = land_exports(src, f"{self.root}/src/{tag}", seen)
         check_landing(landed, seen)
-        together({name: partial(export_csv, getattr(landed, name), f"{self.root}/csv/{tag}/{name}")
+        together({name: partial(export_csv, getattr(landed, name), f"{self.root}/csv/{tag}/{name}",
+                                compression=self.csv_compression)
                   for name in TABLES})
         return landed
 
@@ -634,14 +662,16 @@ class WarehouseJob:
 
         return persist
 
-    def _write_facts(self, facts: DataFrame, name: str, dims: tuple[DataFrame, ...]) -> tuple[list[str], list[str]]:
+    def _write_facts(self, facts: DataFrame, name: str, dims: tuple[DataFrame, ...],
+                     finish: Callable[[DataFrame], DataFrame] = _same) -> tuple[list[str], list[str]]:
         """New fact folders, and folders with the sums of each: only the new facts
-        are read for them.  Their ids must be those of dimension rows."""
-        folders = self.periods.write(facts, f"{self.root}/stage/sales/{name}")
+        are read for them.  Their ids must be those of dimension rows.  ``finish``
+        adds the columns that all of ``facts`` have alike."""
+        folders = self.periods.write(facts, f"{self.root}/stage/sales/{name}", finish=finish)
         root, period = f"{self.root}/stage/sums/{name}", self.periods.period_of(F.col(self.periods.dt_col))
-        written = self.periods.read(folders, facts.schema)
+        written = self.periods.read(folders, finish(facts).schema)
         partial_sums(written, period.alias(self.periods.part_col)).write.partitionBy(
-            self.periods.part_col).parquet(root)
+            self.periods.part_col).option("compression", "zstd").parquet(root)
         sums = self.periods.folders(root)
         check_references(self._sums(sums), *dims)
         return folders, sums
@@ -676,19 +706,19 @@ class WarehouseJob:
         entry = self.loads.latest()
         return [*entry["dimensions"].values(), *entry["facts"], *entry["sums"]] if entry else []
 
-    def _new_facts(self, landed: Exports, cp, ct, nm, load_ts, last: int) -> tuple[DataFrame, int]:
+    def _new_facts(self, landed: Exports, cp, ct, nm, last: int) -> tuple[DataFrame, int]:
         """Resolved facts with ids, in no order, and the last id."""
         resolve = resolve_facts if may_broadcast(cp, ct, nm) else resolve_facts_shared
-        keyed, last = assign_keys_unordered(resolve(landed.sales, cp, ct, nm), start=last)
-        return with_audit(keyed, load_ts), last
+        return assign_keys_unordered(resolve(landed.sales, cp, ct, nm), start=last)
 
     def initial_load(self, src: Exports, load_ts) -> Stage:
         entry, tag, paths = self._begin(load_ts), new_tag(), {}
         landed = self.land(src, tag)
         cp, ct, nm = initial_dimensions(landed, load_ts, self._persist_to(tag, paths, None))
-        new, last = self._new_facts(landed, cp, ct, nm, load_ts, 0)
-        facts, sums = self._write_facts(new, tag, (cp, ct, nm))
-        return self._publish(tag, entry, load_ts, last, paths, facts, sums, new.schema)
+        new, last = self._new_facts(landed, cp, ct, nm, 0)
+        audit = partial(with_audit, load_ts=load_ts)
+        facts, sums = self._write_facts(new, tag, (cp, ct, nm), audit)
+        return self._publish(tag, entry, load_ts, last, paths, facts, sums, audit(new).schema)
 
     def update(self, src: Exports, load_ts, mode: str = "append",
                start="1900-01-01", end="1900-01-01") -> Stage:
@@ -697,7 +727,8 @@ class WarehouseJob:
         current = self.stage()
         landed = self.land(src, tag)
         cp, ct, nm = update_dimensions(current, landed, load_ts, persist=self._persist_to(tag, paths, entry["buckets"]))
-        new, last = self._new_facts(landed, cp, ct, nm, load_ts, entry["last_id"])
+        new, last = self._new_facts(landed, cp, ct, nm, entry["last_id"])
+        audit = partial(with_audit, load_ts=load_ts)
         facts, sums = entry["facts"], entry["sums"]
         if mode == "replace":
             inside, facts = self.periods.overlapping(facts, start, end)
@@ -706,8 +737,8 @@ class WarehouseJob:
                 flagged = flag_range(self.periods.read(inside, current.sales.schema), start, end)
                 kept, kept_sums = self._write_facts(flagged, f"{tag}-kept", (cp, ct, nm))
                 facts, sums = facts + kept, sums + kept_sums
-        added, added_sums = self._write_facts(new, tag, (cp, ct, nm))
-        return self._publish(tag, entry, load_ts, last, paths, facts + added, sums + added_sums, new.schema)
+        added, added_sums = self._write_facts(new, tag, (cp, ct, nm), audit)
+        return self._publish(tag, entry, load_ts, last, paths, facts + added, sums + added_sums, audit(new).schema)
 
     def report(self) -> DataFrame:
         """The mart report, kept up to date: it reads the sums that each load left

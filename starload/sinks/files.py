@@ -41,14 +41,16 @@ def _one_line(df: DataFrame) -> DataFrame:
 
 
 def export_csv(
-    df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite", multi_line: bool = False
+    df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite", multi_line: bool = False,
+    compression: str | None = None,
 ) -> None:
-    """CSV with a header (K3).
+    """CSV with a header (K3), as plain text or in files of a ``compression`` that Spark
+    knows, whose readers find it by the file name.
 
     A line end inside a value raises, unless ``multi_line``; such files have to
     be read with ``multi_line`` as well and are not split into tasks.
     """
-    _csv_writer(df if multi_line else _one_line(df), mode, sep).csv(path)
+    _csv_writer(df if multi_line else _one_line(df), mode, sep).csv(path, compression=compression)
 
 
 def export_one(df: DataFrame, path: str, sep: str = ",") -> None:

@@ -12,7 +12,7 @@ from __future__ import annotations
 import hashlib
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -134,16 +134,20 @@ class PeriodFolders:
         d = F.to_date(c)
         return d if self.period == "day" else F.trunc(d, "month")
 
-    def write(self, df: DataFrame, root: str, id_col: str = "id") -> list[str]:
+    def write(self, df: DataFrame, root: str, id_col: str = "id",
+              finish: Callable[[DataFrame], DataFrame] | None = None) -> list[str]:
         """Write ``df`` under ``root``; the paths of the folders it fills.
 
         The rows are range-partitioned on date and id: a task covers a short
         stretch of days, so it writes few folders, one busy date is still split
         over several tasks, and files have tight date bounds for pruning.  The
         list has an entry for each calendar period, whatever the row count.
+        ``finish`` adds columns that the exchange need not carry.
         """
-        dated = df.withColumn(self.part_col, self.period_of(F.col(self.dt_col)))
-        dated.repartitionByRange(self.dt_col, id_col).write.partitionBy(self.part_col).parquet(root)
+        ranged = df.repartitionByRange(self.dt_col, id_col)
+        rows = finish(ranged) if finish else ranged
+        dated = rows.withColumn(self.part_col, self.period_of(F.col(self.dt_col)))
+        dated.write.partitionBy(self.part_col).option("compression", "zstd").parquet(root)
         return self.folders(root)
 
     def folders(self, root: str) -> list[str]:

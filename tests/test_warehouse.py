@@ -4,6 +4,8 @@ of real exports (BOM, CRLF, NBSP thousands, decimal commas, inner quotes,
 whitespace noise, a misspelt counterparty)."""
 
 import datetime as dt
+import glob
+import itertools
 import os
 
 import pytest
@@ -352,6 +354,60 @@ def test_large_dimensions_cost_the_facts_one_exchange(spark, tmp_dir):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_combinations_stay_where_they_became_distinct(spark, tmp_dir):
+    """Contracts come to the combinations without an exchange of these; items go to all tasks."""
+    from starload.plans.warehouse import resolve_facts_shared
+
+    tables = []
+    for k, table in enumerate(_many_sales(spark)):
+        table.write.parquet(f"{tmp_dir}/{k}")
+        tables.append(spark.read.parquet(f"{tmp_dir}/{k}"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = resolve_facts_shared(*tables)._jdf.queryExecution().executedPlan().toString()
+        # the combinations, their contracts, the facts; and for company and counterparty
+        # both sides, and the way back
+        assert plan.count("Exchange hashpartitioning") == 3 + 2 * 2 + 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_missing_and_empty_names_differ_in_shared_lookups(spark, monkeypatch, few):
+    from starload.plans import warehouse
+
+    monkeypatch.setattr(warehouse, "FEW_ITEMS", few)
+    names = [None, "", "a", "b"]
+    day = dt.datetime(2016, 1, 1)
+    sales = spark.createDataFrame(
+        [(day, a, b, c, n, i, 1) for i, (a, b, c, n) in enumerate(itertools.product(names, repeat=4))], _SALES)
+    cp = spark.createDataFrame([(1, None), (2, ""), (3, "a"), (4, "a")], "id long, company string")
+    ct = spark.createDataFrame(
+        [(i, c, b, a) for i, (c, b, a) in enumerate(itertools.product(names[:3], repeat=3))] + [(90, "a", "a", "a")],
+        "id long, contract string, counterparty string, company string")
+    nm = spark.createDataFrame([(1, None), (2, ""), (3, "a"), (4, "a")], "id long, nomenclature string")
+    want = _rows(warehouse.resolve_facts(sales, cp, ct, nm))
+    assert _rows(warehouse.resolve_facts_shared(sales, cp, ct, nm)) == want
+    hot = sales.union(sales.where("company = 'a' AND counterparty = 'a' AND contract = 'a'").crossJoin(
+        spark.range(50)).drop("id"))
+    assert _rows(warehouse.resolve_facts_shared(hot, cp, ct, nm)) == _rows(warehouse.resolve_facts(hot, cp, ct, nm))
+
+
+def test_a_job_can_compress_its_csv_files(spark, tmp_dir):
+    from starload.plans.warehouse import WarehouseJob
+    from starload.sources.files import read_glob
+
+    src = read_exports(spark, *_exports(f"{tmp_dir}/l1", FIRST_SALES, FIRST_COUNTERPARTIES,
+                                        ["Ассорти", "Барбарис", "Грильяж"]))
+    for name, compression, ending in (("plain", None, ".csv"), ("packed", "gzip", ".csv.gz")):
+        job = WarehouseJob(spark, f"{tmp_dir}/{name}", csv_compression=compression)
+        job.initial_load(src, "2016-02-01 00:00:00")
+        found = glob.glob(f"{tmp_dir}/{name}/csv/*/sales/part-*")
+        assert found and all(f.endswith(ending) for f in found)
+        back = read_glob(spark, f"{tmp_dir}/{name}/csv/*/sales/part-*", src.sales.schema, sep=",")
+        assert _rows(back) == _rows(src.sales)
+
+
 def test_an_upsert_into_buckets_exchanges_the_source_alone(spark, tmp_dir):
     from starload.operators.upsert import expire_unseen, initial_load, upsert
     from starload.sinks.tables import read_bucketed, write_bucketed
