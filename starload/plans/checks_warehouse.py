@@ -27,7 +27,7 @@ from starload.plans.warehouse import (
     resolve_facts_shared,
     sales_report,
 )
-from starload.session import checkpoint_dir, read_table, scratch_path
+from starload.session import read_table, scratch_path, stored
 from starload.sources.catalog import run_sql
 
 LOAD_TS = "2024-01-01 00:00:00"
@@ -85,8 +85,7 @@ def src_exports(spark: SparkSession, sf_dir: str) -> Exports:
         "amount",
     )
     # the export's sales and its contract list come from one join result
-    checkpoint_dir(spark)
-    sales = sales.checkpoint()
+    sales = stored(sales, "export-sales")
     contracts = (
         sales.where(F.col("contract").isin("1-URGENT", "2-HIGH"))
         .select("contract", "counterparty", "company")

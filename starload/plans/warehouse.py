@@ -522,8 +522,11 @@ def report_of_sums(sums: DataFrame, counterparties: DataFrame, contracts: DataFr
     named = sum_by(sums.where("facts > 0"), _IDS, totals)
     named = left_lookup(named, counterparties, {"company": "id"}, {"company": "company"})
     named = left_lookup(named, counterparties, {"counterparty": "id"}, {"company": "counterparty"})
-    named = left_lookup(named, contracts, {"contract": "id"}, {"contract": "contract"})
     named = left_lookup(named, nomenclature, {"nomenclature": "id"}, {"nomenclature": "nomenclature"})
+    # sums without a contract, which may be most, would meet in one task of its lookup
+    known = left_lookup(named.where("contract IS NOT NULL"), contracts, {"contract": "id"}, {"contract": "contract"})
+    none = F.lit(None).cast(known.schema["contract"].dataType)
+    named = union_all([known, named.where("contract IS NULL").withColumn("contract", none).select(*known.columns)])
     return sum_by(named, _IDS, totals)
 
 

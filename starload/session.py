@@ -75,7 +75,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh Parquet table in the shared scratch folder and read it
     back: later steps read the columns they need of what was computed once."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

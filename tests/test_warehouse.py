@@ -372,6 +372,21 @@ def test_combinations_stay_where_they_became_distinct(spark, tmp_dir):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_sums_without_a_contract_are_not_exchanged_for_its_name(spark, tmp_dir):
+    from starload.plans.warehouse import SUMS_SCHEMA, report_of_sums
+
+    rows = [(1, 1, 1 if i % 3 == 0 else None if i % 3 == 1 else 7, 1, 1, i, 2) for i in range(30)]
+    spark.createDataFrame(rows, SUMS_SCHEMA).write.parquet(f"{tmp_dir}/sums")
+    cp = spark.createDataFrame([(1, "a")], "id long, company string")
+    ct = spark.createDataFrame([(1, "k")], "id long, contract string")
+    nm = spark.createDataFrame([(1, "n")], "id long, nomenclature string")
+    report = report_of_sums(spark.read.parquet(f"{tmp_dir}/sums"), cp, ct, nm)
+    # an id without its row has no name either and falls to the same line
+    assert _rows(report) == [("a", "a", None, "n", sum(i for i in range(30) if i % 3), 40),
+                             ("a", "a", "k", "n", sum(range(0, 30, 3)), 20)]
+    assert "isnotnull(contract#" in report._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("few", [0, 100_000])
 def test_missing_and_empty_names_differ_in_shared_lookups(spark, monkeypatch, few):
     from starload.plans import warehouse
