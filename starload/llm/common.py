@@ -21,8 +21,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to a fresh table in the shared scratch folder and read it back.
+def materialize(spark: SparkSession, df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write ``df`` to a fresh table in the shared scratch folder and read it back;
+    ``options`` are the writer's.
 
     This cuts the lineage (a lost executor costs at most the running stage) and
     freezes the rows.  Shuffle files of the write are dropped when it ends, so
@@ -32,7 +33,7 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
     finally:
         if before is None:
             spark.conf.unset(_CLEANUP)

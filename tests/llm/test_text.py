@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -353,6 +354,74 @@ def test_words_beyond_the_most_frequent_are_clustered(spark, monkeypatch):
     assert sum(r.score for r in held) > sum(r.base_score for r in held) + 0.15 * sum(r.n_tokens for r in held)
 
 
+def _plain_scores(rows, n_frequent):
+    """The whole model in plain Python: ``id`` and score of each text."""
+    number = lambda w: int(np.uint64(xxhash.xxh3_64_intdigest(w)).astype(np.int64))
+    ending = lambda w: xxhash.xxh32_intdigest(w[-brown.ENDING_BYTES:]) % brown.ENDINGS
+    texts = [(i, held, [*text.encode().lower().split(), b" "]) for i, held, text in rows]
+    stream = [w for _, held, text in texts if not held for w in text]
+    count = Counter(stream)
+    ranked = sorted((w for w in count if w != b" "), key=lambda w: (-count[w], number(w)))
+    dealt = lambda i: 1 + i % (brown.CLASSES - 1)
+    classes = {w: dealt(i if i < n_frequent else ending(w)) for i, w in enumerate(ranked)} | {b" ": 0}
+    half = {w: number(w) & 1 for w in ranked} | {
+        w: i % 2 for i, w in enumerate(sorted(ranked[:n_frequent], key=number))}
+
+    def pairs():
+        m = np.zeros((brown.CLASSES, brown.CLASSES))
+        for a, b in zip([b" ", *stream], stream, strict=False):
+            m[classes[a], classes[b]] += 1
+        return m
+
+    for turn in range(brown.ROUNDS):
+        wide = {w: np.zeros(brown.WIDE) for w in count}
+        for a, b in zip([b" ", *stream], stream, strict=False):
+            wide[a][classes[b]] += 1
+            wide[b][brown.CLASSES + classes[a]] += 1
+            wide[a][-1] += a == b
+        m = pairs()
+        classes |= {w: brown.best_class(wide[w], classes[w], m) for w in ranked if half[w] == turn % 2}
+    types = np.bincount(list(classes.values()), minlength=brown.CLASSES)
+    model = brown.Model(np.array([], np.int64), np.zeros(1, np.int64), pairs(), types, len(stream), len(count))
+    tail = defaultdict(Counter)
+    for w in ranked[n_frequent:]:
+        tail[ending(w)][classes[w]] += 1
+    of = lambda w: classes[w] if w in count else (
+        min(tail[ending(w)], key=lambda c: (-tail[ending(w)][c], c)) if tail[ending(w)] else dealt(ending(w)))
+    after, totals, found = model.transitions(), model.word_totals(), []
+    for i, _, text in texts:
+        each = [after[of(a), of(b)] + (0 if b == b" " else np.log10((count[b] + 0.5) / totals[of(b)]))
+                for a, b in zip([b" ", *text], text, strict=False)]
+        found.append((i, round(float(sum(each)), 6)))
+    return found
+
+
+def test_the_model_against_plain_python(spark, monkeypatch):
+    monkeypatch.setattr(brown, "BLOCK_TOKENS", 300)
+    monkeypatch.setattr(brown, "WORDS", 7)
+    rng = random.Random(8)
+    words = [[f"{a}{i}" for i in range(60)] for a in ("p", "q", "rs")]
+    rows = [(i, i % 5 == 1, " ".join(rng.choice(words[i % 3]) for _ in range(rng.randrange(50)))) for i in range(150)]
+    rows += [(200, True, "p1 x1 y1 q2"), (201, False, "q1 q1 q1 p2"), (202, True, "")]
+    docs = spark.createDataFrame(rows, "id BIGINT, held BOOLEAN, text STRING").repartition(3)
+    got = [(r.id, round(r.score, 6)) for r in brown.score(spark, docs).collect()]
+    assert sorted(got) == sorted(_plain_scores(rows, 7))
+
+
+def test_blocks_are_rows_of_about_a_megabyte(spark):
+    """Rows of several megabytes made the heap and the buffers of an executor grow."""
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    text = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(999)), lambda x: (F.col("id") * 7 + x) % 5000), " ")
+    docs = spark.range(0, 600, 1, 1).select("id", (F.col("id") % 5 == 1).alias("held"), text.cast("binary").alias("text"))
+    before = spark.conf.get(size)
+    found = brown.blocks(docs).collect()
+    assert sum(sum(r.sizes) for r in found) == 600_000 and max(sum(r.sizes) for r in found) <= 250_000
+    assert sorted(i for r in found for i in r.ids) == list(range(600))
+    with brown._large_rows(spark):
+        assert spark.conf.get(size) != before
+    assert spark.conf.get(size) == before
+
+
 def test_probabilities_add_up():
     rng = np.random.default_rng(1)
     pairs = rng.integers(0, 50, (brown.CLASSES, brown.CLASSES)).astype(float)
