@@ -115,6 +115,21 @@ class _Numbers(dict):
         return value
 
 
+class _Endings(dict):
+    """The number of each word's ending, remembered up to a number of endings."""
+
+    LIMIT = 100_000
+
+    def __missing__(self, ending: bytes) -> int:
+        if len(self) >= self.LIMIT:
+            self.clear()
+        value = self[ending] = xxhash.xxh32_intdigest(ending) % ENDINGS
+        return value
+
+
+_endings = _Endings()
+
+
 def _packed(numbers: np.ndarray, kind: str) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(numbers.astype(kind).tobytes())
 
@@ -134,7 +149,7 @@ def _block(number: int, rows: list[tuple[int | None, bool, np.ndarray]], numbers
     words = list(numbers)
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).view(np.int64)
     ids, first, place = np.unique(hashes, return_index=True, return_inverse=True)
-    endings = np.array([xxhash.xxh32_intdigest(words[i][-ENDING_BYTES:]) % ENDINGS for i in first.tolist()])
+    endings = np.fromiter((_endings[w[-ENDING_BYTES:]] for w in words), np.int64, len(words))[first]
     kind = _kind(len(ids))
     tokens = place[np.concatenate([text for _, _, text in rows])]
     end = sum(len(text) for _, held, text in rows if not held)
