@@ -6,7 +6,8 @@ its size estimate (an upper bound from file sizes) is below
 broadcast only after the shuffled side has been *measured* below
 ``spark.sql.adaptive.autoBroadcastJoinThreshold``.  Beyond those bounds both
 sides are shuffled on the key and AQE splits skewed fact partitions
-(``spark.sql.adaptive.skewJoin.enabled``).
+(``spark.sql.adaptive.skewJoin.enabled``).  ``hash_side`` marks a side of which a
+task's part is known to be small: it is held in memory there, and no side is sorted.
 """
 
 from __future__ import annotations
@@ -30,6 +31,33 @@ def _conjunction(conds: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conds)
 
 
+#: Rows of the marked side of a join that a task may hold in memory.
+HASH_ROWS = 2_500_000
+
+
+def may_broadcast(*tables: DataFrame) -> bool:
+    """Whether the planner's size estimates let it broadcast all of the tables."""
+    spark = tables[0].sparkSession
+    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    sizes = [int(str(t._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for t in tables]
+    return max(sizes) <= limit
+
+
+def hash_side(side: DataFrame, rows: int | None = None, tasks: int | None = None) -> DataFrame:
+    """``side``, of ``rows`` rows (counted if not given), as the right side of a join
+    whose tasks hold their part of it in memory, where else both sides would be sorted:
+    for texts that begin alike, as names do, that costs more than the rest of the join.
+
+    Left as it is, for the planner to choose, if it may be broadcast or if there are
+    more than ``HASH_ROWS`` rows for each of ``tasks`` (else of the shuffle partitions).
+    """
+    if may_broadcast(side):
+        return side
+    tasks = tasks or int(side.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = side.count() if rows is None else rows
+    return side if rows > HASH_ROWS * tasks else side.hint("shuffle_hash")
+
+
 def left_lookup(
     fact: DataFrame,
     dim: DataFrame,

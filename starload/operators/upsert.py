@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starload.operators.filters import between_days
+from starload.operators.joins import hash_side
 from starload.operators.keys import assign_keys, max_id
 from starload.operators.quality import check_unique, require_empty
 
@@ -72,6 +73,7 @@ def upsert(
     insert_cols: Sequence[str] | None = None,
     id_col: str = "id",
     check_source_unique: bool = True,
+    tasks: int | None = None,
 ) -> DataFrame:
     """``MERGE`` of ``source`` into ``target`` on ``keys`` (M1, M2).
 
@@ -86,16 +88,20 @@ def upsert(
     SQL ``MERGE`` that is an error (checked unless disabled).  Repeated source
     rows without a target row are all inserted.  Matching is a
     left join of the target with the source, and the new rows are the source
-    rows without a target key (an anti join against the target's key columns
-    only); keys that match are unique on each side, so none can be hot.
+    rows whose key no matched target row has (an anti join against keys
+    only); keys that match are unique on each side, so none can be hot.  The
+    target is sorted for neither if a task can hold its part of the source
+    (``hash_side``); ``tasks`` is their number where the target lies in buckets.
     """
     insert_cols = list(insert_cols) if insert_cols is not None else [
         c for c in target.columns if c not in (id_col, *AUDIT_COLUMNS)
     ]
     if check_source_unique:
-        # only the few repeated keys meet the target
-        repeated = check_unique(source, keys).join(target.select(*keys), list(keys), "left_semi")
-        require_empty(repeated, f"several source rows match one row on {list(keys)}")
+        # only the few repeated keys meet the target, if there are any
+        repeated = check_unique(source, keys)
+        if not repeated.isEmpty():
+            repeated = repeated.join(target.select(*keys), list(keys), "left_semi")
+            require_empty(repeated, f"several source rows match one row on {list(keys)}")
     s = source.select(
         *[F.col(f"`{c}`").alias(f"__s_{c}") for c in dict.fromkeys([*keys, *insert_cols])],
         F.lit(True).alias("__hit"),
@@ -104,7 +110,8 @@ def upsert(
     for k in keys:
         c = target[k] == s[f"__s_{k}"]
         cond = c if cond is None else (cond & c)
-    joined = target.join(s, cond, "left")
+    held = hash_side(s, tasks=tasks)
+    joined = target.join(held, cond, "left")
     hit = F.coalesce(F.col("__hit"), F.lit(False))
     ts = _ts(load_ts)
 
@@ -125,7 +132,8 @@ def upsert(
     for k in keys:
         c = s[f"__s_{k}"] == target_keys[f"__t_{k}"]
         anti = c if anti is None else (anti & c)
-    fresh_rows = s.join(target_keys, anti, "left_anti").select(
+    matched = target_keys.join(held, anti, "left_semi")
+    fresh_rows = s.join(matched if held is s else matched.hint("shuffle_hash"), anti, "left_anti").select(
         *[F.col(f"__s_{c}").alias(c) for c in insert_cols]
     )
     fresh = insert_new(fresh_rows, list(keys), load_ts, max_id(target, id_col), id_col)

@@ -33,7 +33,7 @@ from starload.functions.sql_functions import create_report_view
 from starload.functions.text import clean_all_text
 from starload.operators.aggregates import sum_by
 from starload.operators.filters import contains_all, contains_any, is_true
-from starload.operators.joins import left_lookup, orphans
+from starload.operators.joins import hash_side, left_lookup, may_broadcast, orphans
 from starload.operators.keys import assign_keys_unordered
 from starload.operators.quality import require_empty, require_length, require_not_null
 from starload.operators.setops import union_all
@@ -307,32 +307,47 @@ def resolve_facts(src_sales: DataFrame, counterparties: DataFrame, contracts: Da
 #: rows from which one is; slices over which the rows of a hot name are spread.
 HOT_NAMES, HOT_SHARE, SLICES = 64, 1 / 64, 64
 
-#: Items that ``resolve_facts_shared`` sends to all tasks at most.
-FEW_ITEMS = 100_000
+#: Items that ``resolve_facts_shared`` sends to all tasks at most, and the number of
+#: combinations, as a share of the facts, from which it resolves fact by fact.
+FEW_ITEMS, OWN_SHARE = 100_000, 1 / 2
 
 _NAMES = ("company", "counterparty", "contract", "nomenclature")
 
 
-def hot_values(rows: DataFrame, columns: dict[str, Column]) -> dict[str, list]:
-    """Of each column the values on ``HOT_SHARE`` of the rows or more, found in one
-    pass by frequent-item sketches; at most ``HOT_NAMES`` each, for the driver."""
+def hot_values(rows: DataFrame, columns: dict[str, Column], seen: dict[str, int] | None = None) -> dict[str, list]:
+    """Of each column the values on ``HOT_SHARE`` of the rows or more, None among them,
+    found in one pass by frequent-item sketches; at most ``HOT_NAMES`` and None each,
+    for the driver.  ``seen`` takes the number of rows, and about how many different
+    values the columns have that it names."""
+    seen = {} if seen is None else seen
     sketches = rows.select(*[c.alias(name) for name, c in columns.items()]).agg(
         F.count(F.lit(1)).alias("n"),
         *[F.expr(f"approx_top_k({name}, {HOT_NAMES}, {16 * HOT_NAMES})").alias(name) for name in columns],
+        *[F.count(name).alias(f"{name}_filled") for name in columns],
+        *[F.approx_count_distinct(name).alias(f"{name}_distinct") for name in columns if name in seen],
     ).first()
     least = max(1, sketches["n"] * HOT_SHARE)
-    return {name: [x["item"] for x in sketches[name] or [] if x["count"] >= least and x["item"] is not None]
-            for name in columns}
+    seen |= {"n": sketches["n"], **{name: sketches[f"{name}_distinct"] for name in columns if name in seen}}
+    found = {name: [x["item"] for x in sketches[name] or [] if x["count"] >= least and x["item"] is not None]
+             for name in columns}
+    return {name: hot + [None] * (sketches["n"] - sketches[f"{name}_filled"] >= least)
+            for name, hot in found.items()}
+
+
+def _is_one(key: Column, hot: list) -> Column:
+    some = key.isin([x for x in hot if x is not None])
+    return some | key.isNull() if None in hot else some
 
 
 def _sliced_lookup(rows: DataFrame, dim: DataFrame, on: list[tuple[str, str]], take: dict[str, str],
                    hot: list, key: Column, dim_key: Column) -> DataFrame:
     """``left_lookup`` with the rows of hot keys spread over slices, for each of
-    which the few dimension rows of these keys are repeated."""
+    which the few dimension rows of these keys are repeated.  A missing key meets
+    nothing in any slice."""
     if not hot:
         return left_lookup(rows, dim, on, take)
-    side = dim.select("*", _copies(dim_key.isin(hot)).alias("__slice"))
-    spread = rows.withColumn("__spread", _slice(rows, key.isin(hot)))
+    side = dim.select("*", _copies(dim_key.isin([x for x in hot if x is not None])).alias("__slice"))
+    spread = rows.withColumn("__spread", _slice(rows, _is_one(key, hot)))
     return left_lookup(spread, side, [*on, ("__spread", "__slice")], take).drop("__spread")
 
 
@@ -353,7 +368,9 @@ def resolve_facts_shared(src_sales: DataFrame, counterparties: DataFrame, contra
     which one may be on a third of the rows.  Here the distinct combinations of
     company, counterparty and contract are resolved by themselves, and the facts meet
     them in one exchange for all three lookups.  The combinations stay in the
-    partitions that made them distinct: contracts and facts come to them there.  Items
+    partitions that made them distinct: contracts and facts come to them there.  Where
+    most facts have a combination of their own (``OWN_SHARE``), that would send as many
+    rows twice, and the facts go through the three lookups themselves.  Items
     are sent to all tasks if they are counted to be few (``FEW_ITEMS``).  Hot names, and
     hot combinations, are found by sketches in a pass over the names and spread over
     slices, so no task gets a third of the rows.  Results are those of
@@ -361,11 +378,20 @@ def resolve_facts_shared(src_sales: DataFrame, counterparties: DataFrame, contra
     """
     names = _NAMES[:3]
     few = nomenclature.limit(FEW_ITEMS + 1).count() <= FEW_ITEMS
+    seen = {"combination": 0}
     hot = hot_values(src_sales, {
-        **{c: F.col(c) for c in (names if few else _NAMES)}, "combination": F.xxhash64(*names)})
+        **{c: F.col(c) for c in (names if few else _NAMES)}, "combination": F.xxhash64(*names)}, seen)
+    contracts, counterparties = hash_side(contracts), hash_side(counterparties)
     items = F.broadcast(nomenclature.select("id", "nomenclature")) if few else nomenclature
     facts = _sliced_lookup(src_sales, items, [("nomenclature", "nomenclature")], {"id": "nomenclature_id"},
                            hot.get("nomenclature", []), F.col("nomenclature"), F.col("nomenclature"))
+    if seen["combination"] > seen["n"] * OWN_SHARE:
+        found = _sliced_lookup(facts.drop("nomenclature"), contracts, [(c, c) for c in ("contract", *names[:2])],
+                               {"id": "contract_id"}, hot["combination"], F.xxhash64(*names), F.xxhash64(*names))
+        for role in names[:2]:
+            found = _sliced_lookup(found.drop("contract"), counterparties, [(role, "company")],
+                                   {"id": f"{role}_id"}, hot[role], F.col(role), F.col("company")).drop(role)
+        return _of_ids(found)
     # a missing name is one of a combination's values, so it has to meet itself
     missing = reduce(lambda a, b: a + b, [
         F.when(F.col(c).isNull(), 1 << i).otherwise(0) for i, c in enumerate(names)])
@@ -387,16 +413,11 @@ def resolve_facts_shared(src_sales: DataFrame, counterparties: DataFrame, contra
         name = F.when(F.col("__missing").bitwiseAND(F.lit(1 << i)) == 0, F.col(f"__{role}"))
         f = _sliced_lookup(f.withColumn("__name", name), counterparties, [("__name", "company")],
                            {"id": f"{role}_id"}, hot[role], F.col("__name"), F.col("company")).drop("__name")
-    found = left_lookup(facts, f, key, [f"{c}_id" for c in names])
-    return found.select("dt", *[F.col(f"{c}_id").cast("int").alias(c) for c in _NAMES], "quantity", "amount")
+    return _of_ids(left_lookup(facts, hash_side(f, seen["combination"]), key, [f"{c}_id" for c in names]))
 
 
-def may_broadcast(*tables: DataFrame) -> bool:
-    """Whether the planner's size estimates let it broadcast all of the tables."""
-    spark = tables[0].sparkSession
-    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    sizes = [int(str(t._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for t in tables]
-    return max(sizes) <= limit
+def _of_ids(found: DataFrame) -> DataFrame:
+    return found.select("dt", *[F.col(f"{c}_id").cast("int").alias(c) for c in _NAMES], "quantity", "amount")
 
 
 FACT_ORDER = ["dt", "company", "counterparty", "contract", "nomenclature", "quantity", "amount"]
@@ -476,11 +497,13 @@ def update_dimensions(
     src: Exports,
     load_ts,
     persist: Callable[[str, DataFrame], DataFrame] = _keep,
+    buckets: int | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The dimension half of ``stage_update``: (counterparties, contracts,
-    nomenclature) after upsert and expiry."""
+    nomenclature) after upsert and expiry.  ``buckets`` is the number of those that
+    the tables of ``stage`` are stored in."""
     def renew(name: str, source: DataFrame, keys: list[str], update_cols: tuple[str, ...] = ()) -> DataFrame:
-        merged = upsert(getattr(stage, name), source, keys, load_ts, update_cols=list(update_cols))
+        merged = upsert(getattr(stage, name), source, keys, load_ts, update_cols=list(update_cols), tasks=buckets)
         return persist(name, expire_unseen(merged, load_ts))
 
     contract_keys = ["contract", "counterparty", "company"]
@@ -587,16 +610,27 @@ def check_references(sums: DataFrame, counterparties: DataFrame, contracts: Data
 
     The ids are taken from the partial sums, one row a combination; a missing
     name's NULL passes, as a declared foreign key lets it.  One job for all four.
+    Where the ids of a dimension are found to have no gap, all between the least and
+    the largest are those of rows, and only the others are looked for.
     """
     parents = {"company": counterparties, "counterparty": counterparties, "contract": contracts,
                "nomenclature": nomenclature}
-    found = [
-        orphans(sums.select(F.lit(role).alias("role"), F.col(role).cast("long").alias("id")).distinct(), parent, ["id"])
-        for role, parent in parents.items()
-    ]
+    runs = together({role: partial(_run_of_ids, parents[role]) for role in _IDS[1:]})
+    found = []
+    for role, parent in parents.items():
+        run = runs["counterparty" if role == "company" else role]
+        ids = sums.where(~F.col(role).between(*run)) if run else sums
+        ids = ids.select(F.lit(role).alias("role"), F.col(role).cast("long").alias("id")).distinct()
+        found.append(orphans(ids, parent, ["id"]))
     require_empty(union_all(found), "fact without its dimension row")
 
 
+def _run_of_ids(dim: DataFrame) -> tuple[int, int] | None:
+    """The least and the largest id, if the table has all ids between them."""
+    ids = dim.agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count_distinct("id").alias("n")).first()
+    return (ids["first"], ids["last"]) if ids["n"] and ids["last"] - ids["first"] + 1 == ids["n"] else None
+
+
 class WarehouseJob:
     """Runs the loads against tables under ``root`` (a shared folder).
 
@@ -659,25 +693,25 @@ class WarehouseJob:
             paths[name] = f"{self.root}/stage/{name}/{tag}"
             if self.buckets:
                 # what an upsert into as many buckets gives is in its buckets already
-                return write_bucketed(df, paths[name], DIMENSION_KEYS[name], self.buckets, spread=was != self.buckets)
-            df.write.parquet(paths[name])
+                write_bucketed(df, paths[name], DIMENSION_KEYS[name], self.buckets, spread=was != self.buckets)
+            else:
+                df.write.parquet(paths[name])
+            # read as plain files: facts would else come to the few tasks of the buckets
             return self.spark.read.schema(df.schema).parquet(paths[name])
 
         return persist
 
-    def _write_facts(self, facts: DataFrame, name: str, dims: tuple[DataFrame, ...],
+    def _write_facts(self, facts: DataFrame, name: str,
                      finish: Callable[[DataFrame], DataFrame] = _same) -> tuple[list[str], list[str]]:
         """New fact folders, and folders with the sums of each: only the new facts
-        are read for them.  Their ids must be those of dimension rows.  ``finish``
-        adds the columns that all of ``facts`` have alike."""
+        are read for them.  Their ids must be those of dimension rows, which is for the
+        caller to check.  ``finish`` adds the columns that all of ``facts`` have alike."""
         folders = self.periods.write(facts, f"{self.root}/stage/sales/{name}", finish=finish)
         root, period = f"{self.root}/stage/sums/{name}", self.periods.period_of(F.col(self.periods.dt_col))
         written = self.periods.read(folders, finish(facts).schema)
         partial_sums(written, period.alias(self.periods.part_col)).write.partitionBy(
             self.periods.part_col).option("compression", "zstd").parquet(root)
-        sums = self.periods.folders(root)
-        check_references(self._sums(sums), *dims)
-        return folders, sums
+        return folders, self.periods.folders(root)
 
     def _sums(self, folders: list[str]) -> DataFrame:
         return self.periods.read(folders, self.spark.createDataFrame([], SUMS_SCHEMA).schema)
@@ -720,7 +754,8 @@ class WarehouseJob:
         cp, ct, nm = initial_dimensions(landed, load_ts, self._persist_to(tag, paths, None))
         new, last = self._new_facts(landed, cp, ct, nm, 0)
         audit = partial(with_audit, load_ts=load_ts)
-        facts, sums = self._write_facts(new, tag, (cp, ct, nm), audit)
+        facts, sums = self._write_facts(new, tag, audit)
+        check_references(self._sums(sums), cp, ct, nm)
         return self._publish(tag, entry, load_ts, last, paths, facts, sums, audit(new).schema)
 
     def update(self, src: Exports, load_ts, mode: str = "append",
@@ -729,18 +764,20 @@ class WarehouseJob:
         entry, tag, paths = self._begin(load_ts), new_tag(), {}
         current = self.stage()
         landed = self.land(src, tag)
-        cp, ct, nm = update_dimensions(current, landed, load_ts, persist=self._persist_to(tag, paths, entry["buckets"]))
+        cp, ct, nm = update_dimensions(current, landed, load_ts, self._persist_to(tag, paths, entry["buckets"]),
+                                       entry["buckets"])
         new, last = self._new_facts(landed, cp, ct, nm, entry["last_id"])
         audit = partial(with_audit, load_ts=load_ts)
-        facts, sums = entry["facts"], entry["sums"]
+        facts, sums, kept_sums = entry["facts"], entry["sums"], []
         if mode == "replace":
             inside, facts = self.periods.overlapping(facts, start, end)
             _, sums = self.periods.overlapping(sums, start, end)
             if inside:
                 flagged = flag_range(self.periods.read(inside, current.sales.schema), start, end)
-                kept, kept_sums = self._write_facts(flagged, f"{tag}-kept", (cp, ct, nm))
+                kept, kept_sums = self._write_facts(flagged, f"{tag}-kept")
                 facts, sums = facts + kept, sums + kept_sums
-        added, added_sums = self._write_facts(new, tag, (cp, ct, nm), audit)
+        added, added_sums = self._write_facts(new, tag, audit)
+        check_references(self._sums([*kept_sums, *added_sums]), cp, ct, nm)
         return self._publish(tag, entry, load_ts, last, paths, facts + added, sums + added_sums, audit(new).schema)
 
     def report(self) -> DataFrame:

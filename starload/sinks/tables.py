@@ -176,8 +176,8 @@ def _bucketed_name(path: str) -> str:
 
 
 def write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int, spread: bool = True) -> DataFrame:
-    """Write ``df`` under ``path`` in ``buckets`` by a hash of ``keys``, sorted by them,
-    and read it back (M1-M3).
+    """Write ``df`` under ``path`` in ``buckets`` by a hash of ``keys``, in no order, and
+    read it back (M1-M3).
 
     A join on the keys then needs no exchange on this side.  ``spread`` sends each
     bucket to one task first; what comes out of a join with such a table is
@@ -186,7 +186,7 @@ def write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int,
     spark = df.sparkSession
     rows = df.repartition(buckets, *keys) if spread else df
     spark.sql(f"DROP TABLE IF EXISTS {_bucketed_name(path)}")
-    rows.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).format("parquet").saveAsTable(
+    rows.write.bucketBy(buckets, *keys).option("path", path).format("parquet").saveAsTable(
         _bucketed_name(path))
     return spark.table(_bucketed_name(path))
 
@@ -199,7 +199,7 @@ def read_bucketed(spark: SparkSession, path: str, keys: Sequence[str], buckets:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
         by = ", ".join(f"`{k}`" for k in keys)
         spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{path}' "
-                  f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS")
+                  f"CLUSTERED BY ({by}) INTO {buckets} BUCKETS")
     return spark.table(name)
 
 

@@ -508,3 +508,110 @@ def test_facts_must_refer_to_dimension_rows(spark, tmp_dir, monkeypatch):
     assert _rows(job.report()) == before
     monkeypatch.undo()
     job.update(_march(spark, tmp_dir), "2016-03-01 00:00:00")
+
+
+def _own_combinations(spark, tmp_dir):
+    """Sales of which most have a combination of names of their own, and a hot one; with
+    missing and empty names, unknown ones, and names that a dimension has twice."""
+    day = dt.datetime(2016, 1, 1)
+    rows = [(day, f"c{i % 40}", f"p{i % 41}", f"k{i % 3}", f"n{i % 4}", i, 1) for i in range(1200)]
+    rows += [(day, a, b, c, "n1", i, 2) for i, (a, b, c) in enumerate(
+        itertools.product([None, "", "c1", "hot"], [None, "", "p1", "hot"], [None, "", "k1"]))]
+    rows += [(day, "hot", "hot", "k1", "n2", i, 3) for i in range(200)] + [(day, None, "p2", "k1", "n2", i, 3) for i in range(60)]
+    names = ["hot", "", *[f"{x}{i}" for x in "cp" for i in range(1, 30)]]
+    tables = [
+        spark.createDataFrame(rows, _SALES),
+        spark.createDataFrame([(i, x) for i, x in enumerate(names)] + [(900, "hot"), (901, None)], "id long, company string"),
+        spark.createDataFrame(
+            [(i, f"k{i % 2}", b, a) for i, (a, b) in enumerate((a, b) for a in names for b in names)]
+            + [(99_000, "k1", None, "hot"), (99_001, None, "hot", "hot"), (99_002, "k1", "hot", "hot")],
+            "id long, contract string, counterparty string, company string"),
+        spark.createDataFrame([(1, "n0"), (2, "n1"), (3, "n1"), (4, "n2")], "id long, nomenclature string")]
+    for k, table in enumerate(tables):
+        table.write.parquet(f"{tmp_dir}/{k}")
+    return [spark.read.parquet(f"{tmp_dir}/{k}") for k in range(4)]
+
+
+def test_facts_of_their_own_combinations_are_looked_up_unsorted(spark, tmp_dir):
+    from starload.plans.warehouse import hot_values, resolve_facts, resolve_facts_shared
+
+    tables = _own_combinations(spark, tmp_dir)
+    seen = {"company": 0}
+    hot = hot_values(tables[0], {"company": F.col("company")}, seen)["company"]
+    assert "hot" in hot and None in hot and seen["n"] == tables[0].count() and 38 <= seen["company"] <= 48
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shared = resolve_facts_shared(*tables)
+        plan = shared._jdf.queryExecution().executedPlan().toString()
+        # both sides of three lookups, and neither the combinations nor a sort
+        assert plan.count("Exchange hashpartitioning") == 6 and "Sort" not in plan
+        assert _rows(shared) == _rows(resolve_facts(*tables))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_an_upsert_sorts_no_target(spark, tmp_dir, monkeypatch):
+    from starload.operators import joins
+    from starload.operators.upsert import initial_load, upsert
+    from starload.sinks.tables import write_bucketed
+
+    names = spark.range(500).selectExpr("concat('n', id) AS company", "string(id) AS tax")
+    first = initial_load(names, ["company", "tax"], "2016-02-01")
+    target = write_bucketed(first, f"{tmp_dir}/v1", ["company"], 4)
+    source = spark.range(250, 600).selectExpr("concat('n', id) AS company", "string(2 * id) AS tax").union(
+        spark.createDataFrame([("new", "1"), ("new", "2"), (None, "3"), (None, "4")], "company string, tax string"))
+
+    def merged(rows):
+        monkeypatch.setattr(joins, "HASH_ROWS", rows)
+        found = upsert(target, source, ["company"], "2016-03-01", update_cols=["tax"], tasks=4)
+        return found._jdf.queryExecution().executedPlan().toString(), _rows(found)
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        held, sorted_ = merged(1000), merged(10)
+        assert "ShuffledHashJoin" in held[0] and "SortMergeJoin" not in held[0]
+        # more rows than a task may hold: the planner's choice, as before
+        assert "ShuffledHashJoin" not in sorted_[0] and "SortMergeJoin" in sorted_[0]
+        assert held[1] == sorted_[1] and len(held[1]) == 604
+        twice = source.union(spark.createDataFrame([("n300", "x")], "company string, tax string"))
+        with pytest.raises(ValueError, match="several source rows"):
+            upsert(target, twice, ["company"], "2016-03-01", tasks=4)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_facts_are_not_resolved_in_the_tasks_of_the_buckets(spark, tmp_dir, monkeypatch):
+    from starload.plans.warehouse import WarehouseJob
+
+    job, new_facts, plans = WarehouseJob(spark, f"{tmp_dir}/wh", dimension_buckets=3), WarehouseJob._new_facts, []
+
+    def seen(self, landed, *rest):
+        plans.extend(d._jdf.queryExecution().executedPlan().toString() for d in rest[:3])
+        return new_facts(self, landed, *rest)
+
+    monkeypatch.setattr(WarehouseJob, "_new_facts", seen)
+    job.initial_load(_first(spark, tmp_dir), "2016-02-01 00:00:00")
+    job.update(_march(spark, tmp_dir), "2016-03-01 00:00:00")
+    assert len(plans) == 6 and not any("Bucketed: true" in p for p in plans)
+
+
+def test_only_ids_outside_the_run_of_a_dimension_are_looked_for(spark, monkeypatch):
+    from starload.operators.quality import ConstraintViolation
+    from starload.plans import warehouse
+
+    asked, orphans = [], warehouse.orphans
+    monkeypatch.setattr(warehouse, "orphans", lambda ids, *rest: asked.append(ids.count()) or orphans(ids, *rest))
+
+    def ids(*values):
+        return spark.createDataFrame([(v,) for v in values], "id long")
+
+    def sums(*rows):
+        return spark.createDataFrame([(*r, 1, 1, 1) for r in rows], warehouse.SUMS_SCHEMA)
+
+    rows = [(1, 2, None, 1), (2, 3, 4, 1), (3, None, 6, 1)]
+    warehouse.check_references(sums(*rows), ids(1, 2, 3), ids(4, 6), ids(1))
+    assert asked == [0, 0, 3, 0]  # contract 5 is not there, so all of them are looked for
+    warehouse.check_references(sums((None, None, None, None)), ids(1), ids(), ids(1, 1))
+    for k, bad in enumerate([(4, 1, 4, 1), (1, 0, 4, 1), (1, 1, 5, 1), (1, 1, 4, 2)]):
+        with pytest.raises(ConstraintViolation, match=warehouse._IDS[k]):
+            warehouse.check_references(sums(*rows, bad), ids(1, 2, 3), ids(4, 6), ids(1))
